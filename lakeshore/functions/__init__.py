@@ -1,10 +1,10 @@
 from lakeshore.functions.derive import (either_in, elapsed, guarded_pct, hour_bucket, in_batch,
-                                        is_weekend, iso_day_of_week, month_key, positive_or_null)
+                                        is_weekend, iso_day_of_week, month_key, positive_or_null, round_half_up)
 from lakeshore.functions.keys import surrogate_key
 from lakeshore.functions.labels import bucket_label, wetness_label
 
 __all__ = [
     "either_in", "elapsed", "guarded_pct", "hour_bucket", "in_batch", "is_weekend",
-    "iso_day_of_week", "month_key", "positive_or_null", "surrogate_key", "bucket_label",
+    "iso_day_of_week", "month_key", "positive_or_null", "round_half_up", "surrogate_key", "bucket_label",
     "wetness_label",
 ]

@@ -14,6 +14,12 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def round_half_up(c: ColumnOrName, scale: int) -> Column:
+    """Half-up rounding of a computed double, after dropping float noise below 1e-9
+    (28.549999999999997 -> 28.55 -> 28.6), as decimal arithmetic would give."""
+    return F.round(_col(c).cast("decimal(38,9)"), scale).cast("double")
+
+
 def positive_or_null(c: ColumnOrName) -> Column:
     """Keep values > 0; zero, negatives and null become null (no ``otherwise``)."""
     c = _col(c)
@@ -24,7 +30,7 @@ def elapsed(start: ColumnOrName, end: ColumnOrName, unit_seconds: int = 60, scal
     """Whole elapsed seconds (truncated, as ``timestampdiff`` does) expressed in ``unit_seconds``
     units and rounded half-up to ``scale`` decimals: 59 s -> 0.98 min, 21,601 s -> 360.02 min."""
     seconds = F.timestamp_diff("SECOND", _col(start), _col(end))
-    return F.round(seconds / F.lit(float(unit_seconds)), scale)
+    return round_half_up(seconds / F.lit(float(unit_seconds)), scale)
 
 
 def hour_bucket(ts: ColumnOrName) -> Column:
@@ -37,7 +43,7 @@ def guarded_pct(num: ColumnOrName, den: ColumnOrName, when: Column | None = None
     """``num / den * 100`` in double, only where ``den > 0`` (and ``when`` holds); else null."""
     num, den = _col(num), _col(den)
     cond = den > 0 if when is None else (when & (den > 0))
-    return F.when(cond, F.round(num.cast("double") / den.cast("double") * 100, scale))
+    return F.when(cond, round_half_up(num.cast("double") / den.cast("double") * 100, scale))
 
 
 def either_in(values: Iterable, *cols: ColumnOrName) -> Column:

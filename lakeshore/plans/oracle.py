@@ -10,6 +10,11 @@ from __future__ import annotations
 
 AIRPORTS = "(1, 13, 24)"
 
+
+def rhu(expr: str, scale: int) -> str:
+    """SQL twin of ``lakeshore.functions.round_half_up``: drop float noise below 1e-9, round."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {scale}) AS DOUBLE)"
+
 RAW_TRIPS = f"""
 raw AS (
   SELECT
@@ -72,11 +77,11 @@ derived AS (
     trip_distance, ratecode_id, store_and_fwd_flag, pu_location_id, do_location_id, payment_type,
     fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
     congestion_surcharge, airport_fee, cbd_congestion_fee, year, month,
-    round(CAST(date_sub('second', pickup_datetime, dropoff_datetime) AS DOUBLE) / 86400.0, 2) AS duration_min,
+    {rhu("CAST(date_sub('second', pickup_datetime, dropoff_datetime) AS DOUBLE) / 86400.0", 2)} AS duration_min,
     CAST(pickup_datetime AS DATE) AS pickup_date,
     CAST(date_trunc('hour', pickup_datetime) AS TIMESTAMP) AS pickup_hour,
     CASE WHEN payment_type = 1 AND fare_amount > 0
-         THEN round(CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) * 100, 2) END AS tip_pct,
+         THEN {rhu("CAST(tip_amount AS DOUBLE) / CAST(fare_amount AS DOUBLE) * 100", 2)} END AS tip_pct,
     (pu_location_id IN {AIRPORTS}) OR (do_location_id IN {AIRPORTS}) AS is_airport_trip
   FROM conformed
 )"""

@@ -1,2 +1,185 @@
-"""Queries: q_series."""
+"""Queries of the hourly weather series: documents of parallel UTC arrays -> local hours."""
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeshore.functions import round_half_up, wetness_label
+from lakeshore.operators import series
+from lakeshore.plans import standins
+from lakeshore.plans.catalog import query
+from lakeshore.plans.oracle import register, rhu
+from lakeshore.session import require_utc
+
+ZONE = standins.LOCAL_ZONE
+
+# ---- DuckDB statements of the stand-in documents, exploded (one row per UTC hour)
+WEATHER_CTES = f"""
+months AS (
+  SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month, CAST(m AS DATE) AS month_start
+  FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
+                                      date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m
+        FROM orders)
+),
+utc AS (
+  SELECT year, month, utc_time, CAST(floor(epoch(utc_time) / 3600) AS BIGINT) AS n
+  FROM (SELECT year, month,
+               unnest(generate_series(CAST(month_start AS TIMESTAMP),
+                                      CAST(month_start + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 23 HOUR,
+                                      INTERVAL 1 HOUR)) AS utc_time
+        FROM months)
+),
+m1 AS (
+  SELECT year, month, utc_time, n,
+         round(((n * 37) % 400) / CAST(10 AS DOUBLE) - 10.0, 1) AS temperature_c,
+         ((n * 13) % 70) / CAST(10 AS DOUBLE) - 2.0 AS wet,
+         round(((n * 17) % 300) / CAST(10 AS DOUBLE), 1) AS wind_speed_kmh
+  FROM utc
+),
+m2 AS (
+  SELECT *, CASE WHEN n % 11 = 0 THEN NULL WHEN wet > 0 THEN round(wet, 1) ELSE CAST(0 AS DOUBLE) END AS precipitation_mm
+  FROM m1
+),
+m3 AS (
+  SELECT *,
+    CASE WHEN temperature_c < 0 AND precipitation_mm > 0 THEN round(precipitation_mm * 0.7, 2) ELSE CAST(0 AS DOUBLE) END AS snowfall_cm,
+    CASE WHEN temperature_c >= 0 THEN precipitation_mm ELSE CAST(0 AS DOUBLE) END AS rain_mm
+  FROM m2
+),
+wx_utc AS (
+  SELECT year, month, utc_time, temperature_c, precipitation_mm, rain_mm, snowfall_cm, wind_speed_kmh,
+    CAST(CASE WHEN snowfall_cm > 0 THEN 71 WHEN precipitation_mm > 2.5 THEN 63
+              WHEN precipitation_mm > 0 THEN 61 ELSE n % 4 END AS INTEGER) AS weather_code
+  FROM m3
+),
+wx_local AS (
+  SELECT year, month, timezone('{ZONE}', timezone('UTC', utc_time)) AS weather_hour,
+         temperature_c, precipitation_mm, rain_mm, snowfall_cm, wind_speed_kmh, weather_code
+  FROM wx_utc
+),
+wx_own AS (
+  SELECT * FROM wx_local WHERE year(weather_hour) = year AND month(weather_hour) = month
+),
+weather AS (
+  SELECT year, month, weather_hour,
+    {rhu("avg(temperature_c)", 1)} AS temperature_c,
+    {rhu("sum(precipitation_mm)", 1)} AS precipitation_mm,
+    {rhu("sum(rain_mm)", 1)} AS rain_mm,
+    {rhu("sum(snowfall_cm)", 2)} AS snowfall_cm,
+    {rhu("avg(wind_speed_kmh)", 1)} AS wind_speed_kmh,
+    max(weather_code) AS weather_code,
+    CAST(weather_hour AS DATE) AS weather_date
+  FROM wx_own GROUP BY year, month, weather_hour
+)"""
+
+
+def with_weather(body: str, *extra: str) -> str:
+    return "WITH " + ",".join([WEATHER_CTES, *extra]) + "\n" + body
+
+
+def documents(spark: SparkSession, root: str) -> DataFrame:
+    require_utc(spark)
+    return standins.weather_documents(spark, root)
+
+
+def silver_weather(spark: SparkSession, root: str) -> DataFrame:
+    return series.flatten_series(documents(spark, root), ZONE)
+
+
+@query("series_explode")
+def q_series_explode(spark: SparkSession, root: str) -> DataFrame:
+    return series.explode_series(documents(spark, root))
+
+
+register("series_explode", with_weather("""
+SELECT year, month, utc_time, temperature_c, precipitation_mm, rain_mm, snowfall_cm, wind_speed_kmh, weather_code
+FROM wx_utc"""))
+
+
+@query("series_local_time")
+def q_series_local_time(spark: SparkSession, root: str) -> DataFrame:
+    return series.local_hours(documents(spark, root), ZONE)
+
+
+register("series_local_time", with_weather("SELECT * FROM wx_own"))
+
+
+@query("dst_merge")
+def q_dst_merge(spark: SparkSession, root: str) -> DataFrame:
+    return silver_weather(spark, root)
+
+
+register("dst_merge", with_weather("SELECT * FROM weather"))
+
+
+@query("series_validate")
+def q_series_validate(spark: SparkSession, root: str) -> DataFrame:
+    return series.validate_documents(documents(spark, root))
+
+
+register("series_validate", with_weather("""
+SELECT year, month, CAST(NULL AS VARCHAR) AS missing_fields,
+       CAST(count(*) AS INTEGER) AS n_hours,
+       CAST((datediff('day', min(month_start), last_day(min(month_start))) + 2) * 24 AS INTEGER) AS expected_hours,
+       true AS equal_lengths,
+       bool_or(temperature_c IS NULL) AS has_null_required,
+       true AS zone_ok,
+       count(*) = (datediff('day', min(month_start), last_day(min(month_start))) + 2) * 24
+         AND NOT bool_or(temperature_c IS NULL) AS valid
+FROM wx_utc JOIN months USING (year, month)
+GROUP BY year, month"""))
+
+
+@query("month_completeness")
+def q_month_completeness(spark: SparkSession, root: str) -> DataFrame:
+    return series.month_completeness(silver_weather(spark, root), ZONE)
+
+
+register("month_completeness", with_weather(f"""
+SELECT h.year, h.month, h.hours, h.null_required_hours, e.expected_hours,
+       CAST(day(last_day(make_date(h.year, h.month, 1))) * 24 AS INTEGER) AS calendar_hours,
+       abs(h.hours - day(last_day(make_date(h.year, h.month, 1))) * 24) <= 1 AS within_tolerance,
+       h.hours = e.expected_hours AND h.null_required_hours = 0 AS complete
+FROM held h LEFT JOIN expected e USING (year, month)""", """
+held AS (SELECT year, month, count(*) AS hours, count(*) FILTER (WHERE temperature_c IS NULL) AS null_required_hours
+         FROM weather GROUP BY year, month)""", f"""
+expected AS (
+  SELECT year, month, count(DISTINCT h) AS expected_hours FROM (
+    SELECT year, month, timezone('{ZONE}', timezone('UTC', u)) AS h FROM (
+      SELECT year, month, unnest(generate_series(CAST(make_date(year, month, 1) AS TIMESTAMP) - INTERVAL 1 DAY,
+                                                 CAST(make_date(year, month, 1) + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 1 DAY,
+                                                 INTERVAL 1 HOUR)) AS u
+      FROM held))
+  WHERE year(h) = year AND month(h) = month
+  GROUP BY year, month)"""))
+
+
+@query("daily_summary")
+def q_daily_summary(spark: SparkSession, root: str) -> DataFrame:
+    return silver_weather(spark, root).groupBy("weather_date").agg(
+        round_half_up(F.avg("temperature_c"), 1).alias("avg_temperature_c"),
+        round_half_up(F.sum("precipitation_mm"), 1).alias("total_precipitation_mm"),
+        round_half_up(F.sum("snowfall_cm"), 1).alias("total_snowfall_cm"),
+    )
+
+
+register("daily_summary", with_weather(f"""
+SELECT weather_date, {rhu("avg(temperature_c)", 1)} AS avg_temperature_c,
+       {rhu("sum(precipitation_mm)", 1)} AS total_precipitation_mm,
+       {rhu("sum(snowfall_cm)", 1)} AS total_snowfall_cm
+FROM weather GROUP BY weather_date"""))
+
+
+@query("bucket_label")
+def q_bucket_label(spark: SparkSession, root: str) -> DataFrame:
+    w = silver_weather(spark, root)
+    return w.select("weather_hour", "precipitation_mm", "snowfall_cm",
+                    wetness_label("precipitation_mm", "snowfall_cm").alias("weather_label"))
+
+
+register("bucket_label", with_weather("""
+SELECT weather_hour, precipitation_mm, snowfall_cm,
+  CASE WHEN snowfall_cm > 0 THEN 'snow' WHEN precipitation_mm IS NULL THEN 'unknown'
+       WHEN precipitation_mm = 0 THEN 'dry' WHEN precipitation_mm <= 2.5 THEN 'light rain'
+       ELSE 'heavy rain' END AS weather_label
+FROM weather"""))

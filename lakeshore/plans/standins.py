@@ -122,7 +122,10 @@ def weather_documents(spark: SparkSession, root: str) -> DataFrame:
     end = F.timestamp_add("HOUR", F.lit(23), F.add_months("month_start", 1).cast("timestamp_ntz"))
     hours = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))
     with_hours = months.select("year", "month", hours.alias("h"))
-    arrays = {name: F.transform("h", lambda x, name=name: hour_measures(x)[name])
+    def measure(name):
+        return lambda x: hour_measures(x)[name]
+
+    arrays = {name: F.transform("h", measure(name))
               for name in ("temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m", "weather_code")}
     return with_hours.select(
         "year", "month",
