@@ -9,7 +9,7 @@ from lakeshore.operators.contract import conform
 from lakeshore.operators.rules import quarantined, reason_histogram, split, split_counts
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
-from lakeshore.plans.oracle import register, with_trips
+from lakeshore.plans.oracle import STG_SQL, register, with_trips
 from lakeshore.plans.pipelines import TRIP_KEY_COLUMNS, batch_loaded_at, stage_trips
 from lakeshore.plans.trips import clean_trips, derive_trip
 from lakeshore.session import require_utc
@@ -105,27 +105,6 @@ SELECT year, month, count(*) AS input_rows,
 FROM clean GROUP BY year, month"""))
 
 
-STG_SQL = """
-stg AS (
-  SELECT
-    md5(concat_ws('-',
-        coalesce(CAST(vendor_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-        coalesce(CAST(pickup_datetime AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-        coalesce(CAST(dropoff_datetime AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-        coalesce(CAST(pu_location_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-        coalesce(CAST(do_location_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
-        coalesce(CAST(total_amount AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS trip_id,
-    pickup_datetime AS pickup_at, dropoff_datetime AS dropoff_at, pickup_date, pickup_hour, duration_min,
-    pu_location_id AS pickup_location_id, do_location_id AS dropoff_location_id, is_airport_trip,
-    vendor_id, passenger_count, trip_distance AS trip_distance_miles, ratecode_id,
-    store_and_fwd_flag = 'Y' AS is_store_and_forward, payment_type, fare_amount, extra AS extra_amount,
-    mta_tax, tip_amount, tip_pct, tolls_amount, improvement_surcharge, congestion_surcharge,
-    airport_fee, cbd_congestion_fee, total_amount,
-    CAST(make_date(year, month, 1) + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 78 HOUR AS loaded_at
-  FROM silver
-)"""
-
-
 def with_stg(body: str) -> str:
     return with_trips(body, STG_SQL)
 

@@ -8,70 +8,11 @@ from lakeshore.functions import round_half_up, wetness_label
 from lakeshore.operators import series
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
-from lakeshore.plans.oracle import register, rhu
+from lakeshore.plans.oracle import WEATHER_CTES, register, rhu
 from lakeshore.session import require_utc
 
 ZONE = standins.LOCAL_ZONE
 
-# ---- DuckDB statements of the stand-in documents, exploded (one row per UTC hour)
-WEATHER_CTES = f"""
-months AS (
-  SELECT CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month, CAST(m AS DATE) AS month_start
-  FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)),
-                                      date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m
-        FROM orders)
-),
-utc AS (
-  SELECT year, month, utc_time, CAST(floor(epoch(utc_time) / 3600) AS BIGINT) AS n
-  FROM (SELECT year, month,
-               unnest(generate_series(CAST(month_start AS TIMESTAMP),
-                                      CAST(month_start + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 23 HOUR,
-                                      INTERVAL 1 HOUR)) AS utc_time
-        FROM months)
-),
-m1 AS (
-  SELECT year, month, utc_time, n,
-         round(((n * 37) % 400) / CAST(10 AS DOUBLE) - 10.0, 1) AS temperature_c,
-         ((n * 13) % 70) / CAST(10 AS DOUBLE) - 2.0 AS wet,
-         round(((n * 17) % 300) / CAST(10 AS DOUBLE), 1) AS wind_speed_kmh
-  FROM utc
-),
-m2 AS (
-  SELECT *, CASE WHEN n % 11 = 0 THEN NULL WHEN wet > 0 THEN round(wet, 1) ELSE CAST(0 AS DOUBLE) END AS precipitation_mm
-  FROM m1
-),
-m3 AS (
-  SELECT *,
-    CASE WHEN temperature_c < 0 AND precipitation_mm > 0 THEN round(precipitation_mm * 0.7, 2) ELSE CAST(0 AS DOUBLE) END AS snowfall_cm,
-    CASE WHEN temperature_c >= 0 THEN precipitation_mm ELSE CAST(0 AS DOUBLE) END AS rain_mm
-  FROM m2
-),
-wx_utc AS (
-  SELECT year, month, utc_time, temperature_c, precipitation_mm, rain_mm, snowfall_cm, wind_speed_kmh,
-    CAST(CASE WHEN snowfall_cm > 0 THEN 71 WHEN precipitation_mm > 2.5 THEN 63
-              WHEN precipitation_mm > 0 THEN 61 ELSE n % 4 END AS INTEGER) AS weather_code
-  FROM m3
-),
-wx_local AS (
-  SELECT year, month, timezone('{ZONE}', timezone('UTC', utc_time)) AS weather_hour,
-         temperature_c, precipitation_mm, rain_mm, snowfall_cm, wind_speed_kmh, weather_code
-  FROM wx_utc
-),
-wx_own AS (
-  SELECT * FROM wx_local WHERE year(weather_hour) = year AND month(weather_hour) = month
-),
-weather AS (
-  SELECT year, month, weather_hour,
-    {rhu("avg(temperature_c)", 1)} AS temperature_c,
-    {rhu("sum(precipitation_mm)", 1)} AS precipitation_mm,
-    {rhu("sum(rain_mm)", 1)} AS rain_mm,
-    {rhu("sum(snowfall_cm)", 2)} AS snowfall_cm,
-    {rhu("avg(wind_speed_kmh)", 1)} AS wind_speed_kmh,
-    max(weather_code) AS weather_code,
-    CAST(weather_hour AS DATE) AS weather_date
-  FROM wx_own GROUP BY year, month, weather_hour
-)"""
-
 
 def with_weather(body: str, *extra: str) -> str:
     return "WITH " + ",".join([WEATHER_CTES, *extra]) + "\n" + body
