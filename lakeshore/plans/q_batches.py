@@ -1,2 +1,298 @@
-"""Queries: q_batches."""
+"""Queries of the batch lake: partitioned scans, batch replace, incremental fact builds,
+schema drift across batch files, file manifests and type-2 history.
+
+These queries write to folders under the shared scratch area (``spark.checkpoint.dir``)
+and read them back, as the pipeline does between its layers."""
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakeshore.functions import month_key
+from lakeshore.operators import history, incremental
+from lakeshore.operators.contract import Field, schema_drift
+from lakeshore.plans import standins
+from lakeshore.plans.catalog import query
+from lakeshore.plans.oracle import ENRICHED_CTE, FCT_CTE, register, with_all, with_trips
+from lakeshore.plans.q_clean import silver, staged
+from lakeshore.plans.q_marts import fact
+from lakeshore.session import scratch_path
+from lakeshore.sources import batches
+from lakeshore.sources.tables import table
+
+SCAN_YEAR, SCAN_MONTH = 1997, 5
+REBUILD_MONTHS = ["1997-05", "1999-12", "1990-01"]     # the last one has no rows: a no-op
+RELOAD_SHIFT_DAYS = 30
+HWM_BEFORE = "2001-06"                                   # target built before this month
+APPEND_MONTHS = ["2001-07", "2001-08"]
+MANIFEST_SPLIT_YEAR = 2001
+
+
+def bronze_lake(spark: SparkSession, root: str) -> str:
+    """Raw trips landed as batch folders year=/month= (the bronze layer)."""
+    path = scratch_path(spark, "bronze-trips")
+    batches.write_batches(standins.raw_trips(spark, root), path, ["year", "month"])
+    return path
+
+
+@query("scan_month")
+def q_scan_month(spark: SparkSession, root: str) -> DataFrame:
+    return batches.read_leaf(spark, bronze_lake(spark, root), year=SCAN_YEAR, month=f"{SCAN_MONTH}")
+
+
+register("scan_month", with_trips(f"SELECT * EXCLUDE (year, month) FROM raw WHERE year = {SCAN_YEAR} AND month = {SCAN_MONTH}"))
+
+
+@query("scan_partitioned")
+def q_scan_partitioned(spark: SparkSession, root: str) -> DataFrame:
+    return batches.read_root(spark, bronze_lake(spark, root))
+
+
+register("scan_partitioned", with_trips("SELECT * FROM raw"))
+
+
+@query("partition_pruned_count")
+def q_partition_pruned_count(spark: SparkSession, root: str) -> DataFrame:
+    lake = batches.read_root(spark, bronze_lake(spark, root))
+    return lake.filter((F.col("year") == SCAN_YEAR) & (F.col("month") == SCAN_MONTH)).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+register("partition_pruned_count", with_trips(
+    f"SELECT count(*) AS n_rows FROM raw WHERE year = {SCAN_YEAR} AND month = {SCAN_MONTH}"))
+
+
+@query("replace_batch")
+def q_replace_batch(spark: SparkSession, root: str) -> DataFrame:
+    """Silver for all months, then month 1997-05 reloaded in corrected form (rows without a
+    passenger count dropped) through the staged, reconciled batch replace."""
+    target = scratch_path(spark, "silver-trips")
+    s = silver(spark, root)
+    batches.write_batches(s, target, ["year", "month"])
+    corrected = s.filter((F.col("year") == SCAN_YEAR) & (F.col("month") == SCAN_MONTH)
+                         & F.col("passenger_count").isNotNull())
+    batches.replace_batches(spark, corrected, target, ["year", "month"])
+    return batches.read_root(spark, target)
+
+
+register("replace_batch", with_trips(f"""
+SELECT * FROM silver WHERE NOT (year = {SCAN_YEAR} AND month = {SCAN_MONTH})
+UNION ALL
+SELECT * FROM silver WHERE year = {SCAN_YEAR} AND month = {SCAN_MONTH} AND passenger_count IS NOT NULL"""))
+
+
+@query("changed_months")
+def q_changed_months(spark: SparkSession, root: str) -> DataFrame:
+    src = staged(spark, root).withColumn("source_month", month_key("pickup_at"))
+    target = src.filter(F.col("source_month") < HWM_BEFORE)
+    return incremental.changed_batches(src, target, "source_month", "loaded_at")
+
+
+register("changed_months", with_all(f"""
+SELECT DISTINCT strftime(pickup_at, '%Y-%m') AS source_month FROM stg
+WHERE loaded_at > (SELECT coalesce(max(loaded_at), TIMESTAMP '1900-01-01')
+                   FROM stg WHERE strftime(pickup_at, '%Y-%m') < '{HWM_BEFORE}')"""))
+
+
+def _read_fact(spark: SparkSession, path: str) -> DataFrame:
+    # the batch key is text ('1997-05'); keep partition discovery from guessing a type
+    schema = spark.read.option("mergeSchema", True).parquet(path).schema
+    fixed = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name == "source_month" else f
+                          for f in schema.fields])
+    return spark.read.schema(fixed).option("mergeSchema", True).parquet(path)
+
+
+@query("fact_incremental")
+def q_fact_incremental(spark: SparkSession, root: str) -> DataFrame:
+    """Full build of the fact, then a rebuild of named months from a reload whose rows carry
+    a later ``loaded_at``: exactly those months are replaced (delete + insert)."""
+    path = scratch_path(spark, "fct-trips")
+    f = fact(spark, root)
+    incremental.build_incremental(spark, f, path, full_refresh=True)
+    reload = f.withColumn("loaded_at", F.timestamp_add("DAY", F.lit(RELOAD_SHIFT_DAYS), F.col("loaded_at")))
+    incremental.build_incremental(spark, reload, path, months=REBUILD_MONTHS)
+    return _read_fact(spark, path)
+
+
+register("fact_incremental", with_all(f"""
+SELECT * REPLACE (CASE WHEN source_month IN ({", ".join(f"'{m}'" for m in REBUILD_MONTHS)})
+                       THEN loaded_at + INTERVAL {RELOAD_SHIFT_DAYS} DAY ELSE loaded_at END AS loaded_at)
+FROM fct""", ENRICHED_CTE, FCT_CTE))
+
+
+@query("schema_append")
+def q_schema_append(spark: SparkSession, root: str) -> DataFrame:
+    """A fact first built without ``weather_category``; two later months arrive with it.
+    Reading with schema merge appends the column: older rows read null."""
+    path = scratch_path(spark, "fct-append")
+    f = fact(spark, root)
+    incremental.build_incremental(spark, f.drop("weather_category"), path, full_refresh=True)
+    incremental.build_incremental(spark, f, path, months=APPEND_MONTHS)
+    got = _read_fact(spark, path)
+    return got.groupBy("source_month").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.count("weather_category").alias("n_with_category"))
+
+
+register("schema_append", with_all(f"""
+SELECT source_month, count(*) AS n_rows,
+       count(*) FILTER (WHERE source_month IN ({", ".join(f"'{m}'" for m in APPEND_MONTHS)})
+                        AND weather_category IS NOT NULL) AS n_with_category
+FROM fct GROUP BY source_month""", ENRICHED_CTE, FCT_CTE))
+
+
+# ---------------------------------------------------------------- drifting batch files
+
+DRIFT_RENAMED, DRIFT_RETYPED, DRIFT_MISSING = "1996-01", "1997-01", "1998-01"
+
+ORDERS_CONTRACT = [
+    Field("o_orderkey", "o_orderkey", T.LongType()),
+    Field("o_custkey", "o_custkey", T.LongType()),
+    Field("o_orderstatus", "o_orderstatus", T.StringType()),
+    Field("o_totalprice", "o_totalprice", T.DoubleType()),
+    Field("o_orderdate", "o_orderdate", T.TimestampNTZType()),
+    Field("o_orderpriority", "o_orderpriority", T.StringType(), default="UNKNOWN"),
+]
+
+
+def drifted_orders_lake(spark: SparkSession, root: str) -> dict[str, str]:
+    """Orders landed as one folder per month; three months were written by a drifted
+    producer: a column in other case, bigint -> double, a column missing."""
+    base = scratch_path(spark, "orders-drift")
+    o = table(spark, root, "orders").withColumn("period", F.date_format("o_orderdate", "yyyy-MM"))
+    drift = [DRIFT_RENAMED, DRIFT_RETYPED, DRIFT_MISSING]
+    batches.write_batches(o.filter(~F.col("period").isin(drift)), base, ["period"])
+    o.filter(F.col("period") == DRIFT_RENAMED).drop("period").withColumnRenamed(
+        "o_totalprice", "O_TotalPrice").write.parquet(f"{base}/period={DRIFT_RENAMED}")
+    o.filter(F.col("period") == DRIFT_RETYPED).drop("period").withColumn(
+        "o_custkey", F.col("o_custkey").cast("double")).write.parquet(f"{base}/period={DRIFT_RETYPED}")
+    o.filter(F.col("period") == DRIFT_MISSING).drop("period", "o_orderpriority").write.parquet(
+        f"{base}/period={DRIFT_MISSING}")
+    folders = batches.leaf_folders(spark, base)
+    return {f.rsplit("=", 1)[1]: f for f in folders}
+
+
+@query("schema_drift")
+def q_schema_drift(spark: SparkSession, root: str) -> DataFrame:
+    folders = drifted_orders_lake(spark, root)
+    return schema_drift(batches.footer_schemas(spark, folders))
+
+
+def _drift_sql() -> str:
+    cols = [("o_orderkey", "'bigint'"),
+            ("o_custkey", f"CASE WHEN period = '{DRIFT_RETYPED}' THEN 'double' ELSE 'bigint' END"),
+            ("o_orderstatus", "'string'"),
+            ("o_totalprice", f"CASE WHEN period = '{DRIFT_RENAMED}' THEN 'MISSING' ELSE 'double' END"),
+            ("O_TotalPrice", f"CASE WHEN period = '{DRIFT_RENAMED}' THEN 'double' ELSE 'MISSING' END"),
+            ("o_orderdate", "'timestamp_ntz'"),
+            ("o_orderpriority", f"CASE WHEN period = '{DRIFT_MISSING}' THEN 'MISSING' ELSE 'string' END")]
+    grid = "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", period, {t} AS type FROM periods" for c, t in cols)
+    return f"""
+WITH periods AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS period FROM orders),
+grid AS ({grid}),
+per_column AS (SELECT "column", count(DISTINCT type) > 1 AS differs FROM grid GROUP BY "column")
+SELECT g."column", g.period, g.type, p.differs,
+       CASE WHEN lower(g."column") = 'o_totalprice' THEN 'O_TotalPrice,o_totalprice' END AS spellings
+FROM grid g JOIN per_column p USING ("column")"""
+
+
+register("schema_drift", _drift_sql())
+
+
+@query("conform_drifted")
+def q_conform_drifted(spark: SparkSession, root: str) -> DataFrame:
+    """All drifted month folders read in one job per schema group and conformed."""
+    return batches.read_batches(spark, drifted_orders_lake(spark, root), ORDERS_CONTRACT)
+
+
+register("conform_drifted", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN strftime(o_orderdate, '%Y-%m') = '{DRIFT_MISSING}' THEN 'UNKNOWN' ELSE o_orderpriority END AS o_orderpriority,
+       strftime(o_orderdate, '%Y-%m') AS period
+FROM orders""")
+
+
+@query("file_manifest")
+def q_file_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Manifest of the bronze lake after a second landing: files of the first landing are
+    'skipped' (same path and size), new ones 'downloaded'. Per batch: rows and status."""
+    path = scratch_path(spark, "bronze-landing")
+    raw = standins.raw_trips(spark, root)
+    batches.write_batches(raw.filter(F.col("year") < MANIFEST_SPLIT_YEAR), path, ["year", "month"])
+    period = F.format_string("%04d-%02d", F.col("year"), F.col("month"))
+    first = batches.file_manifest(batches.read_root(spark, path), period)
+    first_path = scratch_path(spark, "manifest")
+    first.write.mode("overwrite").parquet(first_path)           # the manifest of record
+    batches.write_batches(raw.filter(F.col("year") >= MANIFEST_SPLIT_YEAR), path, ["year", "month"])
+    second = batches.file_manifest(batches.read_root(spark, path), period, spark.read.parquet(first_path))
+    return second.groupBy(F.col("batch").alias("period"), "status").agg(F.sum("row_count").alias("row_count"))
+
+
+register("file_manifest", with_trips(f"""
+SELECT printf('%04d-%02d', year, month) AS period,
+       CASE WHEN year < {MANIFEST_SPLIT_YEAR} THEN 'skipped' ELSE 'downloaded' END AS status,
+       count(*) AS row_count
+FROM raw GROUP BY year, month"""))
+
+
+# ---------------------------------------------------------------- type-2 history
+
+def history_after_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Three runs (v1, v2, v3); each run's history is written and read back, as a stored
+    snapshot table is between scheduled runs (this also cuts the lineage)."""
+    prev = None
+    for version, run_at in zip(standins.customer_versions(spark, root), standins.HISTORY_RUNS):
+        h = history.scd2(version, prev, standins.HISTORY_KEY, standins.HISTORY_CHECK, run_at)
+        path = scratch_path(spark, "history")
+        h.write.mode("overwrite").parquet(path)
+        prev = spark.read.parquet(path)
+    return prev
+
+
+@query("scd2")
+def q_scd2(spark: SparkSession, root: str) -> DataFrame:
+    return history_after_runs(spark, root)
+
+
+T1, T2, T3 = standins.HISTORY_RUNS
+HISTORY_SQL = f"""
+v1 AS (SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_custkey % 23 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer),
+v2 AS (SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_custkey % 10 = 0 THEN 'RESEGMENTED' ELSE c_mktsegment END AS c_mktsegment
+       FROM customer WHERE c_custkey % 17 <> 0),
+ins AS (SELECT c_custkey + {standins.INSERTED_KEY_OFFSET} AS c_custkey, c_name, c_nationkey, c_mktsegment
+        FROM customer WHERE c_custkey % 31 = 0),
+hist AS (
+  SELECT v1.*, TIMESTAMP '{T1}' AS valid_from, TIMESTAMP '{T2}' AS valid_to FROM v1 WHERE c_custkey % 17 = 0
+  UNION ALL
+  SELECT v1.*, TIMESTAMP '{T3}', CAST(NULL AS TIMESTAMP) FROM v1 WHERE c_custkey % 17 = 0
+  UNION ALL
+  SELECT v1.*, TIMESTAMP '{T1}', TIMESTAMP '{T2}' FROM v1
+  WHERE c_custkey % 17 <> 0 AND (c_custkey % 10 = 0 OR c_custkey % 23 = 0)
+  UNION ALL
+  SELECT v2.*, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM v2 WHERE c_custkey % 10 = 0 OR c_custkey % 23 = 0
+  UNION ALL
+  SELECT v1.*, TIMESTAMP '{T1}', CAST(NULL AS TIMESTAMP) FROM v1
+  WHERE c_custkey % 17 <> 0 AND c_custkey % 10 <> 0 AND c_custkey % 23 <> 0
+  UNION ALL
+  SELECT ins.*, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM ins),
+history AS (
+  SELECT *, md5(CAST(c_custkey AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS version_id FROM hist)"""
+
+register("scd2", f"WITH {HISTORY_SQL}\nSELECT * FROM history")
+
+
+@query("scd2_asof")
+def q_scd2_asof(spark: SparkSession, root: str) -> DataFrame:
+    """Every event labelled with its user's customer attributes valid at the event time."""
+    ev = table(spark, root, "events").select("event_id", "user_id", "ts")
+    return history.as_of(ev, "ts", history_after_runs(spark, root), {"user_id": "c_custkey"},
+                         ["c_name", "c_mktsegment"])
+
+
+register("scd2_asof", f"""WITH {HISTORY_SQL}
+SELECT e.event_id, e.user_id, e.ts, h.c_name, h.c_mktsegment
+FROM events e LEFT JOIN history h
+  ON h.c_custkey = e.user_id AND h.valid_from <= e.ts
+ AND e.ts < coalesce(h.valid_to, TIMESTAMP '9999-12-31 23:59:59')""")

@@ -169,3 +169,24 @@ def holiday_records(spark: SparkSession, root: str) -> DataFrame:
         F.lit(None).cast("string").alias("localName"), F.lit(None).cast("boolean").alias("global"),
         nullstr.alias("counties"), nullstr.alias("types"))
     return busy.unionByName(value).unionByName(quiet)
+
+
+# History runs of the customer table (a slowly changing lookup): v1 as loaded, v2 with
+# changed segments, a null that gets a value, deleted and inserted keys, v3 where the
+# deleted keys re-appear.
+HISTORY_RUNS = ("2024-01-01 00:00:00", "2024-01-11 00:00:00", "2024-01-21 00:00:00")
+HISTORY_KEY = ["c_custkey"]
+HISTORY_CHECK = ["c_name", "c_nationkey", "c_mktsegment"]
+INSERTED_KEY_OFFSET = 10_000_000
+
+
+def customer_versions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    k = F.col("c_custkey")
+    v1 = c.withColumn("c_mktsegment", F.when(k % 23 != 0, F.col("c_mktsegment")))
+    kept = c.filter(k % 17 != 0).withColumn(
+        "c_mktsegment", F.when(k % 10 == 0, F.lit("RESEGMENTED")).otherwise(F.col("c_mktsegment")))
+    inserted = c.filter(k % 31 == 0).withColumn("c_custkey", k + INSERTED_KEY_OFFSET)
+    v2 = kept.unionByName(inserted)
+    v3 = v2.unionByName(v1.filter(k % 17 == 0))
+    return v1, v2, v3
