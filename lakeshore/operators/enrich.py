@@ -52,27 +52,41 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _prepared(lk: Lookup, i: int) -> tuple[DataFrame, list[str]]:
+def within_bounds(frames: Sequence[tuple[DataFrame, int]]) -> list[bool]:
+    """For each (frame, max_rows): does it hold at most max_rows rows? All frames are
+    checked in one job (a union of bounded counts), at most max_rows + 1 rows each."""
+    if not frames:
+        return []
+    parts = [df.limit(n + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+             for i, (df, n) in enumerate(frames)]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counts = dict(tuple(r) for r in union.collect())   # one small row per frame
+    return [counts[i] <= n for i, (_, n) in enumerate(frames)]
+
+
+def _prepared(lk: Lookup, i: int, small: bool | None) -> tuple[DataFrame, list[str]]:
     keys = [f"__lk{i}_{j}" for j in range(len(lk.on))]
     right = lk.df.select(
         *[F.col(r).alias(k) for r, k in zip(lk.on.values(), keys)],
         *[F.col(c).alias(out) for c, out in lk.columns.items()],
     )
-    if lk.broadcast:
+    if lk.broadcast or small:
         right = F.broadcast(right)
-    elif lk.max_rows is not None:
-        right = bounded_broadcast(right, lk.max_rows)
     return right, keys
 
 
 def enrich(df: DataFrame, lookups: Sequence[Lookup], check_unique: bool = False) -> DataFrame:
     """Left-join every lookup in order; with ``check_unique`` each right key is verified
     first (a duplicated key would multiply fact rows), failing with example keys."""
+    bounded = [i for i, lk in enumerate(lookups) if not lk.broadcast and lk.max_rows is not None]
+    verdict = dict(zip(bounded, within_bounds([(lookups[i].df, lookups[i].max_rows) for i in bounded])))
     out = df
     for i, lk in enumerate(lookups):
         if check_unique:
             assert_unique(lk.df, list(lk.on.values()), lk.name)
-        right, keys = _prepared(lk, i)
+        right, keys = _prepared(lk, i, verdict.get(i))
         cond = reduce(lambda a, b: a & b, [out[left] == right[k] for left, k in zip(lk.on, keys)])
         out = out.join(right, cond, "left").drop(*keys)
     return out

@@ -39,7 +39,10 @@ def raw_trips(spark: SparkSession, root: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    # orders grows with lineitem (a quarter of its rows): never a broadcast side at scale.
+    # Both sides are hash-partitioned on the order key and joined per partition with a
+    # hash table of that partition's orders (no sort of either side).
+    j = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
     batch_day = F.date_sub(F.col("o_orderdate"), 2)
     return j.select(
         F.col("l_suppkey").alias("VendorID"),
@@ -121,19 +124,21 @@ def weather_documents(spark: SparkSession, root: str) -> DataFrame:
     start = F.col("month_start").cast("timestamp_ntz")
     end = F.timestamp_add("HOUR", F.lit(23), F.add_months("month_start", 1).cast("timestamp_ntz"))
     hours = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))
-    with_hours = months.select("year", "month", hours.alias("h"))
-    def measure(name):
-        return lambda x: hour_measures(x)[name]
+    names = ("temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m", "weather_code")
 
-    arrays = {name: F.transform("h", measure(name))
-              for name in ("temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m", "weather_code")}
-    return with_hours.select(
+    def readings(x):  # every measure of one hour, computed once
+        m = hour_measures(x)
+        return F.struct(F.date_format(x, "yyyy-MM-dd'T'HH:mm").alias("time"), *[m[n].alias(n) for n in names])
+
+    per_hour = months.select("year", "month", F.transform(hours, readings).alias("r"))
+
+    def field(name):
+        return lambda r: r[name]
+
+    return per_hour.select(
         "year", "month",
         F.lit("GMT").alias("timezone"),
-        F.struct(
-            F.transform("h", lambda x: F.date_format(x, "yyyy-MM-dd'T'HH:mm")).alias("time"),
-            *[arr.alias(name) for name, arr in arrays.items()],
-        ).alias("hourly"),
+        F.struct(*[F.transform("r", field(n)).alias(n) for n in ("time", *names)]).alias("hourly"),
     )
 
 
