@@ -77,3 +77,9 @@ def in_batch(ts: ColumnOrName, year: ColumnOrName, month: ColumnOrName) -> Colum
     y = F.lit(year) if isinstance(year, int) else _col(year)
     m = F.lit(month) if isinstance(month, int) else _col(month)
     return (F.year(ts) == y) & (F.month(ts) == m)
+
+
+def batch_month_for(run_date: ColumnOrName, delay_months: int = 2) -> Column:
+    """First day of the batch month a run processes: the run date's month minus the
+    publication delay (a run in May processes March)."""
+    return F.add_months(F.trunc(_col(run_date), "MM"), -delay_months)

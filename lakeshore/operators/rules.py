@@ -65,18 +65,20 @@ def split_counts(df: DataFrame, reason_col: str = "reject_reason", by: Sequence[
     )
 
 
-def observe_split(df: DataFrame, name: str = "split", reason_col: str = "reject_reason"
-                  ) -> tuple[DataFrame, Observation]:
+def observe_split(df: DataFrame, name: str = "split", reason_col: str = "reject_reason",
+                  batch_cols: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
     """Attach row-count metrics that are filled in by whatever action writes ``df``:
-    no second scan to count what was written."""
+    no second scan to count what was written. With ``batch_cols`` the set of batches seen
+    is observed too (one small struct per batch, bounded by the number of batches)."""
     obs = Observation(name)
-    observed = df.observe(
-        obs,
+    metrics = [
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(F.col(reason_col).isNull()).alias("accepted_rows"),
         F.count_if(F.col(reason_col).isNotNull()).alias("quarantined_rows"),
-    )
-    return observed, obs
+    ]
+    if batch_cols:
+        metrics.append(F.collect_set(F.struct(*batch_cols)).alias("batches"))
+    return df.observe(obs, *metrics), obs
 
 
 class ReconcileError(RuntimeError):

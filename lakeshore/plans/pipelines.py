@@ -45,3 +45,37 @@ def stage_trips(silver: DataFrame, loaded_at: Column | None = None) -> DataFrame
         "congestion_surcharge", "airport_fee", "cbd_congestion_fee", "total_amount",
         loaded.alias("loaded_at"),
     )
+
+
+LAYER_COL = "layer"
+
+
+def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI) -> DataFrame:
+    """Clean many raw batches and publish accepted and quarantined rows in ONE pass over the
+    input: a single write partitioned by (layer, batch columns), replacing exactly the
+    batches present (dynamic overwrite). Row counts are observed during that write, then
+    reconciled against what the files on disk hold (Parquet footer counts): input =
+    accepted + quarantined, per batch. Returns the per-batch reconciliation read from disk.
+
+    Accepted rows are ``<root>/layer=accepted``, quarantined ``<root>/layer=quarantined``."""
+    from lakeshore.operators.rules import ReconcileError, observe_split
+
+    cleaned = clean_trips(raw, p)
+    layered = cleaned.withColumn(
+        LAYER_COL, F.when(F.col("reject_reason").isNull(), "accepted").otherwise("quarantined"))
+    observed, obs = observe_split(layered, "publish_clean", batch_cols=p.batch_cols)
+    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LAYER_COL, *p.batch_cols).parquet(root))
+    written = spark.read.parquet(root)
+    seen = [tuple(b) for b in obs.get["batches"]]            # the batches just written
+    batches_in = spark.createDataFrame(seen, written.select(*p.batch_cols).schema)
+    on_disk = written.join(F.broadcast(batches_in), list(p.batch_cols), "left_semi").groupBy(*p.batch_cols).agg(
+        F.count(F.lit(1)).alias("input_rows"),
+        F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
+        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"),
+    ).withColumn("reconciled", F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows"))
+    m = obs.get
+    totals = on_disk.agg(F.sum("input_rows"), F.sum("accepted_rows"), F.sum("quarantined_rows")).first()
+    if (m["input_rows"], m["accepted_rows"], m["quarantined_rows"]) != tuple(int(x or 0) for x in totals):
+        raise ReconcileError(f"{root}: observed {m} but found {tuple(totals)} on disk")
+    return on_disk

@@ -296,3 +296,43 @@ SELECT e.event_id, e.user_id, e.ts, h.c_name, h.c_mktsegment
 FROM events e LEFT JOIN history h
   ON h.c_custkey = e.user_id AND h.valid_from <= e.ts
  AND e.ts < coalesce(h.valid_to, TIMESTAMP '9999-12-31 23:59:59')""")
+
+
+# ---------------------------------------------------------------- streaming landing
+
+@query("landing_stream")
+def q_landing_stream(spark: SparkSession, root: str) -> DataFrame:
+    """Bronze batch files landed, then cleaned by an available-now file stream (each file
+    exactly once); the silver it publishes equals the batch split's accepted rows."""
+    from lakeshore.plans.trips import clean_trips
+    from lakeshore.streaming.landing import EPOCH_COL, clean_landed_files, run_to_completion
+
+    lake = bronze_lake(spark, root)
+    schema = spark.read.parquet(lake).schema
+    silver_path, quarantine_path = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-quarantine")
+    q = clean_landed_files(spark, lake, schema, lambda df: clean_trips(df, standins.STANDIN_TRIPS),
+                           silver_path, quarantine_path, scratch_path(spark, "stream-ckpt"),
+                           max_files_per_trigger=64)
+    run_to_completion(q)
+    return spark.read.parquet(silver_path).drop(EPOCH_COL)
+
+
+register("landing_stream", with_trips("SELECT * FROM silver"))
+
+
+@query("clean_publish")
+def q_clean_publish(spark: SparkSession, root: str) -> DataFrame:
+    """Bronze batches cleaned and published (accepted + quarantined) in one write, observed
+    counts reconciled with the files; the per-batch reconciliation read back from disk."""
+    from lakeshore.plans.pipelines import publish_clean
+
+    lake = batches.read_root(spark, bronze_lake(spark, root))
+    return publish_clean(spark, lake, scratch_path(spark, "trips-published"), standins.STANDIN_TRIPS)
+
+
+register("clean_publish", with_trips("""
+SELECT year, month, count(*) AS input_rows,
+       count(*) FILTER (WHERE reject_reason IS NULL) AS accepted_rows,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL) AS quarantined_rows,
+       true AS reconciled
+FROM clean GROUP BY year, month"""))

@@ -70,3 +70,10 @@ def test_calendar_parts(spark):
     got = df.select(iso_day_of_week("d"), month_key("d"), F.weekofyear("d"), F.year("d")).collect()
     assert tuple(got[0]) == (1, "2024-12", 1, 2024)   # ISO week 1, calendar year 2024
     assert tuple(got[1])[:2] == (7, "2025-03")
+
+
+def test_batch_month_for(spark):
+    from lakeshore.functions import batch_month_for
+
+    df = spark.createDataFrame([(dt.date(2025, 5, 17),), (dt.date(2025, 1, 1),)], "d date")
+    assert [r[0] for r in df.select(batch_month_for("d")).collect()] == [dt.date(2025, 3, 1), dt.date(2024, 11, 1)]
