@@ -59,25 +59,41 @@ def approx_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], a
     return out
 
 
+def with_bucket(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) -> DataFrame:
+    """``out`` = number of ascending ``cuts`` below ``value`` (its range index), by binary
+    search: log2(n_cuts) codegen'd ``element_at`` comparisons per row, one projection per
+    step so the expression does not grow."""
+    step = 1
+    while step * 2 <= n_cuts:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    while step >= 1:
+        probe = F.col(out) + step
+        df = df.withColumn(out, F.when((probe <= n_cuts) & (F.element_at(cuts, probe) < F.col(value)), probe)
+                           .otherwise(F.col(out)))
+        step //= 2
+    return df
+
+
 def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column", value: str = "v",
-                    buckets: int = 256) -> DataFrame:
+                    buckets: int = 256, accuracy: int | None = None) -> DataFrame:
     """Exact discrete quantiles per ``key`` of a long (key, value) frame: the smallest value
     whose cumulative share reaches p, i.e. the value of rank ceil(p * n) (p = 0 gives the
-    minimum). Nothing is gathered in one place:
-
-    1. distinct (key, value) pairs with their counts (one hot value is one row);
-    2. each key's values fall into ~``buckets`` ranges cut at approximate quantiles; bucket
-       totals (at most ``buckets`` rows per key) give every bucket its rank offset;
-    3. only the buckets holding a wanted rank are ordered, each in its own window partition.
+    minimum). No full shuffle and nothing gathered in one place:
+
+    1. a sketch pass cuts each key's values into ~``buckets`` ranges of about equal rank;
+    2. a counting pass gives every range its row count (after map-side partial aggregation
+       each task ships at most ``buckets`` rows per key), hence its rank offset;
+    3. only the rows inside ranges that hold a wanted rank are kept (a broadcast semi join
+       with at most keys x probs ranges), grouped by value (a hot value becomes one row) and
+       ordered per (key, p) in their own window partition.
     Returns (key, stat, value)."""
     vals = long.select(key, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    counts = vals.groupBy(key, "v").agg(F.count(F.lit(1)).alias("c"))
-    cuts = vals.groupBy(key).agg(
-        F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("cuts"))
+    cuts = vals.groupBy(key).agg(F.percentile_approx(
+        "v", [i / buckets for i in range(1, buckets)], accuracy or 10 * buckets).alias("cuts"))
     # one row per key holding a fixed-size array: bounded by the number of profiled columns
-    bucketed = counts.join(F.broadcast(cuts), key).select(
-        key, "v", "c", F.size(F.filter("cuts", lambda b: b < F.col("v"))).alias("b"))
-    totals = bucketed.groupBy(key, "b").agg(F.sum("c").alias("bc"))
+    bucketed = with_bucket(vals.join(F.broadcast(cuts), key), "v", "cuts", buckets - 1, "b").select(key, "v", "b")
+    totals = bucketed.groupBy(key, "b").agg(F.count(F.lit(1)).alias("bc"))
     offsets = totals.withColumn("before", F.coalesce(F.sum("bc").over(
         Window.partitionBy(key).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     n = totals.groupBy(key).agg(F.sum("bc").alias("n"))
@@ -88,15 +104,17 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column"
     target = wanted.join(offsets, (wanted[key] == offsets[key]) & (F.col("r") > F.col("before"))
                          & (F.col("r") <= F.col("before") + F.col("bc"))).select(
         wanted[key], "b", "stat", (F.col("r") - F.col("before")).alias("k"))
-    in_bucket = bucketed.join(F.broadcast(target), [key, "b"])   # keys x probs rows
-    ordered = in_bucket.withColumn("cum", F.sum("c").over(
+    in_target = (bucketed.join(F.broadcast(target), [key, "b"])            # keys x probs ranges
+                 .groupBy(key, "stat", "k", "v").agg(F.count(F.lit(1)).alias("c")))
+    ordered = in_target.withColumn("cum", F.sum("c").over(
         Window.partitionBy(key, "stat").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
     return ordered.filter(F.col("cum") >= F.col("k")).groupBy(key, "stat").agg(F.min("v").alias("value"))
 
 
-def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """(column, stat, value): min, exact discrete quantiles, max of every column; the
-    columns are stacked into one long frame so all of them share the same jobs."""
+def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 256) -> DataFrame:
+    """(column, stat, value): min, exact discrete quantiles, max of every column; the columns
+    are stacked into one long frame so all of them share the same passes (min and max are
+    computed in the sketch pass's aggregate)."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select("s.column", "s.v")
@@ -104,7 +122,7 @@ def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) ->
         "column", F.explode(F.array(F.struct(F.lit("min").alias("stat"), F.col("min").alias("value")),
                                     F.struct(F.lit("max").alias("stat"), F.col("max").alias("value")))).alias("s"),
     ).select("column", "s.stat", "s.value")
-    return ends.unionByName(exact_quantiles(long, probs))
+    return ends.unionByName(exact_quantiles(long, probs, buckets=buckets))
 
 
 def filtered_count(df: DataFrame, condition: Column | str, name: str = "n_rows") -> DataFrame:

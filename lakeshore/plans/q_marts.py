@@ -10,7 +10,7 @@ from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import (DIM_DATE_CTE, ENRICHED_CTE, FCT_CTE, MART_CTE, register, with_all)
 from lakeshore.plans.q_clean import staged
 from lakeshore.plans.q_series import silver_weather
-from lakeshore.session import scratch_path
+from lakeshore.session import materialize, scratch_path
 from lakeshore.sources import documents, lookups
 
 UNKNOWN_BOROUGHS = ("Unknown", "N/A")
@@ -24,13 +24,26 @@ def holidays_region(spark: SparkSession, root: str) -> DataFrame:
     return dims.holidays_for(holiday_rows(spark, root), standins.STANDIN_REGION_CODE)
 
 
-def enriched(spark: SparkSession, root: str, check_unique: bool = False) -> DataFrame:
-    return warehouse.enrich_trips(spark, staged(spark, root), silver_weather(spark, root),
-                                  standins.zones(spark, root), holidays_region(spark, root), check_unique)
+def weather_table(spark: SparkSession, root: str) -> DataFrame:
+    """Silver weather, written once per run (calendar-sized) and re-read by every consumer."""
+    return materialize(spark, silver_weather(spark, root), "silver-weather")
 
 
-def fact(spark: SparkSession, root: str) -> DataFrame:
-    return warehouse.fact_trips(enriched(spark, root))
+def holidays_table(spark: SparkSession, root: str) -> DataFrame:
+    return materialize(spark, holidays_region(spark, root), "holidays-region")
+
+
+def enriched(spark: SparkSession, root: str, check_unique: bool = False, weather: DataFrame | None = None,
+             holidays: DataFrame | None = None) -> DataFrame:
+    weather = weather if weather is not None else weather_table(spark, root)
+    holidays = holidays if holidays is not None else holidays_table(spark, root)
+    return warehouse.enrich_trips(spark, staged(spark, root), weather, standins.zones(spark, root), holidays,
+                                  check_unique)
+
+
+def fact(spark: SparkSession, root: str, weather: DataFrame | None = None,
+         holidays: DataFrame | None = None) -> DataFrame:
+    return warehouse.fact_trips(enriched(spark, root, weather=weather, holidays=holidays))
 
 
 @query("holiday_flatten")
@@ -94,7 +107,7 @@ FROM stg"""))
 
 @query("dim_date")
 def q_dim_date(spark: SparkSession, root: str) -> DataFrame:
-    return warehouse.dim_date(staged(spark, root), holidays_region(spark, root), silver_weather(spark, root))
+    return warehouse.dim_date(staged(spark, root), holidays_table(spark, root), weather_table(spark, root))
 
 
 register("dim_date", with_all("SELECT * FROM dim_date", ENRICHED_CTE, DIM_DATE_CTE))
@@ -116,9 +129,18 @@ def q_hourly_demand(spark: SparkSession, root: str) -> DataFrame:
 register("hourly_demand", with_all("SELECT * FROM by_hour", ENRICHED_CTE, FCT_CTE, DIM_DATE_CTE, MART_CTE))
 
 
+def mart(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(fact, mart): weather and holidays written once; the mart reads them and the hourly
+    aggregate of the fact, which is also written once (it feeds the mart and its date range)."""
+    w, h = weather_table(spark, root), holidays_table(spark, root)
+    f = fact(spark, root, w, h)
+    by_hour = materialize(spark, facts.hourly_demand(f, "pickup_hour"), "hourly-demand")
+    return f, warehouse.hourly_mart(spark, f, w, h, by_hour=by_hour)
+
+
 @query("hourly_mart")
 def q_hourly_mart(spark: SparkSession, root: str) -> DataFrame:
-    return warehouse.hourly_mart(spark, fact(spark, root), silver_weather(spark, root), holidays_region(spark, root))
+    return mart(spark, root)[1]
 
 
 register("hourly_mart", with_all("SELECT * FROM mart", ENRICHED_CTE, FCT_CTE, DIM_DATE_CTE, MART_CTE))
@@ -128,9 +150,8 @@ register("hourly_mart", with_all("SELECT * FROM mart", ENRICHED_CTE, FCT_CTE, DI
 def q_reconcile_totals(spark: SparkSession, root: str) -> DataFrame:
     """Failing rows of "hourly totals add back up to the fact's trips": a trip whose pickup
     hour has no weather row (the skipped spring-forward hour) vanishes from the mart."""
-    f = fact(spark, root)
-    mart = warehouse.hourly_mart(spark, f, silver_weather(spark, root), holidays_region(spark, root))
-    return facts.totals_mismatch(f, mart, F.count(F.lit(1)), F.sum("trips"),
+    f, m = mart(spark, root)
+    return facts.totals_mismatch(f, m, F.count(F.lit(1)), F.sum("trips"),
                                  {"left": "fct_trips", "right": "agg_trips"})
 
 

@@ -40,9 +40,10 @@ def raw_trips(spark: SparkSession, root: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # orders grows with lineitem (a quarter of its rows): never a broadcast side at scale.
-    # Both sides are hash-partitioned on the order key and joined per partition with a
-    # hash table of that partition's orders (no sort of either side).
-    j = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
+    # A sort-merge join co-partitions both sides on the order key and spills when a
+    # partition outgrows memory (a shuffled hash join would need each partition's orders in
+    # memory). It also keeps the work parallel when an input file holds one row group.
+    j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
     batch_day = F.date_sub(F.col("o_orderdate"), 2)
     return j.select(
         F.col("l_suppkey").alias("VendorID"),
@@ -120,7 +121,9 @@ def weather_documents(spark: SparkSession, root: str) -> DataFrame:
     23:00 (one extra day), as parallel arrays, like a downloaded hourly-archive response.
 
     The arrays are built inside each month row (``sequence`` + ``transform``): no shuffle."""
-    months = weather_months(spark, root)
+    # one row per month comes out of a global aggregate (a single partition) and expands to
+    # ~750 hours each: spread the month rows over tasks before the per-hour work.
+    months = weather_months(spark, root).repartition(min(spark.sparkContext.defaultParallelism, 64))
     start = F.col("month_start").cast("timestamp_ntz")
     end = F.timestamp_add("HOUR", F.lit(23), F.add_months("month_start", 1).cast("timestamp_ntz"))
     hours = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))

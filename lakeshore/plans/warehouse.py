@@ -110,15 +110,15 @@ MART_COLUMNS = [
 ]
 
 
-def hourly_mart(spark: SparkSession, fact: DataFrame, weather: DataFrame, holidays_region: DataFrame
-                ) -> DataFrame:
+def hourly_mart(spark: SparkSession, fact: DataFrame, weather: DataFrame, holidays_region: DataFrame,
+                by_hour: DataFrame | None = None) -> DataFrame:
     """One row per weather hour: trip counts and means of that hour next to its weather.
     Anchored on weather: an hour without trips has trips = 0 and airport_trips = 0, the
     means stay null; dates outside the fact's range get null day flags.
 
     The date dimension's range comes from the hourly aggregate (min/max of its hours), the
     same subtree the mart joins, so the fact is scanned and aggregated once (exchange reuse)."""
-    by_hour = facts.hourly_demand(fact, "pickup_hour")
+    by_hour = by_hour if by_hour is not None else facts.hourly_demand(fact, "pickup_hour")
     dates = dim_date(by_hour.select(F.to_date("pickup_hour").alias("pickup_date")), holidays_region, weather)
     wx = weather_with_codes(weather, lookups.weather_codes(spark))
     day = dates.select(F.col("date_key").alias("__dk"), "day_of_week", "is_weekend", "is_holiday")

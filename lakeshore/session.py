@@ -6,7 +6,6 @@ so every entry point calls :func:`require_utc`.
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,7 +70,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared scratch root."""
     root = scratch_root(spark)
-    path = f"{root}/lakeshore/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/lakeshore/{name}-{uuid.uuid4().hex[:12]}"   # writers create it
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` as a Parquet table in the shared scratch folder and return its re-read.
+
+    For small, reused intermediate tables (calendar-sized dimensions, hourly aggregates):
+    computed once, read cheaply by every consumer and by size checks, and the lineage is
+    cut (an executor lost later does not recompute the upstream plan)."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
