@@ -10,7 +10,7 @@ from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import (DIM_DATE_CTE, ENRICHED_CTE, FCT_CTE, MART_CTE, register, with_all)
 from lakeshore.plans.q_clean import staged
 from lakeshore.plans.q_series import silver_weather
-from lakeshore.session import materialize, scratch_path
+from lakeshore.session import materialize, materialize_all, scratch_path
 from lakeshore.sources import documents, lookups
 
 UNKNOWN_BOROUGHS = ("Unknown", "N/A")
@@ -33,12 +33,21 @@ def holidays_table(spark: SparkSession, root: str) -> DataFrame:
     return materialize(spark, holidays_region(spark, root), "holidays-region")
 
 
+def dimension_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(weather, holidays) written once per run, as two concurrent jobs."""
+    # weather is stored with its code names joined: the stored table's statistics are then
+    # its file size, which the planner's broadcast threshold uses (a join's estimate is not)
+    coded = warehouse.weather_with_codes(silver_weather(spark, root), lookups.weather_codes(spark))
+    t = materialize_all(spark, {"silver-weather": coded, "holidays-region": holidays_region(spark, root)})
+    return t["silver-weather"], t["holidays-region"]
+
+
 def enriched(spark: SparkSession, root: str, check_unique: bool = False, weather: DataFrame | None = None,
              holidays: DataFrame | None = None) -> DataFrame:
-    weather = weather if weather is not None else weather_table(spark, root)
-    holidays = holidays if holidays is not None else holidays_table(spark, root)
+    if weather is None or holidays is None:
+        weather, holidays = dimension_tables(spark, root)
     return warehouse.enrich_trips(spark, staged(spark, root), weather, standins.zones(spark, root), holidays,
-                                  check_unique)
+                                  check_unique, stored_dims=True)
 
 
 def fact(spark: SparkSession, root: str, weather: DataFrame | None = None,
@@ -107,7 +116,8 @@ FROM stg"""))
 
 @query("dim_date")
 def q_dim_date(spark: SparkSession, root: str) -> DataFrame:
-    return warehouse.dim_date(staged(spark, root), holidays_table(spark, root), weather_table(spark, root))
+    weather, holidays = dimension_tables(spark, root)
+    return warehouse.dim_date(staged(spark, root), holidays, weather)
 
 
 register("dim_date", with_all("SELECT * FROM dim_date", ENRICHED_CTE, DIM_DATE_CTE))
@@ -132,7 +142,7 @@ register("hourly_demand", with_all("SELECT * FROM by_hour", ENRICHED_CTE, FCT_CT
 def mart(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(fact, mart): weather and holidays written once; the mart reads them and the hourly
     aggregate of the fact, which is also written once (it feeds the mart and its date range)."""
-    w, h = weather_table(spark, root), holidays_table(spark, root)
+    w, h = dimension_tables(spark, root)
     f = fact(spark, root, w, h)
     by_hour = materialize(spark, facts.hourly_demand(f, "pickup_hour"), "hourly-demand")
     return f, warehouse.hourly_mart(spark, f, w, h, by_hour=by_hour)

@@ -34,21 +34,33 @@ def stage_holidays(records: DataFrame, loaded_at: Column | None = None) -> DataF
 
 def weather_with_codes(weather: DataFrame, codes: DataFrame) -> DataFrame:
     """The chained lookup: weather hour -> code -> description/category, pre-joined on the
-    small side so the fact meets one lookup."""
+    small side so the fact meets one lookup. A frame that already carries the code columns
+    (a stored, coded weather table) is returned as it is."""
+    if "weather_category" in weather.columns:
+        return weather
     return enrich(weather, [Lookup(codes, {"weather_code": "weather_code"},
                                    {"weather_description": "weather_description",
                                     "weather_category": "weather_category"}, broadcast=True)])
 
 
 def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zones: DataFrame,
-                 holidays_region: DataFrame, check_unique: bool = False) -> DataFrame:
+                 holidays_region: DataFrame, check_unique: bool = False, stored_dims: bool = False) -> DataFrame:
     """Staged trips + pickup-hour weather, zones (role-playing: pickup and dropoff),
-    code names and the region's holidays. Same row count as ``trips``."""
-    wx = weather_with_codes(weather.select("weather_hour", *WEATHER_MEASURES), lookups.weather_codes(spark))
+    code names and the region's holidays. Same row count as ``trips``.
+
+    Code lists and zones are always broadcast (bounded by construction). Weather hours and
+    holiday dates are bounded by the calendar, not the facts: when they are stored tables
+    (``stored_dims``) the planner's statistics are their measured file size and its
+    broadcast threshold decides (sort-merge beyond it); otherwise their row count is
+    checked against MAX_BROADCAST_HOURS / MAX_BROADCAST_DATES first."""
+    hours_bound = None if stored_dims else MAX_BROADCAST_HOURS
+    dates_bound = None if stored_dims else MAX_BROADCAST_DATES
+    wx = weather_with_codes(weather, lookups.weather_codes(spark)).select(
+        "weather_hour", *WEATHER_MEASURES, "weather_description", "weather_category")
     out = enrich(trips, [
         Lookup(wx, {"pickup_hour": "weather_hour"},
                {c: c for c in [*WEATHER_MEASURES, "weather_description", "weather_category"]},
-               max_rows=MAX_BROADCAST_HOURS, name="weather"),
+               max_rows=hours_bound, name="weather"),
         Lookup(zones, {"pickup_location_id": "location_id"},
                {"borough": "pickup_borough", "zone": "pickup_zone"}, broadcast=True, name="pickup_zone"),
         Lookup(zones, {"dropoff_location_id": "location_id"},
@@ -59,7 +71,7 @@ def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zone
                {"ratecode_name": "ratecode_name"}, broadcast=True, name="rate_codes"),
         Lookup(holidays_region, {"pickup_date": "holiday_date"},
                {"holiday_date": "__holiday_date", "holiday_name": "holiday_name"},
-               max_rows=MAX_BROADCAST_DATES, name="holidays"),
+               max_rows=dates_bound, name="holidays"),
     ], check_unique=check_unique)
     return (
         out.withColumn("pickup_hour_of_day", F.hour("pickup_at"))

@@ -82,3 +82,13 @@ def materialize(spark: SparkSession, df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(spark: SparkSession, frames: dict):
+    """:func:`materialize` several independent frames as concurrent Spark jobs (submitted
+    from driver threads; each is small, so they share the executors instead of queueing)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        futures = {name: pool.submit(materialize, spark, df, name) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}

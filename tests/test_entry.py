@@ -39,3 +39,13 @@ def test_query_matches_oracle(spark, duck, key):
 
     res = compare(spark, duck, key, E.queries()[key], E.oracle_sql().get(key), SF)
     assert res["status"] in ("OK", "rows-only"), res
+
+
+def test_enrichment_never_shuffles_the_fact(spark):
+    """All seven lookups are broadcast; the only hash shuffle is the trip stand-in's own
+    lineitem/orders join (one exchange per side)."""
+    df = E.queries()["enrich_star"](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 7
+    assert plan.count("Exchange hashpartitioning") == 2
