@@ -79,3 +79,47 @@ def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI) -> Dat
     if (m["input_rows"], m["accepted_rows"], m["quarantined_rows"]) != tuple(int(x or 0) for x in totals):
         raise ReconcileError(f"{root}: observed {m} but found {tuple(totals)} on disk")
     return on_disk
+
+
+def publish_series(spark, docs: DataFrame, zone: str, root: str, batch_cols=("year", "month"),
+                   tolerance: int = 1) -> DataFrame:
+    """Documents of many months -> silver hourly series in ``root`` (one folder per batch,
+    one file per month, rows ordered by hour), then checked from what is on disk: hours per
+    month within ``tolerance`` of the calendar and no hour without temperature. Returns the
+    per-month completeness report; raises when a month fails."""
+    from lakeshore.operators.rules import ReconcileError
+    from lakeshore.operators.series import flatten_series, month_completeness
+    from lakeshore.sources.batches import write_batches
+
+    write_batches(flatten_series(docs, zone, keep=batch_cols), root, batch_cols, files_per_batch=1,
+                  sort_by=("weather_hour",))
+    report = month_completeness(spark.read.parquet(root), zone)
+    bad = report.filter(~F.col("within_tolerance") | (F.col("null_required_hours") > 0)).limit(5).collect()
+    if bad:
+        raise ReconcileError(f"{root}: incomplete months {[tuple(r) for r in bad]}")
+    return report
+
+
+def build_gold(spark, stg_trips: DataFrame, weather: DataFrame, holidays_region: DataFrame, zones: DataFrame,
+               gold_root: str, months=None, full_refresh: bool = False, airport_ids=(1, 132, 138),
+               unknown_boroughs=("Unknown", "N/A")) -> dict[str, str]:
+    """The gold build: dimensions, the incremental fact and the hourly mart, written under
+    ``gold_root``. The fact is rebuilt in full, for the named ``months``, or for the months
+    with rows newer than its high-water mark; the mart is recomputed from the stored fact.
+    ``weather`` and ``holidays_region`` should be stored tables (see ``enrich_trips``)."""
+    from lakeshore.operators import dims
+    from lakeshore.operators.incremental import build_incremental
+    from lakeshore.plans import warehouse
+
+    paths = {name: f"{gold_root.rstrip('/')}/{name}" for name in ("dim_zone", "dim_date", "fct_trips",
+                                                                   "agg_hourly_demand")}
+    dims.zone_dim(zones, airport_ids, unknown_boroughs).write.mode("overwrite").parquet(paths["dim_zone"])
+    enriched = warehouse.enrich_trips(spark, stg_trips, weather, zones, holidays_region, stored_dims=True)
+    build_incremental(spark, warehouse.fact_trips(enriched), paths["fct_trips"], months=months,
+                      full_refresh=full_refresh)
+    fact = spark.read.parquet(paths["fct_trips"])
+    warehouse.dim_date(fact.select(F.col("date_key").alias("pickup_date")), holidays_region, weather) \
+        .write.mode("overwrite").parquet(paths["dim_date"])
+    warehouse.hourly_mart(spark, fact, weather, holidays_region).write.mode("overwrite").parquet(
+        paths["agg_hourly_demand"])
+    return paths

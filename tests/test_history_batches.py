@@ -117,3 +117,24 @@ def test_file_manifest_marks_known_files(spark, lake):
     got = {r.batch: r.status for r in second.collect()}
     assert got == {1: "skipped", 2: "downloaded"}
     assert second.agg(F.sum("row_count")).first()[0] == 6
+
+
+def test_publish_series_and_gold_build(spark):
+    from lakeshore.plans import q_marts, standins
+    from lakeshore.plans.pipelines import build_gold, publish_series
+    from lakeshore.plans.q_clean import staged
+
+    root = "/root/testdata/sf0.001"
+    docs = standins.weather_documents(spark, root)
+    report = publish_series(spark, docs, standins.LOCAL_ZONE, scratch_path(spark, "silver-weather"))
+    assert report.filter("within_tolerance").count() == report.count() > 0
+    weather, holidays = q_marts.dimension_tables(spark, root)
+    gold = scratch_path(spark, "gold")
+    paths = build_gold(spark, staged(spark, root), weather, holidays, standins.zones(spark, root), gold,
+                       full_refresh=True, airport_ids=standins.STANDIN_AIRPORT_ZONES)
+    fact = spark.read.parquet(paths["fct_trips"])
+    mart = spark.read.parquet(paths["agg_hourly_demand"])
+    assert fact.count() == staged(spark, root).count()
+    assert mart.count() == weather.count()
+    dd = spark.read.parquet(paths["dim_date"])
+    assert dd.select("date_key").distinct().count() == dd.count()
