@@ -67,3 +67,35 @@ def as_of(facts: DataFrame, ts: str, history: DataFrame, keys: dict[str, str], c
     cond = reduce(lambda a, b: a & b, [F.col(f) == F.col(f"__h_{k}") for f, k in keys.items()])
     cond = cond & (F.col("__from") <= F.col(ts)) & (F.col(ts) < F.col("__to"))
     return facts.join(h, cond, "left").drop(*[f"__h_{k}" for k in keys.values()], "__from", "__to")
+
+
+STATE_COL = "version_state"
+OPEN = "open"
+
+
+def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check: Sequence[str], run_at,
+             close_missing: bool = True, stage: str | None = None) -> DataFrame:
+    """One scheduled history run against a stored history at ``root``, touching only what
+    can change. The table is partitioned by ``version_state``: 'open' holds current versions,
+    'closed <run instant>' the versions a run closed. A run reads only the open partition,
+    then (1) stages its result in the shared scratch area, (2) writes the versions it closes
+    into its own closed partition, (3) replaces the open partition. Closed history is never
+    rewritten, and a run repeated after a failure rewrites the same two partitions with the
+    same rows (idempotent). Returns the stored history (all versions)."""
+    from lakeshore.session import scratch_path
+
+    try:
+        open_ = spark.read.parquet(root).filter(F.col(STATE_COL) == OPEN).drop(STATE_COL)
+    except Exception:  # no history yet
+        open_ = None
+    result = scd2(snapshot, open_, keys, check, run_at, close_missing)
+    tag = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(
+        F.concat(F.lit("closed "), F.col("valid_to").cast("string")))
+    stage = stage or scratch_path(spark, "history-run")
+    result.withColumn(STATE_COL, tag).write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    writer = lambda df: (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                         .partitionBy(STATE_COL).parquet(root))
+    writer(staged.filter(F.col(STATE_COL) != OPEN))
+    writer(staged.filter(F.col(STATE_COL) == OPEN))
+    return spark.read.parquet(root)

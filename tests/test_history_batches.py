@@ -138,3 +138,16 @@ def test_publish_series_and_gold_build(spark):
     assert mart.count() == weather.count()
     dd = spark.read.parquet(paths["dim_date"])
     assert dd.select("date_key").distinct().count() == dd.count()
+
+
+def test_scd2_run_stored_layout_and_idempotence(spark):
+    root = scratch_path(spark, "hist-store")
+    v1 = [(1, "a", "x"), (2, "b", "y")]
+    v2 = [(1, "a", "x2")]                                      # change 1, delete 2
+    history.scd2_run(spark, spark.createDataFrame(v1, DDL), root, KEY, CHECK, T1)
+    h = history.scd2_run(spark, spark.createDataFrame(v2, DDL), root, KEY, CHECK, T2)
+    states = {r[0]: r[1] for r in h.groupBy(history.STATE_COL).count().collect()}
+    assert states == {"open": 1, f"closed {T2}": 2}
+    before = sorted(map(str, h.collect()))
+    again = history.scd2_run(spark, spark.createDataFrame(v2, DDL), root, KEY, CHECK, T2)   # repeated run
+    assert sorted(map(str, again.collect())) == before
