@@ -16,8 +16,26 @@ from pyspark.sql import functions as F
 from lakeshore.operators.enrich import duplicate_keys
 
 
+def not_null_condition(col: str) -> Column:
+    return F.col(col).isNull()
+
+
+def accepted_values_condition(col: str, values: Sequence) -> Column:
+    return F.col(col).isNotNull() & ~F.col(col).isin(list(values))
+
+
+def in_range_condition(col: str, min_value=None, max_value=None, inclusive: bool = True) -> Column:
+    c = F.col(col)
+    bad = F.lit(False)
+    if min_value is not None:
+        bad = bad | ((c < min_value) if inclusive else (c <= min_value))
+    if max_value is not None:
+        bad = bad | ((c > max_value) if inclusive else (c >= max_value))
+    return c.isNotNull() & bad
+
+
 def not_null(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col).isNull())
+    return df.filter(not_null_condition(col))
 
 
 def unique(df: DataFrame, cols: Sequence[str] | str) -> DataFrame:
@@ -33,18 +51,12 @@ def relationships(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> Data
 
 
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(values)))
+    return df.filter(accepted_values_condition(col, values))
 
 
 def in_range(df: DataFrame, col: str, min_value=None, max_value=None, inclusive: bool = True) -> DataFrame:
     """Rows outside [min, max] (open ends when None); nulls pass."""
-    c = F.col(col)
-    bad = F.lit(False)
-    if min_value is not None:
-        bad = bad | ((c < min_value) if inclusive else (c <= min_value))
-    if max_value is not None:
-        bad = bad | ((c > max_value) if inclusive else (c >= max_value))
-    return df.filter(c.isNotNull() & bad)
+    return df.filter(in_range_condition(col, min_value, max_value, inclusive))
 
 
 def rows(df: DataFrame, failing: Column) -> DataFrame:
@@ -79,18 +91,36 @@ def freshness(df: DataFrame, loaded_at: str, now, warn_after_days: float | None,
 @dataclass
 class Expectation:
     name: str
-    failing: DataFrame
+    failing: DataFrame | None = None
     severity: str = "error"
+    source: DataFrame | None = None       # row-level form: rows of `source` where `condition` holds
+    condition: Column | None = None
+
+
+def row_check(name: str, source: DataFrame, condition: Column, severity: str = "error") -> Expectation:
+    """A row-level expectation; :func:`run` evaluates all of those over one source together."""
+    return Expectation(name, None, severity, source, condition)
 
 
 def run(expectations: Sequence[Expectation]) -> DataFrame:
-    """(name, severity, failures, status) for every expectation; each branch is a global
-    count of its failing rows, the union is evaluated as one job."""
-    parts = [
-        e.failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(e.name).alias("name"), F.lit(e.severity).alias("severity"), "failures")
-        for e in expectations
-    ]
+    """(name, severity, failures, status) for every expectation, as one job. Row-level
+    expectations over the same source are counted together in a single scan of it (one
+    conditional count each); the others (uniqueness, relationships, ...) are a global count
+    of their failing rows each."""
+    groups: dict[int, tuple[DataFrame, list[Expectation]]] = {}
+    parts = []
+    for e in expectations:
+        if e.condition is not None:
+            groups.setdefault(id(e.source), (e.source, []))[1].append(e)
+        else:
+            parts.append(e.failing.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(e.name).alias("name"), F.lit(e.severity).alias("severity"), "failures"))
+    for source, checks in groups.values():
+        wide = source.agg(*[F.count_if(e.condition).alias(f"__c{i}") for i, e in enumerate(checks)])
+        parts.append(wide.select(F.explode(F.array(*[
+            F.struct(F.lit(e.name).alias("name"), F.lit(e.severity).alias("severity"),
+                     F.col(f"__c{i}").cast("long").alias("failures"))
+            for i, e in enumerate(checks)])).alias("r")).select("r.name", "r.severity", "r.failures"))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn(
         "status",

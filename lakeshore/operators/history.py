@@ -74,7 +74,7 @@ OPEN = "open"
 
 
 def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check: Sequence[str], run_at,
-             close_missing: bool = True, stage: str | None = None) -> DataFrame:
+             close_missing: bool = True, stage: str | None = None, first_run: bool | None = None) -> DataFrame:
     """One scheduled history run against a stored history at ``root``, touching only what
     can change. The table is partitioned by ``version_state``: 'open' holds current versions,
     'closed <run instant>' the versions a run closed. A run reads only the open partition,
@@ -84,10 +84,12 @@ def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check:
     same rows (idempotent). Returns the stored history (all versions)."""
     from lakeshore.session import scratch_path
 
-    try:
-        open_ = spark.read.parquet(root).filter(F.col(STATE_COL) == OPEN).drop(STATE_COL)
-    except Exception:  # no history yet
-        open_ = None
+    open_ = None
+    if not first_run:
+        try:
+            open_ = spark.read.parquet(root).filter(F.col(STATE_COL) == OPEN).drop(STATE_COL)
+        except Exception:  # no history yet
+            open_ = None
     result = scd2(snapshot, open_, keys, check, run_at, close_missing)
     tag = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(
         F.concat(F.lit("closed "), F.col("valid_to").cast("string")))

@@ -43,12 +43,12 @@ def build_incremental(spark: SparkSession, source: DataFrame, target_path: str,
     Replacing is per batch present in the new rows (delete + insert); a named batch with no
     new rows keeps its old rows. The batch list is a handful of keys and is collected, so
     the source filter becomes a literal IN list the scan can prune with."""
-    exists = True
-    try:
-        spark.read.parquet(target_path).schema  # noqa: B018 - probe only
-    except Exception:
-        exists = False
-    if full_refresh or not exists:
+    if not full_refresh:
+        try:
+            spark.read.parquet(target_path).schema  # noqa: B018 - probe: is there a target yet?
+        except Exception:
+            full_refresh = True
+    if full_refresh:
         write_batches(source, target_path, [key], files_per_batch, mode="overwrite")
         return {}
     if months is not None:

@@ -89,8 +89,18 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column"
        ordered per (key, p) in their own window partition.
     Returns (key, stat, value)."""
     vals = long.select(key, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    cuts = vals.groupBy(key).agg(F.percentile_approx(
-        "v", [i / buckets for i in range(1, buckets)], accuracy or 10 * buckets).alias("cuts"))
+    cuts = sketch(vals, key, buckets, accuracy).select(key, "cuts")
+    return _quantiles(vals, cuts, probs, key, buckets)
+
+
+def sketch(vals: DataFrame, key: str = "column", buckets: int = 256, accuracy: int | None = None) -> DataFrame:
+    """One pass per key: min, max and ``buckets - 1`` approximate equal-rank cut points."""
+    return vals.groupBy(key).agg(
+        F.min("v").alias("min"), F.max("v").alias("max"),
+        F.percentile_approx("v", [i / buckets for i in range(1, buckets)], accuracy or 10 * buckets).alias("cuts"))
+
+
+def _quantiles(vals: DataFrame, cuts: DataFrame, probs: Sequence[float], key: str, buckets: int) -> DataFrame:
     # one row per key holding a fixed-size array: bounded by the number of profiled columns
     bucketed = with_bucket(vals.join(F.broadcast(cuts), key), "v", "cuts", buckets - 1, "b").select(key, "v", "b")
     totals = bucketed.groupBy(key, "b").agg(F.count(F.lit(1)).alias("bc"))
@@ -118,11 +128,14 @@ def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], bu
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select("s.column", "s.v")
-    ends = long.groupBy("column").agg(F.min("v").alias("min"), F.max("v").alias("max")).select(
+    vals = long.filter("v IS NOT NULL")
+    stats = sketch(vals, "column", buckets)
+    keys = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")   # all-null columns too
+    ends = keys.join(stats, "column", "left").select(
         "column", F.explode(F.array(F.struct(F.lit("min").alias("stat"), F.col("min").alias("value")),
                                     F.struct(F.lit("max").alias("stat"), F.col("max").alias("value")))).alias("s"),
     ).select("column", "s.stat", "s.value")
-    return ends.unionByName(exact_quantiles(long, probs, buckets=buckets))
+    return ends.unionByName(_quantiles(vals, stats.select("column", "cuts"), probs, "column", buckets))
 
 
 def filtered_count(df: DataFrame, condition: Column | str, name: str = "n_rows") -> DataFrame:

@@ -242,8 +242,9 @@ def history_after_runs(spark: SparkSession, root: str) -> DataFrame:
     the open versions only, writes the versions it closes and replaces the open ones."""
     path = scratch_path(spark, "history")
     h = None
-    for version, run_at in zip(standins.customer_versions(spark, root), standins.HISTORY_RUNS):
-        h = history.scd2_run(spark, version, path, standins.HISTORY_KEY, standins.HISTORY_CHECK, run_at)
+    for i, (version, run_at) in enumerate(zip(standins.customer_versions(spark, root), standins.HISTORY_RUNS)):
+        h = history.scd2_run(spark, version, path, standins.HISTORY_KEY, standins.HISTORY_CHECK, run_at,
+                             first_run=(i == 0))
     return h.drop(history.STATE_COL)
 
 

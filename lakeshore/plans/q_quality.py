@@ -160,14 +160,15 @@ def q_expect_summary(spark: SparkSession, root: str) -> DataFrame:
 
     s, w = staged(spark, root), weather_table(spark, root)   # weather is checked four times: written once
     return expect.run([
-        expect.Expectation("stg_trip_id_not_null", expect.not_null(s, "trip_id")),
+        expect.row_check("stg_trip_id_not_null", s, expect.not_null_condition("trip_id")),
         expect.Expectation("stg_trip_id_unique", expect.unique(s, "trip_id"), "warn"),
         expect.Expectation("stg_pickup_hour_in_weather", expect.relationships(s, "pickup_hour", w, "weather_hour")),
-        expect.Expectation("stg_ratecode_accepted", expect.accepted_values(s, "ratecode_id", [c for c, _ in RATE_CODES])),
+        expect.row_check("stg_ratecode_accepted", s,
+                         expect.accepted_values_condition("ratecode_id", [c for c, _ in RATE_CODES])),
         expect.Expectation("weather_hour_unique", expect.unique(w, "weather_hour")),
-        expect.Expectation("weather_temperature_range", expect.in_range(w, "temperature_c", -30, 45)),
-        expect.Expectation("weather_precipitation_range", expect.in_range(w, "precipitation_mm", 0, 100)),
-        expect.Expectation("trip_ends_after_start", expect.rows(s, F.col("dropoff_at") <= F.col("pickup_at"))),
+        expect.row_check("weather_temperature_range", w, expect.in_range_condition("temperature_c", -30, 45)),
+        expect.row_check("weather_precipitation_range", w, expect.in_range_condition("precipitation_mm", 0, 100)),
+        expect.row_check("trip_ends_after_start", s, F.col("dropoff_at") <= F.col("pickup_at")),
     ])
 
 

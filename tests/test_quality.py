@@ -88,3 +88,14 @@ def test_top_groups_tie_break(spark):
     df = spark.createDataFrame([(k,) for k in [3, 3, 1, 1, 2, 2, 5]], "k int")
     out = profile.top_groups(df, "k", 2, [F.count(F.lit(1)).alias("n")], "n").collect()
     assert [tuple(r) for r in out] == [(1, 2), (2, 2)]
+
+
+def test_run_batches_row_checks_over_one_source(spark):
+    df = spark.createDataFrame([(1, 5.0), (None, 500.0), (3, None)], "k int, x double")
+    out = {r.name: (r.failures, r.status) for r in expect.run([
+        expect.row_check("k_not_null", df, expect.not_null_condition("k")),
+        expect.row_check("x_range", df, expect.in_range_condition("x", 0, 100)),
+        expect.row_check("x_pos", df, F.col("x") < 0, "warn"),
+        expect.Expectation("k_unique", expect.unique(df, "k"), "warn"),
+    ]).collect()}
+    assert out == {"k_not_null": (1, "fail"), "x_range": (1, "fail"), "x_pos": (0, "pass"), "k_unique": (0, "pass")}
