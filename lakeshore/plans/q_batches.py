@@ -256,26 +256,34 @@ def q_scd2(spark: SparkSession, root: str) -> DataFrame:
 T1, T2, T3 = standins.HISTORY_RUNS
 HISTORY_SQL = f"""
 v1 AS (SELECT c_custkey, c_name, c_nationkey,
-              CASE WHEN c_custkey % 23 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer),
+              CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment, c_acctbal FROM customer),
 v2 AS (SELECT c_custkey, c_name, c_nationkey,
-              CASE WHEN c_custkey % 10 = 0 THEN 'RESEGMENTED' ELSE c_mktsegment END AS c_mktsegment
-       FROM customer WHERE c_custkey % 17 <> 0),
+              CASE WHEN c_acctbal > {standins.PREMIUM_BALANCE} THEN 'PREMIUM' ELSE c_mktsegment END AS c_mktsegment,
+              c_acctbal
+       FROM customer WHERE c_nationkey <> {standins.LEAVING_NATION}),
 ins AS (SELECT c_custkey + {standins.INSERTED_KEY_OFFSET} AS c_custkey, c_name, c_nationkey, c_mktsegment
-        FROM customer WHERE c_custkey % 31 = 0),
+        FROM customer WHERE c_nationkey = {standins.EXPANDING_NATION}),
 hist AS (
-  SELECT v1.*, TIMESTAMP '{T1}' AS valid_from, TIMESTAMP '{T2}' AS valid_to FROM v1 WHERE c_custkey % 17 = 0
+  -- leaving customers: v1 version closed at the second run, re-opened at the third
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T1}' AS valid_from, TIMESTAMP '{T2}' AS valid_to
+  FROM v1 WHERE c_nationkey = {standins.LEAVING_NATION}
   UNION ALL
-  SELECT v1.*, TIMESTAMP '{T3}', CAST(NULL AS TIMESTAMP) FROM v1 WHERE c_custkey % 17 = 0
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T3}', CAST(NULL AS TIMESTAMP)
+  FROM v1 WHERE c_nationkey = {standins.LEAVING_NATION}
   UNION ALL
-  SELECT v1.*, TIMESTAMP '{T1}', TIMESTAMP '{T2}' FROM v1
-  WHERE c_custkey % 17 <> 0 AND (c_custkey % 10 = 0 OR c_custkey % 23 = 0)
+  -- changed at the second run (segment filled in or re-segmented)
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T1}', TIMESTAMP '{T2}' FROM v1
+  WHERE c_nationkey <> {standins.LEAVING_NATION} AND (c_acctbal < 0 OR c_acctbal > {standins.PREMIUM_BALANCE})
   UNION ALL
-  SELECT v2.*, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM v2 WHERE c_custkey % 10 = 0 OR c_custkey % 23 = 0
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM v2
+  WHERE c_acctbal < 0 OR c_acctbal > {standins.PREMIUM_BALANCE}
   UNION ALL
-  SELECT v1.*, TIMESTAMP '{T1}', CAST(NULL AS TIMESTAMP) FROM v1
-  WHERE c_custkey % 17 <> 0 AND c_custkey % 10 <> 0 AND c_custkey % 23 <> 0
+  -- unchanged
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T1}', CAST(NULL AS TIMESTAMP) FROM v1
+  WHERE c_nationkey <> {standins.LEAVING_NATION} AND c_acctbal >= 0 AND c_acctbal <= {standins.PREMIUM_BALANCE}
   UNION ALL
-  SELECT ins.*, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM ins),
+  -- new accounts
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{T2}', CAST(NULL AS TIMESTAMP) FROM ins),
 history AS (
   SELECT *, md5(CAST(c_custkey AS VARCHAR) || '|' || CAST(valid_from AS VARCHAR)) AS version_id FROM hist)"""
 

@@ -179,22 +179,30 @@ def holiday_records(spark: SparkSession, root: str) -> DataFrame:
     return busy.unionByName(value).unionByName(quiet)
 
 
-# History runs of the customer table (a slowly changing lookup): v1 as loaded, v2 with
-# changed segments, a null that gets a value, deleted and inserted keys, v3 where the
-# deleted keys re-appear.
+# History runs of the customer table (a slowly changing lookup). Every customer is in every
+# snapshot unless the scenario says otherwise:
+#   v1  as loaded; accounts in debt (balance < 0) have no segment yet;
+#   v2  debt accounts get their segment (null -> value), balances above 9000 are re-segmented
+#       'PREMIUM' (change), the customers of nation 7 leave (hard delete), the customers of
+#       nation 3 open a second account under a new key (insert);
+#   v3  as v2, and the nation-7 customers come back (re-appearance).
 HISTORY_RUNS = ("2024-01-01 00:00:00", "2024-01-11 00:00:00", "2024-01-21 00:00:00")
 HISTORY_KEY = ["c_custkey"]
 HISTORY_CHECK = ["c_name", "c_nationkey", "c_mktsegment"]
 INSERTED_KEY_OFFSET = 10_000_000
+LEAVING_NATION, EXPANDING_NATION = 7, 3
+PREMIUM_BALANCE = 9000
 
 
 def customer_versions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    k = F.col("c_custkey")
-    v1 = c.withColumn("c_mktsegment", F.when(k % 23 != 0, F.col("c_mktsegment")))
-    kept = c.filter(k % 17 != 0).withColumn(
-        "c_mktsegment", F.when(k % 10 == 0, F.lit("RESEGMENTED")).otherwise(F.col("c_mktsegment")))
-    inserted = c.filter(k % 31 == 0).withColumn("c_custkey", k + INSERTED_KEY_OFFSET)
-    v2 = kept.unionByName(inserted)
-    v3 = v2.unionByName(v1.filter(k % 17 == 0))
+    c = table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    v1 = c.withColumn("c_mktsegment", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))).select(*cols)
+    current = c.withColumn("c_mktsegment", F.when(F.col("c_acctbal") > PREMIUM_BALANCE, F.lit("PREMIUM"))
+                           .otherwise(F.col("c_mktsegment")))
+    staying = current.filter(F.col("c_nationkey") != LEAVING_NATION).select(*cols)
+    opened = (c.filter(F.col("c_nationkey") == EXPANDING_NATION)
+              .withColumn("c_custkey", F.col("c_custkey") + INSERTED_KEY_OFFSET).select(*cols))
+    v2 = staying.unionByName(opened)
+    v3 = v2.unionByName(v1.filter(F.col("c_nationkey") == LEAVING_NATION))
     return v1, v2, v3
