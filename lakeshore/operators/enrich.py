@@ -27,6 +27,7 @@ class Lookup:
     broadcast: bool = False
     max_rows: int | None = None
     name: str = field(default="lookup")
+    verify_unique: bool = False           # check the key is unique before joining (data lookups)
 
 
 class UniquenessError(ValueError):
@@ -45,6 +46,23 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> N
         raise UniquenessError(f"{what}: key {list(keys)} is not unique, e.g. {[tuple(r) for r in dups]}")
 
 
+def assert_all_unique(lookups: Sequence["Lookup"]) -> None:
+    """Verify several lookups' keys in one job: a union of (lookup, duplicated key count),
+    at most a few small rows per lookup reach the driver."""
+    if not lookups:
+        return
+    parts = [duplicate_keys(lk.df, list(lk.on.values())).limit(3).select(
+        F.lit(i).alias("i"), F.to_json(F.struct(*lk.on.values())).alias("key"), "n_rows")
+        for i, lk in enumerate(lookups)]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    bad = union.collect()
+    if bad:
+        names = {lookups[r.i].name for r in bad}
+        raise UniquenessError(f"lookup key not unique in {sorted(names)}, e.g. {[(r.key, r.n_rows) for r in bad]}")
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` only when it has at most ``max_rows`` rows (checked with a bounded
     count: the scan stops contributing after ``max_rows + 1`` rows); else ``df`` unchanged."""
@@ -78,14 +96,14 @@ def _prepared(lk: Lookup, i: int, small: bool | None) -> tuple[DataFrame, list[s
 
 
 def enrich(df: DataFrame, lookups: Sequence[Lookup], check_unique: bool = False) -> DataFrame:
-    """Left-join every lookup in order; with ``check_unique`` each right key is verified
-    first (a duplicated key would multiply fact rows), failing with example keys."""
+    """Left-join every lookup in order. Keys of lookups marked ``verify_unique`` (all of them
+    with ``check_unique``) are verified first, in one job: a duplicated key would multiply
+    fact rows, so the join refuses and names example keys instead of deduplicating."""
+    assert_all_unique([lk for lk in lookups if check_unique or lk.verify_unique])
     bounded = [i for i, lk in enumerate(lookups) if not lk.broadcast and lk.max_rows is not None]
     verdict = dict(zip(bounded, within_bounds([(lookups[i].df, lookups[i].max_rows) for i in bounded])))
     out = df
     for i, lk in enumerate(lookups):
-        if check_unique:
-            assert_unique(lk.df, list(lk.on.values()), lk.name)
         right, keys = _prepared(lk, i, verdict.get(i))
         cond = reduce(lambda a, b: a & b, [out[left] == right[k] for left, k in zip(lk.on, keys)])
         out = out.join(right, cond, "left").drop(*keys)

@@ -33,21 +33,25 @@ def holidays_table(spark: SparkSession, root: str) -> DataFrame:
     return materialize(spark, holidays_region(spark, root), "holidays-region")
 
 
-def dimension_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(weather, holidays) written once per run, as two concurrent jobs."""
+def dimension_tables(spark: SparkSession, root: str, checks=()) -> tuple[DataFrame, DataFrame]:
+    """(weather, holidays) written once per run, as two concurrent jobs (plus ``checks``)."""
     # weather is stored with its code names joined: the stored table's statistics are then
     # its file size, which the planner's broadcast threshold uses (a join's estimate is not)
     coded = warehouse.weather_with_codes(silver_weather(spark, root), lookups.weather_codes(spark))
-    t = materialize_all(spark, {"silver-weather": coded, "holidays-region": holidays_region(spark, root)})
+    t = materialize_all(spark, {"silver-weather": coded, "holidays-region": holidays_region(spark, root)}, checks)
     return t["silver-weather"], t["holidays-region"]
 
 
 def enriched(spark: SparkSession, root: str, check_unique: bool = False, weather: DataFrame | None = None,
              holidays: DataFrame | None = None) -> DataFrame:
+    zones = standins.zones(spark, root)
+    checks = [warehouse.zones_lookup_check(zones)]
     if weather is None or holidays is None:
-        weather, holidays = dimension_tables(spark, root)
-    return warehouse.enrich_trips(spark, staged(spark, root), weather, standins.zones(spark, root), holidays,
-                                  check_unique, stored_dims=True)
+        weather, holidays = dimension_tables(spark, root, checks)
+    else:
+        checks[0]()
+    return warehouse.enrich_trips(spark, staged(spark, root), weather, zones, holidays,
+                                  check_unique, stored_dims=True, zones_verified=True)
 
 
 def fact(spark: SparkSession, root: str, weather: DataFrame | None = None,
@@ -142,8 +146,9 @@ register("hourly_demand", with_all("SELECT * FROM by_hour", ENRICHED_CTE, FCT_CT
 def mart(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(fact, mart): weather and holidays written once; the mart reads them and the hourly
     aggregate of the fact, which is also written once (it feeds the mart and its date range)."""
-    w, h = dimension_tables(spark, root)
-    f = fact(spark, root, w, h)
+    w, h = dimension_tables(spark, root, [warehouse.zones_lookup_check(standins.zones(spark, root))])
+    f = warehouse.fact_trips(warehouse.enrich_trips(spark, staged(spark, root), w, standins.zones(spark, root), h,
+                                                    stored_dims=True, zones_verified=True))
     by_hour = materialize(spark, facts.hourly_demand(f, "pickup_hour"), "hourly-demand")
     return f, warehouse.hourly_mart(spark, f, w, h, by_hour=by_hour)
 

@@ -43,8 +43,15 @@ def weather_with_codes(weather: DataFrame, codes: DataFrame) -> DataFrame:
                                     "weather_category": "weather_category"}, broadcast=True)])
 
 
+def zones_lookup_check(zones: DataFrame):
+    """The zone table is data (not a fixed list): its key must be verified before joins."""
+    from lakeshore.operators.enrich import assert_all_unique
+    return lambda: assert_all_unique([Lookup(zones, {"location_id": "location_id"}, {}, name="zones")])
+
+
 def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zones: DataFrame,
-                 holidays_region: DataFrame, check_unique: bool = False, stored_dims: bool = False) -> DataFrame:
+                 holidays_region: DataFrame, check_unique: bool = False, stored_dims: bool = False,
+                 zones_verified: bool = False) -> DataFrame:
     """Staged trips + pickup-hour weather, zones (role-playing: pickup and dropoff),
     code names and the region's holidays. Same row count as ``trips``.
 
@@ -62,7 +69,8 @@ def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zone
                {c: c for c in [*WEATHER_MEASURES, "weather_description", "weather_category"]},
                max_rows=hours_bound, name="weather"),
         Lookup(zones, {"pickup_location_id": "location_id"},
-               {"borough": "pickup_borough", "zone": "pickup_zone"}, broadcast=True, name="pickup_zone"),
+               {"borough": "pickup_borough", "zone": "pickup_zone"}, broadcast=True, name="zones",
+               verify_unique=not zones_verified),
         Lookup(zones, {"dropoff_location_id": "location_id"},
                {"borough": "dropoff_borough", "zone": "dropoff_zone"}, broadcast=True, name="dropoff_zone"),
         Lookup(lookups.payment_types(spark), {"payment_type": "payment_type"},

@@ -84,11 +84,15 @@ def materialize(spark: SparkSession, df, name: str):
     return spark.read.parquet(path)
 
 
-def materialize_all(spark: SparkSession, frames: dict):
+def materialize_all(spark: SparkSession, frames: dict, also=()):
     """:func:`materialize` several independent frames as concurrent Spark jobs (submitted
-    from driver threads; each is small, so they share the executors instead of queueing)."""
+    from driver threads; each is small, so they share the executors instead of queueing).
+    ``also``: further independent zero-argument actions (checks) run alongside."""
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(frames) + len(also))) as pool:
         futures = {name: pool.submit(materialize, spark, df, name) for name, df in frames.items()}
+        extra = [pool.submit(fn) for fn in also]
+        for f in extra:
+            f.result()                      # re-raises a failed check
         return {name: f.result() for name, f in futures.items()}

@@ -61,6 +61,9 @@ WEATHER_CODES = [
     (99, "Thunderstorm with heavy hail", "thunderstorm"),
 ]
 
+for _codes in (PAYMENT_TYPES, RATE_CODES, WEATHER_CODES):   # fixed lists: keys unique by construction
+    assert len({row[0] for row in _codes}) == len(_codes)
+
 PAYMENT_DDL = "payment_type int, payment_type_name string"
 RATE_DDL = "ratecode_id int, ratecode_name string"
 WEATHER_CODE_DDL = "weather_code int, weather_description string, weather_category string"
