@@ -319,7 +319,7 @@ def q_landing_stream(spark: SparkSession, root: str) -> DataFrame:
     silver_path, quarantine_path = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-quarantine")
     q = clean_landed_files(spark, lake, schema, lambda df: clean_trips(df, standins.STANDIN_TRIPS),
                            silver_path, quarantine_path, scratch_path(spark, "stream-ckpt"),
-                           max_files_per_trigger=64)
+                           max_files_per_trigger=1000)
     run_to_completion(q)
     return spark.read.parquet(silver_path).drop(EPOCH_COL)
 
