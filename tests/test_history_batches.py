@@ -151,3 +151,15 @@ def test_scd2_run_stored_layout_and_idempotence(spark):
     before = sorted(map(str, h.collect()))
     again = history.scd2_run(spark, spark.createDataFrame(v2, DDL), root, KEY, CHECK, T2)   # repeated run
     assert sorted(map(str, again.collect())) == before
+
+
+def test_named_empty_month_kept_or_purged(spark, lake):
+    src = spark.createDataFrame([("2025-01", 1, dt.datetime(2025, 2, 1)), ("2025-02", 2, dt.datetime(2025, 3, 1))],
+                                "source_month string, x int, loaded_at timestamp_ntz")
+    incremental.build_incremental(spark, src, lake, full_refresh=True)
+    only_jan = src.filter("source_month = '2025-01'")
+    incremental.build_incremental(spark, only_jan, lake, months=["2025-01", "2025-02"])
+    assert spark.read.parquet(lake).count() == 2                    # default: February keeps its rows
+    incremental.build_incremental(spark, only_jan, lake, months=["2025-01", "2025-02"], purge_empty=True)
+    got = sorted((str(r.source_month), r.x) for r in spark.read.parquet(lake).collect())
+    assert got == [("2025-01", 1)]
