@@ -96,8 +96,8 @@ def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check:
     stage = stage or scratch_path(spark, "history-run")
     result.withColumn(STATE_COL, tag).write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    writer = lambda df: (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                         .partitionBy(STATE_COL).parquet(root))
+    writer = lambda df: (df.hint("rebalance", STATE_COL).write.mode("overwrite")
+                         .option("partitionOverwriteMode", "dynamic").partitionBy(STATE_COL).parquet(root))
     writer(staged.filter(F.col(STATE_COL) != OPEN))
     writer(staged.filter(F.col(STATE_COL) == OPEN))
     return spark.read.parquet(root)

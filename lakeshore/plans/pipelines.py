@@ -64,7 +64,8 @@ def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI) -> Dat
     layered = cleaned.withColumn(
         LAYER_COL, F.when(F.col("reject_reason").isNull(), "accepted").otherwise("quarantined"))
     observed, obs = observe_split(layered, "publish_clean", batch_cols=p.batch_cols)
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (observed.hint("rebalance", LAYER_COL, *p.batch_cols)   # right-sized files; a hot batch is split
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(LAYER_COL, *p.batch_cols).parquet(root))
     written = spark.read.parquet(root)
     seen = [tuple(b) for b in obs.get["batches"]]            # the batches just written

@@ -19,14 +19,20 @@ from lakeshore.session import scratch_path
 
 
 def spread(df: DataFrame, batch_cols: Sequence[str], files_per_batch: int | None = None) -> DataFrame:
-    """Optionally co-locate each batch's rows before a partitioned write so each batch folder
-    gets ``files_per_batch`` files instead of one file per (task, batch). A deterministic
-    row hash splits a batch over that many tasks, so one huge month never lands in a single
-    task. ``None`` writes the upstream partitions as they are (no shuffle): right for big
-    inputs that are already batch-clustered (read from batch folders)."""
+    """Arrange rows before a partitioned write so a batch folder gets a few right-sized files
+    instead of one small file per (task, batch):
+
+    - ``None`` (default): a rebalance on the batch columns; adaptive execution sizes the output
+      partitions to the advisory partition size and splits a skewed batch (one month holding
+      a third of the rows) over several tasks;
+    - ``0``: write the upstream partitions as they are (no shuffle), for inputs that are
+      already clustered by batch;
+    - ``n``: exactly ``n`` tasks per batch, split by a deterministic row hash."""
     if files_per_batch is None:
+        return df.hint("rebalance", *batch_cols)
+    if files_per_batch == 0:
         return df
-    if files_per_batch <= 1:
+    if files_per_batch == 1:
         return df.repartition(*batch_cols)
     salt = F.pmod(F.hash(*df.columns), F.lit(files_per_batch))
     return df.repartition(*batch_cols, salt)

@@ -37,7 +37,7 @@ def clean_landed_files(spark: SparkSession, bronze_root: str, schema, clean: Cal
         cleaned = clean(batch).withColumn(EPOCH_COL, F.lit(epoch_id))
         accepted, rejected = split(cleaned, reason_col)
         for df, path in ((accepted, silver_path), (rejected, quarantine_path)):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*parts).parquet(path))
 
     return (stream.writeStream.foreachBatch(land)
