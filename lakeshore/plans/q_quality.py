@@ -1,8 +1,6 @@
 """Queries of data quality (expectations), profiling and the small analytic queries."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +9,10 @@ from lakeshore.operators import expect, profile
 from lakeshore.operators.contract import conform
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
-from lakeshore.plans.oracle import (ENRICHED_CTE, TRIP_CTES, WEATHER_CTES, register, rhu, with_all, with_trips)
+from lakeshore.plans.oracle import ENRICHED_CTE, WEATHER_CTES, register, rhu, with_all, with_trips
 from lakeshore.plans.pipelines import batch_loaded_at
 from lakeshore.plans.q_clean import silver, staged
-from lakeshore.plans.q_marts import enriched, holiday_rows
+from lakeshore.plans.q_marts import enriched
 from lakeshore.plans.q_series import silver_weather
 from lakeshore.sources.lookups import RATE_CODES
 from lakeshore.sources.tables import table
