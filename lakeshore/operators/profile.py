@@ -3,6 +3,7 @@ summaries; plus the small analytic queries (filtered count, distinct count, top
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -75,67 +76,111 @@ def with_bucket(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) ->
     return df
 
 
+def _in_ranges(vals: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """Rows of ``vals`` inside each (key, stat) range (lo, hi]; ``ranges`` is a small literal
+    frame (keys x probabilities rows), broadcast; an equi join on the key plus the range."""
+    r = F.broadcast(ranges.withColumnRenamed(key, "__rk"))
+    cond = ((F.col(key) == F.col("__rk"))
+            & (F.col("lo").isNull() | (F.col("v") > F.col("lo")))
+            & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
+    return vals.join(r, cond).drop("__rk")
+
+
 def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column", value: str = "v",
-                    buckets: int = 256, accuracy: int | None = None) -> DataFrame:
+                    buckets: int = 256, max_window_values: int = 1_000_000, max_levels: int = 12,
+                    stats: list | None = None) -> DataFrame:
     """Exact discrete quantiles per ``key`` of a long (key, value) frame: the smallest value
     whose cumulative share reaches p, i.e. the value of rank ceil(p * n) (p = 0 gives the
-    minimum). No full shuffle and nothing gathered in one place:
-
-    1. a sketch pass cuts each key's values into ~``buckets`` ranges of about equal rank;
-    2. a counting pass gives every range its row count (after map-side partial aggregation
-       each task ships at most ``buckets`` rows per key), hence its rank offset;
-    3. only the rows inside ranges that hold a wanted rank are kept (a broadcast semi join
-       with at most keys x probs ranges), grouped by value (a hot value becomes one row) and
-       ordered per (key, p) in their own window partition.
+    minimum). No full shuffle, and no task ever orders more than about ``max_window_values``
+    distinct values:
+
+    1. one sketch pass per key: row count, approximate distinct count and ``buckets - 1``
+       equal-rank cut points; each wanted rank starts with the key's whole range;
+    2. while a wanted rank's range holds more than ``max_window_values`` distinct values,
+       its rows are counted per sub-range of its cuts (tasks ship at most ``buckets`` rows per
+       range) and the range narrows to the sub-range holding the rank, whose cut points come
+       from one more sketch pass; only ranges, counts and cuts (keys x probs x buckets
+       numbers) reach the driver;
+    3. the rows inside each final range are grouped by value (a hot value is one row) and
+       ordered in their own window partition.
     Returns (key, stat, value)."""
+    spark = long.sparkSession
     vals = long.select(key, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    cuts = sketch(vals, key, buckets, accuracy).select(key, "cuts")
-    return _quantiles(vals, cuts, probs, key, buckets)
-
-
-def sketch(vals: DataFrame, key: str = "column", buckets: int = 256, accuracy: int | None = None) -> DataFrame:
-    """One pass per key: min, max and ``buckets - 1`` approximate equal-rank cut points."""
-    return vals.groupBy(key).agg(
-        F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile_approx("v", [i / buckets for i in range(1, buckets)], accuracy or 10 * buckets).alias("cuts"))
-
-
-def _quantiles(vals: DataFrame, cuts: DataFrame, probs: Sequence[float], key: str, buckets: int) -> DataFrame:
-    # one row per key holding a fixed-size array: bounded by the number of profiled columns
-    bucketed = with_bucket(vals.join(F.broadcast(cuts), key), "v", "cuts", buckets - 1, "b").select(key, "v", "b")
-    totals = bucketed.groupBy(key, "b").agg(F.count(F.lit(1)).alias("bc"))
-    offsets = totals.withColumn("before", F.coalesce(F.sum("bc").over(
-        Window.partitionBy(key).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    n = totals.groupBy(key).agg(F.sum("bc").alias("n"))
-    wanted = n.select(key, F.explode(F.array(*[
-        F.struct(F.lit(f"{p:g}").alias("stat"),
-                 F.greatest(F.lit(1), F.ceil(F.lit(Decimal(repr(p))) * F.col("n")).cast("long")).alias("r"))
-        for p in probs])).alias("w")).select(key, "w.stat", "w.r")
-    target = wanted.join(offsets, (wanted[key] == offsets[key]) & (F.col("r") > F.col("before"))
-                         & (F.col("r") <= F.col("before") + F.col("bc"))).select(
-        wanted[key], "b", "stat", (F.col("r") - F.col("before")).alias("k"))
-    in_target = (bucketed.join(F.broadcast(target), [key, "b"])            # keys x probs ranges
-                 .groupBy(key, "stat", "k", "v").agg(F.count(F.lit(1)).alias("c")))
-    ordered = in_target.withColumn("cum", F.sum("c").over(
+    cut_probs = [i / buckets for i in range(1, buckets)]
+
+    def sketch_aggs():
+        return [F.approx_count_distinct("v").alias("nd"),
+                F.percentile_approx("v", cut_probs, 10 * buckets).alias("cuts")]
+
+    if stats is None:
+        stats = vals.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min"),
+                                      F.max("v").alias("max"), *sketch_aggs()).collect()
+    cands = []
+    for row in stats:
+        for p in probs:
+            rank = max(1, math.ceil(Decimal(repr(p)) * row["n"]))
+            cands.append({"key": row[key], "stat": f"{p:g}", "lo": None, "hi": None, "k": rank,
+                          "nd": row["nd"], "cuts": list(row["cuts"])})
+    range_ddl = f"`{key}` string, stat string, lo double, hi double"
+    # Every range is narrowed at least once: sub-ranges of different ranks are disjoint, so a
+    # row meets about one range in the final pass (a whole-column range would meet them all).
+    pending = list(cands)
+    for _ in range(max_levels):
+        if not pending:
+            break
+        ranges = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"], c["cuts"]) for c in pending],
+                                       range_ddl + ", cuts array<double>")
+        inside = with_bucket(_in_ranges(vals, ranges, key), "v", "cuts", buckets - 1, "b")
+        counts = {(r[key], r["stat"], r["b"]): r["bc"] for r in
+                  inside.groupBy(key, "stat", "b").agg(F.count(F.lit(1)).alias("bc")).collect()}
+        for c in pending:
+            before = 0
+            for b in range(buckets):
+                bc = counts.get((c["key"], c["stat"], b), 0)
+                if before + bc >= c["k"]:
+                    lo = c["cuts"][b - 1] if b > 0 else c["lo"]
+                    hi = c["cuts"][b] if b < buckets - 1 else c["hi"]
+                    c.update(lo=lo, hi=hi, k=c["k"] - before, nd=bc)   # rows bound the distinct values
+                    break
+                before += bc
+        wide = [c for c in pending if c["nd"] > max_window_values]
+        if wide:   # cut points (and a distinct estimate) for ranges that are still too wide
+            narrowed = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"]) for c in wide], range_ddl)
+            for r in _in_ranges(vals, narrowed, key).groupBy(key, "stat").agg(*sketch_aggs()).collect():
+                for c in wide:
+                    if (c["key"], c["stat"]) == (r[key], r["stat"]):
+                        c.update(nd=r["nd"], cuts=list(r["cuts"]))
+        pending = [c for c in wide if c["nd"] > max_window_values]
+    final = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"], c["k"]) for c in cands],
+                                  range_ddl + ", k long")
+    in_final = _in_ranges(vals, final, key).groupBy(key, "stat", "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    ordered = in_final.withColumn("cum", F.sum("c").over(
         Window.partitionBy(key, "stat").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
     return ordered.filter(F.col("cum") >= F.col("k")).groupBy(key, "stat").agg(F.min("v").alias("value"))
 
 
-def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 256) -> DataFrame:
-    """(column, stat, value): min, exact discrete quantiles, max of every column; the columns
-    are stacked into one long frame so all of them share the same passes (min and max are
-    computed in the sketch pass's aggregate)."""
+def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 256,
+                  max_window_values: int = 1_000_000) -> DataFrame:
+    """(column, stat, value): min, exact discrete quantiles, max of every column. The columns
+    are stacked into one long frame, so all of them share the same passes; min and max come
+    from the first sketch pass. An all-null column reports null statistics."""
+    spark = df.sparkSession
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select("s.column", "s.v")
     vals = long.filter("v IS NOT NULL")
-    stats = sketch(vals, "column", buckets)
-    keys = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")   # all-null columns too
-    ends = keys.join(stats, "column", "left").select(
-        "column", F.explode(F.array(F.struct(F.lit("min").alias("stat"), F.col("min").alias("value")),
-                                    F.struct(F.lit("max").alias("stat"), F.col("max").alias("value")))).alias("s"),
-    ).select("column", "s.stat", "s.value")
-    return ends.unionByName(_quantiles(vals, stats.select("column", "cuts"), probs, "column", buckets))
+    stats = vals.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
+        F.approx_count_distinct("v").alias("nd"),
+        F.percentile_approx("v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("cuts")).collect()
+    seen = {r["column"]: r for r in stats}
+    ends = [(c, "min", seen[c]["min"] if c in seen else None) for c in cols]
+    ends += [(c, "max", seen[c]["max"] if c in seen else None) for c in cols]
+    ends += [(c, f"{p:g}", None) for c in cols if c not in seen for p in probs]
+    out = spark.createDataFrame(ends, "column string, stat string, value double")
+    if stats:
+        out = out.unionByName(exact_quantiles(long, probs, "column", "v", buckets, max_window_values, stats=stats))
+    return out
 
 
 def filtered_count(df: DataFrame, condition: Column | str, name: str = "n_rows") -> DataFrame:

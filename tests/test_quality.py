@@ -99,3 +99,17 @@ def test_run_batches_row_checks_over_one_source(spark):
         expect.Expectation("k_unique", expect.unique(df, "k"), "warn"),
     ]).collect()}
     assert out == {"k_not_null": (1, "fail"), "x_range": (1, "fail"), "x_pos": (0, "pass"), "k_unique": (0, "pass")}
+
+
+@pytest.mark.parametrize("max_window", [50, 10])
+def test_exact_quantiles_iterative_narrowing(spark, max_window):
+    """With a tiny per-task bound the ranges must be narrowed over several levels; the result
+    stays exact (brute force), hot value included."""
+    rnd = random.Random(7)
+    values = [3.0 if i % 3 == 0 else float(rnd.randint(0, 5000)) for i in range(4000)]
+    probs = [0.0, 0.01, 0.3, 0.5, 0.9, 0.999, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    long = df.select(F.lit("x").alias("column"), F.col("x").alias("v"))
+    got = {r.stat: r.value for r in profile.exact_quantiles(long, probs, buckets=8,
+                                                            max_window_values=max_window).collect()}
+    assert got == {f"{p:g}": brute_quantile(values, p) for p in probs}
