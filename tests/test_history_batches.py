@@ -163,3 +163,24 @@ def test_named_empty_month_kept_or_purged(spark, lake):
     incremental.build_incremental(spark, only_jan, lake, months=["2025-01", "2025-02"], purge_empty=True)
     got = sorted((str(r.source_month), r.x) for r in spark.read.parquet(lake).collect())
     assert got == [("2025-01", 1)]
+
+
+def test_late_reload_of_another_input_triggers_its_months(spark):
+    trips = spark.createDataFrame([("2025-01", dt.datetime(2025, 2, 1)), ("2025-02", dt.datetime(2025, 3, 1))],
+                                  "source_month string, loaded_at timestamp_ntz")
+    weather = spark.createDataFrame([("2025-01", dt.datetime(2025, 3, 15))], trips.schema)   # reloaded late
+    target = trips                                                                          # fact is current
+    assert incremental.changed_batches(trips, target).count() == 0
+    got = [r[0] for r in incremental.changed_batches(trips, target, extra_sources=[weather]).collect()]
+    assert got == ["2025-01"]
+
+
+def test_lookup_csv_keeps_na_text(spark):
+    from lakeshore.sources import lookups
+
+    path = scratch_path(spark, "zones-csv-test")
+    spark.createDataFrame([(264, "Unknown", "NV", "N/A"), (265, "N/A", "Outside of NYC", "N/A"), (1, "EWR", None, "EWR")],
+                          lookups.ZONE_DDL).coalesce(1).write.option("header", True).csv(path)
+    got = {r.location_id: r for r in lookups.read_lookup_csv(spark, path, lookups.ZONE_DDL).collect()}
+    assert got[265].borough == "N/A" and got[264].service_zone == "N/A"     # text, not null
+    assert got[1].zone is None                                              # an empty field is null
