@@ -43,21 +43,17 @@ def breakdown(df: DataFrame, by: str, groups: Mapping[str, Column]) -> DataFrame
 def approx_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10000
                    ) -> DataFrame:
     """(column, stat, value) with min, the approximate quantiles (bounded-memory sketch,
-    rank error about n / accuracy), max."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        parts.append(df.agg(
-            F.min(x).alias("min"), F.percentile_approx(x, list(probs), accuracy).alias("q"), F.max(x).alias("max")
-        ).select(F.lit(c).alias("column"), F.explode(F.array(
-            F.struct(F.lit("min").alias("stat"), F.col("min").alias("value")),
-            *[F.struct(F.lit(f"{p:g}").alias("stat"), F.col("q")[i].alias("value")) for i, p in enumerate(probs)],
-            F.struct(F.lit("max").alias("stat"), F.col("max").alias("value")),
-        )).alias("s")).select("column", "s.stat", "s.value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rank error about n / accuracy), max; all columns stacked into one aggregate (one scan)."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
+    ).select("s.column", "s.v")
+    agg = long.groupBy("column").agg(F.min("v").alias("min"), F.max("v").alias("max"),
+                                     F.percentile_approx("v", list(probs), accuracy).alias("q"))
+    return agg.select("column", F.explode(F.array(
+        F.struct(F.lit("min").alias("stat"), F.col("min").alias("value")),
+        *[F.struct(F.lit(f"{p:g}").alias("stat"), F.col("q")[i].alias("value")) for i, p in enumerate(probs)],
+        F.struct(F.lit("max").alias("stat"), F.col("max").alias("value")),
+    )).alias("s")).select("column", "s.stat", "s.value")
 
 
 def with_bucket(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) -> DataFrame:
