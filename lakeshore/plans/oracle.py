@@ -319,7 +319,7 @@ dim_date AS (
 
 MART_CTE = f"""
 by_hour AS (
-  SELECT pickup_hour, count(*) AS trips, sum(passenger_count) AS passengers,
+  SELECT pickup_hour, count(*) AS trips, CAST(sum(passenger_count) AS BIGINT) AS passengers,
     {rhu("avg(duration_min)", 2)} AS avg_duration_min,
     {rhu("avg(trip_distance_miles)", 2)} AS avg_distance_miles,
     {rhu("avg(CAST(total_amount AS DOUBLE))", 2)} AS avg_total_amount,

@@ -175,5 +175,5 @@ def q_reconcile_totals(spark: SparkSession, root: str) -> DataFrame:
 
 register("reconcile_totals", with_all("""
 SELECT fct_trips, agg_trips FROM
-  (SELECT count(*) AS fct_trips FROM fct) CROSS JOIN (SELECT sum(trips) AS agg_trips FROM mart)
+  (SELECT count(*) AS fct_trips FROM fct) CROSS JOIN (SELECT CAST(sum(trips) AS BIGINT) AS agg_trips FROM mart)
 WHERE fct_trips IS DISTINCT FROM agg_trips""", ENRICHED_CTE, FCT_CTE, DIM_DATE_CTE, MART_CTE))
