@@ -50,6 +50,15 @@ def relationships(df: DataFrame, col: str, ref: DataFrame, ref_col: str) -> Data
     return df.filter(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("__ref"), "left_anti")
 
 
+def with_reference_flag(df: DataFrame, col: str, ref: DataFrame, ref_col: str, flag: str) -> DataFrame:
+    """``df`` plus a boolean ``flag``: its non-null ``col`` has no match in ``ref.ref_col``.
+    The relationship test becomes a row-level condition, so it can be counted in the same
+    scan as the other row checks (the distinct reference keys are joined once)."""
+    keys = ref.select(F.col(ref_col).alias(f"__{flag}")).distinct()
+    joined = df.join(keys, F.col(col) == F.col(f"__{flag}"), "left")
+    return joined.withColumn(flag, F.col(col).isNotNull() & F.col(f"__{flag}").isNull()).drop(f"__{flag}")
+
+
 def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     return df.filter(accepted_values_condition(col, values))
 

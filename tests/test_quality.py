@@ -113,3 +113,11 @@ def test_exact_quantiles_iterative_narrowing(spark, max_window):
     got = {r.stat: r.value for r in profile.exact_quantiles(long, probs, buckets=8,
                                                             max_window_values=max_window).collect()}
     assert got == {f"{p:g}": brute_quantile(values, p) for p in probs}
+
+
+def test_reference_flag_matches_relationships(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (2,)], "k int")
+    ref = spark.createDataFrame([(1,), (1,)], "id int")                 # duplicates in the reference
+    flagged = expect.with_reference_flag(df, "k", ref, "id", "orphan")
+    assert flagged.count() == df.count()                               # no row multiplied
+    assert flagged.filter("orphan").count() == expect.relationships(df, "k", ref, "id").count() == 2
