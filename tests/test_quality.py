@@ -121,3 +121,12 @@ def test_reference_flag_matches_relationships(spark):
     flagged = expect.with_reference_flag(df, "k", ref, "id", "orphan")
     assert flagged.count() == df.count()                               # no row multiplied
     assert flagged.filter("orphan").count() == expect.relationships(df, "k", ref, "id").count() == 2
+
+
+def test_exact_summary_all_null_and_empty(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None)], "a double, b double")
+    got = {(r.column, r.stat): r.value for r in profile.exact_summary(df, ["a", "b"], [0.5]).collect()}
+    assert got[("a", "0.5")] == 2.0 and got[("b", "min")] is None and got[("b", "0.5")] is None
+    empty = spark.createDataFrame([], "a double")
+    got = {(r.column, r.stat): r.value for r in profile.exact_summary(empty, ["a"], [0.5]).collect()}
+    assert got == {("a", "min"): None, ("a", "max"): None, ("a", "0.5"): None}

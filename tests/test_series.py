@@ -95,3 +95,12 @@ def test_bad_time_text_becomes_null_not_failure(spark):
                                                  "precipitation": [0.0, 0.0], "rain": [0.0, 0.0], "snowfall": [0.0, 0.0],
                                                  "wind_speed_10m": [1.0, 1.0], "weather_code": [0, 0]})], DDL)
     assert [r.utc_time for r in series.explode_series(d).collect()] == [dt.datetime(2025, 1, 1), None]
+
+
+def test_validate_documents_reports_missing_fields(spark):
+    ddl = ("year int, month int, timezone string, hourly struct<time: array<string>, "
+           "temperature_2m: array<double>, precipitation: array<double>>")
+    d = spark.createDataFrame([(2025, 2, "GMT", {"time": ["2025-02-01T00:00"], "temperature_2m": [1.0],
+                                                 "precipitation": [0.0]})], ddl)
+    r = series.validate_documents(d).first()
+    assert r.missing_fields == "rain,snowfall,wind_speed_10m,weather_code" and not r.valid
