@@ -59,12 +59,14 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder created and
-    registered, so that ``DataFrame.checkpoint()`` works as well.
+    Only in local mode, when the session names none (tests), is a private folder created and
+    registered; on a cluster an unset directory is an error, never a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor and the driver share")
+        root = tempfile.mkdtemp(prefix="lakeshore-ckpt-")   # local mode only (tests)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
