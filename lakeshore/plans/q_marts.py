@@ -143,20 +143,23 @@ def q_hourly_demand(spark: SparkSession, root: str) -> DataFrame:
 register("hourly_demand", with_all("SELECT * FROM by_hour", ENRICHED_CTE, FCT_CTE, DIM_DATE_CTE, MART_CTE))
 
 
-def mart(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(fact, hourly aggregate, mart): weather and holidays written once; the mart reads them
-    and the hourly aggregate of the fact, which is also written once (it feeds the mart and
-    the date dimension's range)."""
-    w, h = dimension_tables(spark, root, [warehouse.zones_lookup_check(standins.zones(spark, root))])
-    f = warehouse.fact_trips(warehouse.enrich_trips(spark, staged(spark, root), w, standins.zones(spark, root), h,
-                                                    stored_dims=True, zones_verified=True))
-    by_hour = materialize(spark, facts.hourly_demand(f, "pickup_hour"), "hourly-demand")
-    return f, by_hour, warehouse.hourly_mart(spark, f, w, h, by_hour=by_hour)
+def mart(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(hourly aggregate, mart). The hourly aggregate reads only trip columns that exist
+    before enrichment, and enrichment keeps every trip exactly once (left joins on unique
+    keys; see expect_equal_rowcount), so it is computed from the staged trips: one job that
+    runs alongside the weather and holiday writes. It is written once and feeds both the mart
+    and the date dimension's range."""
+    coded = warehouse.weather_with_codes(silver_weather(spark, root), lookups.weather_codes(spark))
+    t = materialize_all(spark, {"silver-weather": coded,
+                                "holidays-region": holidays_region(spark, root),
+                                "hourly-demand": facts.hourly_demand(staged(spark, root), "pickup_hour")})
+    by_hour = t["hourly-demand"]
+    return by_hour, warehouse.hourly_mart(spark, None, t["silver-weather"], t["holidays-region"], by_hour=by_hour)
 
 
 @query("hourly_mart")
 def q_hourly_mart(spark: SparkSession, root: str) -> DataFrame:
-    return mart(spark, root)[2]
+    return mart(spark, root)[1]
 
 
 register("hourly_mart", with_all("SELECT * FROM mart", ENRICHED_CTE, FCT_CTE, DIM_DATE_CTE, MART_CTE))
@@ -166,7 +169,7 @@ register("hourly_mart", with_all("SELECT * FROM mart", ENRICHED_CTE, FCT_CTE, DI
 def q_reconcile_totals(spark: SparkSession, root: str) -> DataFrame:
     """Failing rows of "hourly totals add back up to the fact's trips": a trip whose pickup
     hour has no weather row (the skipped spring-forward hour) vanishes from the mart."""
-    _, by_hour, m = mart(spark, root)
+    by_hour, m = mart(spark, root)
     # every fact row is counted in exactly one hourly group (a null hour is a group too), so
     # the stored hourly aggregate's total is the fact's row count: the fact is read once
     return facts.totals_mismatch(by_hour, m, F.sum("trips"), F.sum("trips"),

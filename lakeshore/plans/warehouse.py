@@ -130,7 +130,7 @@ MART_COLUMNS = [
 ]
 
 
-def hourly_mart(spark: SparkSession, fact: DataFrame, weather: DataFrame, holidays_region: DataFrame,
+def hourly_mart(spark: SparkSession, fact: DataFrame | None, weather: DataFrame, holidays_region: DataFrame,
                 by_hour: DataFrame | None = None) -> DataFrame:
     """One row per weather hour: trip counts and means of that hour next to its weather.
     Anchored on weather: an hour without trips has trips = 0 and airport_trips = 0, the
