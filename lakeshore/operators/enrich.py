@@ -40,12 +40,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1"))
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> None:
-    dups = duplicate_keys(df, keys).limit(5).collect()  # at most 5 small rows reach the driver
-    if dups:
-        raise UniquenessError(f"{what}: key {list(keys)} is not unique, e.g. {[tuple(r) for r in dups]}")
-
-
 def assert_all_unique(lookups: Sequence["Lookup"]) -> None:
     """Verify several lookups' keys in one job: a union of (lookup, duplicated key count),
     at most a few small rows per lookup reach the driver."""

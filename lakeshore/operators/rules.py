@@ -84,7 +84,3 @@ def observe_split(df: DataFrame, name: str = "split", reason_col: str = "reject_
 class ReconcileError(RuntimeError):
     pass
 
-
-def check_reconciled(source_rows: int, *part_rows: int) -> None:
-    if source_rows != sum(part_rows):
-        raise ReconcileError(f"row counts do not reconcile: {source_rows} != {' + '.join(map(str, part_rows))}")

@@ -29,10 +29,6 @@ def weather_table(spark: SparkSession, root: str) -> DataFrame:
     return materialize(spark, silver_weather(spark, root), "silver-weather")
 
 
-def holidays_table(spark: SparkSession, root: str) -> DataFrame:
-    return materialize(spark, holidays_region(spark, root), "holidays-region")
-
-
 def dimension_tables(spark: SparkSession, root: str, checks=()) -> tuple[DataFrame, DataFrame]:
     """(weather, holidays) written once per run, as two concurrent jobs (plus ``checks``)."""
     # weather is stored with its code names joined: the stored table's statistics are then

@@ -97,3 +97,17 @@ def test_totals_mismatch(spark):
     assert facts.totals_mismatch(a, b, F.count(F.lit(1)), F.sum("trips")).count() == 1
     c = spark.createDataFrame([(2,), (3,)], "trips long")
     assert facts.totals_mismatch(a, c, F.count(F.lit(1)), F.sum("trips")).count() == 0
+
+
+def test_bounded_broadcast_and_named_views(spark):
+    from lakeshore.operators.enrich import bounded_broadcast
+    from lakeshore.sources.tables import register_views
+
+    small = bounded_broadcast(spark.range(10), 10)
+    big = bounded_broadcast(spark.range(11), 10)
+    fact = spark.range(1000)
+    assert "BroadcastHashJoin" in fact.join(small, "id")._jdf.queryExecution().executedPlan().toString()
+    assert big.count() == 11
+    register_views(spark, "/root/testdata/sf0.001", ["nation", "region"])
+    n = spark.sql("SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey").first()[0]
+    assert n == 25
