@@ -78,10 +78,11 @@ def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check:
     """One scheduled history run against a stored history at ``root``, touching only what
     can change. The table is partitioned by ``version_state``: 'open' holds current versions,
     'closed <run instant>' the versions a run closed. A run reads only the open partition,
-    then (1) stages its result in the shared scratch area, (2) writes the versions it closes
-    into its own closed partition, (3) replaces the open partition. Closed history is never
-    rewritten, and a run repeated after a failure rewrites the same two partitions with the
-    same rows (idempotent). Returns the stored history (all versions)."""
+    stages its result in the shared scratch area (the open partition is read and then
+    replaced), and writes it back in one job that replaces exactly the open partition and
+    this run's closed partition. Closed history is never rewritten, and a run repeated after
+    a failure rewrites the same two partitions with the same rows (idempotent). Returns the
+    stored history (all versions)."""
     from lakeshore.session import scratch_path
 
     open_ = None
@@ -95,9 +96,8 @@ def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check:
         F.concat(F.lit("closed "), F.col("valid_to").cast("string")))
     stage = stage or scratch_path(spark, "history-run")
     result.withColumn(STATE_COL, tag).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    writer = lambda df: (df.hint("rebalance", STATE_COL).write.mode("overwrite")
-                         .option("partitionOverwriteMode", "dynamic").partitionBy(STATE_COL).parquet(root))
-    writer(staged.filter(F.col(STATE_COL) != OPEN))
-    writer(staged.filter(F.col(STATE_COL) == OPEN))
+    # one job replaces exactly the partitions present in the staged rows: 'open' and this
+    # run's 'closed <instant>' (dynamic overwrite); earlier closed partitions are untouched
+    (spark.read.parquet(stage).hint("rebalance", STATE_COL).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(STATE_COL).parquet(root))
     return spark.read.parquet(root)
