@@ -87,7 +87,7 @@ def materialize(spark: SparkSession, df, name: str):
     cut (an executor lost later does not recompute the upstream plan)."""
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)    # the schema just written: no inference
 
 
 def materialize_all(spark: SparkSession, frames: dict, also=()):
