@@ -6,6 +6,7 @@ what makes a broadcast of them safe at any data size.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Payment type codes and names.
 PAYMENT_TYPES = [
@@ -70,16 +71,30 @@ WEATHER_CODE_DDL = "weather_code int, weather_description string, weather_catego
 ZONE_DDL = "location_id int, borough string, zone string, service_zone string"
 
 
+def inline(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A fixed list as an inline VALUES relation: a local relation whose exact (tiny) size the
+    planner knows, so joins against it are planned as broadcasts even before any hint."""
+    fields = [f.strip().split(None, 1) for f in ddl.split(",")]
+
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"`{n}`" for n, _ in fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})").select(
+        *[F.col(f"`{n}`").cast(t).alias(n) for n, t in fields])
+
+
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, PAYMENT_DDL)
+    return inline(spark, PAYMENT_TYPES, PAYMENT_DDL)
 
 
 def rate_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODES, RATE_DDL)
+    return inline(spark, RATE_CODES, RATE_DDL)
 
 
 def weather_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(WEATHER_CODES, WEATHER_CODE_DDL)
+    return inline(spark, WEATHER_CODES, WEATHER_CODE_DDL)
 
 
 def read_lookup_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
