@@ -50,17 +50,20 @@ def stage_trips(silver: DataFrame, loaded_at: Column | None = None) -> DataFrame
 LAYER_COL = "layer"
 
 
-def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI) -> DataFrame:
+def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, conformed: bool = False) -> DataFrame:
     """Clean many raw batches and publish accepted and quarantined rows in ONE pass over the
     input: a single write partitioned by (layer, batch columns), replacing exactly the
     batches present (dynamic overwrite). Row counts are observed during that write, then
     reconciled against what the files on disk hold (Parquet footer counts): input =
     accepted + quarantined, per batch. Returns the per-batch reconciliation read from disk.
 
-    Accepted rows are ``<root>/layer=accepted``, quarantined ``<root>/layer=quarantined``."""
+    Accepted rows are ``<root>/layer=accepted``, quarantined ``<root>/layer=quarantined``.
+    ``conformed=True`` takes rows already conformed to the contract (``read_batches``)."""
     from lakeshore.operators.rules import ReconcileError, observe_split
 
-    cleaned = clean_trips(raw, p)
+    from lakeshore.plans.trips import clean_conformed
+
+    cleaned = clean_conformed(raw, p) if conformed else clean_trips(raw, p)
     layered = cleaned.withColumn(
         LAYER_COL, F.when(F.col("reject_reason").isNull(), "accepted").otherwise("quarantined"))
     observed, obs = observe_split(layered, "publish_clean", batch_cols=p.batch_cols)

@@ -119,11 +119,15 @@ def footer_schemas(spark: SparkSession, folders: dict[str, str], threads: int =
 
 
 def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequence[Field],
-                 period_col: str = "period") -> DataFrame:
+                 period_col: str = "period", base_path: str | None = None, keep: Sequence[str] = ()
+                 ) -> DataFrame:
     """Read many batch folders whose files drift (renamed case, changed type, missing
     column): folders are grouped by footer schema, each group is read in one scan and
     conformed to ``contract``, and the groups are unioned by name. (A single multi-file
-    read of mixed schemas fails on type conflicts, even with mergeSchema.)"""
+    read of mixed schemas fails on type conflicts even with mergeSchema, and where it works
+    a column missing from some files reads as null there, so a contract default would never
+    apply.) With ``base_path`` the folder columns (e.g. year, month) are discovered and the
+    ones named in ``keep`` are carried through."""
     schemas = footer_schemas(spark, folders).collect()   # metadata rows only
     by_folder: dict[str, list] = defaultdict(list)
     for r in schemas:
@@ -134,9 +138,10 @@ def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequenc
     out = None
     for _, periods in sorted(groups.items(), key=lambda kv: sorted(kv[1])):
         paths = [folders[p] for p in sorted(periods)]
-        part = (spark.read.parquet(*paths)
+        reader = spark.read.option("basePath", base_path) if base_path else spark.read
+        part = (reader.parquet(*paths)
                 .withColumn(period_col, F.regexp_extract(F.col("_metadata.file_path"), r"=([^/]+)/[^/]*$", 1)))
-        part = conform(part, contract, keep=[period_col])
+        part = conform(part, contract, keep=[period_col, *keep])
         out = part if out is None else out.unionByName(part)
     return out
 
