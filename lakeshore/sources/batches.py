@@ -27,7 +27,8 @@ def spread(df: DataFrame, batch_cols: Sequence[str], files_per_batch: int | None
       a third of the rows) over several tasks;
     - ``0``: write the upstream partitions as they are (no shuffle), for inputs that are
       already clustered by batch;
-    - ``n``: exactly ``n`` tasks per batch, split by a deterministic row hash."""
+    - ``n``: up to ``n`` tasks per batch, split by a deterministic row hash (adaptive execution
+      may still merge partitions that are small)."""
     if files_per_batch is None:
         return df.hint("rebalance", *batch_cols)
     if files_per_batch == 0:
