@@ -127,8 +127,9 @@ def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequenc
     conformed to ``contract``, and the groups are unioned by name. (A single multi-file
     read of mixed schemas fails on type conflicts even with mergeSchema, and where it works
     a column missing from some files reads as null there, so a contract default would never
-    apply.) With ``base_path`` the folder columns (e.g. year, month) are discovered and the
-    ones named in ``keep`` are carried through."""
+    apply.) ``period_col`` holds the value of each file's innermost ``key=value`` folder; with
+    ``base_path`` all folder columns (e.g. year, month) are discovered and the ones named in
+    ``keep`` are carried through."""
     schemas = footer_schemas(spark, folders).collect()   # metadata rows only
     by_folder: dict[str, list] = defaultdict(list)
     for r in schemas:
