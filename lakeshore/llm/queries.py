@@ -1,16 +1,18 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import quality
+from . import decontaminate, quality
 
 
 def queries() -> dict:
     return {
         "op6_quality_rules": quality.query,
+        "op8_benchmark_decontamination": decontaminate.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": quality.ORACLE,
+        "op8_benchmark_decontamination": decontaminate.ORACLE,
     }
