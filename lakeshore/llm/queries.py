@@ -1,13 +1,14 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import decontaminate, quality
+from . import decontaminate, licenses, quality
 
 
 def queries() -> dict:
     return {
         "op6_quality_rules": quality.query,
         "op8_benchmark_decontamination": decontaminate.query,
+        "op10_license_scans": licenses.query,
     }
 
 
@@ -15,4 +16,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": quality.ORACLE,
         "op8_benchmark_decontamination": decontaminate.ORACLE,
+        "op10_license_scans": licenses.oracle(),
     }
