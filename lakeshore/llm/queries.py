@@ -1,11 +1,12 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import decontaminate, licenses, quality
+from . import bpe, decontaminate, licenses, quality
 
 
 def queries() -> dict:
     return {
+        "op1_bpe_codec": bpe.query,
         "op6_quality_rules": quality.query,
         "op8_benchmark_decontamination": decontaminate.query,
         "op10_license_scans": licenses.query,
