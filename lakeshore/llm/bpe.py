@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import table
+from .common import ship, table
 
 BATCH_CHARS = 8_000_000
 CACHE_PIECES = 800_000
@@ -245,6 +245,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     """``docs`` plus ``out``: the token ids of column ``text`` (an existing ``out`` is an error)."""
     if out in docs.columns:
         raise ValueError(f"column {out!r} exists")
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches):
@@ -263,6 +264,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     """``rows`` plus ``out``: the text of the token ids; bytes that are no UTF-8 become U+FFFD."""
     if out in rows.columns:
         raise ValueError(f"column {out!r} exists")
+    ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def texts(v: Vocabulary, col: pa.ListArray) -> pa.Array:

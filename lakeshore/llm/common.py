@@ -1,6 +1,10 @@
 """Small helpers the operators share: word splitting, fresh column names, scratch tables."""
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,5 +41,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever they run (once a context)."""
+    context = spark.sparkContext
+    if getattr(context, "_lakeshore_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    with tempfile.NamedTemporaryFile(prefix="lakeshore-", suffix=".zip", delete=False) as f:
+        with zipfile.ZipFile(f, "w") as z:      # only the driver reads it, to serve it to the workers
+            for source in sorted(root.rglob("*.py")):
+                z.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(f.name)
+    context._lakeshore_shipped = True
+
+
 def parallel(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

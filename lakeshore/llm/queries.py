@@ -1,12 +1,13 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, quality
+from . import bpe, decontaminate, licenses, quality, warc
 
 
 def queries() -> dict:
     return {
         "op1_bpe_codec": bpe.query,
+        "op3_warc_bundles": warc.query,
         "op6_quality_rules": quality.query,
         "op8_benchmark_decontamination": decontaminate.query,
         "op10_license_scans": licenses.query,
@@ -15,6 +16,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_warc_bundles": warc.ORACLE,
         "op6_quality_rules": quality.ORACLE,
         "op8_benchmark_decontamination": decontaminate.ORACLE,
         "op10_license_scans": licenses.oracle(),
