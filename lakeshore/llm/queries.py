@@ -1,15 +1,17 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, quality, warc
+from . import bpe, decontaminate, licenses, quality, substring, suffix, warc
 
 
 def queries() -> dict:
     return {
         "op1_bpe_codec": bpe.query,
+        "op2_substring_dedup": substring.query,
         "op3_warc_bundles": warc.query,
         "op6_quality_rules": quality.query,
         "op8_benchmark_decontamination": decontaminate.query,
+        "op9_suffix_dedup": suffix.query,
         "op10_license_scans": licenses.query,
     }
 
