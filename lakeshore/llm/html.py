@@ -1,0 +1,210 @@
+"""Main-text extraction by the maximum-scoring subsequence of a page's words and tags.
+
+A page becomes a sequence of pieces: words score positive, tags negative. The weights come from
+labelled pages, those whose markup names one article: for each (element, surrounding section) the share of
+words and tags that lie inside. A word scores that share, a tag costs ``TAG_COST`` plus ``OUTSIDE_COST`` times
+the share outside. One linear scan finds the contiguous region of the largest score; its blocks are
+returned without those inside sections that are never article text (menus, forms, comments, ...).
+
+``fit`` reads at most ``SAMPLE`` labelled pages (those with the smallest hash of their page_id); everything else is one scan without
+a shuffle. Every page is read whole.
+
+Null html is empty; a page without words gives the empty text. Repeated rows get equal results, an empty
+table none (the weights then fall back to priors).
+"""
+from __future__ import annotations
+
+import html as entities
+import re
+from collections import Counter
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from .common import ship, table
+
+SAMPLE = 2000            # labelled pages used to learn the weights
+LEAST_SEEN = 20          # words or tags behind a weight of its own
+TAG_COST, OUTSIDE_COST = 0.2, 3.0
+RAW = "script|style|textarea|title|noscript|template|svg|iframe|select|object|canvas|math|audio|video"
+TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
+                   "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary "
+                   "table tbody td tfoot th thead tr ul".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CLOSES_P = BLOCKS - {"body", "html", "head", "option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "summary", "legend"}
+NEVER = frozenset("nav footer aside form menu dialog head button label fieldset".split())
+WORDS = re.compile(r"[^\W_]+")
+NOISE = re.compile(r"^(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|menu|nav\w*|breadcrumbs?|side-?bar|widget|foot(er)?|comments?|"
+                   r"reply|replies|respond|disqus|discussion|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
+                   r"subscribe|signup|login|share|sharing|social|related|recommend\w*|more-?stories|masthead|pagination|pager|toolbar|"
+                   r"search|copyright|legal|disclaimer|tags?|skip-?link|toc)$", re.I)
+MAIN = re.compile(r"^(article\w*|post|entry|story|main|content)$", re.I)
+ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+
+
+def section(tag: str, attributes: str, inside_main: bool) -> str | None:
+    """'noise', 'main' or None: what the element says about the text in it."""
+    if tag in NEVER or tag == "header" and not inside_main:
+        return "noise"
+    names = [n for m in ATTRIBUTE.finditer(attributes) for n in re.split(r"[\s]+", next(x for x in m.groups()[1:] if x is not None))]
+    parts = [p for n in names for p in {n, *re.split(r"[-_]+", n)}] if attributes else []
+    if tag not in ("html", "body") and any(NOISE.match(p) for p in parts) and not any(MAIN.match(n) for n in names):
+        return "noise"
+    if tag in ("article", "main") or any(MAIN.match(n) for n in names):
+        return "main"
+    return None
+
+
+def pieces(page: str):
+    """(kind, key, value, noise, main) in page order: kind 't' a tag, 'w' text, 'b' a block boundary
+    before the piece; key is 'element|section'; noise tells text that is never main text."""
+    stack: list[tuple[str, str | None]] = []
+    marks = {"noise": 0, "main": 0}
+
+    def pop(to: int) -> None:
+        while len(stack) > to:
+            _, mark = stack.pop()
+            if mark:
+                marks[mark] -= 1
+
+    def key() -> str:
+        where = next((m or t for t, m in reversed(stack) if m or t in ("section", "div", "td", "li")), "")
+        return f"{stack[-1][0] if stack else ''}|{where}"
+
+    for m in TOKEN.finditer(page):
+        tag = m[3]
+        if tag:
+            tag = tag.lower()
+            if m[2]:
+                yield "t", f"{tag}|{key().partition('|')[2]}", tag in BLOCKS, marks["noise"] > 0, marks["main"] > 0
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        pop(i)
+                        break
+                continue
+            if tag in ("body", "article", "main"):      # an unclosed head, menu or the like ends here
+                while marks["noise"]:
+                    pop(len(stack) - 1)
+            if tag in CLOSES_P:
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == "p":
+                        pop(i)
+                        break
+                    if stack[i][0] in BLOCKS:
+                        break
+            if tag not in VOID and not m[4].endswith("/"):
+                mark = section(tag, m[4], marks["main"] > 0)
+                stack.append((tag, mark))
+                if mark:
+                    marks[mark] += 1
+            yield "t", f"{tag}|{key().partition('|')[2]}", " " if tag == "br" else tag in BLOCKS, marks["noise"] > 0, marks["main"] > 0
+        elif m[0][0] != "<" or m[0] == "<":
+            yield "w", key(), m[0], marks["noise"] > 0, marks["main"] > 0
+
+
+def count(page: str) -> Counter:
+    """(kind, key, inside) -> words or tags of a labelled page; nothing if it names no article or several."""
+    found: Counter = Counter()
+    if len(re.findall(r"<article\b", page, re.I)) != 1:
+        return found
+    for kind, key, value, noise, main in pieces(page):
+        n = len(WORDS.findall(value)) if kind == "w" else 1
+        if n:
+            found[kind, key, main and not noise] += n
+    return found
+
+
+def weights(counts: dict) -> dict[str, float]:
+    """Share inside the article, by kind and key, with coarser keys behind it: 'w:p|main', 'w:|main', 'w:p|'."""
+    sums: dict[str, list[int]] = {}
+    for (kind, key, inside), n in counts.items():
+        tag, _, where = key.partition("|")
+        for k in (f"{kind}:{key}", f"{kind}:|{where}", f"{kind}:{tag}|*"):
+            sums.setdefault(k, [0, 0])[bool(inside)] += n
+    return {k: b / (a + b) for k, (a, b) in sums.items() if a + b >= LEAST_SEEN}
+
+
+def share(learned: dict, kind: str, key: str) -> float:
+    tag, _, where = key.partition("|")
+    for k in (f"{kind}:{key}", f"{kind}:|{where}", f"{kind}:{tag}|*"):
+        if k in learned and not (k.endswith("|") and where):
+            return learned[k]
+    return {"noise": 0.02, "main": 0.95}.get(where, 0.1 if tag in ("li", "a") else 0.6)
+
+
+def extract(page: str, learned: dict, cache: dict) -> str:
+    """Main text of a page: the best region, block by block."""
+    best = run = 0.0
+    low = start = 0
+    high, items = -1, list(pieces(page))
+    for i, (kind, key, value, _, _) in enumerate(items):
+        s = cache.get((kind, key))
+        if s is None:
+            p = share(learned, kind, key)
+            s = cache[kind, key] = max(p, 0.02) if kind == "w" else -(TAG_COST + OUTSIDE_COST * (1 - p))
+        score = s * len(WORDS.findall(value)) if kind == "w" else s
+        run += score
+        if run <= 0:
+            run, start = 0.0, i + 1
+        elif run > best:
+            best, low, high = run, start, i
+    blocks, text = [], []
+    for kind, _, value, noise, _ in items[low:high + 1]:
+        if kind == "w":
+            if not noise:
+                text.append(value)
+        elif value is True:
+            blocks.append("".join(text))
+            text = []
+        elif value == " ":
+            text.append(" ")
+    blocks.append("".join(text))
+    clean = (" ".join(entities.unescape(b).split()) for b in blocks)
+    return "\n".join(b for b in clean if b)
+
+
+def fit(pages: DataFrame) -> dict[str, float]:
+    """Weights from at most ``SAMPLE`` labelled pages; counts are summed per task, then by key."""
+    ship(pages.sparkSession)
+    named = pages.where(F.lower("html").contains("<article"))
+    smallest = [r.h for r in named.select(F.xxhash64("page_id", "url").alias("h")).orderBy("h").limit(SAMPLE).collect()]
+    if not smallest:
+        return {}
+    sample = named.where(F.xxhash64("page_id", "url") <= smallest[-1]).select("html")
+
+    def run(batches):
+        for batch in batches:
+            total: Counter = Counter()
+            for x in batch.column(0):
+                total.update(count(x.as_py()))
+            rows = [(kind, key, inside, n) for (kind, key, inside), n in total.items()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["kind", "name", "inside", "n"])
+
+    summed = sample.mapInArrow(run, "kind string, name string, inside boolean, n bigint").groupBy("kind", "name", "inside").sum("n")
+    return weights({(r[0], r[1], r[2]): r[3] for r in summed.collect()})      # elements times sections
+
+
+def main_text(pages: DataFrame, learned: dict[str, float], out: str = "text") -> DataFrame:
+    """``pages`` plus ``out``, the main text of column html."""
+    if out in pages.columns:
+        raise ValueError(f"column {out!r} exists")
+    ship(pages.sparkSession)
+
+    def run(batches):
+        cache: dict = {}
+        for batch in batches:
+            texts = pa.array([extract(x.as_py() or "", learned, cache) for x in batch.column("html")], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, out])
+
+    return pages.mapInArrow(run, StructType([*pages.schema.fields, StructField(out, StringType())]))
+
+
+def query(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text(pages, fit(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
