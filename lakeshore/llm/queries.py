@@ -1,7 +1,7 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, maintext, quality, substring, suffix, warc
+from . import bpe, decontaminate, licenses, maintext, quality, substring, suffix, toxicity, warc
 
 
 def queries() -> dict:
@@ -9,6 +9,7 @@ def queries() -> dict:
         "op1_bpe_codec": bpe.query,
         "op2_substring_dedup": substring.query,
         "op3_warc_bundles": warc.query,
+        "op4_toxicity": toxicity.query,
         "op5_main_text": maintext.query,
         "op6_quality_rules": quality.query,
         "op8_benchmark_decontamination": decontaminate.query,
