@@ -1,7 +1,7 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, maintext, quality, substring, suffix, toxicity, warc
+from . import bpe, decontaminate, licenses, maintext, neardup, quality, substring, suffix, toxicity, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_toxicity": toxicity.query,
         "op5_main_text": maintext.query,
         "op6_quality_rules": quality.query,
+        "op7_minhash_near_dedup": neardup.query,
         "op8_benchmark_decontamination": decontaminate.query,
         "op9_suffix_dedup": suffix.query,
         "op10_license_scans": licenses.query,

@@ -39,11 +39,9 @@ def _powers(n: int) -> np.ndarray:
     return p
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of the texts, and where each text's words end: a polynomial over
-    the hashes of a word's bytes, mixed with its length."""
-    flat, edges = suffix.tokens(texts)
-    word = ~_SPACE[flat]
+def word_hashes(flat: np.ndarray, word: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs of bytes with mask ``word``) of the texts, and where each
+    text's words end: a polynomial over the hashes of a word's bytes, mixed with its length."""
     # a word starts at a letter after a space or at a text's start
     start = word.copy()
     start[1:] &= ~word[:-1]
@@ -61,6 +59,12 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return join_hashes(h, sizes.astype(np.uint64)), np.searchsorted(first, edges)
 
 
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words between white space, and where each text's words end."""
+    flat, edges = suffix.tokens(texts)
+    return word_hashes(flat, ~_SPACE[flat], edges)
+
+
 class CountMin:
     """Count-min sketch whose counters saturate at 2: is a key seen twice or more?"""
 
