@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import ship, table
+from .common import fresh, ship, table
 
 BATCH_CHARS = 8_000_000
 CACHE_PIECES = 800_000
@@ -287,6 +287,17 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
 
 
+def tokenize(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``ids`` and ``n_tokens``, and as text what the ids decode to. A column of ``docs`` with one of
+    these names gives way; null text becomes the empty text."""
+    names = [c for c in docs.columns if c.lower() not in ("ids", "n_tokens")]
+    out = fresh(docs, "__decoded")
+    ids = encode(docs.select(*[F.col(f"`{c}`") for c in names]), path).drop("text")
+    new = {"text": F.col(out).alias("text")}
+    return decode(ids, path, out=out).select(*[new.get(c, F.col(f"`{c}`")) for c in names],
+                                             F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 def default_path() -> str:
     import public_tokenizers
 

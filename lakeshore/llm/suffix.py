@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import repeats
 from .anchors import gather, gram_hashes
-from .common import table
+from .common import fresh, table
 
 LENGTH = 100
 ANCHOR = 32              # bytes of an anchor's q-gram
@@ -114,6 +114,21 @@ def dedup(docs: DataFrame, search: repeats.Search = SEARCH) -> DataFrame:
     return repeats.apply(docs, repeats.find(docs, search), cut, "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
+def clean(docs: DataFrame, search: repeats.Search = SEARCH) -> DataFrame:
+    """``docs`` with the repeated bytes cut from column text; a character cut in half goes too, null stays
+    null, and n_chars, if there, is the new length. Columns and their order stay."""
+    n, removed, spans, kept = (fresh(docs, f"__{c}") for c in ("n", "removed", "spans", "kept"))
+    d = repeats.apply(docs, repeats.find(docs.select("doc_id", "text"), search), _cut_text,
+                      f"{n} bigint, {removed} bigint, {spans} bigint, {kept} string")
+    new = {"text": F.col(kept).alias("text"), "n_chars": F.length(kept).cast("long").alias("n_chars")}
+    return d.select(*[new.get(c, F.col(f"`{c}`")) for c in docs.columns])
+
+
+def _cut_text(raw: bytes, spans: pa.Array, row: int) -> tuple[int, int, int, str]:
+    n, removed, count, kept = cut(raw, spans, row)
+    return n, removed, count, kept.decode("utf-8", "ignore")
+
+
 def query(spark, sf_dir):
     d = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
