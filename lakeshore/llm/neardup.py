@@ -3,15 +3,16 @@
 Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters. A document's ``K``-word
 shingles are labelled with their occurrence number; each of ``SKETCHES`` hash functions samples its ``MINIMA`` smallest labelled
 shingles, and their hashes in text order form a bucket key, so that equal keys tell shared shingles
-in shared order. Documents are compared with the *hub* (smallest doc_id) of every bucket they
-fall into, and with the hub of every pair of neighbouring buckets, which parts large buckets into
-the likes of each other. At a similarity of 0.8 a single key agrees with probability about 0.41, and all ``SKETCHES``
-miss with less than 3e-5. A pair is linked if the Jaccard similarity of the labelled shingles and the share of words
-matched by a banded alignment both reach ``SIMILARITY``; classes are the connected components.
+in shared order; neighbouring keys joined give finer buckets, which part large ones into the likes of
+each other. At a similarity of 0.8 a single key agrees with probability about 0.41, and all ``SKETCHES`` miss with
+less than 3e-5. In each bucket documents are compared with its *hub*, the document that meets most others
+in its buckets (of near-copies, the text they derive from); what does not join the hub's component is compared with the
+next hub, until a round links nothing. A pair is linked if the Jaccard similarity of the labelled shingles and the share of
+words matched by a banded alignment both reach ``SIMILARITY``; classes are the connected components.
 
 Exact copies are grouped first and only their first document is compared, so a bucket holds each text
-once. Hubs are minima per key (partial before the shuffle), each document meets a hub once, so no bucket is collected
-and no bucket's pairs are formed.
+once. Hubs are maxima per key (partial before the shuffle) and a document meets a hub once: no bucket
+is collected and no bucket's pairs are formed.
 
 Rows with one doc_id count as one document. Rows without doc_id are not compared: their class is null.
 Null, empty and word-free texts equal each other only if the same. An empty table gives no rows.
@@ -165,6 +166,41 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _buckets(spark, seen: DataFrame, alone: DataFrame) -> DataFrame:
+    """``key, doc, weight`` of all keys that several documents have. The weight of a document is the
+    number of meetings in its buckets: of near-copies it is largest for the text the others derive from."""
+    keyed = (seen.where("keys IS NOT NULL").join(alone, "doc", "left_semi").select("doc", "keys")
+             .mapInArrow(_unpack, "key bigint, doc bigint"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(spark, keyed.join(sizes, "key"), "shared-keys")
+    weight = shared.groupBy("doc").agg(F.sum("n").alias("weight"))
+    return materialize(spark, shared.select("key", "doc").join(weight, "doc"), "buckets")
+
+
+def _links(spark, named: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Verified links. A round compares each bucket's documents with its hub; the next takes what is left of
+    the buckets without the hub's component, under their next hubs. Ends when a round links nothing."""
+    wanted = buckets.select("doc").distinct()
+    texts = materialize(spark, named.mapInArrow(_shrink, "doc bigint, z binary").join(wanted, "doc", "left_semi")
+                        .dropDuplicates(["doc"]), "candidates")
+    hub = F.max(F.struct("weight", (-F.col("doc")).alias("minus")))
+    links, left = None, buckets
+    while True:
+        hubs = left.groupBy("key").agg((-hub["minus"]).alias("hub"))
+        met = materialize(spark, left.join(hubs, "key"), "met")
+        pairs = met.where("doc <> hub").select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+        both = (pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
+                .join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b"))
+        new = materialize(spark, both.mapInArrow(_verify, "a bigint, b bigint"), "new-links")
+        links = new if links is None else links.unionByName(new)
+        if new.isEmpty():
+            return links
+        root = components(links)
+        r1, r2 = root.toDF("doc", "own"), root.toDF("hub", "other")
+        left = met.join(r1, "doc", "left").join(r2, "hub", "left").where(
+            ~F.coalesce("own", "doc").eqNullSafe(F.coalesce("other", "hub"))).select("key", "doc", "weight")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id`` of every row: the smallest doc_id of its class."""
     spark = docs.sparkSession
@@ -175,17 +211,7 @@ def classes(docs: DataFrame) -> DataFrame:
     # a document whose text was seen before stands behind that text's first document
     member = materialize(spark, seen.join(firsts, "digest").groupBy("doc").agg(F.min("rep").alias("rep")), "members")
     alone = member.where("doc = rep").select("doc")
-    keyed = (seen.where("keys IS NOT NULL").join(alone, "doc", "left_semi").select("doc", "keys")
-             .mapInArrow(_unpack, "key bigint, doc bigint"))
-    hubs = keyed.groupBy("key").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub <> last").drop("last")
-    pairs = materialize(spark, keyed.join(hubs, "key").where("doc <> hub")
-                        .select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    texts = materialize(spark, named.mapInArrow(_shrink, "doc bigint, z binary").join(wanted, "doc", "left_semi")
-                        .dropDuplicates(["doc"]), "candidates")
-    both = (pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
-            .join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b"))
-    root = components(both.mapInArrow(_verify, "a bigint, b bigint"))
+    root = components(_links(spark, named, _buckets(spark, seen, alone)))
     named_class = member.join(root, member.rep == root.node, "left").select(
         F.col("doc").alias("__doc"), F.coalesce("root", "rep").alias("class_id"))
     return docs.select("doc_id").join(named_class, F.col("doc_id").cast("long") == F.col("__doc"), "left").select("doc_id", "class_id")
