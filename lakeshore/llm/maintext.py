@@ -28,6 +28,7 @@ from .common import ship, table
 SAMPLE = 2000            # labelled pages used to learn the weights
 LEAST_SEEN = 20          # words or tags behind a weight of its own
 TAG_COST, OUTSIDE_COST = 0.2, 3.0
+NOISE_COST = 0.05        # a tag inside a section that is never article text
 RAW = "script|style|textarea|title|noscript|template|svg|iframe|select|object|canvas|math|audio|video"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -142,12 +143,13 @@ def extract(page: str, learned: dict, cache: dict) -> str:
     best = run = 0.0
     low = start = 0
     high, items = -1, list(pieces(page))
-    for i, (kind, key, value, _, _) in enumerate(items):
+    for i, (kind, key, value, noise, _) in enumerate(items):
         s = cache.get((kind, key))
         if s is None:
             p = share(learned, kind, key)
             s = cache[kind, key] = max(p, 0.02) if kind == "w" else -(TAG_COST + OUTSIDE_COST * (1 - p))
-        score = s * len(WORDS.findall(value)) if kind == "w" else s
+        # an advert or form in mid-article is left out anyway, so it must not part the article in two
+        score = (-NOISE_COST if kind == "t" else 0.0) if noise else s * len(WORDS.findall(value)) if kind == "w" else s
         run += score
         if run <= 0:
             run, start = 0.0, i + 1

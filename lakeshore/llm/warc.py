@@ -98,19 +98,20 @@ def _file_system(uri: str):
 class _Bundle:
     """One bundle being written: a frame in memory, the sizes of those before it, the index rows."""
 
-    def __init__(self, folder: str, level: int):
+    def __init__(self, folder: str, level: int, frame_bytes: int):
         import zstandard
 
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         files, path = _file_system(self.uri)
         files.create_dir(path.rsplit("/", 1)[0], recursive=True)
         self.out, self.zip = files.open_output_stream(path, compression=None), zstandard.ZstdCompressor(level=level)
+        self.frame_bytes = frame_bytes
         self.at, self.frame, self.sizes, self.rows, self.pending = 0, bytearray(), [], [], []
 
     def add(self, rid: str, page_id, raw: bytes) -> None:
         self.pending.append((len(self.frame), len(raw), rid, page_id))
         self.frame += raw
-        if len(self.frame) >= FRAME_BYTES:
+        if len(self.frame) >= self.frame_bytes:
             self.flush()
 
     def flush(self) -> None:
@@ -132,7 +133,8 @@ class _Bundle:
         return self.rows
 
 
-def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 3) -> DataFrame:
+def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 3,
+          frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write every row of ``pages`` (page_id, url, html; other columns are ignored) into bundles
     under ``folder``; returns the stored index. ``date`` is the WARC-Date of all records."""
     spark = pages.sparkSession
@@ -153,10 +155,10 @@ def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", lev
             for i in range(batch.num_rows):     # one page's text at a time
                 page_id, url, html, refers_to = (c[i].as_py() for c in batch.columns)
                 body = html.encode()
-                bundle = bundle or _Bundle(folder, level)
+                bundle = bundle or _Bundle(folder, level, frame_bytes)
                 rid, raw = _record(page_id, url, body, refers_to, hashlib.sha1(body).digest(), date)
                 bundle.add(rid, page_id, raw)
-                if bundle.at >= BUNDLE_BYTES:
+                if bundle.at >= bundle_bytes:
                     yield index(bundle.close())
                     bundle = None
         if bundle:
