@@ -6,8 +6,8 @@ shingles, and their hashes in text order form a bucket key, so that equal keys t
 in shared order; neighbouring keys joined give finer buckets, which part large ones into the likes of
 each other. At a similarity of 0.8 a single key agrees with probability about 0.41, and all ``SKETCHES`` miss with
 less than 3e-5. In each bucket documents are compared with its *hub*, the document that meets most others
-in its buckets (of near-copies, the text they derive from); what does not join the hub's component is compared with the
-next hub, until a round links nothing. A pair is linked if the Jaccard similarity of the labelled shingles and the share of
+in its buckets (of near-copies, the text they derive from). Documents of buckets that then still hold several
+components are compared further, where an exact prefix filter leaves a pair possible. A pair is linked if the Jaccard similarity of the labelled shingles and the share of
 words matched by a banded alignment both reach ``SIMILARITY``; classes are the connected components.
 
 Exact copies are grouped first and only their first document is compared, so a bucket holds each text
@@ -34,6 +34,7 @@ from .substring import word_hashes
 
 K, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 20, 4
+CELLS = 1 << 20                     # counters of shingle frequencies (8 MB, sent to the tasks)
 WIDE = 200_000                      # labelled shingles times functions hashed at once
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -177,28 +178,89 @@ def _buckets(spark, seen: DataFrame, alone: DataFrame) -> DataFrame:
     return materialize(spark, shared.select("key", "doc").join(weight, "doc"), "buckets")
 
 
+def _checked(spark, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The pairs (a, b) that verification links."""
+    both = (pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
+            .join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b"))
+    return materialize(spark, both.mapInArrow(_verify, "a bigint, b bigint"), name)
+
+
+def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` plus the component of each doc: its root, or itself where it has no link."""
+    root = components(links).toDF("doc", "root")
+    return rows.join(root, "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
+
+
 def _links(spark, named: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Verified links. A round compares each bucket's documents with its hub; the next takes what is left of
-    the buckets without the hub's component, under their next hubs. Ends when a round links nothing."""
+    """Verified links: of every document with the hubs of its buckets, then (``_rest``) of what the buckets
+    still hold in several components."""
     wanted = buckets.select("doc").distinct()
     texts = materialize(spark, named.mapInArrow(_shrink, "doc bigint, z binary").join(wanted, "doc", "left_semi")
                         .dropDuplicates(["doc"]), "candidates")
-    hub = F.max(F.struct("weight", (-F.col("doc")).alias("minus")))
-    links, left = None, buckets
-    while True:
-        hubs = left.groupBy("key").agg((-hub["minus"]).alias("hub"))
-        met = materialize(spark, left.join(hubs, "key"), "met")
-        pairs = met.where("doc <> hub").select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
-        both = (pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
-                .join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b"))
-        new = materialize(spark, both.mapInArrow(_verify, "a bigint, b bigint"), "new-links")
-        links = new if links is None else links.unionByName(new)
-        if new.isEmpty():
-            return links
-        root = components(links)
-        r1, r2 = root.toDF("doc", "own"), root.toDF("hub", "other")
-        left = met.join(r1, "doc", "left").join(r2, "hub", "left").where(
-            ~F.coalesce("own", "doc").eqNullSafe(F.coalesce("other", "hub"))).select("key", "doc", "weight")
+    hubs = buckets.groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("top"))
+    met = buckets.join(hubs.select("key", (-F.col("top.minus")).alias("hub")), "key").where("doc <> hub")
+    pairs = met.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+    first = _checked(spark, pairs, texts, "hub-links")
+    inside = materialize(spark, _components_of(buckets.select("key", "doc"), first), "bucket-components")
+    open_ = (inside.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+             .where("n > 2 AND low <> high").select("key"))
+    undecided = inside.join(open_, "key", "left_semi").select("doc", "comp").distinct()
+    rest = materialize(spark, texts.join(undecided, "doc"), "undecided")
+    return first.unionByName(_rest(spark, rest, texts))
+
+
+def _frequencies(batches):
+    """How many documents have a shingle, by hashed cell: sums of a task."""
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        t, e = tokens(repeats.unpacked(batch.column("z")))
+        for a, b in zip(e, e[1:], strict=False):
+            np.add.at(total, (labelled(t[a:b]) % np.uint64(CELLS)).astype(np.int64), 1)
+    at = np.flatnonzero(total)
+    if len(at):
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
+
+
+def _rest(spark, rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components among ``rest`` (doc, z, comp), by an exact prefix filter: with all
+    shingles in one global order, rare first, two documents of similarity s share one among the first
+    n - o + 1 of each, where o = s / (1 + s) * (n1 + n2) is the overlap that s takes. Rarity is
+    counted in a fixed number of cells; the order only has to be the same everywhere. Per shingle,
+    only documents outside the component that is most frequent there look for partners."""
+    cells = rest.select("z").mapInArrow(_frequencies, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = np.zeros(CELLS, np.int64)
+    for r in cells.toLocalIterator():       # CELLS rows at most
+        counts[r.cell] = r.n
+    shared = spark.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for batch in batches:
+            t, e = tokens(repeats.unpacked(batch.column("z")))
+            parts: list[list] = [[], [], [], [], []]
+            for i, (doc, comp) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("comp").to_pylist(), strict=True)):
+                s = labelled(t[e[i]:e[i + 1]])
+                n = len(s)
+                take = n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1 if n else 0
+                order = np.lexsort((s, shared.value[(s % np.uint64(CELLS)).astype(np.int64)]))[:take]
+                for part, v in zip(parts, (s[order].view(np.int64), np.full(len(order), doc), np.full(len(order), comp),
+                                           np.arange(len(order)), np.full(len(order), n)), strict=True):
+                    part.append(v)
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in parts],
+                                                 ["shingle", "doc", "comp", "pos", "n"])
+
+    rows = materialize(spark, rest.mapInArrow(prefixes, "shingle bigint, doc bigint, comp bigint, pos bigint, n bigint"), "prefixes")
+    by_comp = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("m"))
+    main = (by_comp.groupBy("shingle").agg(F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+            .where("comps > 1").select("shingle", F.col("top.comp").alias("main")))
+    open_ = rows.join(main, "shingle")
+    x, y = open_.where("comp <> main").alias("x"), open_.alias("y")
+    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    near = ((F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.comp") != F.col("y.comp"))
+            & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.doc") < F.col("y.doc")))
+            & (F.col("x.pos") <= F.col("x.n") - overlap) & (F.col("y.pos") <= F.col("y.n") - overlap))
+    pairs = x.join(y, near).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    return _checked(spark, pairs, texts, "rest-links")
 
 
 def classes(docs: DataFrame) -> DataFrame:
