@@ -77,27 +77,25 @@ def scd2_run(spark, snapshot: DataFrame, root: str, keys: Sequence[str], check:
              close_missing: bool = True, stage: str | None = None, first_run: bool | None = None) -> DataFrame:
     """One scheduled history run against a stored history at ``root``, touching only what
     can change. The table is partitioned by ``version_state``: 'open' holds current versions,
-    'closed <run instant>' the versions a run closed. A run reads only the open partition,
-    stages its result in the shared scratch area (the open partition is read and then
-    replaced), and writes it back in one job that replaces exactly the open partition and
-    this run's closed partition. Closed history is never rewritten, and a run repeated after
-    a failure rewrites the same two partitions with the same rows (idempotent). Returns the
-    stored history (all versions)."""
+    'closed <run instant>' the versions a run closed. A run reads only the open partition and
+    stages its result in the shared scratch area. It publishes the versions it closed first, then
+    replaces the open partition (which is emptied if no version is open any more): a run that dies
+    between the two still finds the old open versions, and its repetition writes the same rows again.
+    Earlier closed partitions are never touched. Returns the stored history (all versions)."""
     from lakeshore.session import scratch_path
+    from lakeshore.sources.batches import exists, purge_partitions
 
-    open_ = None
-    if not first_run:
-        try:
-            open_ = spark.read.parquet(root).filter(F.col(STATE_COL) == OPEN).drop(STATE_COL)
-        except Exception:  # no history yet
-            open_ = None
+    fresh = not exists(spark, root) if first_run is None else first_run
+    open_ = None if fresh else spark.read.parquet(root).filter(F.col(STATE_COL) == OPEN).drop(STATE_COL)
     result = scd2(snapshot, open_, keys, check, run_at, close_missing)
     tag = F.when(F.col("valid_to").isNull(), F.lit(OPEN)).otherwise(
         F.concat(F.lit("closed "), F.col("valid_to").cast("string")))
     stage = stage or scratch_path(spark, "history-run")
     result.withColumn(STATE_COL, tag).write.mode("overwrite").parquet(stage)
-    # one job replaces exactly the partitions present in the staged rows: 'open' and this
-    # run's 'closed <instant>' (dynamic overwrite); earlier closed partitions are untouched
-    (spark.read.parquet(stage).hint("rebalance", STATE_COL).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(STATE_COL).parquet(root))
-    return spark.read.parquet(root)
+    staged = spark.read.parquet(stage)
+    for part in (staged.filter(F.col(STATE_COL) != OPEN), staged.filter(F.col(STATE_COL) == OPEN)):
+        (part.hint("rebalance", STATE_COL).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(STATE_COL).parquet(root))
+    if not fresh and staged.filter(F.col(STATE_COL) == OPEN).isEmpty():
+        purge_partitions(spark, root, [{STATE_COL: OPEN}])
+    return spark.read.schema(staged.schema).parquet(root)

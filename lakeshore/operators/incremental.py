@@ -7,15 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.sources.batches import replace_batches, write_batches
+from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread
 
 EPOCH_MARK = "1900-01-01 00:00:00"
 
 
-def high_water_mark(target: DataFrame | None, mark: str = "loaded_at") -> DataFrame:
-    """One row: the target's newest mark, or 1900-01-01 when the target is empty/absent."""
-    if target is None:
-        return target  # pragma: no cover - callers pass a frame
+def high_water_mark(target: DataFrame, mark: str = "loaded_at") -> DataFrame:
+    """One row: the target's newest mark, or 1900-01-01 when the target is empty."""
     return target.agg(F.coalesce(F.max(mark), F.lit(EPOCH_MARK).cast("timestamp_ntz")).alias("hwm"))
 
 
@@ -32,56 +30,34 @@ def changed_batches(source: DataFrame, target: DataFrame, key: str = "source_mon
     return rows.crossJoin(F.broadcast(hwm)).filter(F.col(mark) > F.col("hwm")).select(key).distinct()
 
 
-_PATH_ESCAPES = {c: f"%{ord(c):02X}" for c in '"#%\'*/:=?\\{[]^'}
-
-
-def purge_batches(spark: SparkSession, target_path: str, key: str, values: Sequence[str]) -> None:
-    """Empty the named batch partitions of a stored table: each partition folder is replaced
-    by an empty result through Spark SQL (``INSERT OVERWRITE DIRECTORY``), so readers see
-    no rows for it; other batches are untouched."""
-    if not values:
-        return
-    empty = spark.read.option("mergeSchema", True).parquet(target_path).drop(key).filter(F.lit(False))
-    view = f"__empty_{abs(hash(target_path))}"
-    empty.createOrReplaceTempView(view)
-    for v in values:
-        escaped = "".join(_PATH_ESCAPES.get(ch, ch) for ch in str(v))
-        folder = f"{target_path.rstrip('/')}/{key}={escaped}".replace("'", "\\'")
-        spark.sql(f"INSERT OVERWRITE DIRECTORY '{folder}' USING parquet SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
-
-
 def build_incremental(spark: SparkSession, source: DataFrame, target_path: str, key: str = "source_month",
                       months: Sequence[str] | str | None = None, full_refresh: bool = False,
                       mark: str = "loaded_at", files_per_batch: int | None = None,
-                      purge_empty: bool = False) -> dict[tuple, int]:
+                      purge_empty: bool = False, extra_sources: Sequence[DataFrame] = ()) -> dict[tuple, int]:
     """Write ``source`` into ``target_path`` partitioned by ``key``:
 
-    - ``full_refresh`` or no target yet: every batch is (re)built;
+    - ``full_refresh`` or no target yet: the whole table is replaced, batches that the source no
+      longer has included;
     - ``months`` given (one or a list): only those batches are read and replaced;
-    - otherwise: the batches with rows newer than the target's high-water mark.
+    - otherwise: the batches with rows newer than the target's high-water mark, in ``source`` or in
+      ``extra_sources`` (late reloads of other inputs).
     Replacing is per batch present in the new rows (delete + insert); a named batch with no
     new rows keeps its old rows unless ``purge_empty`` (then it is emptied). The batch list is
     a handful of keys and is collected, so the source filter becomes a literal IN list the
     scan can prune with."""
-    if not full_refresh:
-        try:
-            spark.read.parquet(target_path).schema  # noqa: B018 - probe: is there a target yet?
-        except Exception:
-            full_refresh = True
-    if full_refresh:
-        write_batches(source, target_path, [key], files_per_batch, mode="overwrite")
+    if full_refresh or not exists(spark, target_path):
+        (spread(source, [key], files_per_batch).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy(key).parquet(target_path))
         return {}
     if months is not None:
         wanted = [months] if isinstance(months, str) else list(months)
     else:
         target = spark.read.option("mergeSchema", True).parquet(target_path)
-        wanted = [r[0] for r in changed_batches(source, target, key, mark).collect()]
+        wanted = [r[0] for r in changed_batches(source, target, key, mark, extra_sources).collect()]
     if not wanted:
         return {}
-    counts = replace_batches(spark, source.filter(F.col(key).isin(wanted)), target_path, [key], files_per_batch)
-    if purge_empty and months is not None:
-        present = {str(k[0]) for k in counts}
-        existing = {str(r[0]) for r in spark.read.parquet(target_path).select(key).distinct().collect()}
-        purge_batches(spark, target_path, key, sorted(set(wanted) - present & existing))
-    return counts
+    rows = source.filter(F.col(key).isin(wanted))
+    expected = batch_counts(rows, [key])
+    if months is None or purge_empty:
+        expected = {(w,): 0 for w in wanted} | expected      # a batch that lost all its rows is emptied
+    return replace_batches(spark, rows, target_path, [key], files_per_batch, expected=expected)

@@ -43,19 +43,18 @@ def explode_series(docs: DataFrame, fields: Mapping[str, tuple[str, T.DataType]]
                    path: str = "hourly", time_field: str = "time", keep: Sequence[str] = ("year", "month"),
                    time_format: str = TIME_FORMAT, time_col: str = "utc_time") -> DataFrame:
     """One row per array position: ``keep`` columns, the parsed instant (TIMESTAMP_NTZ, as
-    written, no zone applied) and each field cast and renamed. Arrays of unequal length pad
-    with null (``arrays_zip``); check lengths first with :func:`validate_documents`.
+    written, no zone applied) and each field cast and renamed. Shorter arrays pad
+    with null and documents without any reading give no row; check lengths first with :func:`validate_documents`.
     A time text that does not parse becomes null instead of failing the job."""
-    zipped = F.arrays_zip(
-        F.col(f"{path}.{time_field}").alias(time_field),
-        *[F.col(f"{path}.{f}").alias(f) for f in fields],
-    )
-    parsed = F.try_to_timestamp(F.col(f"_e.{time_field}"), F.lit(time_format)).cast("timestamp_ntz")
-    return docs.select(*keep, F.explode(zipped).alias("_e")).select(
-        *keep,
-        parsed.alias(time_col),
-        *[F.col(f"_e.{f}").cast(dtype).alias(name) for f, (name, dtype) in fields.items()],
-    )
+    series = F.col(path)
+    longest = F.greatest(*[F.size(series[n]) for n in (time_field, *fields)], F.lit(0))
+    position = F.sequence(F.lit(0), longest - 1)
+
+    def reading(i: Column) -> Column:
+        moment = F.try_to_timestamp(F.get(series[time_field], i), F.lit(time_format)).cast("timestamp_ntz")
+        return F.struct(moment.alias(time_col), *[F.get(series[n], i).cast(kind).alias(to) for n, (to, kind) in fields.items()])
+
+    return docs.where(longest > 0).select(*keep, F.inline(F.transform(position, reading)))
 
 
 def to_local(utc_ntz: ColumnOrName, zone: str, source_zone: str = "UTC") -> Column:

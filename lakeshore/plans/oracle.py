@@ -19,10 +19,13 @@ RAW_TRIPS = f"""
 raw AS (
   SELECT
     l_suppkey AS VendorID,
-    CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE o_orderdate + to_hours(l_linenumber) END AS tpep_pickup_datetime,
-    l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)) AS tpep_dropoff_datetime,
+    CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE pickup END AS tpep_pickup_datetime,
+    CASE WHEN l_partkey % 103 = 0 THEN NULL ELSE pickup + to_seconds(CAST(CASE
+        WHEN l_orderkey % 43 = 0 THEN -300 WHEN l_orderkey % 47 = 0 THEN 20 WHEN l_orderkey % 59 = 0 THEN 43200
+        ELSE 120 + (l_partkey * 37 + l_linenumber * 11) % 5400 END AS BIGINT)) END AS tpep_dropoff_datetime,
     CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE CAST(l_linenumber - 2 AS DOUBLE) END AS passenger_count,
-    CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE l_quantity * 2.5 END AS trip_distance,
+    CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN l_orderkey % 83 = 0 THEN CAST(0 AS DOUBLE)
+         WHEN l_orderkey % 79 = 0 THEN l_quantity + 150 ELSE l_quantity / 2 END AS trip_distance,
     l_partkey % 7 + 1 AS RatecodeID,
     CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
     CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE o_custkey % 25 END AS PULocationID,
@@ -37,9 +40,10 @@ raw AS (
     (l_extendedprice - 2990) + l_discount * 100 AS total_amount,
     CAST(2.5 AS DOUBLE) AS congestion_surcharge,
     CASE WHEN l_suppkey % 25 IN {AIRPORTS} THEN CAST(1.75 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS Airport_fee,
-    CAST(year(CAST(o_orderdate AS DATE) - 2) AS INTEGER) AS year,
-    CAST(month(CAST(o_orderdate AS DATE) - 2) AS INTEGER) AS month
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    CAST(year(CAST(o_orderdate AS DATE) - 1) AS INTEGER) AS year,
+    CAST(month(CAST(o_orderdate AS DATE) - 1) AS INTEGER) AS month
+  FROM (SELECT *, o_orderdate + to_minutes(CAST(l_linenumber * 60 + l_partkey % 60 AS BIGINT)) AS pickup
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 )"""
 
 CONFORMED = """
@@ -77,7 +81,7 @@ derived AS (
     trip_distance, ratecode_id, store_and_fwd_flag, pu_location_id, do_location_id, payment_type,
     fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
     congestion_surcharge, airport_fee, cbd_congestion_fee, year, month,
-    {rhu("CAST(date_sub('second', pickup_datetime, dropoff_datetime) AS DOUBLE) / 86400.0", 2)} AS duration_min,
+    {rhu("CAST(date_sub('second', pickup_datetime, dropoff_datetime) AS DOUBLE) / 60.0", 2)} AS duration_min,
     CAST(pickup_datetime AS DATE) AS pickup_date,
     CAST(date_trunc('hour', pickup_datetime) AS TIMESTAMP) AS pickup_hour,
     CASE WHEN payment_type = 1 AND fare_amount > 0

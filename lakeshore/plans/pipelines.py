@@ -1,6 +1,5 @@
 """Composed plans of the trip pipeline, for many batches at once.
 
-clean      raw batches -> conformed, derived, reject reason (one projection, no shuffle)
 stage      silver -> staging names, surrogate key, loaded_at
 """
 from __future__ import annotations
@@ -21,10 +20,6 @@ def batch_loaded_at(year: str = "year", month: str = "month", hours_after: int =
     return F.timestamp_add("HOUR", F.lit(hours_after), F.add_months(start, 1).cast("timestamp_ntz"))
 
 
-def clean(raw: DataFrame, p: TripParams = TAXI) -> DataFrame:
-    return clean_trips(raw, p)
-
-
 def stage_trips(silver: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Staging projection: readable names, a surrogate trip id, the load instant."""
     loaded = loaded_at if loaded_at is not None else F.col("loaded_at")
@@ -50,39 +45,42 @@ def stage_trips(silver: DataFrame, loaded_at: Column | None = None) -> DataFrame
 LAYER_COL = "layer"
 
 
-def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, conformed: bool = False) -> DataFrame:
-    """Clean many raw batches and publish accepted and quarantined rows in ONE pass over the
-    input: a single write partitioned by (layer, batch columns), replacing exactly the
-    batches present (dynamic overwrite). Row counts are observed during that write, then
-    reconciled against what the files on disk hold (Parquet footer counts): input =
-    accepted + quarantined, per batch. Returns the per-batch reconciliation read from disk.
+def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, conformed: bool = False,
+                  expected: dict[tuple, int] | None = None) -> DataFrame:
+    """Clean many raw batches and publish accepted and quarantined rows, replacing both layers of
+    exactly the batches present. Rows are cleaned once, into a staging folder partitioned by (layer,
+    batch); their number per batch is compared with the input's (``expected``, as the source reports
+    it, or a count of ``raw`` by itself), and only then every (layer, batch) of these batches is
+    replaced, a layer without rows being emptied. Returns the per-batch reconciliation: input rows
+    as counted before cleaning, against the layers read back from disk.
 
     Accepted rows are ``<root>/layer=accepted``, quarantined ``<root>/layer=quarantined``.
     ``conformed=True`` takes rows already conformed to the contract (``read_batches``)."""
-    from lakeshore.operators.rules import ReconcileError, observe_split
-
     from lakeshore.plans.trips import clean_conformed
+    from lakeshore.session import scratch_path
+    from lakeshore.sources.batches import batch_counts, publish, same_batches, write_batches
 
+    batch = list(p.batch_cols)
+    expected = batch_counts(raw, batch) if expected is None else expected
     cleaned = clean_conformed(raw, p) if conformed else clean_trips(raw, p)
     layered = cleaned.withColumn(
         LAYER_COL, F.when(F.col("reject_reason").isNull(), "accepted").otherwise("quarantined"))
-    observed, obs = observe_split(layered, "publish_clean", batch_cols=p.batch_cols)
-    (observed.hint("rebalance", LAYER_COL, *p.batch_cols)   # right-sized files; a hot batch is split
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(LAYER_COL, *p.batch_cols).parquet(root))
-    written = spark.read.parquet(root)
-    seen = [tuple(b) for b in obs.get["batches"]]            # the batches just written
-    batches_in = spark.createDataFrame(seen, written.select(*p.batch_cols).schema)
-    on_disk = written.join(F.broadcast(batches_in), list(p.batch_cols), "left_semi").groupBy(*p.batch_cols).agg(
-        F.count(F.lit(1)).alias("input_rows"),
+    stage = scratch_path(spark, "clean-stage")
+    write_batches(layered, stage, [LAYER_COL, *batch])
+    publish(spark, spark.read.schema(layered.schema).parquet(stage), root, batch, expected, layer=[LAYER_COL])
+    schema = cleaned.select(*batch).schema.add("input_rows", "long")
+    counted = spark.createDataFrame([(*k, n) for k, n in expected.items()], schema)
+    held = same_batches(spark.read.schema(layered.schema).parquet(root), counted, batch).groupBy(*batch).agg(
         F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
-        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"),
-    ).withColumn("reconciled", F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows"))
-    m = obs.get
-    totals = on_disk.agg(F.sum("input_rows"), F.sum("accepted_rows"), F.sum("quarantined_rows")).first()
-    if (m["input_rows"], m["accepted_rows"], m["quarantined_rows"]) != tuple(int(x or 0) for x in totals):
-        raise ReconcileError(f"{root}: observed {m} but found {tuple(totals)} on disk")
-    return on_disk
+        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"))
+    a, b = counted.alias("a"), held.alias("b")
+    same = F.lit(True)
+    for c in batch:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    rows = lambda c: F.coalesce(F.col(f"b.{c}"), F.lit(0)).alias(c)
+    return a.join(b, same, "left").select(
+        *[F.col(f"a.{c}") for c in batch], "a.input_rows", rows("accepted_rows"), rows("quarantined_rows"),
+        (F.col("a.input_rows") == F.coalesce(F.col("b.accepted_rows") + F.col("b.quarantined_rows"), F.lit(0))).alias("reconciled"))
 
 
 def publish_series(spark, docs: DataFrame, zone: str, root: str, batch_cols=("year", "month"),
@@ -106,12 +104,13 @@ def publish_series(spark, docs: DataFrame, zone: str, root: str, batch_cols=("ye
 
 def build_gold(spark, stg_trips: DataFrame, weather: DataFrame, holidays_region: DataFrame, zones: DataFrame,
                gold_root: str, months=None, full_refresh: bool = False, airport_ids=(1, 132, 138),
-               unknown_boroughs=("Unknown", "N/A")) -> dict[str, str]:
+               unknown_boroughs=("Unknown", "N/A"), extra_sources=()) -> dict[str, str]:
     """The gold build: dimensions, the incremental fact and the hourly mart, written under
     ``gold_root``. The fact is rebuilt in full, for the named ``months``, or for the months
     with rows newer than its high-water mark; the mart is recomputed from the stored fact.
     The weather hours (with code names), region holidays and zones are stored as gold
-    dimensions first and the fact is enriched against those stored tables."""
+    dimensions first and the fact is enriched against those stored tables. ``extra_sources``
+    (``source_month``, ``loaded_at``) trigger the months of late reloads of other inputs."""
     from lakeshore.operators import dims
     from lakeshore.operators.incremental import build_incremental
     from lakeshore.plans import warehouse
@@ -134,9 +133,11 @@ def build_gold(spark, stg_trips: DataFrame, weather: DataFrame, holidays_region:
     weather = spark.read.parquet(paths["dim_weather_hour"])
     holidays_region = spark.read.parquet(paths["dim_holiday"])
     enriched = warehouse.enrich_trips(spark, stg_trips, weather, zones, holidays_region, stored_dims=True)
-    build_incremental(spark, warehouse.fact_trips(enriched), paths["fct_trips"], months=months,
-                      full_refresh=full_refresh)
-    fact = spark.read.parquet(paths["fct_trips"])
+    facts = warehouse.fact_trips(enriched)
+    build_incremental(spark, facts, paths["fct_trips"], months=months, full_refresh=full_refresh,
+                      extra_sources=extra_sources)
+    # the fact's columns are known: which file's footer is read first must not decide them
+    fact = spark.read.schema(facts.schema).parquet(paths["fct_trips"])
     warehouse.dim_date(fact.select(F.col("date_key").alias("pickup_date")), holidays_region, weather) \
         .write.mode("overwrite").parquet(paths["dim_date"])
     warehouse.hourly_mart(spark, fact, weather, holidays_region).write.mode("overwrite").parquet(

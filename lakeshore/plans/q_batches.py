@@ -316,12 +316,11 @@ def q_landing_stream(spark: SparkSession, root: str) -> DataFrame:
 
     lake = bronze_lake(spark, root)
     schema = spark.read.parquet(lake).schema
-    silver_path, quarantine_path = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-quarantine")
+    target = scratch_path(spark, "stream-trips")
     q = clean_landed_files(spark, lake, schema, lambda df: clean_trips(df, standins.STANDIN_TRIPS),
-                           silver_path, quarantine_path, scratch_path(spark, "stream-ckpt"),
-                           max_files_per_trigger=1000)
+                           target, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1000)
     run_to_completion(q)
-    return spark.read.parquet(silver_path).drop(EPOCH_COL)
+    return spark.read.parquet(target).where("layer = 'accepted'").drop(EPOCH_COL, "layer", "reject_reason")
 
 
 register("landing_stream", with_trips("SELECT * FROM silver"))

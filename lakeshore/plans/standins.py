@@ -3,10 +3,11 @@ pipeline. Each is a lazy plan over the given tables, so its work grows with them
 
 The same expressions are written as SQL in ``lakeshore.plans.oracle``; keep both in step.
 
-trips      lineitem join orders: pickup = order date + line number hours, dropoff = ship date
-           + (part key mod 24) hours, money from prices; nulls injected by key arithmetic.
-           Batch (landing) month = month of (order date - 2 days): orders of the first two
-           days of a month land in the previous month's batch and break pickup_outside_month.
+trips      lineitem join orders: pickup = order date + line number hours and some minutes, a ride
+           of 2 to 92 minutes from the keys, money from prices; nulls, rides that end before they
+           start, too short, too long and too far ones come from key arithmetic (a few per cent each).
+           Batch (landing) month = month of (order date - 1 day): orders of the first day of a
+           month land in the previous month's batch and break pickup_outside_month.
 zones      nation join region (location_id = nation key).
 weather    one UTC hour per hour of the calendar months the orders span; measures are
            arithmetic of the hour number.
@@ -21,10 +22,8 @@ from pyspark.sql import functions as F
 from lakeshore.plans.trips import TripParams
 from lakeshore.sources.tables import table
 
-# Stand-in parameters: durations are measured in days (order -> ship spans days, not minutes).
 STANDIN_AIRPORT_ZONES = (1, 13, 24)
-STANDIN_TRIPS = TripParams(duration_unit_seconds=86400, min_duration=1, max_duration=360,
-                           max_distance=100, airport_zones=STANDIN_AIRPORT_ZONES)
+STANDIN_TRIPS = TripParams(airport_zones=STANDIN_AIRPORT_ZONES)
 STANDIN_REGION_CODE = "US-P"     # the "home region" used by the holiday filter
 LOCAL_ZONE = "America/New_York"
 
@@ -37,22 +36,24 @@ def raw_trips(spark: SparkSession, root: str) -> DataFrame:
     """Bronze-shaped trips (raw column names, mixed raw types) with batch columns year, month."""
     li = table(spark, root, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # orders grows with lineitem (a quarter of its rows): never a broadcast side at scale.
-    # A sort-merge join co-partitions both sides on the order key and spills when a
-    # partition outgrows memory (a shuffled hash join would need each partition's orders in
-    # memory). It also keeps the work parallel when an input file holds one row group.
-    j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
-    batch_day = F.date_sub(F.col("o_orderdate"), 2)
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    batch_day = F.date_sub(F.col("o_orderdate"), 1)
+    pickup = F.timestamp_add("MINUTE", F.col("l_linenumber") * 60 + F.col("l_partkey") % 60, F.col("o_orderdate"))
+    seconds = (F.when(F.col("l_orderkey") % 43 == 0, F.lit(-300)).when(F.col("l_orderkey") % 47 == 0, F.lit(20))
+               .when(F.col("l_orderkey") % 59 == 0, F.lit(43200))
+               .otherwise(F.lit(120) + (F.col("l_partkey") * 37 + F.col("l_linenumber") * 11) % 5400))
+    miles = (F.when(F.col("l_orderkey") % 83 == 0, F.lit(0.0)).when(F.col("l_orderkey") % 79 == 0, F.col("l_quantity") + 150)
+             .otherwise(F.col("l_quantity") / 2))
     return j.select(
         F.col("l_suppkey").alias("VendorID"),
-        _null_when(F.col("l_partkey") % 101 == 0,
-                   F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("o_orderdate"))).alias("tpep_pickup_datetime"),
-        F.timestamp_add("HOUR", F.col("l_partkey") % 24, F.col("l_shipdate")).alias("tpep_dropoff_datetime"),
+        _null_when(F.col("l_partkey") % 101 == 0, pickup).alias("tpep_pickup_datetime"),
+        _null_when(F.col("l_partkey") % 103 == 0, F.timestamp_add("SECOND", seconds, pickup)).alias("tpep_dropoff_datetime"),
         _null_when(F.col("l_orderkey") % 53 == 0,
                    (F.col("l_linenumber") - 2).cast("double")).alias("passenger_count"),
-        _null_when(F.col("l_partkey") % 89 == 0, F.col("l_quantity") * 2.5).alias("trip_distance"),
+        _null_when(F.col("l_partkey") % 89 == 0, miles).alias("trip_distance"),
         (F.col("l_partkey") % 7 + 1).alias("RatecodeID"),
         F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("store_and_fwd_flag"),
         _null_when(F.col("o_custkey") % 97 == 0, F.col("o_custkey") % 25).alias("PULocationID"),
@@ -123,7 +124,7 @@ def weather_documents(spark: SparkSession, root: str) -> DataFrame:
     The arrays are built inside each month row (``sequence`` + ``transform``): no shuffle."""
     # one row per month comes out of a global aggregate (a single partition) and expands to
     # ~750 hours each: spread the month rows over tasks before the per-hour work.
-    months = weather_months(spark, root).repartition(min(spark.sparkContext.defaultParallelism, 64))
+    months = weather_months(spark, root).repartition("month_start")
     start = F.col("month_start").cast("timestamp_ntz")
     end = F.timestamp_add("HOUR", F.lit(23), F.add_months("month_start", 1).cast("timestamp_ntz"))
     hours = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))

@@ -6,14 +6,14 @@ any file is opened (``PartitionFilters`` in the plan).
 """
 from __future__ import annotations
 
-from collections import defaultdict
+import re
+import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.operators.contract import Field, conform, schema_rows, SCHEMA_ROWS
+from lakeshore.operators.contract import Field, conform
 from lakeshore.operators.rules import ReconcileError
 from lakeshore.session import scratch_path
 
@@ -58,36 +58,96 @@ def batch_counts(df: DataFrame, batch_cols: Sequence[str]) -> dict[tuple, int]:
     return {tuple(r[:-1]): r[-1] for r in df.groupBy(*batch_cols).count().collect()}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table is at ``path``: a folder holding a file that is no marker. Anything that keeps this
+    from being told (permission, network) is an error, never "no"."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return False
+    files = fs.listFiles(where, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+_PATH_ESCAPES = {c: f"%{ord(c):02X}" for c in '"#%\'*/:=?\\{[]^'}
+
+
+def partition_folder(values: dict) -> str:
+    """``key=value/...`` as Spark names it (escaped; null has a name of its own)."""
+    text = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None else "".join(_PATH_ESCAPES.get(c, c) for c in str(v))
+    return "/".join(f"{k}={text(v)}" for k, v in values.items())
+
+
+def purge_partitions(spark: SparkSession, target: str, partitions: Sequence[dict]) -> None:
+    """Empty the given partitions of a stored table: each folder is replaced by an empty result, so
+    readers see no rows for it; other partitions are untouched."""
+    if not partitions:
+        return
+    empty = spark.read.parquet(target).drop(*partitions[0]).where(F.lit(False))
+    view = f"__empty_{uuid.uuid4().hex}"
+    empty.createOrReplaceTempView(view)
+    for values in partitions:
+        folder = f"{target.rstrip('/')}/{partition_folder(values)}".replace("'", "\\'")
+        spark.sql(f"INSERT OVERWRITE DIRECTORY '{folder}' USING parquet SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+
+
+def same_batches(df: DataFrame, batches: DataFrame, batch_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose batch (null included) is one of ``batches`` (one small row per batch)."""
+    b = batches.select(*[F.col(c).alias(f"__b_{c}") for c in batch_cols]).distinct()
+    on = F.lit(True)
+    for c in batch_cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
+    return df.join(b, on, "left_semi")
+
+
+def publish(spark: SparkSession, staged: DataFrame, target: str, batch_cols: Sequence[str],
+            expected: dict[tuple, int], layer: Sequence[str] = (), files_per_batch: int | None = None) -> dict[tuple, int]:
+    """Replace, in ``target`` (partitioned by ``layer`` and ``batch_cols``), the batches of ``expected`` by the
+    ``staged`` rows. Staged counts are compared with the expected ones first; on a difference nothing is
+    published. A partition of these batches that has no staged rows is emptied."""
+    counts = {k: n for k, n in batch_counts(staged, batch_cols).items() if n}
+    wanted = {k: n for k, n in expected.items() if n}
+    if counts != wanted:
+        wrong = {k: (wanted.get(k, 0), counts.get(k, 0)) for k in wanted.keys() | counts.keys() if wanted.get(k) != counts.get(k)}
+        raise ReconcileError(f"{target}: not published; rows expected and staged differ: {dict(list(wrong.items())[:5])}")
+    parts = [*layer, *batch_cols]
+    batches = spark.createDataFrame([tuple(k) for k in expected], staged.select(*batch_cols).schema) if expected else None
+    old = []
+    if batches is not None and exists(spark, target):
+        old = same_batches(spark.read.parquet(target), batches, batch_cols).select(*parts).distinct().collect()
+    write_batches(staged, target, parts, files_per_batch)
+    new = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    purge_partitions(spark, target, [dict(zip(parts, r, strict=True)) for r in map(tuple, old) if r not in new])
+    if batches is not None:
+        found = batch_counts(same_batches(spark.read.parquet(target), batches, batch_cols), batch_cols)
+        if {k: n for k, n in found.items() if n} != wanted:
+            raise ReconcileError(f"{target}: staged {counts} but published {found}")
+    return counts
+
+
 def replace_batches(spark: SparkSession, df: DataFrame, target: str, batch_cols: Sequence[str] = ("year", "month"),
-                    files_per_batch: int | None = None, stage: str | None = None) -> dict[tuple, int]:
-    """Replace the batches present in ``df`` inside ``target``, all-or-nothing per check:
-
-    1. write ``df`` to a staging folder in the shared scratch area (``df`` is evaluated once);
-    2. reconcile: rows per batch staged = rows per batch expected (counted from the staged
-       files, whose Parquet footers hold the counts);
-    3. publish: dynamic partition overwrite of those batches in ``target``;
-    4. reconcile again: rows per batch published = staged.
-    Batches not in ``df`` are untouched. Returns rows per published batch."""
+                    files_per_batch: int | None = None, stage: str | None = None,
+                    expected: dict[tuple, int] | None = None) -> dict[tuple, int]:
+    """Replace the batches present in ``df`` inside ``target``:
+
+    1. count the rows per batch that must arrive: ``expected``, as the source reports them, or a
+       count of ``df`` by itself;
+    2. write ``df`` to a staging folder in the shared scratch area;
+    3. compare; a difference raises :class:`ReconcileError` and leaves ``target`` as it was;
+    4. publish by a dynamic overwrite of those batches, and compare what can be read back.
+    Batches not in ``df`` are untouched; a batch expected with 0 rows is emptied. Returns rows per
+    published batch."""
+    if expected is None:
+        expected = batch_counts(df, batch_cols)
     stage = stage or scratch_path(spark, "stage")
     write_batches(df, stage, batch_cols, files_per_batch)
-    staged = spark.read.parquet(stage)
-    staged_counts = batch_counts(staged, batch_cols)
-    write_batches(staged, target, batch_cols, files_per_batch)
-    keys = [dict(zip(batch_cols, k)) for k in staged_counts]
-    if keys:
-        cond = None
-        for k in keys:
-            c = None
-            for name, value in k.items():
-                term = F.col(name) == F.lit(value)
-                c = term if c is None else c & term
-            cond = c if cond is None else cond | c
-        published = batch_counts(spark.read.parquet(target).filter(cond), batch_cols)
-    else:
-        published = {}
-    if published != staged_counts:
-        raise ReconcileError(f"{target}: staged {staged_counts} but published {published}")
-    return staged_counts
+    staged = spark.read.schema(df.schema).parquet(stage)
+    return publish(spark, staged, target, batch_cols, expected, files_per_batch=files_per_batch)
 
 
 def read_leaf(spark: SparkSession, root: str, **batch: int | str) -> DataFrame:
@@ -101,45 +161,73 @@ def read_root(spark: SparkSession, root: str, merge_schema: bool = False) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(root)
 
 
+def data_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``file, folder`` of every Parquet file below the paths, from a listing that opens none."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+              .option("pathGlobFilter", "*.parquet").load(list(paths)).select(F.col("path").alias("file")))
+    return listed.withColumn("folder", F.regexp_replace("file", "/[^/]*$", ""))
+
+
 def leaf_folders(spark: SparkSession, root: str) -> list[str]:
-    """Batch folders under ``root`` (from the file listing Spark already does)."""
-    files = spark.read.option("mergeSchema", False).parquet(root).inputFiles()
-    return sorted({f.rsplit("/", 1)[0] for f in files})
+    """Batch folders under ``root`` (one row per folder reaches the driver, not one per file)."""
+    return sorted(r.folder for r in data_files(spark, root).select("folder").distinct().collect())
+
+
+def _same_path(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+FOOTER_ROWS = "file string, column string, type string, position int"
+
+
+def file_footers(files: DataFrame) -> DataFrame:
+    """(file, column, type, position) from the footer of every file of column ``file``: a distributed
+    job that reads footers only. Types are Spark's names."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for batch in batches:
+            rows = []
+            for uri in batch.column(0).to_pylist():
+                where, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and
+                                                     not uri.startswith("file:///") else uri)
+                schema = from_arrow_schema(pq.read_schema(path, filesystem=where), prefer_timestamp_ntz=True)
+                rows += [(uri, f.name, f.dataType.simpleString(), i) for i, f in enumerate(schema)]
+            if rows:
+                cols = [*zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32())],
+                                                 ["file", "column", "type", "position"])
 
+    return files.select("file").repartition("file").mapInArrow(run, FOOTER_ROWS)
 
-def footer_schemas(spark: SparkSession, folders: dict[str, str], threads: int = 8) -> DataFrame:
-    """(period, column, type, position) from each batch folder's Parquet footers only: no
-    row is read. Footer reads of many folders run concurrently."""
-    def one(item):
-        period, path = item
-        return schema_rows(spark.read.parquet(path).schema, period)
 
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        rows = [r for part in pool.map(one, sorted(folders.items())) for r in part]
-    return spark.createDataFrame(rows, SCHEMA_ROWS)
+def footer_schemas(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """(period, file, column, type, position) of every file of the batch folders; no row is read."""
+    periods = spark.createDataFrame([(_same_path(f), p) for p, f in folders.items()], "at string, period string")
+    files = data_files(spark, *folders.values()).withColumn("at", F.regexp_replace("folder", "^file:/+", "/"))
+    return (file_footers(files).join(files.join(periods, "at").select("file", "period"), "file")
+            .select("period", "file", "column", "type", "position"))
 
 
 def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequence[Field],
                  period_col: str = "period", base_path: str | None = None, keep: Sequence[str] = ()
                  ) -> DataFrame:
     """Read many batch folders whose files drift (renamed case, changed type, missing
-    column): folders are grouped by footer schema, each group is read in one scan and
+    column): files are grouped by footer schema, each group is read in one scan and
     conformed to ``contract``, and the groups are unioned by name. (A single multi-file
     read of mixed schemas fails on type conflicts even with mergeSchema, and where it works
     a column missing from some files reads as null there, so a contract default would never
     apply.) ``period_col`` holds the value of each file's innermost ``key=value`` folder; with
     ``base_path`` all folder columns (e.g. year, month) are discovered and the ones named in
     ``keep`` are carried through."""
-    schemas = footer_schemas(spark, folders).collect()   # metadata rows only
-    by_folder: dict[str, list] = defaultdict(list)
-    for r in schemas:
-        by_folder[r["period"]].append((r["position"], r["column"], r["type"]))
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for period, cols in by_folder.items():
-        groups[tuple(sorted(cols))].append(period)
+    footers = footer_schemas(spark, folders)
+    shapes = (footers.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("column", "type"))).alias("shape"))
+              .groupBy("shape").agg(F.sort_array(F.collect_list("file")).alias("files")))
     out = None
-    for _, periods in sorted(groups.items(), key=lambda kv: sorted(kv[1])):
-        paths = [folders[p] for p in sorted(periods)]
+    for paths in sorted(r.files for r in shapes.select("files").collect()):      # the paths that a reader takes
         reader = spark.read.option("basePath", base_path) if base_path else spark.read
         part = (reader.parquet(*paths)
                 .withColumn(period_col, F.regexp_extract(F.col("_metadata.file_path"), r"=([^/]+)/[^/]*$", 1)))

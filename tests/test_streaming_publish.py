@@ -18,22 +18,37 @@ def test_landing_processes_each_file_once(spark):
     lake = scratch_path(spark, "t-bronze")
     batches.write_batches(raw.filter(F.col("year") < 1998), lake)
     schema = spark.read.parquet(lake).schema
-    silver, quarantine, ckpt = (scratch_path(spark, n) for n in ("t-silver", "t-quar", "t-ckpt"))
+    target, ckpt = scratch_path(spark, "t-landed"), scratch_path(spark, "t-ckpt")
 
     def land():
         q = clean_landed_files(spark, lake, schema, lambda df: clean_trips(df, standins.STANDIN_TRIPS),
-                               silver, quarantine, ckpt, max_files_per_trigger=5)
+                               target, ckpt, max_files_per_trigger=5)
         run_to_completion(q)
+        return spark.read.parquet(target)
 
-    land()
-    first = spark.read.parquet(silver).count() + spark.read.parquet(quarantine).count()
-    assert first == raw.filter(F.col("year") < 1998).count()
-    land()                                                   # nothing new landed: nothing reprocessed
-    assert spark.read.parquet(silver).count() + spark.read.parquet(quarantine).count() == first
+    early = raw.filter(F.col("year") < 1998).count()
+    assert land().count() == early
+    assert land().count() == early                           # nothing new landed: nothing reprocessed
     batches.write_batches(raw.filter(F.col("year") >= 1998), lake)   # later months land
-    land()
-    total = spark.read.parquet(silver).drop(EPOCH_COL).count() + spark.read.parquet(quarantine).count()
-    assert total == raw.count()
+    out = land()
+    assert out.drop(EPOCH_COL).count() == raw.count()
+    assert out.where("layer = 'accepted' AND reject_reason IS NOT NULL").count() == 0
+
+
+def test_unfinished_landing_is_an_error():
+    class Never:
+        stopped = False
+
+        def awaitTermination(self, timeout=None):
+            return False
+
+        def stop(self):
+            self.stopped = True
+
+    q = Never()
+    with pytest.raises(TimeoutError):
+        run_to_completion(q, 1)
+    assert q.stopped
 
 
 def test_publish_clean_reconciles(spark):
