@@ -27,8 +27,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .common import fresh, ship, table
 
-BATCH_CHARS = 8_000_000
-CACHE_PIECES = 800_000
+BATCH_CHARS = 4_000_000
+CACHE_PIECES = 400_000
 # fixed value: the pattern of the byte-level pre-tokenizer
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
