@@ -16,7 +16,8 @@ def _col(c: ColumnOrName) -> Column:
 
 def round_half_up(c: ColumnOrName, scale: int) -> Column:
     """Half-up rounding of a computed double, after dropping float noise below 1e-9
-    (28.549999999999997 -> 28.55 -> 28.6), as decimal arithmetic would give."""
+    (28.549999999999997 -> 28.55 -> 28.6), as decimal arithmetic would give. A chosen deviation:
+    rounding the double itself would give 28.5 there."""
     return F.round(_col(c).cast("decimal(38,9)"), scale).cast("double")
 
 
@@ -28,9 +29,11 @@ def positive_or_null(c: ColumnOrName) -> Column:
 
 def elapsed(start: ColumnOrName, end: ColumnOrName, unit_seconds: int = 60, scale: int = 2) -> Column:
     """Whole elapsed seconds (truncated, as ``timestampdiff`` does) expressed in ``unit_seconds``
-    units and rounded half-up to ``scale`` decimals: 59 s -> 0.98 min, 21,601 s -> 360.02 min."""
+    units and rounded half-up to ``scale`` decimals: 59 s -> 0.98 min, 21,601 s -> 360.02 min.
+    Whole numbers throughout: half a unit is added to the magnitude, which is then cut."""
     seconds = F.timestamp_diff("SECOND", _col(start), _col(end))
-    return round_half_up(seconds / F.lit(float(unit_seconds)), scale)
+    steps = F.floor((F.abs(seconds) * (2 * 10**scale) + unit_seconds) / (2 * unit_seconds))
+    return F.when(seconds < 0, -steps).otherwise(steps) / F.lit(float(10**scale))
 
 
 def hour_bucket(ts: ColumnOrName) -> Column:
@@ -71,14 +74,6 @@ def is_weekend(ts: ColumnOrName) -> Column:
     return F.weekday(_col(ts)) >= 5
 
 
-def in_batch(ts: ColumnOrName, year: ColumnOrName, month: ColumnOrName) -> Column:
-    """True when ``ts`` lies inside the calendar month given by the (year, month) columns or literals."""
-    ts = _col(ts)
-    y = F.lit(year) if isinstance(year, int) else _col(year)
-    m = F.lit(month) if isinstance(month, int) else _col(month)
-    return (F.year(ts) == y) & (F.month(ts) == m)
-
-
 def batch_month_for(run_date: ColumnOrName, delay_months: int = 2) -> Column:
     """First day of the batch month a run processes: the run date's month minus the
     publication delay (a run in May processes March)."""

@@ -23,15 +23,3 @@ def wetness_label(precipitation: ColumnOrName, snowfall: ColumnOrName,
         .when(p <= light_max, "light rain")
         .otherwise("heavy rain")
     )
-
-
-def bucket_label(value: ColumnOrName, cuts: list[tuple[float, str]], above: str,
-                 null_label: str | None = None) -> Column:
-    """Generic ``value <= cut -> label`` chain, first matching cut wins."""
-    v = _col(value)
-    expr = None
-    if null_label is not None:
-        expr = F.when(v.isNull(), null_label)
-    for cut, label in cuts:
-        expr = F.when(v <= cut, label) if expr is None else expr.when(v <= cut, label)
-    return expr.otherwise(above) if expr is not None else F.lit(above)

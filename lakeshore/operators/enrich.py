@@ -2,12 +2,10 @@
 right-hand side, so the output has exactly the input's rows.
 
 Broadcast policy (what decides the physical join):
-- ``broadcast=True``  the lookup is bounded by construction (a code list, a zone table):
-  it is always shipped to every task and the fact side is never shuffled;
-- ``max_rows=N``      the lookup is bounded by a calendar (hours, dates), not by the facts:
-  its row count is checked first; within the bound it is broadcast, beyond it the join
-  is left to the planner (sort-merge, skew handling by AQE);
-- neither            the planner decides from statistics and AQE re-plans at run time.
+- ``broadcast=True``  the lookup is a fixed code list: it is shipped to every task and the fact side
+  is never shuffled for it;
+- otherwise           the planner decides from statistics (the file size of a stored table) and its
+  broadcast threshold, and AQE re-plans at run time (sort-merge, skew handling).
 """
 from __future__ import annotations
 
@@ -25,7 +23,6 @@ class Lookup:
     on: Mapping[str, str]                 # left column -> right key column
     columns: Mapping[str, str]            # right column -> output name
     broadcast: bool = False
-    max_rows: int | None = None
     name: str = field(default="lookup")
     verify_unique: bool = False           # check the key is unique before joining (data lookups)
 
@@ -57,36 +54,13 @@ def assert_all_unique(lookups: Sequence["Lookup"]) -> None:
         raise UniquenessError(f"lookup key not unique in {sorted(names)}, e.g. {[(r.key, r.n_rows) for r in bad]}")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` only when it has at most ``max_rows`` rows (checked with a bounded
-    count: the scan stops contributing after ``max_rows + 1`` rows); else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def within_bounds(frames: Sequence[tuple[DataFrame, int]]) -> list[bool]:
-    """For each (frame, max_rows): does it hold at most max_rows rows? All frames are
-    checked in one job (a union of bounded counts), at most max_rows + 1 rows each."""
-    if not frames:
-        return []
-    parts = [df.limit(n + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-             for i, (df, n) in enumerate(frames)]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    counts = dict(tuple(r) for r in union.collect())   # one small row per frame
-    return [counts[i] <= n for i, (_, n) in enumerate(frames)]
-
-
-def _prepared(lk: Lookup, i: int, small: bool | None) -> tuple[DataFrame, list[str]]:
+def _prepared(lk: Lookup, i: int) -> tuple[DataFrame, list[str]]:
     keys = [f"__lk{i}_{j}" for j in range(len(lk.on))]
     right = lk.df.select(
         *[F.col(r).alias(k) for r, k in zip(lk.on.values(), keys)],
         *[F.col(c).alias(out) for c, out in lk.columns.items()],
     )
-    if lk.broadcast or small:
-        right = F.broadcast(right)
-    return right, keys
+    return (F.broadcast(right) if lk.broadcast else right), keys
 
 
 def enrich(df: DataFrame, lookups: Sequence[Lookup], check_unique: bool = False) -> DataFrame:
@@ -94,11 +68,9 @@ def enrich(df: DataFrame, lookups: Sequence[Lookup], check_unique: bool = False)
     with ``check_unique``) are verified first, in one job: a duplicated key would multiply
     fact rows, so the join refuses and names example keys instead of deduplicating."""
     assert_all_unique([lk for lk in lookups if check_unique or lk.verify_unique])
-    bounded = [i for i, lk in enumerate(lookups) if not lk.broadcast and lk.max_rows is not None]
-    verdict = dict(zip(bounded, within_bounds([(lookups[i].df, lookups[i].max_rows) for i in bounded])))
     out = df
     for i, lk in enumerate(lookups):
-        right, keys = _prepared(lk, i, verdict.get(i))
+        right, keys = _prepared(lk, i)
         cond = reduce(lambda a, b: a & b, [out[left] == right[k] for left, k in zip(lk.on, keys)])
         out = out.join(right, cond, "left").drop(*keys)
     return out

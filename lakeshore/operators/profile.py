@@ -56,6 +56,22 @@ def approx_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], a
     )).alias("s")).select("column", "s.stat", "s.value")
 
 
+def approx_within(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10000) -> DataFrame:
+    """(column, stat, within) for the statistics of :func:`approx_summary`: whether some rank of the
+    value given lies within ``n / accuracy`` (and one rank) of the rank asked for; min and max exactly."""
+    got = approx_summary(df, cols, probs, accuracy).withColumnRenamed("column", "of")
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))).where("v IS NOT NULL")
+    counted = (long.join(F.broadcast(got), F.col("column") == F.col("of"))      # columns times statistics rows
+               .groupBy("column", "stat", "value").agg(
+                   F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("value")).alias("below"),
+                   F.count_if(F.col("v") <= F.col("value")).alias("upto")))
+    p = F.when(F.col("stat") == "min", 0.0).when(F.col("stat") == "max", 1.0).otherwise(F.col("stat").try_cast("double"))
+    slack = F.when(F.col("stat").isin("min", "max"), 0).otherwise(F.col("n") / accuracy + 1)
+    rank = F.greatest(F.lit(1), F.ceil(p * F.col("n")))
+    return counted.select("column", "stat", ((F.col("below") + 1 <= rank + slack) & (F.col("upto") >= rank - slack)).alias("within"))
+
+
 def with_bucket(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) -> DataFrame:
     """``out`` = number of ascending ``cuts`` below ``value`` (its range index), by binary
     search: log2(n_cuts) codegen'd ``element_at`` comparisons per row, one projection per
@@ -73,7 +89,7 @@ def with_bucket(df: DataFrame, value: str, cuts: str, n_cuts: int, out: str) ->
 
 
 def _in_ranges(vals: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
-    """Rows of ``vals`` inside each (key, stat) range (lo, hi]; ``ranges`` is a small literal
+    """Rows of ``vals`` inside each range (lo, hi] of their key; ``ranges`` is a small literal
     frame (keys x probabilities rows), broadcast; an equi join on the key plus the range."""
     r = F.broadcast(ranges.withColumnRenamed(key, "__rk"))
     cond = ((F.col(key) == F.col("__rk"))
@@ -83,7 +99,7 @@ def _in_ranges(vals: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
 
 
 def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column", value: str = "v",
-                    buckets: int = 256, max_window_values: int = 1_000_000, max_levels: int = 12,
+                    buckets: int = 256, max_window_values: int = 1_000_000,
                     stats: list | None = None) -> DataFrame:
     """Exact discrete quantiles per ``key`` of a long (key, value) frame: the smallest value
     whose cumulative share reaches p, i.e. the value of rank ceil(p * n) (p = 0 gives the
@@ -117,22 +133,28 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column"
             rank = max(1, math.ceil(Decimal(repr(p)) * row["n"]))
             cands.append({"key": row[key], "stat": f"{p:g}", "lo": None, "hi": None, "k": rank,
                           "nd": row["nd"], "cuts": list(row["cuts"])})
-    range_ddl = f"`{key}` string, stat string, lo double, hi double"
+    range_ddl = f"`{key}` string, rid int, lo double, hi double"
+
+    def shared(wanted):
+        """Ranks in one range share it: (range number of each rank, the ranges)."""
+        numbers: dict[tuple, int] = {}
+        of = [numbers.setdefault((c["key"], c["lo"], c["hi"]), len(numbers)) for c in wanted]
+        return of, {of[i]: c for i, c in enumerate(wanted)}
+
     # Every range is narrowed at least once: sub-ranges of different ranks are disjoint, so a
-    # row meets about one range in the final pass (a whole-column range would meet them all).
+    # row meets about one range in each pass.
     pending = list(cands)
-    for _ in range(max_levels):
-        if not pending:
-            break
-        ranges = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"], c["cuts"]) for c in pending],
-                                       range_ddl + ", cuts array<double>")
-        inside = with_bucket(_in_ranges(vals, ranges, key), "v", "cuts", buckets - 1, "b")
-        counts = {(r[key], r["stat"], r["b"]): r["bc"] for r in
-                  inside.groupBy(key, "stat", "b").agg(F.count(F.lit(1)).alias("bc")).collect()}
-        for c in pending:
+    while pending:
+        before_level = [(c["lo"], c["hi"], c["nd"]) for c in pending]
+        of, ranges = shared(pending)
+        frame = spark.createDataFrame([(c["key"], r, c["lo"], c["hi"], c["cuts"]) for r, c in ranges.items()],
+                                      range_ddl + ", cuts array<double>")
+        inside = with_bucket(_in_ranges(vals, frame, key), "v", "cuts", buckets - 1, "b")
+        counts = {(r["rid"], r["b"]): r["bc"] for r in inside.groupBy("rid", "b").agg(F.count(F.lit(1)).alias("bc")).collect()}
+        for rid, c in zip(of, pending, strict=True):
             before = 0
             for b in range(buckets):
-                bc = counts.get((c["key"], c["stat"], b), 0)
+                bc = counts.get((rid, b), 0)
                 if before + bc >= c["k"]:
                     lo = c["cuts"][b - 1] if b > 0 else c["lo"]
                     hi = c["cuts"][b] if b < buckets - 1 else c["hi"]
@@ -141,18 +163,22 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], key: str = "column"
                 before += bc
         wide = [c for c in pending if c["nd"] > max_window_values]
         if wide:   # cut points (and a distinct estimate) for ranges that are still too wide
-            narrowed = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"]) for c in wide], range_ddl)
-            for r in _in_ranges(vals, narrowed, key).groupBy(key, "stat").agg(*sketch_aggs()).collect():
-                for c in wide:
-                    if (c["key"], c["stat"]) == (r[key], r["stat"]):
-                        c.update(nd=r["nd"], cuts=list(r["cuts"]))
+            of, ranges = shared(wide)
+            narrowed = spark.createDataFrame([(c["key"], r, c["lo"], c["hi"]) for r, c in ranges.items()], range_ddl)
+            found = {r["rid"]: r for r in _in_ranges(vals, narrowed, key).groupBy("rid").agg(*sketch_aggs()).collect()}
+            for rid, c in zip(of, wide, strict=True):
+                c.update(nd=found[rid]["nd"], cuts=list(found[rid]["cuts"]))
+        if len(wide) == len(before_level) and [(c["lo"], c["hi"], c["nd"]) for c in wide] == before_level:
+            raise RuntimeError(f"ranges of {key} that no longer narrow hold more than {max_window_values} values")
         pending = [c for c in wide if c["nd"] > max_window_values]
-    final = spark.createDataFrame([(c["key"], c["stat"], c["lo"], c["hi"], c["k"]) for c in cands],
-                                  range_ddl + ", k long")
-    in_final = _in_ranges(vals, final, key).groupBy(key, "stat", "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    of, ranges = shared(cands)
+    final = spark.createDataFrame([(c["key"], r, c["lo"], c["hi"]) for r, c in ranges.items()], range_ddl)
+    wanted = spark.createDataFrame([(r, c["stat"], c["k"]) for r, c in zip(of, cands, strict=True)], "__rid int, stat string, k long")
+    in_final = _in_ranges(vals, final, key).groupBy(key, "rid", "v").agg(F.count(F.lit(1)).alias("c"))
     ordered = in_final.withColumn("cum", F.sum("c").over(
-        Window.partitionBy(key, "stat").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    return ordered.filter(F.col("cum") >= F.col("k")).groupBy(key, "stat").agg(F.min("v").alias("value"))
+        Window.partitionBy("rid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = ordered.join(F.broadcast(wanted), (F.col("rid") == F.col("__rid")) & (F.col("cum") >= F.col("k")))   # keys x probs rows
+    return ranked.groupBy(key, "stat").agg(F.min("v").alias("value"))
 
 
 def exact_summary(df: DataFrame, cols: Sequence[str], probs: Sequence[float], buckets: int = 256,

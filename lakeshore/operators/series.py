@@ -103,20 +103,24 @@ def validate_documents(docs: DataFrame, fields: Sequence[str] = tuple(HOURLY_FIE
     """One row per document with its checks (over **all** documents, not the first):
     hours present, hours expected ((days in month + 1) x 24 UTC hours), equal array
     lengths, nulls in the required field, time zone as expected, and ``valid``."""
-    missing = [f for f in (time_field, *fields)
-               if f not in docs.select(f"{path}.*").columns]  # schema metadata, no job
+    known = docs.select(f"{path}.*").columns        # schema metadata, no job
+    names = (time_field, *fields)
+    missing = [f for f in names if f not in known]
+    # a field the document leaves out reads as null, whatever the schema says
+    left_out = F.filter(F.array(*[F.lit(f) if f in missing else F.when(F.col(f"{path}.{f}").isNull(), f) for f in names]),
+                        lambda f: f.isNotNull())
     n = F.size(F.col(f"{path}.{time_field}"))
     start = F.make_date(F.col(year), F.col(month), F.lit(1))
     expected = ((F.datediff(F.last_day(start), start) + 2) * 24).cast("int")
     present = [f for f in fields if f not in missing]
     equal = F.lit(True)
     for f in present:
-        equal = equal & (F.size(F.col(f"{path}.{f}")) == n)
-    has_nulls = (F.exists(F.col(f"{path}.{required_nonnull}"), lambda x: x.isNull())
+        equal = equal & (F.col(f"{path}.{f}").isNull() | (F.size(F.col(f"{path}.{f}")) == n))
+    has_nulls = (F.coalesce(F.exists(F.col(f"{path}.{required_nonnull}"), lambda x: x.isNull()), F.lit(True))
                  if required_nonnull in present else F.lit(True))
     checked = docs.select(
         year, month,
-        F.lit(",".join(missing) if missing else None).cast("string").alias("missing_fields"),
+        F.when(F.size(left_out) > 0, F.array_join(left_out, ",")).alias("missing_fields"),
         n.cast("int").alias("n_hours"),
         expected.alias("expected_hours"),
         equal.alias("equal_lengths"),

@@ -149,12 +149,15 @@ months AS (
         FROM orders)
 ),
 utc AS (
-  SELECT year, month, utc_time, CAST(floor(epoch(utc_time) / 3600) AS BIGINT) AS n
+  SELECT year, month, utc_time, CAST(floor(epoch(utc_time) / 3600) AS BIGINT) + coalesce(load, 0) AS n
   FROM (SELECT year, month,
                unnest(generate_series(CAST(month_start AS TIMESTAMP),
                                       CAST(month_start + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 23 HOUR,
                                       INTERVAL 1 HOUR)) AS utc_time
         FROM months)
+  LEFT JOIN (SELECT (day(ts) - 1) * 24 + hour(ts) AS slot,
+                    CAST(count(*) * 7 + coalesce(sum(CAST(round(value * 100) AS BIGINT)), 0) AS BIGINT) AS load
+             FROM events GROUP BY 1) ON slot = (day(utc_time) - 1) * 24 + hour(utc_time)
 ),
 m1 AS (
   SELECT year, month, utc_time, n,

@@ -132,7 +132,7 @@ def build_gold(spark, stg_trips: DataFrame, weather: DataFrame, holidays_region:
             f.result()
     weather = spark.read.parquet(paths["dim_weather_hour"])
     holidays_region = spark.read.parquet(paths["dim_holiday"])
-    enriched = warehouse.enrich_trips(spark, stg_trips, weather, zones, holidays_region, stored_dims=True)
+    enriched = warehouse.enrich_trips(spark, stg_trips, weather, zones, holidays_region)
     facts = warehouse.fact_trips(enriched)
     build_incremental(spark, facts, paths["fct_trips"], months=months, full_refresh=full_refresh,
                       extra_sources=extra_sources)

@@ -342,3 +342,70 @@ SELECT year, month, count(*) AS input_rows,
        count(*) FILTER (WHERE reject_reason IS NOT NULL) AS quarantined_rows,
        true AS reconciled
 FROM clean GROUP BY year, month"""))
+
+
+# ---------------------------------------------------------------- second runs
+
+CORRECTED = (1997, 3)
+
+
+@query("republish_clean")
+def q_republish_clean(spark: SparkSession, root: str) -> DataFrame:
+    """All batches published, then one again after its faulty rows were taken out at the source: its
+    quarantine is emptied, the other batches stay. Rows per layer as they lie on disk."""
+    from lakeshore.plans.pipelines import LAYER_COL, publish_clean
+    from lakeshore.plans.trips import clean_trips
+
+    path, p = scratch_path(spark, "republished"), standins.STANDIN_TRIPS
+    raw = standins.raw_trips(spark, root)
+    publish_clean(spark, raw, path, p)
+    month = raw.where((F.col("year") == CORRECTED[0]) & (F.col("month") == CORRECTED[1]))
+    good = clean_trips(month, p).where("reject_reason IS NULL").select(*[f.target for f in p.contract], *p.batch_cols)
+    publish_clean(spark, good, path, p, conformed=True)
+    return spark.read.parquet(path).groupBy("year", "month").agg(
+        F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
+        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"))
+
+
+register("republish_clean", with_trips(f"""
+SELECT year, month, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted_rows,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL AND (year <> {CORRECTED[0]} OR month <> {CORRECTED[1]})) AS quarantined_rows
+FROM clean GROUP BY year, month"""))
+
+DROPPED_BEFORE = "1996-01"
+
+
+@query("full_refresh_drop")
+def q_full_refresh_drop(spark: SparkSession, root: str) -> DataFrame:
+    """A table built from all order months, then refreshed in full from a source without the first year."""
+    from lakeshore.operators.incremental import build_incremental
+
+    path = scratch_path(spark, "refreshed")
+    o = table(spark, root, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("source_month"))
+    build_incremental(spark, o, path, full_refresh=True)
+    build_incremental(spark, o.where(F.col("source_month") >= DROPPED_BEFORE), path, full_refresh=True)
+    return spark.read.parquet(path).groupBy(F.col("source_month").cast("string").alias("source_month")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest"))
+
+
+register("full_refresh_drop", f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS source_month, count(*) AS orders, max(o_totalprice) AS largest
+FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '{DROPPED_BEFORE}' GROUP BY 1""")
+
+
+@query("scd2_all_closed")
+def q_scd2_all_closed(spark: SparkSession, root: str) -> DataFrame:
+    """A history whose keys all leave: every version is closed, none is open any more."""
+    path = scratch_path(spark, "all-closed")
+    v1 = standins.customer_versions(spark, root)[0]
+    key, check, runs = standins.HISTORY_KEY, standins.HISTORY_CHECK, standins.HISTORY_RUNS
+    history.scd2_run(spark, v1, path, key, check, runs[0])
+    h = history.scd2_run(spark, v1.limit(0), path, key, check, runs[1])
+    return h.select(*key, *check, "valid_from", "valid_to", F.col(history.STATE_COL).cast("string").alias("state"))
+
+
+register("scd2_all_closed", f"""
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment,
+       TIMESTAMP '{standins.HISTORY_RUNS[0]}' AS valid_from, TIMESTAMP '{standins.HISTORY_RUNS[1]}' AS valid_to,
+       'closed {standins.HISTORY_RUNS[1]}' AS state
+FROM customer""")

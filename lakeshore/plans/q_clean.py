@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from lakeshore.functions import month_key, surrogate_key
 from lakeshore.operators.contract import conform
-from lakeshore.operators.rules import quarantined, reason_histogram, split, split_counts
+from lakeshore.operators.rules import quarantined, reason_histogram, split
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import STG_SQL, register, with_trips
-from lakeshore.plans.pipelines import TRIP_KEY_COLUMNS, batch_loaded_at, stage_trips
+from lakeshore.plans.pipelines import TRIP_KEY_COLUMNS, batch_loaded_at, publish_clean, stage_trips
 from lakeshore.plans.trips import clean_trips, derive_trip
-from lakeshore.session import require_utc
+from lakeshore.session import require_utc, scratch_path
 
 P = standins.STANDIN_TRIPS
 
@@ -93,7 +93,9 @@ WHERE reject_reason IS NOT NULL GROUP BY reject_reason ORDER BY n_rows DESC, rej
 
 @query("reconcile_split")
 def q_reconcile_split(spark: SparkSession, root: str) -> DataFrame:
-    return split_counts(cleaned(spark, root), by=["year", "month"])
+    """Landed rows per batch against the two layers as they lie on disk."""
+    require_utc(spark)
+    return publish_clean(spark, standins.raw_trips(spark, root), scratch_path(spark, "reconcile"), P)
 
 
 register("reconcile_split", with_trips("""

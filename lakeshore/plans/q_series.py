@@ -9,7 +9,8 @@ from lakeshore.operators import series
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import WEATHER_CTES, register, rhu
-from lakeshore.session import require_utc
+from lakeshore.session import require_utc, scratch_path
+from lakeshore.sources.documents import WEATHER_DOC_DDL, read_json, write_json_documents
 
 ZONE = standins.LOCAL_ZONE
 
@@ -27,9 +28,16 @@ def silver_weather(spark: SparkSession, root: str) -> DataFrame:
     return series.flatten_series(documents(spark, root), ZONE)
 
 
+def landed(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """The documents as files of one JSON object each, read back as multi-line JSON."""
+    path = scratch_path(spark, name)
+    write_json_documents(docs, path)
+    return read_json(spark, path, WEATHER_DOC_DDL, multi_line=True)
+
+
 @query("series_explode")
 def q_series_explode(spark: SparkSession, root: str) -> DataFrame:
-    return series.explode_series(documents(spark, root))
+    return series.explode_series(landed(spark, documents(spark, root), "weather-json"))
 
 
 register("series_explode", with_weather("""
@@ -55,20 +63,20 @@ register("dst_merge", with_weather("SELECT * FROM weather"))
 
 @query("series_validate")
 def q_series_validate(spark: SparkSession, root: str) -> DataFrame:
-    return series.validate_documents(documents(spark, root))
-
-
-register("series_validate", with_weather("""
-SELECT year, month, CAST(NULL AS VARCHAR) AS missing_fields,
-       CAST(count(*) AS INTEGER) AS n_hours,
-       CAST((datediff('day', min(month_start), last_day(min(month_start))) + 2) * 24 AS INTEGER) AS expected_hours,
-       true AS equal_lengths,
-       bool_or(temperature_c IS NULL) AS has_null_required,
-       true AS zone_ok,
-       count(*) = (datediff('day', min(month_start), last_day(min(month_start))) + 2) * 24
-         AND NOT bool_or(temperature_c IS NULL) AS valid
-FROM wx_utc JOIN months USING (year, month)
-GROUP BY year, month"""))
+    return series.validate_documents(landed(spark, standins.broken_documents(documents(spark, root)), "broken-json"))
+
+
+register("series_validate", with_weather(f"""
+SELECT *, missing_fields IS NULL AND n_hours = expected_hours AND equal_lengths AND NOT has_null_required AND zone_ok AS valid
+FROM (
+  SELECT year, month, CASE WHEN month = {standins.LOST_FIELD_MONTH} THEN 'snowfall' END AS missing_fields,
+         CAST(count(*) AS INTEGER) AS n_hours,
+         CAST((datediff('day', min(month_start), last_day(min(month_start))) + 2) * 24 AS INTEGER) AS expected_hours,
+         month <> {standins.SHORT_ARRAY_MONTH} AS equal_lengths,
+         month = {standins.NULL_READING_MONTH} OR bool_or(temperature_c IS NULL) AS has_null_required,
+         month <> {standins.WRONG_ZONE_MONTH} AS zone_ok
+  FROM wx_utc JOIN months USING (year, month)
+  GROUP BY year, month)"""))
 
 
 @query("month_completeness")

@@ -10,7 +10,7 @@ trips      lineitem join orders: pickup = order date + line number hours and som
            month land in the previous month's batch and break pickup_outside_month.
 zones      nation join region (location_id = nation key).
 weather    one UTC hour per hour of the calendar months the orders span; measures are
-           arithmetic of the hour number.
+           arithmetic of the hour number and of the events of that day and hour of a month.
 holidays   per order month: the busiest day (nationwide), the highest-value day (regional,
            listed in codes built from order status), the quietest day (flags unknown).
 """
@@ -103,9 +103,17 @@ def weather_months(spark: SparkSession, root: str) -> DataFrame:
     ).select(F.year("month_start").alias("year"), F.month("month_start").alias("month"), "month_start")
 
 
-def hour_measures(utc_hour):
-    """Deterministic weather of a UTC hour (a TIMESTAMP_NTZ column), from its hour number."""
-    n = F.floor(F.unix_timestamp(utc_hour.cast("timestamp")) / 3600)
+def event_load(spark: SparkSession, root: str) -> DataFrame:
+    """(slot, load) of every hour of a month (day and hour of day) in which events fell: their number
+    and summed value, as one whole number. What the weather readings are made of."""
+    e = table(spark, root, "events")
+    slot = (F.dayofmonth("ts") - 1) * 24 + F.hour("ts")
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return e.groupBy(slot.alias("slot")).agg((F.count(F.lit(1)) * 7 + F.coalesce(F.sum(cents), F.lit(0))).alias("load"))
+
+
+def hour_measures(n):
+    """Weather of an hour from a whole number: its hour number plus the events' load."""
     temp = F.round((n * 37) % 400 / 10.0 - 10.0, 1)
     wet = (n * 13) % 70 / 10.0 - 2.0
     precip = F.when(n % 11 == 0, F.lit(None).cast("double")).when(wet > 0, F.round(wet, 1)).otherwise(F.lit(0.0))
@@ -117,35 +125,53 @@ def hour_measures(utc_hour):
             "snowfall": snow, "wind_speed_10m": wind, "weather_code": code}
 
 
+WEATHER_FIELDS = ("temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m", "weather_code")
+
+
 def weather_documents(spark: SparkSession, root: str) -> DataFrame:
     """One document per UTC month: hours from the 1st 00:00 to the 1st of the next month
-    23:00 (one extra day), as parallel arrays, like a downloaded hourly-archive response.
-
-    The arrays are built inside each month row (``sequence`` + ``transform``): no shuffle."""
-    # one row per month comes out of a global aggregate (a single partition) and expands to
-    # ~750 hours each: spread the month rows over tasks before the per-hour work.
+    23:00 (one extra day), as parallel arrays, like a downloaded hourly-archive response. An hour's
+    readings come from the events of the same day and hour of a month; hours are collected and
+    sorted into arrays per month (some 770 rows each)."""
     months = weather_months(spark, root).repartition("month_start")
     start = F.col("month_start").cast("timestamp_ntz")
     end = F.timestamp_add("HOUR", F.lit(23), F.add_months("month_start", 1).cast("timestamp_ntz"))
-    hours = F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))
-    names = ("temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m", "weather_code")
-
-    def readings(x):  # every measure of one hour, computed once
-        m = hour_measures(x)
-        return F.struct(F.date_format(x, "yyyy-MM-dd'T'HH:mm").alias("time"), *[m[n].alias(n) for n in names])
-
-    per_hour = months.select("year", "month", F.transform(hours, readings).alias("r"))
+    hours = months.select("year", "month", F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("at"))
+    slot = (F.dayofmonth("at") - 1) * 24 + F.hour("at")
+    loaded = hours.withColumn("slot", slot).join(event_load(spark, root), "slot", "left")   # 744 slots at most
+    number = F.floor(F.unix_timestamp(F.col("at").cast("timestamp")) / 3600) + F.coalesce("load", F.lit(0))
+    m = hour_measures(F.col("n"))
+    readings = loaded.withColumn("n", number).select("year", "month", F.struct(
+        F.date_format("at", "yyyy-MM-dd'T'HH:mm").alias("time"), *[m[n].alias(n) for n in WEATHER_FIELDS]).alias("reading"))
+    docs = readings.groupBy("year", "month").agg(F.sort_array(F.collect_list("reading")).alias("r"))
 
     def field(name):
         return lambda r: r[name]
 
-    return per_hour.select(
+    return docs.select(
         "year", "month",
         F.lit("GMT").alias("timezone"),
-        F.struct(*[F.transform("r", field(n)).alias(n) for n in ("time", *names)]).alias("hourly"),
+        F.struct(*[F.transform("r", field(n)).alias(n) for n in ("time", *WEATHER_FIELDS)]).alias("hourly"),
     )
 
 
+# Months whose documents are broken, and how (for the checks to find).
+WRONG_ZONE_MONTH, SHORT_ARRAY_MONTH, NULL_READING_MONTH, LOST_FIELD_MONTH = 5, 7, 9, 11
+
+
+def broken_documents(docs: DataFrame) -> DataFrame:
+    """The documents with faults: another zone, an array cut short, a reading without temperature,
+    a field left out."""
+    h, month = F.col("hourly"), F.col("month")
+    series = {n: h[n] for n in ("time", *WEATHER_FIELDS)}
+    series["precipitation"] = F.when(month == SHORT_ARRAY_MONTH, F.slice(h["precipitation"], 1, 100)).otherwise(h["precipitation"])
+    series["temperature_2m"] = F.when(month == NULL_READING_MONTH, F.transform(
+        h["temperature_2m"], lambda v, i: F.when(i != 5, v))).otherwise(h["temperature_2m"])
+    series["snowfall"] = F.when(month != LOST_FIELD_MONTH, h["snowfall"])
+    return docs.select("year", "month", F.when(month == WRONG_ZONE_MONTH, LOCAL_ZONE).otherwise(F.col("timezone")).alias("timezone"),
+                       F.struct(*[v.alias(n) for n, v in series.items()]).alias("hourly"))
+
+
 def daily_orders(spark: SparkSession, root: str) -> DataFrame:
     o = table(spark, root, "orders")
     return o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
@@ -180,6 +206,20 @@ def holiday_records(spark: SparkSession, root: str) -> DataFrame:
     return busy.unionByName(value).unionByName(quiet)
 
 
+def broken_records(records: DataFrame) -> DataFrame:
+    """Holiday records with their batch year, some faulty by their month: no calendar date, the wrong year, an
+    empty name, no name; the records of one year are missing altogether."""
+    day = F.to_date("date")
+    month, year = F.month(day), F.year(day)
+    text = (F.when(month == 2, F.concat(F.substring("date", 1, 5), F.lit("02-30")))
+            .when(month == 4, F.date_format(F.add_months(day, 12), "yyyy-MM-dd")).otherwise(F.col("date")))
+    name = F.when(month == 6, "").when(month != 8, F.col("name"))
+    return records.select(year.alias("year"), text.alias("date"), name.alias("name")).where(F.col("year") != EMPTY_YEAR)
+
+
+EMPTY_YEAR = 1997
+
+
 # History runs of the customer table (a slowly changing lookup). Every customer is in every
 # snapshot unless the scenario says otherwise:
 #   v1  as loaded; accounts in debt (balance < 0) have no segment yet;

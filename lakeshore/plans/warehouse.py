@@ -10,10 +10,6 @@ from lakeshore.operators import dims, facts
 from lakeshore.operators.enrich import Lookup, enrich
 from lakeshore.sources import lookups
 
-# Calendar-sized lookups are broadcast only below these row counts (checked at run time).
-MAX_BROADCAST_HOURS = 500_000     # ~57 years of hourly rows, ~30 MB
-MAX_BROADCAST_DATES = 100_000
-
 WEATHER_MEASURES = ["temperature_c", "precipitation_mm", "rain_mm", "snowfall_cm",
                     "wind_speed_kmh", "weather_code"]
 
@@ -50,36 +46,31 @@ def zones_lookup_check(zones: DataFrame):
 
 
 def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zones: DataFrame,
-                 holidays_region: DataFrame, check_unique: bool = False, stored_dims: bool = False,
-                 zones_verified: bool = False) -> DataFrame:
+                 holidays_region: DataFrame, check_unique: bool = False, zones_verified: bool = False) -> DataFrame:
     """Staged trips + pickup-hour weather, zones (role-playing: pickup and dropoff),
     code names and the region's holidays. Same row count as ``trips``.
 
-    Code lists and zones are always broadcast (bounded by construction). Weather hours and
-    holiday dates are bounded by the calendar, not the facts: when they are stored tables
-    (``stored_dims``) the planner's statistics are their measured file size and its
-    broadcast threshold decides (sort-merge beyond it); otherwise their row count is
-    checked against MAX_BROADCAST_HOURS / MAX_BROADCAST_DATES first."""
-    hours_bound = None if stored_dims else MAX_BROADCAST_HOURS
-    dates_bound = None if stored_dims else MAX_BROADCAST_DATES
+    The fixed code lists are broadcast. Zones, weather hours and holiday dates are data: the
+    planner's statistics (the file size of a stored table) and its broadcast threshold decide, with
+    a sort-merge join beyond it."""
     wx = weather_with_codes(weather, lookups.weather_codes(spark)).select(
         "weather_hour", *WEATHER_MEASURES, "weather_description", "weather_category")
     out = enrich(trips, [
         Lookup(wx, {"pickup_hour": "weather_hour"},
                {c: c for c in [*WEATHER_MEASURES, "weather_description", "weather_category"]},
-               max_rows=hours_bound, name="weather"),
+               name="weather"),
         Lookup(zones, {"pickup_location_id": "location_id"},
-               {"borough": "pickup_borough", "zone": "pickup_zone"}, broadcast=True, name="zones",
+               {"borough": "pickup_borough", "zone": "pickup_zone"}, name="zones",
                verify_unique=not zones_verified),
         Lookup(zones, {"dropoff_location_id": "location_id"},
-               {"borough": "dropoff_borough", "zone": "dropoff_zone"}, broadcast=True, name="dropoff_zone"),
+               {"borough": "dropoff_borough", "zone": "dropoff_zone"}, name="dropoff_zone"),
         Lookup(lookups.payment_types(spark), {"payment_type": "payment_type"},
                {"payment_type_name": "payment_type_name"}, broadcast=True, name="payment_types"),
         Lookup(lookups.rate_codes(spark), {"ratecode_id": "ratecode_id"},
                {"ratecode_name": "ratecode_name"}, broadcast=True, name="rate_codes"),
         Lookup(holidays_region, {"pickup_date": "holiday_date"},
                {"holiday_date": "__holiday_date", "holiday_name": "holiday_name"},
-               max_rows=dates_bound, name="holidays"),
+               name="holidays"),
     ], check_unique=check_unique)
     return (
         out.withColumn("pickup_hour_of_day", F.hour("pickup_at"))
@@ -90,6 +81,7 @@ def enrich_trips(spark: SparkSession, trips: DataFrame, weather: DataFrame, zone
     )
 
 
+# The columns of the fact, in order.
 FACT_COLUMNS = [
     "trip_id", "date_key", "pickup_zone_id", "dropoff_zone_id", "pickup_at", "dropoff_at",
     "pickup_hour", "pickup_hour_of_day", "is_weekend", "is_holiday", "duration_min",

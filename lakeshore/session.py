@@ -6,7 +6,6 @@ so every entry point calls :func:`require_utc`.
 """
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -57,16 +56,11 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
-
-    Only in local mode, when the session names none (tests), is a private folder created and
-    registered; on a cluster an unset directory is an error, never a machine-local folder.
-    """
+    """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir`` or, where
+    that is unset, a folder in the warehouse, which the driver and all executors share as well."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor and the driver share")
-        root = tempfile.mkdtemp(prefix="lakeshore-ckpt-")   # local mode only (tests)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -79,6 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/lakeshore/{name}-{uuid.uuid4().hex[:12]}"   # writers create it
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables below the scratch root: for the end of a run, when no result
+    that reads them is needed any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/lakeshore")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(spark: SparkSession, df, name: str):
     """Write ``df`` as a Parquet table in the shared scratch folder and return its re-read.
 

@@ -105,6 +105,12 @@ def same_batches(df: DataFrame, batches: DataFrame, batch_cols: Sequence[str]) -
     return df.join(b, on, "left_semi")
 
 
+def _differences(a: dict, b: dict) -> str:
+    wrong = [k for k in a.keys() | b.keys() if a.get(k) != b.get(k)]
+    shown = {k: (a.get(k, 0), b.get(k, 0)) for k in sorted(wrong, key=repr)[:5]}
+    return f"{shown}{' ...' if len(wrong) > 5 else ''}"
+
+
 def publish(spark: SparkSession, staged: DataFrame, target: str, batch_cols: Sequence[str],
             expected: dict[tuple, int], layer: Sequence[str] = (), files_per_batch: int | None = None) -> dict[tuple, int]:
     """Replace, in ``target`` (partitioned by ``layer`` and ``batch_cols``), the batches of ``expected`` by the
@@ -113,20 +119,23 @@ def publish(spark: SparkSession, staged: DataFrame, target: str, batch_cols: Seq
     counts = {k: n for k, n in batch_counts(staged, batch_cols).items() if n}
     wanted = {k: n for k, n in expected.items() if n}
     if counts != wanted:
-        wrong = {k: (wanted.get(k, 0), counts.get(k, 0)) for k in wanted.keys() | counts.keys() if wanted.get(k) != counts.get(k)}
-        raise ReconcileError(f"{target}: not published; rows expected and staged differ: {dict(list(wrong.items())[:5])}")
+        raise ReconcileError(f"{target}: not published; expected and staged rows differ: {_differences(wanted, counts)}")
     parts = [*layer, *batch_cols]
+
+    def held() -> DataFrame:        # with the types of the staged rows: folder names would be guessed anew
+        return spark.read.schema(staged.schema).parquet(target)
+
     batches = spark.createDataFrame([tuple(k) for k in expected], staged.select(*batch_cols).schema) if expected else None
     old = []
     if batches is not None and exists(spark, target):
-        old = same_batches(spark.read.parquet(target), batches, batch_cols).select(*parts).distinct().collect()
+        old = same_batches(held(), batches, batch_cols).select(*parts).distinct().collect()
     write_batches(staged, target, parts, files_per_batch)
     new = {tuple(r) for r in staged.select(*parts).distinct().collect()}
     purge_partitions(spark, target, [dict(zip(parts, r, strict=True)) for r in map(tuple, old) if r not in new])
     if batches is not None:
-        found = batch_counts(same_batches(spark.read.parquet(target), batches, batch_cols), batch_cols)
-        if {k: n for k, n in found.items() if n} != wanted:
-            raise ReconcileError(f"{target}: staged {counts} but published {found}")
+        found = {k: n for k, n in batch_counts(same_batches(held(), batches, batch_cols), batch_cols).items() if n}
+        if found != wanted:
+            raise ReconcileError(f"{target}: staged and published rows differ: {_differences(wanted, found)}")
     return counts
 
 

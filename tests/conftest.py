@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from lakeshore.session import prepare
+    from lakeshore.session import drop_scratch, prepare
 
     s = (SparkSession.builder.master("local[4]").appName("lakeshore-tests")
          .config("spark.sql.shuffle.partitions", "4")
@@ -23,6 +23,7 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakeshore-test-ckpt-"))
     prepare(s)
     yield s
+    drop_scratch(s)
     s.stop()
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshore.operators import dims, facts
-from lakeshore.operators.enrich import Lookup, UniquenessError, enrich, within_bounds
+from lakeshore.operators.enrich import Lookup, UniquenessError, enrich
 from lakeshore.plans import warehouse
 
 
@@ -27,17 +27,17 @@ def test_enrich_refuses_duplicate_right_keys(spark):
         enrich(trips, [Lookup(zones, {"pu": "location_id"}, {"zone": "z"})], check_unique=True)
 
 
-def test_within_bounds(spark):
-    small, big = spark.range(5), spark.range(50)
-    assert within_bounds([(small, 5), (big, 49)]) == [True, False]
-
-
-def test_broadcast_decision_shows_in_plan(spark):
+def test_statistics_decide_the_join(spark):
     fact = spark.range(1000).withColumnRenamed("id", "k")
     lk = spark.range(10).select(F.col("id").alias("k2"), F.lit("x").alias("v"))
-    out = enrich(fact, [Lookup(lk, {"k": "k2"}, {"v": "v"}, max_rows=100)])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    plan = lambda: enrich(fact, [Lookup(lk, {"k": "k2"}, {"v": "v"})])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def holiday_frame(spark):
@@ -99,15 +99,9 @@ def test_totals_mismatch(spark):
     assert facts.totals_mismatch(a, c, F.count(F.lit(1)), F.sum("trips")).count() == 0
 
 
-def test_bounded_broadcast_and_named_views(spark):
-    from lakeshore.operators.enrich import bounded_broadcast
+def test_named_views(spark):
     from lakeshore.sources.tables import register_views
 
-    small = bounded_broadcast(spark.range(10), 10)
-    big = bounded_broadcast(spark.range(11), 10)
-    fact = spark.range(1000)
-    assert "BroadcastHashJoin" in fact.join(small, "id")._jdf.queryExecution().executedPlan().toString()
-    assert big.count() == 11
     register_views(spark, "/root/testdata/sf0.001", ["nation", "region"])
     n = spark.sql("SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey").first()[0]
     assert n == 25
