@@ -15,7 +15,6 @@ vocabulary are skipped. Repeated rows get equal results, an empty table none.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import fresh, ship, table
+from .common import byte_sizes, fresh, ship, sub_batches, table
 
 BATCH_CHARS = 4_000_000
 CACHE_PIECES = 400_000
@@ -232,15 +231,6 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def sub_batches(batch: pa.RecordBatch, weight: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch of about ``most`` in weight, one row at least."""
-    part = np.cumsum(weight) // max(1, most)
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` plus ``out``: the token ids of column ``text`` (an existing ``out`` is an error)."""
     if out in docs.columns:
@@ -252,8 +242,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
         # kept beside the broadcast tables, so that later tasks of a worker know its pieces
         coder = shared.value.coder = shared.value.coder or _Encoder(shared.value)
         for batch in batches:
-            lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64)
-            for part in sub_batches(batch, lengths, BATCH_CHARS):
+            for part in sub_batches(batch, byte_sizes(batch, text), BATCH_CHARS):
                 yield pa.RecordBatch.from_arrays([*part.columns, coder.encode(part.column(text))],
                                                  [*part.schema.names, out])
 

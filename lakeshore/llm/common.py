@@ -3,8 +3,12 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +30,25 @@ def shifted(arr: Column, by: int, n: Column) -> Column:
     return F.slice(arr, by + 1, F.greatest(n, F.lit(1)))
 
 
-def windows2(arr: Column, step: int, n: Column, covered: int) -> Column:
-    """Hashes of windows twice the reach: element i joins arr[i] and arr[i + step]; the result
-    keeps the ``n - covered + 1`` positions at which a window of ``covered`` items starts."""
-    both = F.zip_with(arr, shifted(arr, step, n), lambda a, b: F.xxhash64(a, b))
-    return F.slice(both, 1, F.greatest(n - (covered - 1), F.lit(0)))
+def once(condition: Column, row: Column) -> Column:
+    """``condition`` on columns computed beside ``row`` = ``monotonically_increasing_id()``. Catalyst pushes a
+    filter below the projection that computes its columns, repeating their expressions for every
+    use; it leaves the projection of a row number that the filter reads where it is."""
+    return condition & (row >= 0)
+
+
+def byte_sizes(batch: pa.RecordBatch, *columns: str) -> np.ndarray:
+    """Bytes of each row in the given string or binary columns."""
+    return sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0)).astype(np.int64) for c in columns)
+
+
+def sub_batches(batch: pa.RecordBatch, weight: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch of about ``most`` in weight, one row at least."""
+    part = np.cumsum(weight) // max(1, most)
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import gather, gram_hashes, merge_spans, scan, window_hashes
-from .common import fresh, materialize, parallel, ship
+from .common import byte_sizes, fresh, materialize, parallel, ship, sub_batches
 
 HOT_CONTENTS = 64
+TASK_BYTES = 16 << 20       # text that a task handles at once (packed text: a quarter of it)
 NULL_ID = -(1 << 63)
 SPAN, ASK, ASK_TWICE, HOT = 0, 1, 2, 4          # kinds of step 2's rows; HOT is added to the asks
 ENTRY = {"key": np.uint64, "content": np.uint64, "doc": np.int64, "th": np.int32, "start": np.int32, "count": np.int32,
@@ -134,7 +135,7 @@ def _local(search: Search, runs, doc, th) -> tuple[dict, tuple]:
 
 def _scan_task(search: Search, segments: int) -> Callable:
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "text"), TASK_BYTES)):
             order, doc, th = _by_doc(batch)
             tokens, edges = search.tokens(batch.column("text").take(pa.array(order)))
             runs = scan(tokens, search.hashed, edges, search.length, search.q)
@@ -202,7 +203,7 @@ def _segment_task(search: Search) -> Callable:
 def _context_task(search: Search, segments: int) -> Callable:
     """Texts with their asked runs -> contexts, packed by segment."""
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "packed"), TASK_BYTES // 4)):
             order, doc, th = _by_doc(batch)
             batch = batch.take(pa.array(order))
             tokens, edges = search.tokens(unpacked(batch.column("packed")))
@@ -355,7 +356,7 @@ def apply(docs: DataFrame, spans: DataFrame, cut: Callable, schema: str) -> Data
                        for f in out])
 
     def run(batches):
-        for b in batches:
+        for b in (part for x in batches for part in sub_batches(x, byte_sizes(x, z), TASK_BYTES // 4)):
             texts = unpacked(b.column(z))
             rows = [cut(texts[i].as_py() or b"", b.column(sp), i) for i in range(b.num_rows)]
             cols = zip(*rows, strict=True) if rows else [[] for _ in arrow]

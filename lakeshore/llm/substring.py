@@ -23,6 +23,7 @@ from .common import table
 LENGTH = 35
 ANCHOR = 8               # words of an anchor's q-gram
 DEPTH, WIDTH = 2, 1 << 18    # count-min sketch of one segment; segments grow with the partitions
+WORD_BYTES = 1 << 20      # bytes of words hashed at once
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -52,10 +53,14 @@ def word_hashes(flat: np.ndarray, word: np.ndarray, edges: np.ndarray) -> tuple[
         return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64)
     ends = np.flatnonzero(word & np.append(~word[1:] | start[1:], True))
     sizes = ends - first + 1
-    letters = np.flatnonzero(word)
-    place = gather(np.zeros(len(first), np.int64), sizes)
-    value = suffix.hashed(flat[letters]) * _powers(int(sizes.max()))[place]
-    h = np.add.reduceat(value, np.cumsum(sizes) - sizes)
+    # bytes are widened to hashes for a bounded number of words at a time
+    h, total = np.empty(len(first), np.uint64), np.cumsum(sizes)
+    powers = _powers(int(sizes.max()))
+    cuts = np.unique(np.append(np.searchsorted(total, np.arange(WORD_BYTES, total[-1], WORD_BYTES)), [0, len(first)]))
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        n = sizes[a:b]
+        value = suffix.hashed(flat[gather(first[a:b], n)]) * powers[gather(np.zeros(b - a, np.int64), n)]
+        h[a:b] = np.add.reduceat(value, np.cumsum(n) - n)
     return join_hashes(h, sizes.astype(np.uint64)), np.searchsorted(first, edges)
 
 

@@ -115,8 +115,8 @@ def dedup(docs: DataFrame, search: repeats.Search = SEARCH) -> DataFrame:
 
 
 def clean(docs: DataFrame, search: repeats.Search = SEARCH) -> DataFrame:
-    """``docs`` with the repeated bytes cut from column text; a character cut in half goes too, null stays
-    null, and n_chars, if there, is the new length. Columns and their order stay."""
+    """``docs`` with the repeated bytes cut from column text; a character cut in half goes too, null
+    becomes the empty text, and n_chars, if there, is the new length. Columns and their order stay."""
     n, removed, spans, kept = (fresh(docs, f"__{c}") for c in ("n", "removed", "spans", "kept"))
     d = repeats.apply(docs, repeats.find(docs.select("doc_id", "text"), search), _cut_text,
                       f"{n} bigint, {removed} bigint, {spans} bigint, {kept} string")
