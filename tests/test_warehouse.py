@@ -14,7 +14,7 @@ def test_enrich_preserves_rows_and_role_plays(spark):
     zones = spark.createDataFrame([(10, "A"), (20, "B")], "location_id int, zone string")
     out = enrich(trips, [
         Lookup(zones, {"pu": "location_id"}, {"zone": "pickup_zone"}, broadcast=True),
-        Lookup(zones, {"do": "location_id"}, {"zone": "dropoff_zone"}, max_rows=100),
+        Lookup(zones, {"do": "location_id"}, {"zone": "dropoff_zone"}),
     ], check_unique=True)
     assert sorted(tuple(r) for r in out.collect()) == [(1, 10, 20, "A", "B"), (2, 10, None, "A", None),
                                                        (3, 99, 10, None, "A")]
