@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 
 from . import repeats, suffix
 from .anchors import gram_hashes, join_hashes
-from .common import materialize, ship, table
+from .common import byte_sizes, materialize, ship, sub_batches, table
 from .components import components
 from .substring import word_hashes
 
 K, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 20, 4
 CELLS = 1 << 20                     # counters of shingle frequencies (8 MB, sent to the tasks)
+TASK_BYTES = 8 << 20                # text handled at once by a task (packed text: a quarter)
 WIDE = 200_000                      # labelled shingles times functions hashed at once
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -83,7 +84,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 def _scan(batches):
     """doc, digest of the words, bucket keys (null for all but the first of equal texts in a batch)."""
-    for batch in batches:
+    for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "text"), TASK_BYTES)):
         doc = np.asarray(batch.column("doc"))
         order = np.argsort(doc, kind="stable")
         words, edges = tokens(batch.column("text").take(pa.array(order)))
@@ -153,7 +154,7 @@ def aligned(a: list, b: list, least: float) -> bool:
 
 
 def _verify(batches):
-    for batch in batches:
+    for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "za", "zb"), TASK_BYTES // 4)):
         ta, ea = tokens(repeats.unpacked(batch.column("za")))
         tb, eb = tokens(repeats.unpacked(batch.column("zb")))
         good = np.zeros(batch.num_rows, bool)
@@ -212,7 +213,7 @@ def _links(spark, named: DataFrame, buckets: DataFrame) -> DataFrame:
 def _frequencies(batches):
     """How many documents have a shingle, by hashed cell: sums of a task."""
     total = np.zeros(CELLS, np.int64)
-    for batch in batches:
+    for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "z"), TASK_BYTES // 4)):
         t, e = tokens(repeats.unpacked(batch.column("z")))
         for a, b in zip(e, e[1:], strict=False):
             np.add.at(total, (labelled(t[a:b]) % np.uint64(CELLS)).astype(np.int64), 1)
@@ -234,7 +235,7 @@ def _rest(spark, rest: DataFrame, texts: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "z"), TASK_BYTES // 4)):
             t, e = tokens(repeats.unpacked(batch.column("z")))
             parts: list[list] = [[], [], [], [], []]
             for i, (doc, comp) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("comp").to_pylist(), strict=True)):
