@@ -230,8 +230,8 @@ def _rest(spark, rest: DataFrame, texts: DataFrame) -> DataFrame:
     only documents outside the component that is most frequent there look for partners."""
     cells = rest.select("z").mapInArrow(_frequencies, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = np.zeros(CELLS, np.int64)
-    for r in cells.toLocalIterator():       # CELLS rows at most
-        counts[r.cell] = r.n
+    got = cells.toArrow()                   # CELLS rows at most
+    counts[np.asarray(got["cell"])] = np.asarray(got["n"])
     shared = spark.sparkContext.broadcast(counts)
 
     def prefixes(batches):
