@@ -6,8 +6,9 @@ it has fewer. Each document's window hashes are computed as arrays by doubling (
 and tested against the set of benchmark window hashes; the few positions that match are verified
 by comparing the words themselves, and only those leave the row. Nothing of a text is shuffled.
 
-The set travels with the tasks, so its size is checked: a benchmark of more than ``MAX_SET``
-windows is dealt out by hash over several scans of at most about that many windows each.
+The set travels with the tasks, so its size is counted first. A benchmark of more than ``MAX_SET`` windows is
+not sent: places of documents meet its windows in a shuffled join on two independent 64-bit hashes of
+their words, and rows get their hits back by doc_id and text hash.
 
 Nulls: null text has no words, neither in documents nor in items. Repeated rows get equal
 results. Empty tables: no items means no hits; no documents means no rows.
@@ -19,10 +20,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, table
+from .common import fresh, materialize, once, table
 
 N = 10                      # words of a window
-MAX_SET = 50_000            # windows that one scan may carry in its hash set
+MAX_SET = 50_000            # windows that the tasks may carry in their hash set
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,46 +33,55 @@ def item_words(text: Column) -> Column:
     return F.filter(F.split(low, SEPARATORS + "+"), lambda w: w != "")
 
 
-def _hashes(hashes: Column, size: Column, length: int) -> Column:
-    """Hashes of all windows of ``length`` words, by doubling: the window of 10 joins its first 8
-    words with the 2 that follow."""
-    def join(a: Column, b: Column, at: int) -> Column:
-        return F.zip_with(a, F.slice(b, at + 1, F.greatest(size, F.lit(1))), lambda x, y: F.xxhash64(x, y))
-
-    power, have, done, out = hashes, 1, 0, None
-    while have <= length:
-        if length & have:
-            out, done = (power, have) if out is None else (join(out, power, done), done + have)
-        power, have = join(power, power, have), have * 2
+def _joined(a: Column, b: Column, at: int, size: Column) -> Column:
+    """Hashes of a window and the one ``at`` words further on."""
+    return F.zip_with(a, F.slice(b, at + 1, F.greatest(size, F.lit(1))), lambda x, y: F.xxhash64(x, y))
+
+
+def _window_of(powers: dict, size: Column, length: int) -> Column:
+    """Hashes of all windows of ``length`` words from those of 1, 2, 4 and 8 words (columns or their
+    names): the window of 10 joins its first 2 words with the 8 that follow."""
+    col = lambda p: F.col(powers[p]) if isinstance(powers[p], str) else powers[p]
+    out, done = None, 0
+    for p in (1, 2, 4, 8):
+        if length & p:
+            out, done = (col(p), p) if out is None else (_joined(out, col(p), done, size), done + p)
     return F.slice(out, 1, F.greatest(size - (length - 1), F.lit(0)))
 
 
+def _hashes(hashes: Column, size: Column, length: int) -> Column:
+    """The same within one expression, for small tables."""
+    powers = {1: hashes}
+    for p in (2, 4, 8):
+        powers[p] = _joined(powers[p // 2], powers[p // 2], p // 2, size)
+    return _window_of(powers, size, length)
+
+
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, length, h, win): every window of every item; ``win`` is its words, blank-joined."""
+    """(item_id, length, h, h2, win): every window of every item with its two hashes; ``win`` is its
+    words, blank-joined."""
     w = items.select(F.col("item_id").cast("string").alias("item_id"), item_words(F.col("text")).alias("w"))
     w = (w.withColumn("n", F.size("w")).where("n > 0")
          .withColumn("hw", F.transform("w", lambda x: F.xxhash64(x)))
+         .withColumn("other", F.transform("w", lambda x: F.xxhash64(F.lit("other"), x)))
          .withColumn("length", F.least(F.col("n"), F.lit(N))))
-    by_length = reduce(lambda a, k: a.when(F.col("length") == k, _hashes(F.col("hw"), F.col("n"), k)),
-                       range(2, N + 1), F.when(F.col("length") == 1, F.col("hw")))
-    return (w.select("item_id", "length", "w", F.posexplode(by_length).alias("p", "h"))
-            .select("item_id", "length", "h", F.array_join(F.expr("slice(w, p + 1, length)"), " ").alias("win"))
+    by_length = lambda c: reduce(lambda a, k: a.when(F.col("length") == k, _hashes(F.col(c), F.col("n"), k)),
+                                 range(2, N + 1), F.when(F.col("length") == 1, F.col(c)))
+    return (w.select("item_id", "length", "w", F.posexplode(F.arrays_zip(by_length("hw").alias("h"), by_length("other").alias("h2"))).alias("p", "z"))
+            .select("item_id", "length", "z.h", "z.h2", F.array_join(F.expr("slice(w, p + 1, length)"), " ").alias("win"))
             .distinct())
 
 
-def _blocks(windows: DataFrame) -> list[dict[int, tuple[list[int], list[str]]]]:
-    """The windows by length, in blocks that one scan can carry (sizes are counted first)."""
-    unique = materialize(windows.sparkSession, windows.select("length", "h", "win").distinct(), "windows")
-    count = unique.count()
-    n = -(-count // MAX_SET)
-    blocks = []
-    for b in range(n):
-        part: dict[int, tuple[list[int], list[str]]] = {}
-        for r in unique.where(F.pmod("h", F.lit(n)) == b).toLocalIterator():
-            part.setdefault(r.length, ([], []))[0].append(r.h)
-            part[r.length][1].append(r.win)
-        blocks.append(part)
-    return blocks
+def _set_of(windows: DataFrame) -> dict[int, tuple[list[int], list[str]]] | None:
+    """Hashes and words of all distinct windows, by length; None if they are too many to send."""
+    unique = windows.select("length", "h", "win").distinct()
+    if unique.count() > MAX_SET:
+        return None
+    out: dict[int, tuple[list[int], list[str]]] = {}
+    for r in unique.collect():      # at most MAX_SET rows
+        out.setdefault(r.length, ([], []))[0].append(r.h)
+        out[r.length][1].append(r.win)
+    return out
 
 
 def _in_list(values) -> str:
@@ -80,24 +90,57 @@ def _in_list(values) -> str:
                     for v in values)
 
 
-def find(docs: DataFrame, blocks: list[dict], out: str, keep: list[Column]) -> DataFrame:
+HITS = "array<struct<pos:int,length:int,win:string>>"
+
+
+def find(docs: DataFrame, windows: DataFrame, out: str, keep: list[Column]) -> DataFrame:
     """``keep`` plus ``out`` = struct(n_words, hits: array of (pos, length, win)) for every row: all
-    places at which a window of the blocks occurs. One scan of the texts per block; the rows of
-    several blocks are merged by their kept columns."""
+    places at which one of the stored ``windows`` occurs."""
     w, hw, n = (fresh(docs, f"__{c}") for c in ("w", "hw", "n"))
     base = (docs.withColumn(w, item_words(F.col("text"))).withColumn(n, F.size(w))
             .withColumn(hw, F.transform(w, lambda x: F.xxhash64(x))))
-    arrays = [F.expr("cast(array() as array<struct<pos:int,length:int,win:string>>)")]
-    lengths = sorted({k for block in blocks for k in block})
-    columns = {k: fresh(docs, f"__h{k}") for k in lengths}
-    base = base.withColumns({c: _hashes(F.col(hw), F.col(n), k) if k > 1 else F.col(hw) for k, c in columns.items()})
-    for block in blocks:
-        for k, (hashes, wins) in sorted(block.items()):
-            arrays.append(F.expr(f"""filter(
-                transform({columns[k]}, (h, i) -> if(h IN ({_in_list(dict.fromkeys(hashes))}),
-                    struct(i AS pos, {k} AS length, array_join(slice({w}, i + 1, {k}), ' ') AS win), NULL)),
-                c -> c IS NOT NULL AND c.win IN ({_in_list(dict.fromkeys(wins))}))"""))
-    return base.select(*keep, F.struct(F.col(n).cast("long").alias("n_words"), F.concat(*arrays).alias("hits")).alias(out))
+    sent = _set_of(windows)
+    if sent is None:
+        return _find_by_join(base, windows, out, keep, (w, hw, n))
+    columns = {k: fresh(docs, f"__h{k}") for k in sorted(sent)}
+    # one projection per doubling: nested in one expression, each half would be computed anew
+    powers = {1: hw}
+    for p in (2, 4, 8):
+        if p <= max(sent, default=1):
+            powers[p] = fresh(docs, f"__p{p}")
+            base = base.withColumn(powers[p], _joined(F.col(powers[p // 2]), F.col(powers[p // 2]), p // 2, F.col(n)))
+    base = base.withColumns({c: _window_of(powers, F.col(n), k) for k, c in columns.items()})
+    arrays = [F.expr(f"cast(array() as {HITS})")]
+    for k, (hashes, wins) in sorted(sent.items()):
+        arrays.append(F.expr(f"""filter(
+            transform({columns[k]}, (h, i) -> if(h IN ({_in_list(dict.fromkeys(hashes))}),
+                struct(i AS pos, {k} AS length, array_join(slice({w}, i + 1, {k}), ' ') AS win), NULL)),
+            c -> c IS NOT NULL AND c.win IN ({_in_list(dict.fromkeys(wins))}))"""))
+    return base.select(*keep, F.struct(F.col(n).cast("long").alias("n_words"), F.concat(*arrays).alias("hits"),
+                                       F.monotonically_increasing_id().alias("row")).alias(out))
+
+
+def _find_by_join(base: DataFrame, windows: DataFrame, out: str, keep: list[Column], names: tuple[str, str, str]) -> DataFrame:
+    w, hw, n = names
+    lengths = sorted(r.length for r in windows.select("length").distinct().collect())        # N at most
+    other = fresh(base, "__other")
+    rows = base.withColumn(other, F.transform(w, lambda x: F.xxhash64(F.lit("other"), x)))
+
+    def hashes(col: str, k: int) -> Column:
+        return _hashes(F.col(col), F.col(n), k) if k > 1 else F.col(col)
+
+    def places(k: int) -> Column:
+        both = F.arrays_zip(hashes(hw, k).alias("a"), hashes(other, k).alias("b"))
+        return F.transform(both, lambda z, i: F.struct(
+            i.alias("pos"), F.lit(k).alias("length"), z["a"].alias("h"), z["b"].alias("h2")))
+
+    ids = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th")]
+    hits = (rows.select(*ids, F.inline(F.concat(*map(places, lengths)))).join(windows.select("length", "h", "h2", "win").distinct(), ["length", "h", "h2"])
+            .groupBy("__id", "__th").agg(F.collect_set(F.struct("pos", "length", "win")).alias("__hits")))     # places of one text
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
+    return base.join(hits, same, "left").select(*keep, F.struct(
+        F.col(n).cast("long").alias("n_words"), F.coalesce("__hits", F.expr(f"cast(array() as {HITS})")).alias("hits"),
+        F.monotonically_increasing_id().alias("row")).alias(out))
 
 
 def covered(hits: Column) -> Column:
@@ -112,7 +155,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     windows = materialize(spark, benchmark_windows(items), "benchmark-windows")
     # item texts may repeat, so a window has any number of items; a row is told by id and text
-    found = materialize(spark, find(docs, _blocks(windows), "f", [F.col("doc_id"), F.xxhash64("text").alias("th")]),
+    found = materialize(spark, find(docs, windows, "f", [F.col("doc_id"), F.xxhash64("text").alias("th")]),
                         "hits")
     wins = (found.where(F.size("f.hits") > 0).select("doc_id", "th", F.explode(F.array_distinct("f.hits.win")).alias("win"))
             .distinct())
@@ -133,10 +176,10 @@ def remove(docs: DataFrame, items: DataFrame, what: str = "documents") -> DataFr
     out = fresh(docs, "__found")
     names = [F.col(f"`{c}`") for c in docs.columns]
     windows = materialize(docs.sparkSession, benchmark_windows(items), "benchmark-windows")
-    found = find(docs, _blocks(windows), out, names)
+    found = find(docs, windows, out, names)
     clean = F.size(F.col(out)["hits"]) == 0
     if what == "documents":
-        return found.where(clean).select(*names)
+        return found.where(once(clean, F.col(out)["row"])).select(*names)
     # a word with the separators after it, in the original spelling
     pieces = F.regexp_extract_all("text", F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"), 0)
     head = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", 0)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, shifted, words
+from .common import fresh, materialize, once, shifted, words
 
 MIN_WORDS = 50           # base rule: fewer words fail
 MAX_REPEATED = 50        # base rule: per cent of words in repeated 3-word windows
@@ -76,6 +76,7 @@ def measure(docs: DataFrame, out: str = "quality", keep: list[str] | None = None
         ratio(q["n_symbols"], some, 1000).alias("symbols"),
         ratio(q["n_dup_lines"], some_lines, 1000).alias("dup_lines"),
         ratio(q["n_repeat_words"], some, 1000).alias("repeats"),
+        F.monotonically_increasing_id().alias("row"),
     ))
 
 
@@ -84,7 +85,7 @@ def sketch(measured: DataFrame, col: str = "quality") -> DataFrame:
     base rule. Partial counts per task merge in the shuffle; size is bounded per group."""
     q = F.col(col)
     pairs = F.array(*[F.struct(F.lit(m).alias("measure"), q[m].alias("v")) for m in RULES])
-    rows = (measured.where(~q["base_failed"])
+    rows = (measured.where(once(~q["base_failed"], q["row"]))
             .select("lang", "source", F.inline(pairs)))
     drop_bits = F.greatest(F.length(F.bin("v")) - SKETCH_BITS, F.lit(0)).cast("int")
     return (rows.select("lang", "source", "measure", drop_bits.alias("s"), "v")
@@ -142,7 +143,7 @@ def judge(measured: DataFrame, limits: DataFrame, col: str = "quality", verdict:
         ok = ok & F.coalesce(q[m] <= f[f"hi_{m}"], F.lit(True))
         if down is not None:
             ok = ok & F.coalesce(q[m] >= f[f"lo_{m}"], F.lit(True))
-    return base.withColumn(verdict, ok).drop(*picks)
+    return base.withColumn(verdict, once(ok, q["row"])).drop(*picks)
 
 
 def annotate(docs: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ TEXTS = [(1, "so alpha beta gamma delta epsilon zeta eta theta iota kappa lambda
 
 @pytest.mark.parametrize("most", [1, 50_000])
 def test_hits(spark, monkeypatch, most):
-    """``most=1`` puts each window in a scan of its own."""
+    """``most=1`` is too few for the windows: they are joined instead of sent."""
     monkeypatch.setattr(decontaminate, "MAX_SET", most)
     docs = spark.createDataFrame(TEXTS, "doc_id bigint, text string")
     items = spark.createDataFrame(ITEMS, "item_id string, text string")
@@ -102,7 +102,9 @@ def test_hits(spark, monkeypatch, most):
     assert got == sorted(brute_hits(TEXTS, ITEMS), key=repr)
 
 
-def test_removal(spark):
+@pytest.mark.parametrize("most", [1, 50_000])
+def test_removal(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MAX_SET", most)
     docs = spark.createDataFrame([(*r, 7) for r in TEXTS], "doc_id bigint, text string, w int")
     items = spark.createDataFrame(ITEMS, "item_id string, text string")
     left = decontaminate.remove(docs, items)
