@@ -46,6 +46,7 @@ _CELL = np.zeros(0x10000, np.int64)
 for _c in range(0x10000):
     _l = chr(_c).lower()
     _CELL[_c] = _CODE.get(_l, BASE - 1 if len(_l) == 1 and _l.isalpha() else 0)
+LETTER_RUN = re.compile(r"[^\W\d_]+")
 SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 INSIDE = re.compile(r"[^\W\d_]['’]?[^\w\s'’]+[^\W\d_]|[^\W\d_]\d|\d[^\W\d_]|[@$|!+€£][^\W\d_]|[^\W\d_][@$|!+€£*][^\W\d_]|_")
@@ -117,13 +118,22 @@ def count_trigrams(docs: DataFrame) -> dict[int, int]:
     """Trigram counts of all texts: one array per task, summed by cell. A word is led by one edge."""
     def run(batches):
         total = np.zeros(BASE ** 3, np.int64)
+
+        def add(texts: list[str]) -> None:
+            c = cells(f" {' '.join(texts)} ")
+            c = c[(c > 0) | np.append(True, c[:-1] > 0)]            # one edge between words
+            if len(c) > 2:
+                total[:] += np.bincount((c[:-2] * BASE + c[1:-1]) * BASE + c[2:], minlength=BASE ** 3)
+
+        held, size = [], 0
         for batch in batches:
             for x in batch.column(0):
-                c = cells(x.as_py() or "")
-                c = np.concatenate([[0], c, [0]])
-                c = c[(c > 0) | np.append(True, c[:-1] > 0)]       # one edge between words
-                if len(c) > 2:
-                    total += np.bincount((c[:-2] * BASE + c[1:-1]) * BASE + c[2:], minlength=BASE ** 3)
+                held.append(x.as_py() or "")
+                size += len(held[-1])
+                if size > 500_000:      # many short texts at once
+                    add(held)
+                    held, size = [], 0
+        add(held)
         at = np.flatnonzero(total)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
@@ -133,43 +143,61 @@ def count_trigrams(docs: DataFrame) -> dict[int, int]:
     return {r.cell: r.n for r in summed.collect()}      # at most BASE ** 3 cells
 
 
+def terms_of(word: str) -> list[str]:
+    return [word, *("^" + word[:n] for n in PREFIXES if len(word) > n)]
+
+
 class Reader:
-    """Texts as the terms in them, after restoring; remembers the words it has looked at."""
+    """Texts as the terms in them, after restoring; remembers what it has found in a token. With
+    ``only``, other terms are left out."""
 
-    def __init__(self, counts: dict[int, int]):
-        self.model = LanguageModel(counts)
+    def __init__(self, counts: dict[int, int], only=None):
+        self.model, self.only = LanguageModel(counts), only
         self.seen: dict[str, tuple[str, ...]] = {}
 
-    def restored(self, word: str) -> tuple[str, ...]:
-        """The readings of a suspicious word: with repeated characters as one, and each for itself."""
-        bare = word.strip("\"'.,;:?()[]{}<>%&#~`=^/\\*-_…«»“”‘’")
-        if len(bare) < 3 or not any(c.isalpha() for c in bare) or not (INSIDE.search(bare) or STRETCHED.search(bare)):
+    def restored(self, token: str) -> tuple[str, ...]:
+        """The readings of a suspicious token: with repeated characters as one, and each for itself."""
+        bare = token.strip("\"'.,;:?()[]{}<>%&#~`=^/\\*-_…«»“”‘’")
+        if len(bare) < 3 or not any(map(str.isalpha, bare)) or not (
+                not bare.isalpha() and INSIDE.search(bare) or STRETCHED.search(bare)):
             return ()
         return self.model.decode(bare), self.model.decode(bare, repeats=False)
 
     def words(self, text: str) -> set[str]:
         """Distinct lower-case words of a text, with those that decoding restores."""
-        if len(self.seen) > KNOWN_WORDS:
-            self.seen.clear()
         tokens = set(text.split())
-        new = tokens.difference(self.seen)
-        for t in new:
-            self.seen[t] = self.restored(t)
-        out = set(re.findall(r"[^\W\d_]+", " ".join(tokens).lower()))
+        out = {w for t in tokens for w in LETTER_RUN.findall(t.lower())}
         for t in tokens:
-            out.update(self.seen[t])
+            out.update(self.restored(t))
+        out.update(self.spread(text, tokens))
+        return out
+
+    def spread(self, text: str, tokens: set[str]) -> set[str]:
+        """Words read from letters with blanks between, of three different letters at least."""
+        if sum([len(t) == 1 for t in tokens]) < 3:
+            return set()
+        out = set()
         for m in SPACED.finditer(text):     # a one-letter word may stand before or after the spread one
             letters = "".join(m[0].split())
             for part in {letters, letters[1:], letters[:-1], letters[1:-1]}:
                 out.add(self.model.decode(part))
         return out
 
+    def found(self, token: str) -> tuple[str, ...]:
+        words = {token.lower()} if token.isalpha() else {*LETTER_RUN.findall(token.lower())}
+        words.update(self.restored(token))
+        return tuple({t for w in words for t in terms_of(w) if self.only is None or t in self.only})
+
     def terms(self, text: str) -> set[str]:
-        found = set()
-        for w in self.words(text):
-            found.add(w)
-            found.update("^" + w[:n] for n in PREFIXES if len(w) > n)
-        return found
+        if len(self.seen) > KNOWN_WORDS:
+            self.seen.clear()
+        tokens = set(text.split())
+        for t in tokens.difference(self.seen):
+            self.seen[t] = self.found(t)
+        out = set().union(*filter(None, map(self.seen.__getitem__, tokens)))
+        for w in self.spread(text, tokens):
+            out.update(t for t in terms_of(w) if self.only is None or t in self.only)
+        return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -189,11 +217,10 @@ def _term_counts(train: DataFrame, counts: dict, toxic: int, only: frozenset | N
 
     def run(batches):
         counts_, only_ = shared.value
-        reader, total = Reader(counts_), Counter()
+        reader, total = Reader(counts_, only_), Counter()
         for batch in batches:
             for x in batch.column("text"):
-                terms = reader.terms(x.as_py() or "")
-                total.update(terms if only_ is None else terms & only_)
+                total.update(reader.terms(x.as_py() or ""))
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()), pa.int64())], ["term", "n"])
 
@@ -252,7 +279,7 @@ def _featured(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
 
     def run(batches):
         counts, odds = shared.value
-        reader = Reader(counts)
+        reader = Reader(counts, odds)
         for batch in batches:
             f = [features(reader.terms(x.as_py() or ""), odds) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(f, pa.list_(pa.float64()))], [*keep, "f"])
