@@ -47,7 +47,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, byte = spec["model"], _byte_of_char()
-        self.coder: _Encoder | None = None
+        self.path = path
         ids = model["vocab"]
         size = max([*ids.values(), *(t["id"] for t in spec["added_tokens"])]) + 1
         raw = [b""] * size
@@ -225,6 +225,17 @@ class _Encoder:
         return pa.ListArray.from_arrays(pa.array(ends[edge].astype(np.int32)), pa.array(ids, pa.int32()))
 
 
+_kept: list[_Encoder] = []
+
+
+def _worker_encoder(v: Vocabulary) -> _Encoder:
+    """The worker's encoder: one at a time, so that later tasks know its pieces and those of earlier
+    queries do not pile up in a worker that lives on."""
+    if not _kept or _kept[0].v.path != v.path:
+        _kept[:] = [_Encoder(v)]
+    return _kept[0]
+
+
 def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of all slices, one after the other."""
     ends = np.cumsum(sizes)
@@ -239,8 +250,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches):
-        # kept beside the broadcast tables, so that later tasks of a worker know its pieces
-        coder = shared.value.coder = shared.value.coder or _Encoder(shared.value)
+        coder = _worker_encoder(shared.value)
         for batch in batches:
             for part in sub_batches(batch, byte_sizes(batch, text), BATCH_CHARS):
                 yield pa.RecordBatch.from_arrays([*part.columns, coder.encode(part.column(text))],
