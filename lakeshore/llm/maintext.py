@@ -4,7 +4,8 @@ A page becomes a sequence of pieces: words score positive, tags negative. The we
 labelled pages, those whose markup names one article: for each (element, surrounding section) the share of
 words and tags that lie inside. A word scores that share, a tag costs ``TAG_COST`` plus ``OUTSIDE_COST`` times
 the share outside. One linear scan finds the contiguous region of the largest score; its blocks are
-returned without those inside sections that are never article text (menus, forms, comments, ...).
+returned without those inside sections that are never article text (menus, forms, comments, ...). A form, or an element of
+which only a part of a name says so, is no such section if it holds ``WRAPS`` of the words outside the others.
 
 ``fit`` reads at most ``SAMPLE`` labelled pages (those with the smallest hash of their page_id); everything else is one scan without
 a shuffle. Every page is read whole.
@@ -29,6 +30,7 @@ SAMPLE = 2000            # labelled pages used to learn the weights
 LEAST_SEEN = 20          # words or tags behind a weight of its own
 TAG_COST, OUTSIDE_COST = 0.2, 3.0
 NOISE_COST = 0.05        # a tag inside a section that is never article text
+WRAPS = 0.7              # share of the words that tells a wrapper from a section
 RAW = "script|style|textarea|title|noscript|template|svg|iframe|select|object|canvas|math|audio|video"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -38,59 +40,112 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "summary", "legend"}
-NEVER = frozenset("nav footer aside form menu dialog head button label fieldset".split())
+NEVER = frozenset("nav footer aside menu dialog head button label".split())
+FORMS = frozenset(("form", "fieldset"))
 WORDS = re.compile(r"[^\W_]+")
 NOISE = re.compile(r"^(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|menu|nav\w*|breadcrumbs?|side-?bar|widget|foot(er)?|comments?|"
                    r"reply|replies|respond|disqus|discussion|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|"
                    r"subscribe|signup|login|share|sharing|social|related|recommend\w*|more-?stories|masthead|pagination|pager|toolbar|"
                    r"search|copyright|legal|disclaimer|tags?|skip-?link|toc)$", re.I)
+REPLIES = re.compile(r"^(comments?|reply|replies|respond|disqus|discussion)$", re.I)
+LAYOUT = re.compile(r"^(has|have|with|no|without|layout)$", re.I)       # "has-sidebar" is no sidebar
 MAIN = re.compile(r"^(article\w*|post|entry|story|main|content)$", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 def section(tag: str, attributes: str, inside_main: bool) -> str | None:
-    """'noise', 'main' or None: what the element says about the text in it."""
+    """'noise', 'weak' (noise unless it wraps the page), 'main' or None: what the element says about the text in it."""
     if tag in NEVER or tag == "header" and not inside_main:
         return "noise"
     names = [n for m in ATTRIBUTE.finditer(attributes) for n in re.split(r"[\s]+", next(x for x in m.groups()[1:] if x is not None))]
-    parts = [p for n in names for p in {n, *re.split(r"[-_]+", n)}] if attributes else []
-    if tag not in ("html", "body") and any(NOISE.match(p) for p in parts) and not any(MAIN.match(n) for n in names):
-        return "noise"
-    if tag in ("article", "main") or any(MAIN.match(n) for n in names):
-        return "main"
-    return None
-
-
-def pieces(page: str):
+    main, weak = any(MAIN.match(n) for n in names), tag in FORMS
+    if tag not in ("html", "body") and not main:
+        for n in names:
+            parts = re.split(r"[-_]+", n)
+            if NOISE.match(n):
+                return "noise"
+            if any(map(NOISE.match, parts)) and not any(map(LAYOUT.match, parts)):
+                if any(map(REPLIES.match, parts)):
+                    return "noise"
+                weak = True
+    return "weak" if weak else "main" if main or tag in ("article", "main") else None
+
+
+def pieces(page: str) -> list[tuple]:
     """(kind, key, value, noise, main) in page order: kind 't' a tag, 'w' text, 'b' a block boundary
-    before the piece; key is 'element|section'; noise tells text that is never main text."""
-    stack: list[tuple[str, str | None]] = []
-    marks = {"noise": 0, "main": 0}
+    before the piece; key is 'element|section'; noise tells text that is never main text (1: by weak marks only)."""
+    items, marked, loose = _walk(page, frozenset(), frozenset())
+    spared = _wrappers(items, marked)
+    return _walk(page, spared, loose)[0] if spared or loose else items
+
+
+def _wrappers(items: list[tuple], marked: dict[int, list]) -> frozenset[int]:
+    """The weakly marked elements that hold most of the words, or the page's article or main element."""
+    if not marked:
+        return frozenset()
+    sums = [0]
+    for kind, _, value, noise, _ in items:
+        sums.append(sums[-1] + (len(WORDS.findall(value)) if kind == "w" and noise < 2 else 0))
+    return frozenset(at for at, (low, high, holds) in marked.items()
+                     if holds or sums[len(items) if high is None else high] - sums[low] > WRAPS * sums[-1])
+
+
+def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[list[tuple], dict[int, list], frozenset[int]]:
+    """The pieces; the weakly marked elements by position (first and last piece, whether an article or main element
+    is known to be theirs); and the unclosed noise elements that an article or main element was opened in. ``spared``
+    elements are not marked, ``loose`` ones end where an article or main element opens."""
+    items: list[tuple] = []
+    stack: list[tuple[str, str | None, int]] = []
+    marks = {"noise": 0, "weak": 0, "main": 0}
+    weak: dict[int, list] = {}
+    holding: dict[int, tuple[int, ...]] = {}    # noise elements an article opened in: elements of their name around them
+    closed: set[int] = set()
+    displaced: set[int] = set()                 # ended by the end tag of another element
 
     def pop(to: int) -> None:
         while len(stack) > to:
-            _, mark = stack.pop()
+            _, mark, at = stack.pop()
             if mark:
                 marks[mark] -= 1
+            if mark == "weak":
+                weak[at][1] = len(items)
 
     def key() -> str:
-        where = next((m or t for t, m in reversed(stack) if m or t in ("section", "div", "td", "li")), "")
+        where = next((("noise" if m == "weak" else m) or t for t, m, _ in reversed(stack) if m or t in ("section", "div", "td", "li")), "")
         return f"{stack[-1][0] if stack else ''}|{where}"
 
+    def add(kind: str, name: str, value) -> None:
+        items.append((kind, name, value, 2 if marks["noise"] else int(marks["weak"] > 0), marks["main"] > 0))
+
     for m in TOKEN.finditer(page):
         tag = m[3]
         if tag:
             tag = tag.lower()
             if m[2]:
-                yield "t", f"{tag}|{key().partition('|')[2]}", tag in BLOCKS, marks["noise"] > 0, marks["main"] > 0
+                add("t", f"{tag}|{key().partition('|')[2]}", tag in BLOCKS)
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
+                        closed.add(stack[i][2])
+                        displaced.update(at for _, _, at in stack[i + 1:])
                         pop(i)
                         break
                 continue
-            if tag in ("body", "article", "main"):      # an unclosed head, menu or the like ends here
-                while marks["noise"]:
-                    pop(len(stack) - 1)
+            if marks["noise"] or marks["weak"]:
+                if tag == "body":                       # an unclosed head, menu or the like ends here
+                    while marks["noise"] or marks["weak"]:
+                        pop(len(stack) - 1)
+                elif tag in ("article", "main"):
+                    noisy = [i for i, (_, mark, _) in enumerate(stack) if mark in ("noise", "weak")]
+                    kept = max((i for i in noisy if stack[i][2] not in loose), default=-1)
+                    ended = [i for i in noisy if i > kept]
+                    if ended:
+                        pop(ended[0])
+                    for i in noisy:
+                        if i < len(stack):
+                            name, mark, at = stack[i]
+                            holding[at] = tuple(other for t, _, other in stack[:i] if t == name)
+                            if mark == "weak" and (tag == "main" or name in FORMS):
+                                weak[at][2] = True
             if tag in CLOSES_P:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == "p":
@@ -100,12 +155,19 @@ def pieces(page: str):
                         break
             if tag not in VOID and not m[4].endswith("/"):
                 mark = section(tag, m[4], marks["main"] > 0)
-                stack.append((tag, mark))
+                if mark == "weak":
+                    if m.start() in spared:
+                        mark = None
+                    else:
+                        weak[m.start()] = [len(items), None, False]
+                stack.append((tag, mark, m.start()))
                 if mark:
                     marks[mark] += 1
-            yield "t", f"{tag}|{key().partition('|')[2]}", " " if tag == "br" else tag in BLOCKS, marks["noise"] > 0, marks["main"] > 0
+            add("t", f"{tag}|{key().partition('|')[2]}", " " if tag == "br" else tag in BLOCKS)
         elif m[0][0] != "<" or m[0] == "<":
-            yield "w", key(), m[0], marks["noise"] > 0, marks["main"] > 0
+            add("w", key(), m[0])
+    # a missing end tag shows at an element of the same name around it, whose end tag was taken
+    return items, weak, frozenset(at for at, around in holding.items() if at not in closed or displaced.intersection(around))
 
 
 def count(page: str) -> Counter:
@@ -142,7 +204,7 @@ def extract(page: str, learned: dict, cache: dict) -> str:
     """Main text of a page: the best region, block by block."""
     best = run = 0.0
     low = start = 0
-    high, items = -1, list(pieces(page))
+    high, items = -1, pieces(page)
     for i, (kind, key, value, noise, _) in enumerate(items):
         s = cache.get((kind, key))
         if s is None:

@@ -53,3 +53,26 @@ def test_tables(spark):
     want = {r.page_id: article(r.html) for r in table(spark, SF, "pages").collect()}
     got = {r.page_id: (r.text, r.n_chars) for r in maintext.query(spark, SF).collect()}
     assert got == {k: (v, len(v)) for k, v in want.items()}
+
+
+def test_wrappers_and_comment_articles():
+    """Names and forms that wrap the page are no veto; articles in closed noise sections are no main text."""
+    body = f"<h2>A heading of seven words or so</h2><p>{P}</p><p>{P}</p>"
+    want = f"A heading of seven words or so\n{P}\n{P}"
+    side = "<div class='sidebar'><p>Buy this now</p></div>"
+    for open_, close in (("<div class='content-with-sidebar'>", "</div>"), ("<div class=has-sidebar>", "</div>"),
+                         ("<div id='layout-banner'>", "</div>"), ("<div class='page-sidebar-left'>", "</div>"),
+                         ("<form id='aspnetForm' method=post>", "</form>"), ("<form><fieldset>", "</fieldset></form>")):
+        page = f"<body><nav><a>Home</a></nav>{open_}{body}{side}{close}<footer>Somebody</footer></body>"
+        assert maintext.extract(page, {}, {}) == want, open_
+    cards = f"<article><p>Reader says {P}</p></article>" * 6
+    for open_, close in (("<aside>", "</aside>"), ("<section class='comments'>", "</section>"), ("<div class='comments-area'>", "</div>")):
+        page = f"<body><div>{body}</div>{open_}{cards}{close}</body>"
+        assert maintext.extract(page, {}, {}) == want, open_
+        assert maintext.extract(f"<body><article>{body}</article>{open_}{cards}{close}</body>", {}, {}) == want, open_
+    small = f"<body><div>{body}</div><form>Your mail <input></form><div class='ad-box'>Advert</div></body>"
+    assert maintext.extract(small, {}, {}) == want
+    for start in ("<nav><ul><li><a>Home</a>", "<div id=wrap><div class=menu><a>Home</a>", "<div class=menu><a>Home</a>"):
+        assert maintext.extract(f"<body>{start}<article>{body}</article></div></body>" if "wrap" in start
+                                else f"<body>{start}<article>{body}</article></body>", {}, {}) == want, start
+    assert maintext.extract(f"<body><form><article>{body}</article></form><div>{'other words ' * 9}</div></body>", {}, {}).startswith(want)
