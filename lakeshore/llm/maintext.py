@@ -31,13 +31,17 @@ LEAST_SEEN = 20          # words or tags behind a weight of its own
 TAG_COST, OUTSIDE_COST = 0.2, 3.0
 NOISE_COST = 0.05        # a tag inside a section that is never article text
 WRAPS = 0.7              # share of the words that tells a wrapper from a section
-RAW = "script|style|textarea|title|noscript|template|svg|iframe|select|object|canvas|math|audio|video"
+RAW = "script|style|textarea|title|noscript|iframe"          # text up to the end tag, or to the end of the page
+EMBEDDED = "template|svg|select|object|canvas|math|audio|video"     # left out from start tag to end tag, if it has one
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
+EMBED = re.compile(rf"<(/?)({EMBEDDED})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
+STRICT = frozenset(("svg", "math", "select"))       # unclosed, they end at the next element that cannot be theirs
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary "
                    "table tbody td tfoot th thead tr ul".split())
+FOREIGN_END = BLOCKS - {"option"} | frozenset("b big br code em embed font i iframe img small span strong sub sup u".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "summary", "legend"}
 NEVER = frozenset("nav footer aside menu dialog head button label".split())
@@ -71,6 +75,22 @@ def section(tag: str, attributes: str, inside_main: bool) -> str | None:
     return "weak" if weak else "main" if main or tag in ("article", "main") else None
 
 
+def embedded(page: str) -> dict[int, int]:
+    """Embedded elements by the position of their start tag: the end of their end tag, 0 without one. The last open
+    element of a name takes the end tag. A slash ends svg and math, and no other element."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[int]] = {}
+    for m in EMBED.finditer(page):
+        tag = m[2].lower()
+        if not m[1]:
+            if tag not in ("svg", "math") or not m[3].endswith("/"):
+                ends[m.start()] = 0
+                open_.setdefault(tag, []).append(m.start())
+        elif open_.get(tag):
+            ends[open_[tag].pop()] = m.end()
+    return ends
+
+
 def pieces(page: str) -> list[tuple]:
     """(kind, key, value, noise, main) in page order: kind 't' a tag, 'w' text, 'b' a block boundary
     before the piece; key is 'element|section'; noise tells text that is never main text (1: by weak marks only)."""
@@ -79,6 +99,18 @@ def pieces(page: str) -> list[tuple]:
     return _walk(page, spared, loose)[0] if spared or loose else items
 
 
+def _tokens(page: str, ends: dict[int, int]):
+    """The tokens of a page without those of embedded elements."""
+    at, foreign = 0, False
+    while m := TOKEN.match(page, at):
+        end = ends.get(at)
+        at = end or m.end()
+        tag = (m[3] or "").lower()
+        foreign = not end and (tag in STRICT if end == 0 else foreign and tag not in FOREIGN_END)
+        if end is None and not foreign:
+            yield m
+
+
 def _wrappers(items: list[tuple], marked: dict[int, list]) -> frozenset[int]:
     """The weakly marked elements that hold most of the words, or the page's article or main element."""
     if not marked:
@@ -117,7 +149,8 @@ def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[lis
     def add(kind: str, name: str, value) -> None:
         items.append((kind, name, value, 2 if marks["noise"] else int(marks["weak"] > 0), marks["main"] > 0))
 
-    for m in TOKEN.finditer(page):
+    ends = embedded(page)
+    for m in _tokens(page, ends) if ends else TOKEN.finditer(page):
         tag = m[3]
         if tag:
             tag = tag.lower()

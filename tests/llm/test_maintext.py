@@ -76,3 +76,18 @@ def test_wrappers_and_comment_articles():
         assert maintext.extract(f"<body>{start}<article>{body}</article></div></body>" if "wrap" in start
                                 else f"<body>{start}<article>{body}</article></body>", {}, {}) == want, start
     assert maintext.extract(f"<body><form><article>{body}</article></form><div>{'other words ' * 9}</div></body>", {}, {}).startswith(want)
+
+
+def test_embedded_elements():
+    """Icons and media before the article take nothing of it, closed or not; what is closed is left out."""
+    want = f"{P}\n{P}"
+    rest = f"<p>{P}</p><p>{P}</p>"
+    for start in ("<svg class='i'/>", "<math display=block />", "<svg class='i'><path d='M0'>", "<math><mi>x", "<select><option>A<option>B",
+                  "<object data=x><param name=y>", "<canvas id=c>", "<audio src=a>", "<video src='a>b'>", "<video-player src=a></video-player>",
+                  "<svg><title>Icon</title><style/><path/></svg>", "<select><option>A</select>", "<template><p>No</p></template>",
+                  "<object><p>No</p><object><p>No</p></object></object>", "<video>No video</video>", "<svg/><svg><text>No</text></svg>"):
+        for end in ("", "<svg><text>No</text></svg><video src=b>No video</video>"):
+            assert maintext.extract(f"<body><article>{start}{rest}{end}</article></body>", {}, {}) == want, start
+            assert maintext.extract(f"<body><div>{start}</div><article>{rest}</article>{end}</body>", {}, {}) == want, start
+    for raw in ("script", "style", "textarea", "title", "iframe", "noscript"):
+        assert maintext.extract(f"<article>{rest}<{raw}><p>No</p></{raw}></article><{raw}><p>{P}", {}, {}) == want, raw
