@@ -4,8 +4,10 @@ Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters.
 shingles are labelled with their occurrence number; each of ``SKETCHES`` hash functions samples its ``MINIMA`` smallest labelled
 shingles, and their hashes in text order form a bucket key, so that equal keys tell shared shingles
 in shared order; neighbouring keys joined give finer buckets, which part large ones into the likes of
-each other. At a similarity of 0.8 a single key agrees with probability about 0.41, and all ``SKETCHES`` miss with
-less than 3e-5. In each bucket documents are compared with its *hub*, the document that meets most others
+each other. At a similarity of 0.8 a single key of long texts agrees with probability about 0.41 if the shared shingles stand
+in the same order; a text of four shingles and one of five agree with 0.2 only. So texts of at most ``SHORT`` shingles are
+compared with all that an exact prefix filter leaves possible, whatever their keys; pairs of longer texts with that order all
+``SKETCHES`` miss with less than 4e-5, with another order more often. In each bucket documents are compared with its *hub*, the document that meets most others
 in its buckets (of near-copies, the text they derive from). Documents of buckets that then still hold several
 components are compared further, where an exact prefix filter leaves a pair possible. A pair is linked if the Jaccard similarity of the labelled shingles and the share of
 words matched by a banded alignment both reach ``SIMILARITY``; classes are the connected components.
@@ -34,6 +36,8 @@ from .substring import word_hashes
 
 K, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 20, 4
+SHORT = 40                          # shingles; shorter texts need no shared key
+PARTNER = int(SHORT / SIMILARITY)   # the most shingles a partner of a short text has
 CELLS = 1 << 20                     # counters of shingle frequencies (8 MB, sent to the tasks)
 TASK_BYTES = 8 << 20                # text handled at once by a task (packed text: a quarter)
 WIDE = 200_000                      # labelled shingles times functions hashed at once
@@ -83,25 +87,27 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def _scan(batches):
-    """doc, digest of the words, bucket keys (null for all but the first of equal texts in a batch)."""
+    """doc, digest of the words, bucket keys (null for all but the first of equal texts in a batch), and whether the
+    text is short or may be like a short one."""
     for batch in (part for b in batches for part in sub_batches(b, byte_sizes(b, "text"), TASK_BYTES)):
         doc = np.asarray(batch.column("doc"))
         order = np.argsort(doc, kind="stable")
         words, edges = tokens(batch.column("text").take(pa.array(order)))
         seen: set[bytes] = set()
-        digests, keys = [], []
+        digests, keys, short = [], [], []
         for i in range(len(order)):
             w = words[edges[i]:edges[i + 1]]
             digest = hashlib.blake2b(w.tobytes(), digest_size=16).digest()
             digests.append(digest)
+            short.append(0 < len(w) < PARTNER + K)
             if digest in seen or not len(w):
                 keys.append(None)
                 continue
             seen.add(digest)
             k = sketch(labelled(w))
             keys.append(np.concatenate([k, join_hashes(k, np.roll(k, -1))]).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(doc[order]), pa.array(digests, pa.binary()), pa.array(keys, pa.binary())],
-                                         ["doc", "digest", "keys"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[order]), pa.array(digests, pa.binary()), pa.array(keys, pa.binary()),
+                                          pa.array(short)], ["doc", "digest", "keys", "short"])
 
 
 def _unpack(batches):
@@ -192,20 +198,22 @@ def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(root, "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
 
 
-def _links(spark, named: DataFrame, buckets: DataFrame) -> DataFrame:
+def _links(spark, named: DataFrame, buckets: DataFrame, short: DataFrame) -> DataFrame:
     """Verified links: of every document with the hubs of its buckets, then (``_rest``) of what the buckets
-    still hold in several components."""
-    wanted = buckets.select("doc").distinct()
+    still hold in several components and of the ``short`` documents."""
+    wanted = buckets.select("doc").unionByName(short.select("doc")).distinct()
     texts = materialize(spark, named.mapInArrow(_shrink, "doc bigint, z binary").join(wanted, "doc", "left_semi")
                         .dropDuplicates(["doc"]), "candidates")
     hubs = buckets.groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("top"))
     met = buckets.join(hubs.select("key", (-F.col("top.minus")).alias("hub")), "key").where("doc <> hub")
     pairs = met.select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
     first = _checked(spark, pairs, texts, "hub-links")
-    inside = materialize(spark, _components_of(buckets.select("key", "doc"), first), "bucket-components")
-    open_ = (inside.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    held = buckets.select("key", "doc").unionByName(short.select(F.lit(None).cast("long").alias("key"), "doc"))
+    inside = materialize(spark, _components_of(held, first), "bucket-components")
+    open_ = (inside.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
              .where("n > 2 AND low <> high").select("key"))
-    undecided = inside.join(open_, "key", "left_semi").select("doc", "comp").distinct()
+    undecided = (inside.join(open_, "key", "left_semi").select("doc", "comp")
+                 .unionByName(inside.where("key IS NULL").select("doc", "comp")).distinct())
     rest = materialize(spark, texts.join(undecided, "doc"), "undecided")
     return first.unionByName(_rest(spark, rest, texts))
 
@@ -269,12 +277,13 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), "text")
-    seen = materialize(spark, named.mapInArrow(_scan, "doc bigint, digest binary, keys binary"), "omh")
+    seen = materialize(spark, named.mapInArrow(_scan, "doc bigint, digest binary, keys binary, short boolean"), "omh")
     firsts = seen.groupBy("digest").agg(F.min("doc").alias("rep"))
     # a document whose text was seen before stands behind that text's first document
     member = materialize(spark, seen.join(firsts, "digest").groupBy("doc").agg(F.min("rep").alias("rep")), "members")
     alone = member.where("doc = rep").select("doc")
-    root = components(_links(spark, named, _buckets(spark, seen, alone)))
+    short = seen.where("short").select("doc").join(alone, "doc", "left_semi")
+    root = components(_links(spark, named, _buckets(spark, seen, alone), short))
     named_class = member.join(root, member.rep == root.node, "left").select(
         F.col("doc").alias("__doc"), F.coalesce("root", "rep").alias("class_id"))
     return docs.select("doc_id").join(named_class, F.col("doc_id").cast("long") == F.col("__doc"), "left").select("doc_id", "class_id")
