@@ -38,6 +38,9 @@ BASE = 64                           # cells per position: 0 is a word's edge, th
 # fixed values: what signs and digits imitate
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
             "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "x"}
+# several signs that draw one letter
+DRAWS = {"(_)": "u", "|_|": "u", "|>": "p", "|)": "d", "|<": "k", "|3": "b", "|-|": "h", "()": "o", "[]": "o", "><": "x", "|_": "l",
+         "\\/": "v", "\\/\\/": "w", "/\\": "a", "|\\|": "n", "|\\/|": "m"}
 SEPARATORS = frozenset(".-_*~'·•/\\,:; \t")
 DROP_SIGN, IMITATE, SKIP, SKIP_REPEAT = 12.0, 0.7, 0.3, 0.7
 
@@ -47,8 +50,11 @@ for _c in range(0x10000):
     _l = chr(_c).lower()
     _CELL[_c] = _CODE.get(_l, BASE - 1 if len(_l) == 1 and _l.isalpha() else 0)
 LETTER_RUN = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
-STRETCHED = re.compile(r"([^\W\d_])\1\1")
+SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
+WIDE_GAP = re.compile(r"\s{2,}|[\r\n]")
+DOUBLED = re.compile(r"([^\W\d_])\1", re.I)
+NUMBER = re.compile(r"(?=.*\d\d)\d+(?:[-./:,]\d+)+")        # dates, addresses and the like are no words
+DRAWN = re.compile("|".join(map(re.escape, sorted(DRAWS, key=len, reverse=True))))
 INSIDE = re.compile(r"[^\W\d_]['’]?[^\w\s'’]+[^\W\d_]|[^\W\d_]\d|\d[^\W\d_]|[@$|!+€£][^\W\d_]|[^\W\d_][@$|!+€£*][^\W\d_]|_")
 
 
@@ -78,10 +84,19 @@ class LanguageModel:
         """The likeliest letters behind ``word``; ``repeats``: a repeated character may stand for one."""
         # state: last two letters and the last observed character's own letter -> (cost, text)
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        previous = ""
-        for char in word.lower():
+        previous, word = "", word.lower()
+        ahead: dict[int, dict] = {}             # states that several signs at once have led to, by position
+        drawn = DRAWN.search(word) is not None
+        for i, char in enumerate(word):
             options = [*self._options(char, previous if repeats else "")]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after = ahead.pop(i + 1, {})
+            for n in (2, 3, 4) if drawn else ():
+                if letter := DRAWS.get(word[i:i + n]):
+                    c, later = _CODE[letter], ahead.setdefault(i + n, {})
+                    for (a, b), (cost, text) in states.items():
+                        new = cost + IMITATE + (self.start[c] if b == 0 else self.cost[a, b, c])
+                        if (b, c) not in later or new < later[b, c][0]:
+                            later[b, c] = (new, text + letter)
             for (a, b), (cost, text) in states.items():
                 for letter, channel in options:
                     if letter == "":
@@ -147,6 +162,9 @@ def terms_of(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in PREFIXES if len(word) > n)]
 
 
+EDGES = "\"'.,;:?()[]{}<>%&#~`=^/\\*-_…«»“”‘’"
+
+
 class Reader:
     """Texts as the terms in them, after restoring; remembers what it has found in a token. With
     ``only``, other terms are left out."""
@@ -157,11 +175,20 @@ class Reader:
 
     def restored(self, token: str) -> tuple[str, ...]:
         """The readings of a suspicious token: with repeated characters as one, and each for itself."""
-        bare = token.strip("\"'.,;:?()[]{}<>%&#~`=^/\\*-_…«»“”‘’")
-        if len(bare) < 3 or not any(map(str.isalpha, bare)) or not (
-                not bare.isalpha() and INSIDE.search(bare) or STRETCHED.search(bare)):
+        bare = token.strip(EDGES)
+        if bare.isalpha():
+            return (self.model.decode(bare), bare.lower()) if len(bare) >= 3 and DOUBLED.search(bare) else ()
+        if not any(map(str.isalpha, bare)):
+            if len(token) < 3 or NUMBER.fullmatch(bare) or not any(c in IMITATES for c in token):
+                return ()
+            forms = {token, bare, token.rstrip("!"), bare.rstrip("!" + EDGES)}
+        elif len(bare) >= 3 and (INSIDE.search(bare) or DOUBLED.search(bare)):
+            forms = {bare, bare.rstrip("!" + EDGES)}
+            if DRAWN.search(token):
+                forms.add(token)
+        else:
             return ()
-        return self.model.decode(bare), self.model.decode(bare, repeats=False)
+        return tuple(self.model.decode(f, repeats) for f in sorted(forms) if len(f) >= 3 for repeats in (True, False))
 
     def words(self, text: str) -> set[str]:
         """Distinct lower-case words of a text, with those that decoding restores."""
@@ -173,14 +200,16 @@ class Reader:
         return out
 
     def spread(self, text: str, tokens: set[str]) -> set[str]:
-        """Words read from letters with blanks between, of three different letters at least."""
-        if sum([len(t) == 1 for t in tokens]) < 3:
+        """Words read from three letters or more with white space between, two of them different at least."""
+        if sum([len(t) == 1 for t in tokens]) < 2:
             return set()
         out = set()
         for m in SPACED.finditer(text):     # a one-letter word may stand before or after the spread one
-            letters = "".join(m[0].split())
-            for part in {letters, letters[1:], letters[:-1], letters[1:-1]}:
-                out.add(self.model.decode(part))
+            for run in {m[0], *WIDE_GAP.split(m[0])}:       # a wide gap may part two spread words
+                letters = "".join(run.split())
+                for part in {letters, letters[1:], letters[:-1], letters[1:-1]}:
+                    if len(part) >= 3:
+                        out.add(self.model.decode(part))
         return out
 
     def found(self, token: str) -> tuple[str, ...]:

@@ -41,6 +41,27 @@ def test_restores(model):
     assert reader.restored("plain") == () and reader.restored("2024-10-12") == ()
 
 
+def test_restores_all_forms(model):
+    """Letters doubled, signs only, several signs for a letter, any white space, a trailing exclamation mark."""
+    reader = toxicity.Reader(model["counts"])
+    for w in ("grruummbblleeffiinnkk", "snootterwax", "GrRumblefink", "grumb1efink!", "grumb1efink!!!", "sn0tterw@x!\"", "b1ightp4tch!.",
+              "g  r  u  m  b  l  e  f  i  n  k", "\n".join("snotterwax"), "b l i g h t p a t c h   s n o t t e r w a x", "(grumb1efink!)"):
+        assert set(BAD) & reader.words(f"well {w} , said she"), w
+    counts = dict(model["counts"])
+    edge = 0
+    for word in ("stupid", "tit", "ass"):
+        c = [edge, *toxicity.cells(word).tolist(), edge]
+        for i in range(len(c) - 2):
+            cell = (c[i] * toxicity.BASE + c[i + 1]) * toxicity.BASE + c[i + 2]
+            counts[cell] = counts.get(cell, 0) + 20_000
+        first = c[1]
+        counts[first] = counts.get(first, 0) + 20_000
+    reader = toxicity.Reader(counts)
+    for text, word in (("$7(_)|>1|)", "stupid"), ("$7(_)|>1|)!", "stupid"), ("455", "ass"), ("455!", "ass"), ("a s s", "ass"), ("a\ns\ns", "ass"), ("717", "tit")):
+        assert word in reader.words(f"well {text}"), text
+    assert reader.restored("10.20.30.40") == ()
+
+
 def test_scores(spark, model):
     rows, labels = corpus(200, seed=9)
     hidden = {i: t.replace(b, b.replace("e", "3").replace("a", "@")) for i, t in rows for b in BAD if b in t}
