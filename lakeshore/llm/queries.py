@@ -1,7 +1,7 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, maintext, neardup, quality, substring, suffix, toxicity, warc
+from . import bpe, decontaminate, licenses, maintext, neardup, quality, substring, suffix, toxicity, treebpe, warc
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op8_benchmark_decontamination": decontaminate.query,
         "op9_suffix_dedup": suffix.query,
         "op10_license_scans": licenses.query,
+        "op13_tree_bpe": treebpe.query,
     }
 
 
