@@ -23,18 +23,18 @@ def library(path):
 def fuzz_texts(n, seed=2):
     rnd = random.Random(seed)
     parts = ["a", "b", " ", "  ", "\n", "\t", "é", "ß", "'s", "'", "'r", "e", "'l", "l", "1", "²", "!", "<|endoftext|>", "\x1c", "\xa0",
-             "　", "the", "中", "😀", " \n", "xxxxx", "\r\n", "\x0b", "\x00", "ing", "ation", "==", "----", "aaaaaaa", "ö"]
+             "　", "the", "中", "😀", " \n", "a \n", "\n a", "  x", "xxxxx", "\r\n", "\x0b", "\x00", "ing", "ation", "==", "----", "aaaaaaa", "ö"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60))) for _ in range(n)]
     return texts + ["", "a" * 5000, " " * 900, "ab" * 3000, "é" * 999, "=" * 777, "x" * 4095 + "'" + "ll", *(r[1] or "" for r in edge_rows())]
 
 
 @pytest.mark.parametrize("path", [PATH, MULTI])
-@pytest.mark.parametrize("leaf", [1, 2, 3, 7, 64, 4096])
+@pytest.mark.parametrize("leaf", [1, 3, 7, 4096])
 def test_fuzz_at_every_leaf_size(path, leaf, monkeypatch):
     monkeypatch.setattr(treebpe, "LEAF_CHARS", leaf)
     own = library(path)
     coder = treebpe.Encoder(treebpe.read_ranks(path), tokenizers.PATTERN)
-    texts = [t for t in fuzz_texts(700, leaf) if leaf > 3 or len(t) < 6000]
+    texts = [t for t in fuzz_texts(500, leaf) if leaf > 3 or len(t) < 6000]
     for at in range(0, len(texts), 300):
         part = texts[at:at + 300]
         assert coder.encode(pa.array(part, pa.string())).to_pylist() == [own.encode_ordinary(t) for t in part]
@@ -52,14 +52,14 @@ def test_joining_is_associative_and_right_at_every_cut():
 
 
 def test_small_caches_give_the_same(monkeypatch):
-    monkeypatch.setattr(treebpe, "CACHE_BYTES", 5)
+    monkeypatch.setattr(treebpe, "CACHE_UNITS", 5)
     monkeypatch.setattr(treebpe, "REMEMBERED", 3)
     coder, own, texts = treebpe.Encoder(treebpe.read_ranks(PATH), tokenizers.PATTERN), library(PATH), fuzz_texts(50)
     for _ in range(2):
         assert coder.encode(pa.array(texts, pa.string())).to_pylist() == [own.encode_ordinary(t) for t in texts]
 
 
-def test_tables_and_edges(spark, monkeypatch):
+def test_tables_and_edges(spark):
     own = library(PATH)
     docs = table(spark, SF, "documents").select("doc_id", "text").unionByName(edge_docs(spark).select("doc_id", "text"))
     coded = treebpe.packed(treebpe.decode(treebpe.encode(docs, PATH, tokenizers.PATTERN), PATH)).collect()
@@ -74,14 +74,14 @@ def test_tables_and_edges(spark, monkeypatch):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(want), *shas(np.array(want, "<u4").tobytes(), texts[r.doc_id]))
 
 
-def test_decoding_other_ids(spark):
+def test_decoding_other_ids(spark, monkeypatch):
     df = spark.createDataFrame([(1, [0, 1]), (2, []), (3, None), (4, [-1, 99999999, 5]), (5, [None, 7])], "i int, ids array<int>")
     got = {r.i: bytes(r.decoded) for r in treebpe.decode(df, PATH).collect()}
     own = library(PATH)
     assert got == {1: own.decode_bytes([0, 1]), 2: b"", 3: b"", 4: own.decode_bytes([5]), 5: own.decode_bytes([7])}
     ids = list(range(9000))
-    merger = treebpe.Merger(treebpe.read_ranks(PATH))
-    assert merger.decode(ids) == own.decode_bytes(ids)
+    monkeypatch.setattr(treebpe, "LEAF_TOKENS", 100)
+    assert treebpe.Decoder(treebpe.read_ranks(PATH)).decode(np.array(ids)) == own.decode_bytes(ids)
 
 
 def test_columns_and_empty_table(spark):
