@@ -1,7 +1,7 @@
 """The registered queries of the operators and their DuckDB twins (where SQL can express one)."""
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, maintext, neardup, quality, substring, suffix, toxicity, treebpe, turns, warc
+from . import bpe, decontaminate, licenses, maintext, neardup, phrases, quality, substring, suffix, toxicity, treebpe, turns, warc
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op8_benchmark_decontamination": decontaminate.query,
         "op9_suffix_dedup": suffix.query,
         "op10_license_scans": licenses.query,
+        "op11_phrases": phrases.query,
         "op12_turn_repair": turns.query,
         "op13_tree_bpe": treebpe.query,
     }
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality.ORACLE,
         "op8_benchmark_decontamination": decontaminate.ORACLE,
         "op10_license_scans": licenses.oracle(),
+        "op11_phrases": phrases.ORACLE,
     }

@@ -36,13 +36,13 @@ from .bpe import _gather
 from .common import byte_sizes, ship, sub_batches, table
 
 BATCH_BYTES = 2_000_000
-CACHE_CHARS = 4_000_000         # of the units a task remembers
-CACHE_UNITS = 400_000
+CACHE_CHARS = 12_000_000        # of the units a task remembers
+CACHE_UNITS = 1_000_000
 LEAF_CHARS = 4096
 LEAF_TOKENS = 1 << 18
 LOOK_AHEAD = 3                  # characters the pattern may look at from a match's start: 'll, 're, 've
 SHORT = 16                      # bytes of strings whose tokens are remembered
-REMEMBERED = 200_000            # pairs and short byte strings
+REMEMBERED = 400_000            # matches, pairs and short byte strings
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
