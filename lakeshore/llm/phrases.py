@@ -43,7 +43,8 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 COVERED = 80                    # per cent of a phrase's count that a longer one must have to replace it
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 4_000_000
+ROWS_OUT = 20_000               # rows of a batch that a task hands on
 FILTER_BITS = 1 << 26           # 8 MB a filter
 LANGUAGES = 10_000              # languages whose size is sent to the tasks; the shards of others report everything
 
@@ -144,7 +145,11 @@ class Shard:
         _, at, n = np.unique(key, return_index=True, return_counts=True)
         return places[at[n >= least]], n[n >= least]
 
-    def rows(self, k: int, lang: str, places: np.ndarray, n: np.ndarray, spare: int) -> pa.RecordBatch:
+    def rows(self, k: int, lang: str, places: np.ndarray, n: np.ndarray, spare: int) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(places), ROWS_OUT):
+            yield self._rows(k, lang, places[at:at + ROWS_OUT], n[at:at + ROWS_OUT], spare)
+
+    def _rows(self, k: int, lang: str, places: np.ndarray, n: np.ndarray, spare: int) -> pa.RecordBatch:
         parts = [self.names.take(pa.array(self.word[places + j])) for j in range(k)]
         phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" ")
         size = len(places)
@@ -181,9 +186,9 @@ def _shards(batches, most: int) -> Iterator[tuple[str, list[pa.Array], int]]:
                 held.setdefault(lang, []).append(own.column("text").cast(pa.string()))
                 sizes[lang] = sizes.get(lang, 0) + int(byte_sizes(own, "text").sum())
             if sum(sizes.values()) >= most:
-                yield from ((lang, held[lang], sizes[lang]) for lang in held)
-                held, sizes = {}, {}
-    yield from ((lang, held[lang], sizes[lang]) for lang in held)
+                yield from ((lang, held.pop(lang), sizes[lang]) for lang in list(held))
+                sizes = {}
+    yield from ((lang, held.pop(lang), sizes[lang]) for lang in list(held))
 
 
 def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -207,13 +212,15 @@ def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, filters:
         for lang, parts, size in _shards(batches, shard_bytes):
             shard = Shard(parts, lang)
             below = [bits.get(j) for j in range(max(count, mine) + 1)]
-            yield shard.rows(count, lang, *shard.counted(count, shard.fits(count, below[:count + 1]), 1), 0)
+            yield from shard.rows(count, lang, *shard.counted(count, shard.fits(count, below[:count + 1]), 1), 0)
             if mine:
                 least = share(support, size, shared.value.get(lang, 0))
                 found = shard.counted(mine, shard.fits(mine, below[:mine]), least)
-                yield shard.rows(mine, lang, *found, least - 1)
+                yield from shard.rows(mine, lang, *found, least - 1)
                 # what any phrase of this length may have here unreported, on a row of no phrase
                 yield pa.RecordBatch.from_pylist([{"lang": lang, "phrase": None, "words": mine, "hash": 0, "n": 0, "spare": least - 1}], ARROW)
+            del shard, parts
+            pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(run, REPORT)
 
