@@ -10,8 +10,8 @@ falls short in every shard falls short in all, so the union of what shards repor
 phrase can still have in shards that do not report it is known (their shares less one, summed), and
 phrases that cannot reach the support with it are dropped from the union. Then all of the union is counted again in all
 texts, exactly. Lengths follow one another: one scan counts the union of length k and mines length k + 1 from phrases
-whose both parts are in the unions below (parts occur at least as often). Four scans in all; every shard of a scan
-stands for itself, so another cutting of the input into tasks, or a task run again, changes nothing.
+whose parts of k words are in that union (parts occur at least as often). ``LONGEST`` + 1 scans in all; every shard of a
+scan stands for itself, so another cutting of the input into tasks, or a task run again, changes nothing.
 
 **Filter.** Tasks learn a union as a Bloom filter of ``FILTER_BITS`` (a fixed size, whatever the data), built
 by partial aggregation. A false positive only costs a count that the exact join with the support drops again.
@@ -123,16 +123,15 @@ class Shard:
             self.hash.append(_mixed(last * np.uint64(0x100000001B3) + _ahead(w, len(self.hash))))
         return self.hash[k - 1]
 
-    def fits(self, k: int, below: list[np.ndarray | None]) -> np.ndarray:
-        """Places of phrases of k words that stay in a piece and of which each stretch of j words is in ``below[j]``."""
+    def fits(self, k: int, j: int, bits: np.ndarray | None) -> np.ndarray:
+        """Places of phrases of k words that stay in a piece and of which the filter holds each stretch of j words."""
         ok = np.ones(len(self.word), bool)
-        for j in range(1, k):
-            ok &= _ahead(self.next, j - 1)
-        for j, bits in enumerate(below):
-            if bits is not None:
-                held = seen(bits, self.hashes(j))
-                for step in range(k - j + 1):
-                    ok &= _ahead(held, step)
+        for step in range(k - 1):
+            ok &= _ahead(self.next, step)
+        if bits is not None:
+            held = seen(bits, self.hashes(j))
+            for step in range(k - j + 1):
+                ok &= _ahead(held, step)
         return np.flatnonzero(ok)
 
     def counted(self, k: int, places: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,24 +200,24 @@ def _sizes(texts: DataFrame) -> dict[str, int]:
     return {r.lang: r.n for r in of.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
 
 
-def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, filters: dict[int, object]) -> DataFrame:
-    """One pass: exact shard counts of the phrases of ``count`` words that the filters hold (of all single words),
-    and the phrases of ``mine`` words that reach the shard's share (none if 0), with the share less one."""
+def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, known) -> DataFrame:
+    """One pass: exact shard counts of the phrases of ``count`` words that the filter ``known`` holds (none if 0), and the
+    phrases of ``mine`` words (none if 0) of parts that it holds and that reach the shard's share, with the share less one. A row
+    without phrase has the shard's own: what an unreported phrase may have here, and the number of words."""
     shared = texts.sparkSession.sparkContext.broadcast(sizes)
     shard_bytes = SHARD_BYTES
 
     def run(batches):
-        bits = {k: np.frombuffer(b.value, np.uint8) for k, b in filters.items()}
+        bits = None if known is None else np.frombuffer(known.value, np.uint8)
         for lang, parts, size in _shards(batches, shard_bytes):
             shard = Shard(parts, lang)
-            below = [bits.get(j) for j in range(max(count, mine) + 1)]
-            yield from shard.rows(count, lang, *shard.counted(count, shard.fits(count, below[:count + 1]), 1), 0)
+            if count:
+                yield from shard.rows(count, lang, *shard.counted(count, shard.fits(count, count, bits), 1), 0)
             if mine:
                 least = share(support, size, shared.value.get(lang, 0))
-                found = shard.counted(mine, shard.fits(mine, below[:mine]), least)
-                yield from shard.rows(mine, lang, *found, least - 1)
-                # what any phrase of this length may have here unreported, on a row of no phrase
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "phrase": None, "words": mine, "hash": 0, "n": 0, "spare": least - 1}], ARROW)
+                yield from shard.rows(mine, lang, *shard.counted(mine, shard.fits(mine, count, bits), least), least - 1)
+                yield pa.RecordBatch.from_pylist([{"lang": lang, "phrase": None, "words": mine, "hash": 0, "n": len(shard.word),
+                                                   "spare": least - 1}], ARROW)
             del shard, parts
             pa.default_memory_pool().release_unused()
 
@@ -253,20 +252,21 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", support: i
     ship(spark)
     texts = _texts(docs, text, lang)
     sizes = _sizes(texts)
-    found, filters, totals = [], {}, None
-    for k in range(1, longest + 1):
-        rows = _scan(texts, support, sizes, k, k + 1 if k < longest else 0, filters)
+    found, totals, known = [], None, None
+    for k in range(longest + 1):
+        # the first scan only mines words, the last one only counts
+        rows = _scan(texts, support, sizes, k, k + 1 if k < longest else 0, known)
         sums = materialize(spark, rows.groupBy("lang", "words", "phrase").agg(
             F.sum("n").alias("n"), F.sum("spare").alias("spare"), F.min("hash").alias("hash")), f"phrases-{k}")
-        here = sums.filter(F.col("words") == k)
-        found.append(here.filter(F.col("n") >= support).select("lang", "phrase", "words", "n"))
-        if k == 1:
-            totals = here.groupBy("lang").agg(F.sum("n").alias("n"))
+        exact = sums.filter((F.col("words") == k) & (F.col("n") >= support))
+        if k == 0:
+            totals = sums.filter("phrase IS NULL").select("lang", "n")
+        else:
+            found.append(exact.select("lang", "phrase", "words", "n"))
         if k < longest:
+            # a word is kept by its exact count, a longer phrase by what it can reach
             union = _union(sums.filter(F.col("words") == k + 1), support)
-            exact = here.filter(F.col("n") >= support)
-            for j, of in ((k, exact), (k + 1, union)):      # the union of k gives way to its exact rest
-                filters[j] = spark.sparkContext.broadcast(bloom(spark, of.select("hash"), FILTER_BITS))
+            known = spark.sparkContext.broadcast(bloom(spark, union.select("hash"), FILTER_BITS))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -334,7 +334,7 @@ WITH pieces AS (
   SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM (
     SELECT coalesce(lang, 'und') AS lang,
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
-w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 grams AS (
   SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
   FROM w, (VALUES (1), (2), (3), (4)) AS ks(k) WHERE len(w) >= k),
