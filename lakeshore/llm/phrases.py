@@ -10,8 +10,10 @@ falls short in every shard falls short in all, so the union of what shards repor
 phrase can still have in shards that do not report it is known (their shares less one, summed), and
 phrases that cannot reach the support with it are dropped from the union. Then all of the union is counted again in all
 texts, exactly. Lengths follow one another: one scan counts the union of length k and mines length k + 1 from phrases
-whose parts of k words are in that union (parts occur at least as often). ``LONGEST`` + 1 scans in all; every shard of a
-scan stands for itself, so another cutting of the input into tasks, or a task run again, changes nothing.
+whose parts of k words are in that union (parts occur at least as often); ``LONGEST`` scans in all. What is mined goes out as 64-bit
+hashes, which only say what to count; counts are of texts. Every shard of a scan stands for itself,
+so another cutting of the input into tasks, or a task run again, changes nothing. Once a language has
+more than ``SUPPORT`` shards its share is 1, and shards report all they have.
 
 **Filter.** Tasks learn a union as a Bloom filter of ``FILTER_BITS`` (a fixed size, whatever the data), built
 by partial aggregation. A false positive only costs a count that the exact join with the support drops again.
@@ -56,9 +58,11 @@ _KIND = np.zeros(256, np.uint8)                     # 0 part of a word, 1 blank,
 _KIND[list(BLANKS)] = 1
 _KIND[list(CUTS)] = 2
 
-REPORT = "lang string, phrase string, words int, hash bigint, n bigint, spare bigint"
-ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("hash", pa.int64()),
-                   ("n", pa.int64()), ("spare", pa.int64())])
+# Counted phrases go out as text, mined ones as a hash (of language and words) and the language's number; a shard's
+# own row has a language and no phrase.
+REPORT = "words int, hash bigint, lang string, phrase string, number int, n bigint, spare bigint"
+ARROW = pa.schema([("words", pa.int32()), ("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()),
+                   ("number", pa.int32()), ("n", pa.int64()), ("spare", pa.int64())])
 
 
 # --- a shard in memory ------------------------------------------------------------------------------------
@@ -144,17 +148,22 @@ class Shard:
         _, at, n = np.unique(key, return_index=True, return_counts=True)
         return places[at[n >= least]], n[n >= least]
 
-    def rows(self, k: int, lang: str, places: np.ndarray, n: np.ndarray, spare: int) -> Iterator[pa.RecordBatch]:
+    def rows(self, k: int, places: np.ndarray, n: np.ndarray, spare: int = 0, number: int = -1,
+             lang: str | None = None) -> Iterator[pa.RecordBatch]:
+        """The phrases at ``places``, as text if ``lang`` is given."""
         for at in range(0, len(places), ROWS_OUT):
-            yield self._rows(k, lang, places[at:at + ROWS_OUT], n[at:at + ROWS_OUT], spare)
-
-    def _rows(self, k: int, lang: str, places: np.ndarray, n: np.ndarray, spare: int) -> pa.RecordBatch:
-        parts = [self.names.take(pa.array(self.word[places + j])) for j in range(k)]
-        phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" ")
-        size = len(places)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang]).take(pa.array(np.zeros(size, np.int64))), phrase.cast(pa.string()), pa.array(np.full(size, k, np.int32)),
-             pa.array(self.hashes(k)[places].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.full(size, spare, np.int64))], schema=ARROW)
+            here = places[at:at + ROWS_OUT]
+            size = len(here)
+            if lang is None:
+                text = [pa.nulls(size, pa.string())] * 2
+            else:
+                parts = [self.names.take(pa.array(self.word[here + j])) for j in range(k)]
+                phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, b" ")
+                text = [pa.repeat(lang, size).cast(pa.string()), phrase.cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(k, pa.int32()), size), pa.array(self.hashes(k)[here].view(np.int64)), *text,
+                 pa.repeat(pa.scalar(number, pa.int32()), size), pa.array(n[at:at + ROWS_OUT].astype(np.int64)),
+                 pa.repeat(pa.scalar(spare, pa.int64()), size)], schema=ARROW)
 
 
 def _ahead(flags: np.ndarray, by: int) -> np.ndarray:
@@ -194,16 +203,16 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
 
 
-def _sizes(texts: DataFrame) -> dict[str, int]:
-    """Bytes of the largest languages, at most ``LANGUAGES`` rows; a language left out has share 1 everywhere."""
+def _sizes(texts: DataFrame) -> dict[str, tuple[int, int]]:
+    """(number, bytes) of the largest languages, at most ``LANGUAGES`` rows; a language left out has share 1 everywhere."""
     of = texts.groupBy("lang").agg(F.sum(F.octet_length("text").cast("long")).alias("n"))
-    return {r.lang: r.n for r in of.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    return {r.lang: (i, r.n) for i, r in enumerate(of.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())}
 
 
 def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, known) -> DataFrame:
-    """One pass: exact shard counts of the phrases of ``count`` words that the filter ``known`` holds (none if 0), and the
-    phrases of ``mine`` words (none if 0) of parts that it holds and that reach the shard's share, with the share less one. A row
-    without phrase has the shard's own: what an unreported phrase may have here, and the number of words."""
+    """One pass: exact shard counts of the phrases of ``count`` words that the filter ``known`` holds (all, without one), and
+    the phrases of ``mine`` words (none if 0) of parts that it holds and that reach the shard's share, with the share less
+    one; and for each shard what any unreported phrase may have there."""
     shared = texts.sparkSession.sparkContext.broadcast(sizes)
     shard_bytes = SHARD_BYTES
 
@@ -211,13 +220,12 @@ def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, known) -
         bits = None if known is None else np.frombuffer(known.value, np.uint8)
         for lang, parts, size in _shards(batches, shard_bytes):
             shard = Shard(parts, lang)
-            if count:
-                yield from shard.rows(count, lang, *shard.counted(count, shard.fits(count, count, bits), 1), 0)
+            yield from shard.rows(count, *shard.counted(count, shard.fits(count, count, bits), 1), lang=lang)
             if mine:
-                least = share(support, size, shared.value.get(lang, 0))
-                yield from shard.rows(mine, lang, *shard.counted(mine, shard.fits(mine, count, bits), least), least - 1)
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "phrase": None, "words": mine, "hash": 0, "n": len(shard.word),
-                                                   "spare": least - 1}], ARROW)
+                number, whole = shared.value.get(lang, (-1, 0))
+                least = share(support, size, whole)
+                yield from shard.rows(mine, *shard.counted(mine, shard.fits(mine, count, bits), least), least - 1, number)
+                yield pa.RecordBatch.from_pylist([{"words": mine, "hash": 0, "lang": lang, "number": number, "n": 0, "spare": least - 1}], ARROW)
             del shard, parts
             pa.default_memory_pool().release_unused()
 
@@ -225,10 +233,10 @@ def _scan(texts: DataFrame, support: int, sizes, count: int, mine: int, known) -
 
 
 def _union(reports: DataFrame, support: int) -> DataFrame:
-    """Phrases that can reach the support: reported counts plus the spare of the shards that did not report."""
-    spare = reports.filter("phrase IS NULL").select("lang", F.col("spare").alias("all_spare"))
-    return (reports.filter("phrase IS NOT NULL").join(spare, "lang")
-            .filter(F.col("n") + F.col("all_spare") - F.col("spare") >= support).select("lang", "phrase", "words", "hash", "n"))
+    """Hashes of phrases that can reach the support: reported counts plus the spare of the shards that did not report."""
+    spare = reports.filter("lang IS NOT NULL").groupBy("number").agg(F.sum("spare").alias("all_spare"))
+    return (reports.filter("lang IS NULL").join(spare, "number")
+            .filter(F.col("n") + F.col("all_spare") - F.col("spare") >= support).select("hash"))
 
 
 def bloom(spark: SparkSession, hashes: DataFrame, bits: int) -> bytes:
@@ -253,20 +261,16 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", support: i
     texts = _texts(docs, text, lang)
     sizes = _sizes(texts)
     found, totals, known = [], None, None
-    for k in range(longest + 1):
-        # the first scan only mines words, the last one only counts
+    for k in range(1, longest + 1):
         rows = _scan(texts, support, sizes, k, k + 1 if k < longest else 0, known)
-        sums = materialize(spark, rows.groupBy("lang", "words", "phrase").agg(
-            F.sum("n").alias("n"), F.sum("spare").alias("spare"), F.min("hash").alias("hash")), f"phrases-{k}")
-        exact = sums.filter((F.col("words") == k) & (F.col("n") >= support))
-        if k == 0:
-            totals = sums.filter("phrase IS NULL").select("lang", "n")
-        else:
-            found.append(exact.select("lang", "phrase", "words", "n"))
+        sums = materialize(spark, rows.groupBy("words", "hash", "lang", "phrase").agg(
+            F.sum("n").alias("n"), F.sum("spare").alias("spare"), F.min("number").alias("number")), f"phrases-{k}")
+        found.append(sums.filter((F.col("words") == k) & (F.col("n") >= support)).select("lang", "phrase", "words", "n"))
+        mined = sums.filter(F.col("words") == k + 1)
+        if k == 1:
+            totals = sums.filter(F.col("words") == 1).groupBy("lang").agg(F.sum("n").alias("n"))
         if k < longest:
-            # a word is kept by its exact count, a longer phrase by what it can reach
-            union = _union(sums.filter(F.col("words") == k + 1), support)
-            known = spark.sparkContext.broadcast(bloom(spark, union.select("hash"), FILTER_BITS))
+            known = spark.sparkContext.broadcast(bloom(spark, _union(mined, support), FILTER_BITS))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
