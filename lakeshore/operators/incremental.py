@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread
+from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread, stored_extremes
 
 EPOCH_MARK = "1900-01-01 00:00:00"
 
@@ -17,12 +17,19 @@ def high_water_mark(target: DataFrame, mark: str = "loaded_at") -> DataFrame:
     return target.agg(F.coalesce(F.max(mark), F.lit(EPOCH_MARK).cast("timestamp_ntz")).alias("hwm"))
 
 
+def stored_high_water_mark(spark: SparkSession, path: str, schema, mark: str = "loaded_at") -> DataFrame:
+    """:func:`high_water_mark` of a stored table, from the footers of its files: the column is read only of
+    files whose statistics do not tell."""
+    return stored_extremes(spark, path, mark, schema).select(
+        F.coalesce(F.col("high"), F.lit(EPOCH_MARK).cast("timestamp_ntz")).alias("hwm"))
+
+
 def changed_batches(source: DataFrame, target: DataFrame, key: str = "source_month", mark: str = "loaded_at",
-                    extra_sources: Sequence[DataFrame] = ()) -> DataFrame:
+                    extra_sources: Sequence[DataFrame] = (), hwm: DataFrame | None = None) -> DataFrame:
     """Distinct batch keys having a row with ``mark`` strictly after the target's high-water
     mark. ``extra_sources`` (same ``key``/``mark`` columns) let a late reload of another input
-    (weather, holidays) trigger its batches too. A one-row scalar joined to the rows."""
-    hwm = high_water_mark(target, mark)
+    (weather, holidays) trigger its batches too. A one-row scalar (``hwm``, or the target's) joined to the rows."""
+    hwm = high_water_mark(target, mark) if hwm is None else hwm
     frames = [source.select(key, mark)] + [s.select(key, mark) for s in extra_sources]
     rows = frames[0]
     for f in frames[1:]:
@@ -53,7 +60,8 @@ def build_incremental(spark: SparkSession, source: DataFrame, target_path: str,
         wanted = [months] if isinstance(months, str) else list(months)
     else:
         target = spark.read.option("mergeSchema", True).parquet(target_path)
-        wanted = [r[0] for r in changed_batches(source, target, key, mark, extra_sources).collect()]
+        hwm = stored_high_water_mark(spark, target_path, target.schema, mark)
+        wanted = [r[0] for r in changed_batches(source, target, key, mark, extra_sources, hwm).collect()]
     if not wanted:
         return {}
     rows = source.filter(F.col(key).isin(wanted))

@@ -29,12 +29,24 @@ def with_reason(df: DataFrame, rules: Sequence[Rule], reason_col: str = "reject_
     return df.withColumn(reason_col, first_broken_rule(rules))
 
 
+def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.filter(condition)`` for a condition on computed columns, which stay computed once. Catalyst
+    would push the filter below the projections (into a join's condition, even), repeating every
+    expression behind the columns for each use: code too long to be compiled. It leaves a filter alone that also reads
+    a row number of the projection below. Filters set later do not pass it either: prune
+    batches on the rows before they are judged."""
+    row = "__row"
+    while row in df.columns:
+        row += "_"
+    return df.withColumn(row, F.monotonically_increasing_id()).filter(condition & (F.col(row) >= 0)).drop(row)
+
+
 def accepted(df: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
-    return df.filter(F.col(reason_col).isNull()).drop(reason_col)
+    return filter_computed(df, F.col(reason_col).isNull()).drop(reason_col)
 
 
 def quarantined(df: DataFrame, reason_col: str = "reject_reason") -> DataFrame:
-    return df.filter(F.col(reason_col).isNotNull())
+    return filter_computed(df, F.col(reason_col).isNotNull())
 
 
 def split(df: DataFrame, reason_col: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
@@ -46,7 +58,7 @@ def reason_histogram(df: DataFrame, reason_col: str = "reject_reason") -> DataFr
     """Rows per reject reason, most frequent first (ties by name). Map-side partial
     aggregation shrinks each partition to a handful of rows before the shuffle."""
     return (
-        df.filter(F.col(reason_col).isNotNull())
+        quarantined(df, reason_col)
         .groupBy(reason_col).agg(F.count("*").alias("n_rows"))
         .orderBy(F.desc("n_rows"), reason_col)
     )

@@ -45,42 +45,72 @@ def stage_trips(silver: DataFrame, loaded_at: Column | None = None) -> DataFrame
 LAYER_COL = "layer"
 
 
+def clean_schema(spark, p: TripParams = TAXI):
+    """Columns and types of the published layers."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from lakeshore.plans.trips import clean_conformed
+
+    typed = [StructType.fromDDL(f"`{f.target}` {f.dtype}").fields[0] if isinstance(f.dtype, str) else StructField(f.target, f.dtype)
+             for f in p.contract]
+    empty = spark.createDataFrame([], StructType([*typed, *[StructField(c, IntegerType()) for c in p.batch_cols]]))
+    return clean_conformed(empty, p).withColumn(LAYER_COL, F.lit("")).schema
+
+
+def read_clean(spark, root: str, p: TripParams = TAXI, layer: str | None = None) -> DataFrame:
+    """What :func:`publish_clean` has published: both layers, or one of them."""
+    from lakeshore.sources import versions
+
+    rows = versions.read(spark, root, clean_schema(spark, p), p.batch_cols)
+    return rows if layer is None else rows.filter(F.col(LAYER_COL) == layer).drop(LAYER_COL)
+
+
 def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, conformed: bool = False,
                   expected: dict[tuple, int] | None = None) -> DataFrame:
-    """Clean many raw batches and publish accepted and quarantined rows, replacing both layers of
-    exactly the batches present. Rows are cleaned once, into a staging folder partitioned by (layer,
-    batch); their number per batch is compared with the input's (``expected``, as the source reports
-    it, or a count of ``raw`` by itself), and only then every (layer, batch) of these batches is
-    replaced, a layer without rows being emptied. Returns the per-batch reconciliation: input rows
-    as counted before cleaning, against the layers read back from disk.
-
-    Accepted rows are ``<root>/layer=accepted``, quarantined ``<root>/layer=quarantined``.
-    ``conformed=True`` takes rows already conformed to the contract (``read_batches``)."""
+    """Clean many raw batches and publish accepted and quarantined rows, replacing both layers of exactly the batches
+    present, at one commit point per batch (:mod:`lakeshore.sources.versions`; read with :func:`read_clean`).
+
+    The input is read and cleaned once, in the write, which also observes it: rows read, accepted and
+    quarantined. They must equal each other and what the footers of the written files say, per batch also
+    ``expected``, where the source reports it (or the counts of the written batches, if it does not). Tasks that ran twice after a lost
+    executor are observed twice, so a difference that could come from that is settled by counting the input anew.
+    Nothing of a publication that does not reconcile is seen. Returns the reconciliation per batch: input rows,
+    and the layers as the files on disk hold them. ``conformed=True`` takes rows already conformed to the contract
+    (``read_batches``)."""
+    from pyspark.sql import Observation
+
+    from lakeshore.operators.rules import ReconcileError
     from lakeshore.plans.trips import clean_conformed
-    from lakeshore.session import scratch_path
-    from lakeshore.sources.batches import batch_counts, publish, same_batches, write_batches
+    from lakeshore.sources import versions
+    from lakeshore.sources.batches import batch_counts
 
     batch = list(p.batch_cols)
-    expected = batch_counts(raw, batch) if expected is None else expected
-    cleaned = clean_conformed(raw, p) if conformed else clean_trips(raw, p)
-    layered = cleaned.withColumn(
-        LAYER_COL, F.when(F.col("reject_reason").isNull(), "accepted").otherwise("quarantined"))
-    stage = scratch_path(spark, "clean-stage")
-    write_batches(layered, stage, [LAYER_COL, *batch])
-    publish(spark, spark.read.schema(layered.schema).parquet(stage), root, batch, expected, layer=[LAYER_COL])
-    schema = cleaned.select(*batch).schema.add("input_rows", "long")
-    counted = spark.createDataFrame([(*k, n) for k, n in expected.items()], schema)
-    held = same_batches(spark.read.schema(layered.schema).parquet(root), counted, batch).groupBy(*batch).agg(
-        F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
-        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"))
-    a, b = counted.alias("a"), held.alias("b")
-    same = F.lit(True)
-    for c in batch:
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    rows = lambda c: F.coalesce(F.col(f"b.{c}"), F.lit(0)).alias(c)
-    return a.join(b, same, "left").select(
-        *[F.col(f"a.{c}") for c in batch], "a.input_rows", rows("accepted_rows"), rows("quarantined_rows"),
-        (F.col("a.input_rows") == F.coalesce(F.col("b.accepted_rows") + F.col("b.quarantined_rows"), F.lit(0))).alias("reconciled"))
+    read_, split_ = Observation(f"{LAYER_COL} input"), Observation(f"{LAYER_COL} split")
+    seen = raw.observe(read_, F.count(F.lit(1)).alias("rows"))
+    cleaned = clean_conformed(seen, p) if conformed else clean_trips(seen, p)
+    reason = F.col("reject_reason")
+    layered = cleaned.withColumn(LAYER_COL, F.when(reason.isNull(), "accepted").otherwise("quarantined")).observe(
+        split_, F.count_if(reason.isNull()).alias("accepted"), F.count_if(reason.isNotNull()).alias("quarantined"))
+
+    def wanted(written: dict[tuple, int]) -> dict[tuple, int]:
+        rows, layers, total = read_.get["rows"], split_.get, sum(written.values())
+        if expected is not None:
+            return dict(expected)
+        if rows == layers["accepted"] + layers["quarantined"] == total:
+            return written
+        counted = batch_counts(raw, batch)
+        if sum(counted.values()) != total:
+            raise ReconcileError(f"{root}: not published; {sum(counted.values())} rows read, {total} written")
+        return counted
+
+    found = versions.publish(spark, layered, root, batch, wanted, [LAYER_COL])
+    held: dict[tuple, dict[str, int]] = {k: {} for k in (expected or {})}
+    for key, n in found.items():
+        held.setdefault(key[:-1], {})[key[-1]] = n
+    rows = [(*k, (expected or {}).get(k, sum(v.values())), v.get("accepted", 0), v.get("quarantined", 0)) for k, v in held.items()]
+    schema = layered.select(*batch).schema.add("input_rows", "long").add("accepted_rows", "long").add("quarantined_rows", "long")
+    return spark.createDataFrame(rows, schema).withColumn(
+        "reconciled", F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows"))
 
 
 def publish_series(spark, docs: DataFrame, zone: str, root: str, batch_cols=("year", "month"),

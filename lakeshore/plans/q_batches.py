@@ -219,13 +219,14 @@ def q_file_manifest(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "bronze-landing")
     raw = standins.raw_trips(spark, root)
     batches.write_batches(raw.filter(F.col("year") < MANIFEST_SPLIT_YEAR), path, ["year", "month"])
-    period = F.format_string("%04d-%02d", F.col("year"), F.col("month"))
-    first = batches.file_manifest(batches.read_root(spark, path), period)
+    first = batches.file_manifest(spark, path)
     first_path = scratch_path(spark, "manifest")
     first.write.mode("overwrite").parquet(first_path)           # the manifest of record
     batches.write_batches(raw.filter(F.col("year") >= MANIFEST_SPLIT_YEAR), path, ["year", "month"])
-    second = batches.file_manifest(batches.read_root(spark, path), period, spark.read.parquet(first_path))
-    return second.groupBy(F.col("batch").alias("period"), "status").agg(F.sum("row_count").alias("row_count"))
+    second = batches.file_manifest(spark, path, spark.read.parquet(first_path))
+    folder = lambda c: batches.folder_value(F.col("file_path"), c).cast("int")
+    period = F.format_string("%04d-%02d", folder("year"), folder("month"))
+    return second.groupBy(period.alias("period"), "status").agg(F.sum("row_count").alias("row_count"))
 
 
 register("file_manifest", with_trips(f"""
@@ -328,12 +329,15 @@ register("landing_stream", with_trips("SELECT * FROM silver"))
 
 @query("clean_publish")
 def q_clean_publish(spark: SparkSession, root: str) -> DataFrame:
-    """Bronze batches cleaned and published (accepted + quarantined) in one write, observed
-    counts reconciled with the files; the per-batch reconciliation read back from disk."""
+    """Bronze batches cleaned and published (accepted + quarantined) in one write: the input is read once, counted
+    while it is written (and per batch by its footers) and compared with the files; the reconciliation per batch."""
     from lakeshore.plans.pipelines import publish_clean
 
-    lake = batches.read_root(spark, bronze_lake(spark, root))
-    return publish_clean(spark, lake, scratch_path(spark, "trips-published"), standins.STANDIN_TRIPS)
+    path = bronze_lake(spark, root)
+    folder = lambda c: batches.folder_value(F.col("file"), c).cast("int").alias(c)
+    landed = batches.file_rows(spark, path).groupBy(folder("year"), folder("month")).agg(F.sum("row_count"))
+    return publish_clean(spark, batches.read_root(spark, path), scratch_path(spark, "trips-published"), standins.STANDIN_TRIPS,
+                         expected={tuple(r[:-1]): r[-1] for r in landed.collect()})
 
 
 register("clean_publish", with_trips("""
@@ -353,7 +357,7 @@ CORRECTED = (1997, 3)
 def q_republish_clean(spark: SparkSession, root: str) -> DataFrame:
     """All batches published, then one again after its faulty rows were taken out at the source: its
     quarantine is emptied, the other batches stay. Rows per layer as they lie on disk."""
-    from lakeshore.plans.pipelines import LAYER_COL, publish_clean
+    from lakeshore.plans.pipelines import LAYER_COL, publish_clean, read_clean
     from lakeshore.plans.trips import clean_trips
 
     path, p = scratch_path(spark, "republished"), standins.STANDIN_TRIPS
@@ -362,7 +366,7 @@ def q_republish_clean(spark: SparkSession, root: str) -> DataFrame:
     month = raw.where((F.col("year") == CORRECTED[0]) & (F.col("month") == CORRECTED[1]))
     good = clean_trips(month, p).where("reject_reason IS NULL").select(*[f.target for f in p.contract], *p.batch_cols)
     publish_clean(spark, good, path, p, conformed=True)
-    return spark.read.parquet(path).groupBy("year", "month").agg(
+    return read_clean(spark, path, p).groupBy("year", "month").agg(
         F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
         F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"))
 

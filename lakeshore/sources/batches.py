@@ -187,30 +187,94 @@ def _same_path(path: str) -> str:
 
 
 FOOTER_ROWS = "file string, column string, type string, position int"
+ROW_COUNTS = "file string, row_count bigint"
 
 
-def file_footers(files: DataFrame) -> DataFrame:
-    """(file, column, type, position) from the footer of every file of column ``file``: a distributed
-    job that reads footers only. Types are Spark's names."""
+def _from_footers(files: DataFrame, rows_of, ddl: str) -> DataFrame:
+    """One distributed job over the files of column ``file`` that reads footers only: ``rows_of(uri, footer)`` gives
+    rows of ``ddl``. (Both travel with the tasks: executors need not have this package.)"""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    fields = to_arrow_schema(StructType.fromDDL(ddl))
+
     def run(batches):
+        import re
+
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
-        from pyspark.sql.pandas.types import from_arrow_schema
 
         for batch in batches:
             rows = []
             for uri in batch.column(0).to_pylist():
-                where, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and
-                                                     not uri.startswith("file:///") else uri)
-                schema = from_arrow_schema(pq.read_schema(path, filesystem=where), prefer_timestamp_ntz=True)
-                rows += [(uri, f.name, f.dataType.simpleString(), i) for i, f in enumerate(schema)]
+                # listed paths are not escaped as URIs are: only scheme and host are taken for one
+                scheme, host, path = re.fullmatch(r"(?:(\w[\w+.-]*):)?(?://([^/]*))?(/.*)", uri).groups()
+                if scheme in (None, "file"):
+                    where, base = fs.LocalFileSystem(), ""
+                else:
+                    where, base = fs.FileSystem.from_uri(f"{scheme}://{host or ''}/")
+                with where.open_input_file(base.rstrip("/") + path) as f:
+                    rows += rows_of(uri, pq.ParquetFile(f).metadata)
             if rows:
-                cols = [*zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32())],
-                                                 ["file", "column", "type", "position"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)],
+                                                 schema=fields)
+
+    return files.select("file").repartition("file").mapInArrow(run, ddl)
+
+
+def file_footers(files: DataFrame) -> DataFrame:
+    """(file, column, type, position) from the footer of every file of column ``file``. Types are Spark's names."""
+    def columns(uri, footer):
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        schema = from_arrow_schema(footer.schema.to_arrow_schema(), prefer_timestamp_ntz=True)
+        return [(uri, f.name, f.dataType.simpleString(), i) for i, f in enumerate(schema)]
+
+    return _from_footers(files, columns, FOOTER_ROWS)
 
-    return files.select("file").repartition("file").mapInArrow(run, FOOTER_ROWS)
+
+def file_rows(spark: SparkSession, *paths: str) -> DataFrame:
+    """(file, row_count) of every Parquet file below the paths, from its footer: no column is read."""
+    return _from_footers(data_files(spark, *paths), lambda uri, footer: [(uri, footer.num_rows)], ROW_COUNTS)
+
+
+#: Types whose row-group statistics are the exact extremes (text may be cut, floating point may hide NaN).
+EXACT_STATISTICS = ("tinyint", "smallint", "int", "bigint", "date", "timestamp_ntz", "timestamp")
+
+
+def file_extremes(spark: SparkSession, column: str, kind: str, *paths: str) -> DataFrame:
+    """(file, row_count, known, low, high) of ``column`` (of type ``kind``) in every file, from row-group statistics:
+    ``known`` is false where a row group with rows lacks them or the column is not in the file, true (and the extremes
+    null) where all values are null."""
+    def extremes(uri, footer):
+        names = footer.schema.to_arrow_schema().names
+        if kind not in EXACT_STATISTICS or column not in names:
+            return [(uri, footer.num_rows, False, None, None)]
+        found, known, at = [], True, [footer.schema.column(i).path for i in range(len(footer.schema))].index(column)
+        for g in range(footer.num_row_groups):
+            group = footer.row_group(g)
+            stats = group.column(at).statistics
+            if stats is not None and stats.has_min_max:
+                found += [stats.min, stats.max]
+            elif group.num_rows and not (stats is not None and stats.has_null_count and stats.null_count == group.num_rows):
+                known = False
+        return [(uri, footer.num_rows, known, min(found, default=None) if known else None, max(found, default=None) if known else None)]
+
+    return _from_footers(data_files(spark, *paths), extremes, f"{ROW_COUNTS}, known boolean, low {kind}, high {kind}")
+
+
+def stored_extremes(spark: SparkSession, path: str, column: str, schema) -> DataFrame:
+    """One row ``low, high`` of a stored table's column: from footers, and by reading the column of only
+    those files whose statistics do not tell."""
+    kind = schema[column].dataType.simpleString()
+    stats = file_extremes(spark, column, kind, path)
+    told = stats.filter("known").select("low", "high")
+    unknown = [r.file for r in stats.filter("NOT known AND row_count > 0").select("file").collect()]
+    if unknown:
+        read = spark.read.schema(schema).option("basePath", path).parquet(*unknown)
+        told = told.unionByName(read.select(F.col(column).alias("low"), F.col(column).alias("high")))
+    return told.agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def footer_schemas(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
@@ -221,22 +285,33 @@ def footer_schemas(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
             .select("period", "file", "column", "type", "position"))
 
 
+def batch_shapes(footers: DataFrame) -> DataFrame:
+    """(path, shape): the set of columns and types of every batch folder, or of its single files where they differ, from
+    :func:`footer_schemas`."""
+    files = (footers.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("column", "type"))).alias("shape"))
+             .withColumn("folder", F.regexp_replace("file", "/[^/]*$", "")))
+    alike = files.groupBy("folder").agg(F.min("shape").alias("shape"), F.count_distinct("shape").alias("n"))
+    mixed = files.join(alike.filter("n > 1").select("folder"), "folder", "left_semi")
+    return (alike.filter("n = 1").select(F.col("folder").alias("path"), "shape")
+            .unionByName(mixed.select(F.col("file").alias("path"), "shape")))
+
+
 def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequence[Field],
                  period_col: str = "period", base_path: str | None = None, keep: Sequence[str] = ()
                  ) -> DataFrame:
     """Read many batch folders whose files drift (renamed case, changed type, missing
-    column): files are grouped by footer schema, each group is read in one scan and
-    conformed to ``contract``, and the groups are unioned by name. (A single multi-file
+    column): folders are grouped by footer schema (files, where those of a folder differ), each group is read in one
+    scan and conformed to ``contract``, and the groups are unioned by name. (A single multi-file
     read of mixed schemas fails on type conflicts even with mergeSchema, and where it works
     a column missing from some files reads as null there, so a contract default would never
     apply.) ``period_col`` holds the value of each file's innermost ``key=value`` folder; with
     ``base_path`` all folder columns (e.g. year, month) are discovered and the ones named in
     ``keep`` are carried through."""
-    footers = footer_schemas(spark, folders)
-    shapes = (footers.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("column", "type"))).alias("shape"))
-              .groupBy("shape").agg(F.sort_array(F.collect_list("file")).alias("files")))
+    shapes = batch_shapes(footer_schemas(spark, folders))
+    # a path is a folder whose files are alike, or a file of a folder whose are not
+    groups = shapes.groupBy("shape").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     out = None
-    for paths in sorted(r.files for r in shapes.select("files").collect()):      # the paths that a reader takes
+    for paths in sorted(r.paths for r in groups.select("paths").collect()):
         reader = spark.read.option("basePath", base_path) if base_path else spark.read
         part = (reader.parquet(*paths)
                 .withColumn(period_col, F.regexp_extract(F.col("_metadata.file_path"), r"=([^/]+)/[^/]*$", 1)))
@@ -245,16 +320,22 @@ def read_batches(spark: SparkSession, folders: dict[str, str], contract: Sequenc
     return out
 
 
-def file_manifest(df: DataFrame, batch_col: Column, previous: DataFrame | None = None) -> DataFrame:
-    """One row per data file: batch, path, bytes, rows (from ``_metadata``: a distributed
-    count per file), and ``status`` = 'skipped' when an earlier manifest already holds the
-    same path with the same size, else 'downloaded'."""
-    files = (df.select(batch_col.alias("batch"), F.col("_metadata.file_path").alias("file_path"),
-                       F.col("_metadata.file_size").alias("file_bytes"))
-             .groupBy("batch", "file_path", "file_bytes").agg(F.count(F.lit(1)).alias("row_count")))
+def file_manifest(spark: SparkSession, root: str, previous: DataFrame | None = None) -> DataFrame:
+    """One row per data file below ``root``: file_path, file_bytes (from the listing), row_count (from the footer; no
+    column is read), and ``status`` = 'skipped' when an earlier manifest already holds the same path with
+    the same size, else 'downloaded'."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+              .select(F.col("path").alias("file_path"), F.col("length").alias("file_bytes")))
+    rows = file_rows(spark, root).withColumnRenamed("file", "file_path")
+    files = listed.join(rows, "file_path")
     if previous is None:
         return files.withColumn("status", F.lit("downloaded"))
     seen = previous.select(F.col("file_path").alias("__p"), F.col("file_bytes").alias("__b")).distinct()
     return (files.join(seen, (F.col("file_path") == F.col("__p")) & (F.col("file_bytes") == F.col("__b")), "left")
             .withColumn("status", F.when(F.col("__p").isNotNull(), "skipped").otherwise("downloaded"))
             .drop("__p", "__b"))
+
+
+def folder_value(path: Column, name: str) -> Column:
+    """Value of a ``name=value`` folder in a path."""
+    return F.regexp_extract(path, f"/{name}=([^/]+)/", 1)

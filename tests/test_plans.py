@@ -42,3 +42,20 @@ def test_batch_write_is_rebalanced(spark):
 
     df = spark.range(100).withColumn("month", F.col("id") % 3)
     assert "RebalancePartitions" in spread(df, ["month"])._jdf.queryExecution().analyzed().toString()
+
+
+def test_cleaning_is_computed_once_and_compiled(spark):
+    """The rejection filter stays above the derived columns: not repeated in the join, no method too long to compile."""
+    for key in ("split_accept", "split_quarantine", "reject_histogram"):
+        df = E.queries()[key](spark, SF)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")       # a plan that is generated whole, before it runs
+        try:
+            plan = df._jdf.queryExecution().executedPlan()
+            joins = [line for line in plan.toString().splitlines() if "Join" in line]
+            assert joins and not any("timestampadd" in line for line in joins), key
+            debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+            codes = getattr(debug, "MODULE$").codegenStringSeq(plan)
+            sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+            assert sizes and max(sizes) < 8000, (key, sizes)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators import history, incremental
 from lakeshore.operators.rules import ReconcileError
-from lakeshore.plans.pipelines import publish_clean
+from lakeshore.plans.pipelines import publish_clean, read_clean
 from lakeshore.plans.trips import TAXI
 from lakeshore.session import scratch_path
 from lakeshore.sources import batches
@@ -26,7 +26,7 @@ def trips(spark, minutes, month=1):
 
 
 def layers(spark, root):
-    return {(r.layer, r.month): r[2] for r in spark.read.parquet(root).groupBy("layer", "month").count().collect()}
+    return {(r.layer, r.month): r[2] for r in read_clean(spark, root, TAXI).groupBy("layer", "month").count().collect()}
 
 
 def test_corrected_month_replaces_both_layers(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators import dims
 from lakeshore.plans import warehouse
-from lakeshore.plans.pipelines import batch_loaded_at, build_gold, publish_clean, publish_series, stage_trips
+from lakeshore.plans.pipelines import batch_loaded_at, build_gold, publish_clean, publish_series, read_clean, stage_trips
 from lakeshore.plans.trips import TAXI
 from lakeshore.session import scratch_path
 from lakeshore.sources import batches
@@ -54,12 +54,12 @@ def test_monthly_flow_with_taxi_defaults(spark):
     report = {(r.year, r.month): (r.accepted_rows, r.quarantined_rows)
               for r in publish_clean(spark, rows_in, root, TAXI, conformed=True).collect()}
     assert report == {(2025, 1): (1, 3), (2025, 2): (1, 1)}
-    silver = spark.read.parquet(f"{root}/layer=accepted").drop("reject_reason")
+    silver = read_clean(spark, root, TAXI, "accepted").drop("reject_reason")
     rows = {r.month: r for r in silver.collect()}
     assert rows[1].is_airport_trip and rows[1].tip_pct == 20.0 and rows[1].duration_min == 15.0
     assert rows[2].tip_pct is None and float(rows[2].cbd_congestion_fee) == 0.75
     assert float(rows[1].cbd_congestion_fee) == 0.0                    # default for the older file
-    reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{root}/layer=quarantined").collect())
+    reasons = sorted(r.reject_reason for r in read_clean(spark, root, TAXI, "quarantined").collect())
     assert reasons == ["negative_amount", "pickup_outside_month", "too_long", "too_short"]
 
     docs = spark.createDataFrame([weather_doc(2025, 1), weather_doc(2025, 2)], DOC)
