@@ -2,12 +2,13 @@
 
 Texts are cut into sentences in two ways (line breaks end a sentence; line breaks are blanks and
 only punctuation or an empty line ends one, for wrapped licence texts). Normalised sentences map to the identifiers of
-known licence sentences; the identifiers of a text, in text order and without the unknown
-sentences between, are matched against ordered rules, each the identifier sequence of a licence
-notice or text. A licence found under either cutting is reported.
+known licence sentences, which are cut as the texts are; the identifiers of a text, in text order and without the
+unknown sentences between, are matched against ordered rules, each the identifier sequence of a licence notice, text
+or tag. At a place where a longer rule matches, the shorter ones inside it do not. A licence found
+under either cutting is reported. The catalogue of sentences and rules is a parameter.
 
 Everything runs inside the scan: no shuffle, and no row leaves its task. Sentences are only cut in
-texts that hold one of ``ANCHORS``; every known sentence holds one (checked on import).
+texts that hold one of the catalogue's anchors; every known sentence holds one (checked when it is made).
 
 Nulls: null text has no sentences. Repeated rows get equal results; an empty table gives none.
 """
@@ -88,58 +89,85 @@ RULES: dict[str, list[tuple[int, ...]]] = {
     "MPL-2.0": [(50,), (84,)],
     "Unlicense": [(70,)],
 }
-# a licence told by a shorter sequence of the same text gives way to the longer one
-OVERRULED = {"BSD-2-Clause": "BSD-3-Clause"}
 ANCHORS = ("licen", "permission", "redistribut", "warrant", "free software", "unencumbered", "copyright", "mozilla")
+END = r"([.!?:;])[\x20\x09-\x0D]+"            # where texts, and known sentences alike, are cut
 
 
 def normal(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-KNOWN = {normal(s): i for i, s in SENTENCES.items()}
-if len(KNOWN) != len(SENTENCES) or not all(any(a in s.lower() for a in ANCHORS) for s in SENTENCES.values()):
-    raise ValueError("known sentences must be distinct and hold an anchor")
+def cut(sentence: str) -> list[str]:
+    """The normalised parts of a sentence as a text is cut."""
+    return [p for p in map(normal, re.sub(END, "\\1\n", sentence.lower()).split("\n")) if p]
 
 
-def _ids(sentences: Column) -> Column:
+class Catalogue:
+    """Known sentences, cut as texts are (a tag like ``SPDX-License-Identifier: MIT`` is two parts), and the rules as
+    sequences of the parts' identifiers."""
+
+    def __init__(self, sentences: dict[int, str], rules: dict[str, list[tuple[int, ...]]], anchors=ANCHORS):
+        self.anchors = tuple(anchors)
+        self.known: dict[str, int] = {}
+        self.parts = {i: tuple(self.known.setdefault(p, len(self.known) + 1) for p in cut(s)) for i, s in sentences.items()}
+        self.rules = {name: [sum((self.parts[i] for i in run), ()) for run in runs] for name, runs in sorted(rules.items())}
+        if not all(self.parts.values()) or len(set(self.parts.values())) != len(sentences):
+            raise ValueError("known sentences must be distinct and have a letter or digit")
+        if not all(any(a in s.lower() for a in self.anchors) for s in sentences.values()):
+            raise ValueError("known sentences must hold an anchor")
+
+    def longer(self, run: tuple[int, ...]) -> list[tuple[int, ...]]:
+        """Sequences of rules that hold ``run`` and more, the longest first: at their places it is not told."""
+        return sorted({r for runs in self.rules.values() for r in runs if len(r) > len(run) and key(run) in key(r)},
+                      key=lambda r: (-len(r), r))
+
+
+def key(run) -> str:
+    """Identifiers as text in which no two of them share a comma."""
+    return "".join(f",{i}," for i in run)
+
+
+DEFAULT = Catalogue(SENTENCES, RULES)
+
+
+def _ids(sentences: Column, known: dict[str, int]) -> Column:
     """Identifiers of the known sentences, in text order."""
-    ids = F.create_map(*[x for p, i in KNOWN.items() for x in (F.lit(p), F.lit(i))])
+    ids = F.create_map(*[x for p, i in known.items() for x in (F.lit(p), F.lit(i))])
     clean = F.transform(sentences, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.transform(F.filter(clean, lambda s: s.isin(list(KNOWN))), lambda s: ids[s])
+    return F.transform(F.filter(clean, lambda s: s.isin(list(known))), lambda s: ids[s])
 
 
-def _licenses(seq: Column) -> Column:
-    """Names of the rules found in a ',1,2,' sequence."""
+def _licenses(seq: Column, book: Catalogue) -> Column:
+    """Names of the rules found in a sequence as :func:`key` writes it; the longest rule at a place is the one found."""
     return F.flatten(F.array(*[
-        F.when(_any(seq, runs), F.array(F.lit(name))).otherwise(F.expr("cast(array() as array<string>)"))
-        for name, runs in RULES.items()]))
+        F.when(_any(seq, runs, book), F.array(F.lit(name))).otherwise(F.expr("cast(array() as array<string>)"))
+        for name, runs in book.rules.items()]))
 
 
-def _any(seq: Column, runs) -> Column:
+def _any(seq: Column, runs, book: Catalogue) -> Column:
     found = F.lit(False)
     for run in runs:
-        found = found | seq.contains("," + ",".join(map(str, run)) + ",")
+        rest = seq
+        for more in book.longer(run):
+            rest = F.replace(rest, F.lit(key(more)), F.lit(key([0])))
+        found = found | rest.contains(key(run))
     return found
 
 
-def scan(docs: DataFrame, out: str = "licence") -> DataFrame:
+def scan(docs: DataFrame, out: str = "licence", book: Catalogue = DEFAULT) -> DataFrame:
     """``docs`` plus struct ``out``: by_line, by_sentence (known identifiers under each cutting) and
     licenses (sorted names)."""
     low, a, b = (fresh(docs, f"__{c}") for c in ("low", "by_line", "by_sentence"))
     none = F.expr("cast(array() as array<int>)")
-    some = F.col(low).rlike("|".join(ANCHORS))
-    end = r"([.!?:;])[\x20\x09-\x0D]+"
-    lines = F.split(F.regexp_replace(F.col(low), end, "$1\n"), "\n")
+    some = F.col(low).rlike("|".join(map(re.escape, book.anchors)))
+    lines = F.split(F.regexp_replace(F.col(low), END, "$1\n"), "\n")
     flat = F.translate(F.regexp_replace(F.col(low), r"\n[\x20\t\r]*\n", "\x01"), "\n", " ")
-    sentences = F.split(F.regexp_replace(flat, end, "$1\x01"), "\x01")
+    sentences = F.split(F.regexp_replace(flat, END, "$1\x01"), "\x01")
     df = (docs.withColumn(low, F.lower(F.coalesce(F.col("text"), F.lit(""))))
-          .withColumn(a, F.when(some, _ids(lines)).otherwise(none))
-          .withColumn(b, F.when(some, _ids(sentences)).otherwise(none)))
-    seqs = [F.concat(F.lit(","), F.array_join(F.col(c).cast("array<string>"), ","), F.lit(",")) for c in (a, b)]
-    names = F.array_sort(F.array_union(_licenses(seqs[0]), _licenses(seqs[1])))
-    for short, long in OVERRULED.items():
-        names = F.when(F.array_contains(names, long), F.array_remove(names, short)).otherwise(names)
+          .withColumn(a, F.when(some, _ids(lines, book.known)).otherwise(none))
+          .withColumn(b, F.when(some, _ids(sentences, book.known)).otherwise(none)))
+    seqs = [F.concat(F.lit(","), F.array_join(F.col(c).cast("array<string>"), ",,"), F.lit(",")) for c in (a, b)]
+    names = F.array_sort(F.array_union(_licenses(seqs[0], book), _licenses(seqs[1], book)))
     return df.withColumn(out, F.struct(F.col(a).alias("by_line"), F.col(b).alias("by_sentence"),
                                        names.alias("licenses"))).drop(low, a, b)
 
@@ -151,25 +179,29 @@ def query(spark, sf_dir):
                     join("licenses").alias("licenses"), F.size(r["licenses"]).cast("long").alias("n_licenses"))
 
 
-def oracle() -> str:
-    known = ", ".join(f"('{p}', {i})" for p, i in KNOWN.items())
-    rules = ", ".join(f"('{name}', ',{','.join(map(str, run))},')" for name, runs in RULES.items() for run in runs)
-    over = ", ".join(f"('{a}', '{b}')" for a, b in OVERRULED.items())
+def oracle(book: Catalogue = DEFAULT) -> str:
+    known = ", ".join(f"('{p}', {i})" for p, i in book.known.items())
+
+    def told(run):
+        rest = "(',' || replace(q, ',', ',,') || ',')"
+        for more in book.longer(run):
+            rest = f"replace({rest}, '{key(more)}', ',0,')"
+        return f"contains({rest}, '{key(run)}')"
+
+    names = ", ".join(f"CASE WHEN bool_or({' OR '.join(map(told, runs))}) THEN '{name}' END" for name, runs in book.rules.items())
     return rf"""
-WITH known(s, id) AS (VALUES {known}), rules(name, run) AS (VALUES {rules}), over_(short, long_) AS (VALUES {over}),
+WITH known(s, id) AS (VALUES {known}),
 t AS (SELECT doc_id, lower(coalesce(text, '')) AS x FROM documents),
 cut AS (SELECT doc_id, 'l' AS how, string_split(regexp_replace(x, '([.!?:;])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS ss FROM t
+        WHERE regexp_matches(x, '{"|".join(book.anchors)}')
         UNION ALL
         SELECT doc_id, 's', string_split(regexp_replace(replace(regexp_replace(x, '\n[\x20\t\r]*\n', chr(1), 'g'), chr(10), ' '),
-               '([.!?:;])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1)) FROM t),
+               '([.!?:;])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1)) FROM t WHERE regexp_matches(x, '{"|".join(book.anchors)}')),
 one AS (SELECT doc_id, how, unnest(range(1, len(ss) + 1)) AS i, trim(regexp_replace(unnest(ss), '[^a-z0-9]+', ' ', 'g')) AS s FROM cut),
 seq AS (SELECT doc_id, how, string_agg(id, ',' ORDER BY i) AS q FROM one JOIN known USING (s) GROUP BY ALL),
-hit AS (SELECT DISTINCT doc_id, name FROM seq, rules WHERE contains(',' || q || ',', run)),
-lic AS (SELECT doc_id, string_agg(name, ',' ORDER BY name COLLATE C) AS l, count(*) AS n FROM hit
-        WHERE NOT EXISTS (SELECT 1 FROM over_ o JOIN hit h ON h.name = o.long_ WHERE o.short = hit.name AND h.doc_id = hit.doc_id)
-        GROUP BY doc_id)
-SELECT d.doc_id, coalesce(a.q, '') AS line_ids, coalesce(b.q, '') AS sentence_ids, coalesce(l, '') AS licenses,
-       coalesce(n, 0)::BIGINT AS n_licenses
+lic AS (SELECT doc_id, list_filter([{names}], lambda x: x IS NOT NULL) AS l FROM seq GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a.q, '') AS line_ids, coalesce(b.q, '') AS sentence_ids, coalesce(array_to_string(l, ','), '') AS licenses,
+       coalesce(len(l), 0)::BIGINT AS n_licenses
 FROM documents d LEFT JOIN (SELECT * FROM seq WHERE how = 'l') a ON a.doc_id = d.doc_id
 LEFT JOIN (SELECT * FROM seq WHERE how = 's') b ON b.doc_id = d.doc_id LEFT JOIN lic ON lic.doc_id = d.doc_id
 """

@@ -64,6 +64,17 @@ def test_fences_follow_their_group(spark):
     assert all(v for k, v in got.items() if k != 200) and not got[200]
 
 
+def test_fences_of_minorities(spark):
+    """A fifth of a group that uses symbols stays; where nobody does, a few are junk."""
+    word = [f"word{i}" for i in range(100)]
+    some = " ".join(w + ("$" if i % 7 == 0 else "") for i, w in enumerate(word))         # 150 per 1000
+    rows = [(i, (some if i % 5 == 0 else " ".join(word)) + f" n{i}", "xx", "a", 0) for i in range(200)]
+    rows += [(1000 + i, " ".join(word) + f" n{i}", "yy", "b", 0) for i in range(200)]
+    rows += [(2000, " ".join(w + ("$" if i % 16 == 0 else "") for i, w in enumerate(word)), "yy", "b", 0)]     # 70 per 1000
+    got = {r.doc_id: r.kept for r in quality.annotate(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [k for k, v in got.items() if not v] == [2000]
+
+
 def item_words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -131,6 +142,27 @@ def test_licences(spark):
     three = [licenses.SENTENCES[i] for i in (40, 41, 42, 43)]
     assert found(spark, "\n".join(three)) == ["BSD-3-Clause"] and found(spark, "\n".join(three[:3])) == ["BSD-2-Clause"]
     assert found(spark, "\n".join([three[0], three[2], three[1]])) == []      # out of order
+    # two notices in one text: the longer rule hides the shorter one at its own place only
+    assert found(spark, "\n".join(three[:3] + ["Another file."] + three)) == ["BSD-2-Clause", "BSD-3-Clause"]
+    for tag in ("Apache-2.0", "MIT", "GPL-3.0-or-later", "BSD-3-Clause", "MPL-2.0"):
+        assert found(spark, f"#!/bin/sh\n# SPDX-License-Identifier: {tag}\n\necho") == [tag]
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n License, v. 2.0. If a copy of the MPL was not distributed"
+    assert found(spark, mpl) == ["MPL-2.0"]
+
+
+def test_every_known_sentence_is_found_in_itself(spark):
+    rows = [(i, s) for i, s in licenses.SENTENCES.items()]
+    got = {r.doc_id: r.licence for r in licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, parts in licenses.DEFAULT.parts.items():
+        assert tuple(got[i].by_line) == tuple(got[i].by_sentence) == parts
+    own = licenses.Catalogue({1: "Use it as you like: no warranty."}, {"Own": [(1,)]}, ["warranty"])
+    df = spark.createDataFrame([(1, "use it as you like: no WARRANTY."), (2, "MIT License")], "doc_id int, text string")
+    assert [r.licence.licenses for r in licenses.scan(df, book=own).collect()] == [["Own"], []]
+    with pytest.raises(ValueError):
+        licenses.Catalogue({1: "No anchor here."}, {}, ["warranty"])
+
+
+def test_licences_of_odd_rows(spark):
     assert found(spark, None) == [] and found(spark, "") == [] and found(spark, "all about licensing") == []
     df = edge_docs(spark).selectExpr("*", "1 AS by_line", "2 AS __low")
     out = licenses.scan(df)
