@@ -5,7 +5,9 @@ mergeable quantile sketch: a value keeps its ``SKETCH_BITS`` leading bits, and t
 count of each such rounded value (relative error below 2**-(SKETCH_BITS - 1)). Sketches of
 sources add up to the sketch of their language and of the corpus, which serve groups of fewer
 than ``MIN_GROUP`` measured documents. A document is rejected when a measure lies beyond a
-fence derived from its group's quantiles; the fence is joined to the rows.
+fence derived from its group's quantiles: above the 90 % quantile by more than ``SPREAD`` times its distance from
+the median and a margin, or so below the 10 % quantile. The margin alone is the fence only of a group in which nine in
+ten have none of what is measured. The fence is joined to the rows.
 
 Nulls: null text has no words (and fails the base rule); null lang or source is a group of its
 own. Repeated rows are judged alike. An empty table gives an empty result.
@@ -22,13 +24,13 @@ MAX_REPEATED = 50        # base rule: per cent of words in repeated 3-word windo
 SYMBOLS = "#*$%&|<>"
 SKETCH_BITS = 6
 MIN_GROUP = 50
-SPREAD = 4               # fence = median + SPREAD * (median - 10 % quantile) + margin
+SPREAD = 2               # fence = 90 % quantile + SPREAD * (90 % quantile - median) + margin, and so below
 #: measure -> (margin above, margin below or None); in the measure's unit
 RULES: dict[str, tuple[int, int | None]] = {
     "word_len": (100, 150),       # characters per 100 words
-    "symbols": (100, None),       # per 1000 words
-    "dup_lines": (400, None),     # per 1000 lines
-    "repeats": (400, None),       # words in repeated windows, per 1000 words
+    "symbols": (50, None),        # per 1000 words
+    "dup_lines": (250, None),     # per 1000 lines
+    "repeats": (250, None),       # words in repeated windows, per 1000 words
 }
 LEVELS = (("lang", "source"), ("lang",), ())
 
@@ -113,9 +115,9 @@ def fences(sketches: DataFrame) -> DataFrame:
     q = cum.groupBy(*group).agg(F.first("total").alias("total"), at(10).alias("q10"), at(50).alias("q50"),
                                 at(90).alias("q90"))
     out = q.groupBy("level", "lang", "source").agg(F.max("total").alias("n"), *[
-        F.max(F.when(F.col("measure") == m, F.col("q50") + SPREAD * (F.col("q50") - F.col("q10")) + up)).alias(f"hi_{m}")
+        F.max(F.when(F.col("measure") == m, F.col("q90") + SPREAD * (F.col("q90") - F.col("q50")) + up)).alias(f"hi_{m}")
         for m, (up, _) in RULES.items()], *[
-        F.max(F.when(F.col("measure") == m, F.col("q50") - SPREAD * (F.col("q90") - F.col("q50")) - down)).alias(f"lo_{m}")
+        F.max(F.when(F.col("measure") == m, F.col("q10") - SPREAD * (F.col("q50") - F.col("q10")) - down)).alias(f"lo_{m}")
         for m, (_, down) in RULES.items() if down is not None])
     return out
 
@@ -155,13 +157,13 @@ def annotate(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (same columns) that pass. Measured twice instead of shuffling the
-    texts to a verdict: once for the sketch, once beside the text."""
+    """The rows of ``docs`` (same columns) that pass. Rows are measured once, into a table with their measures; the sketch
+    reads its measures alone, and the verdict is joined while it is read again."""
     m, verdict = fresh(docs, "__quality"), fresh(docs, "__kept")
     spark = docs.sparkSession
-    small = materialize(spark, sketch(measure(docs, "quality", ["lang", "source"])), "sketch")
-    limits = materialize(spark, fences(small), "fences")
-    return judge(measure(docs, m), limits, m, verdict).where(F.col(verdict)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    measured = materialize(spark, measure(docs, m), "measured")
+    limits = materialize(spark, fences(sketch(measured, m)), "fences")
+    return judge(measured, limits, m, verdict).where(F.col(verdict)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir):
@@ -200,11 +202,11 @@ q AS (SELECT level, lang, source, m, max(total) AS total, min(v) FILTER (cum * 1
              min(v) FILTER (cum * 100 >= total * 50) AS q50, min(v) FILTER (cum * 100 >= total * 90) AS q90
       FROM cu GROUP BY ALL),
 b AS (SELECT level, lang, source, max(total) AS n,
-        max(q50 + 4 * (q50 - q10) + 100) FILTER (m = 'word_len') AS hw,
-        max(q50 - 4 * (q90 - q50) - 150) FILTER (m = 'word_len') AS lw,
-        max(q50 + 4 * (q50 - q10) + 100) FILTER (m = 'symbols') AS hs,
-        max(q50 + 4 * (q50 - q10) + 400) FILTER (m = 'dup_lines') AS hd,
-        max(q50 + 4 * (q50 - q10) + 400) FILTER (m = 'repeats') AS hr FROM q GROUP BY ALL)
+        max(q90 + 2 * (q90 - q50) + 100) FILTER (m = 'word_len') AS hw,
+        max(q10 - 2 * (q50 - q10) - 150) FILTER (m = 'word_len') AS lw,
+        max(q90 + 2 * (q90 - q50) + 50) FILTER (m = 'symbols') AS hs,
+        max(q90 + 2 * (q90 - q50) + 250) FILTER (m = 'dup_lines') AS hd,
+        max(q90 + 2 * (q90 - q50) + 250) FILTER (m = 'repeats') AS hr FROM q GROUP BY ALL)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(
     word_len <= coalesce(a.hw, l.hw, g.hw) AND word_len >= coalesce(a.lw, l.lw, g.lw)
