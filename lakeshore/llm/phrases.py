@@ -45,7 +45,7 @@ LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
 COVERED = 80                    # per cent of a phrase's count that a longer one must have to replace it
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 500_000
 ROWS_OUT = 20_000               # rows of a batch that a task hands on
 FILTER_BITS = 1 << 26           # 8 MB a filter
 LANGUAGES = 10_000              # languages whose size is sent to the tasks; the shards of others report everything
