@@ -5,7 +5,7 @@ there), and the pieces are dictionary-encoded. Only pieces not met before by the
 the symbols of all their distinct words lie in one flat array, and each round finds the rank of
 every adjacent pair by binary search over the sorted pair keys, takes the lowest rank of each word,
 merges all its occurrences left to right and drops finished words. Texts are handled whole, in
-sub-batches of about ``BATCH_CHARS`` characters, and a worker remembers about ``CACHE_PIECES``
+sub-batches of about ``BATCH_CHARS`` characters, and a task remembers about ``CACHE_PIECES``
 pieces at most (then it starts anew), so memory does not grow with the input. No shuffle.
 
 Results equal those of the vocabulary's own library with special tokens recognised in texts and
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .common import byte_sizes, fresh, ship, sub_batches, table
+from .common import byte_sizes, fresh, ship, sub_batches, table, tidied
 
 BATCH_CHARS = 4_000_000
 CACHE_PIECES = 400_000
@@ -225,17 +225,6 @@ class _Encoder:
         return pa.ListArray.from_arrays(pa.array(ends[edge].astype(np.int32)), pa.array(ids, pa.int32()))
 
 
-_kept: list[_Encoder] = []
-
-
-def _worker_encoder(v: Vocabulary) -> _Encoder:
-    """The worker's encoder: one at a time, so that later tasks know its pieces and those of earlier
-    queries do not pile up in a worker that lives on."""
-    if not _kept or _kept[0].v.path != v.path:
-        _kept[:] = [_Encoder(v)]
-    return _kept[0]
-
-
 def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of all slices, one after the other."""
     ends = np.cumsum(sizes)
@@ -250,13 +239,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
 
     def run(batches):
-        coder = _worker_encoder(shared.value)
+        coder = _Encoder(shared.value)          # the task's own: nothing stays in a worker that lives on
         for batch in batches:
             for part in sub_batches(batch, byte_sizes(batch, text), BATCH_CHARS):
                 yield pa.RecordBatch.from_arrays([*part.columns, coder.encode(part.column(text))],
                                                  [*part.schema.names, out])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, ArrayType(IntegerType()))]))
+    return docs.mapInArrow(tidied(run), StructType([*docs.schema.fields, StructField(out, ArrayType(IntegerType()))]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -283,7 +272,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
                 yield pa.RecordBatch.from_arrays([*part.columns, texts(shared.value, part.column(ids))],
                                                  [*part.schema.names, out])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
+    return rows.mapInArrow(tidied(run), StructType([*rows.schema.fields, StructField(out, StringType())]))
 
 
 def tokenize(docs: DataFrame, path: str) -> DataFrame:

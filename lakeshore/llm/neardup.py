@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import repeats, suffix
 from .anchors import gram_hashes, join_hashes
-from .common import byte_sizes, materialize, ship, sub_batches, table
+from .common import byte_sizes, materialize, ship, sub_batches, table, tidied
 from .components import components
 from .substring import word_hashes
 
@@ -178,7 +178,7 @@ def _buckets(spark, seen: DataFrame, alone: DataFrame) -> DataFrame:
     """``key, doc, weight`` of all keys that several documents have. The weight of a document is the
     number of meetings in its buckets: of near-copies it is largest for the text the others derive from."""
     keyed = (seen.where("keys IS NOT NULL").join(alone, "doc", "left_semi").select("doc", "keys")
-             .mapInArrow(_unpack, "key bigint, doc bigint"))
+             .mapInArrow(tidied(_unpack), "key bigint, doc bigint"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(spark, keyed.join(sizes, "key"), "shared-keys")
     weight = shared.groupBy("doc").agg(F.sum("n").alias("weight"))
@@ -189,7 +189,7 @@ def _checked(spark, pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) that verification links."""
     both = (pairs.join(texts.select(F.col("doc").alias("a"), F.col("z").alias("za")), "a")
             .join(texts.select(F.col("doc").alias("b"), F.col("z").alias("zb")), "b"))
-    return materialize(spark, both.mapInArrow(_verify, "a bigint, b bigint"), name)
+    return materialize(spark, both.mapInArrow(tidied(_verify), "a bigint, b bigint"), name)
 
 
 def _components_of(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def _links(spark, named: DataFrame, buckets: DataFrame, short: DataFrame) -> Dat
     """Verified links: of every document with the hubs of its buckets, then (``_rest``) of what the buckets
     still hold in several components and of the ``short`` documents."""
     wanted = buckets.select("doc").unionByName(short.select("doc")).distinct()
-    texts = materialize(spark, named.mapInArrow(_shrink, "doc bigint, z binary").join(wanted, "doc", "left_semi")
+    texts = materialize(spark, named.mapInArrow(tidied(_shrink), "doc bigint, z binary").join(wanted, "doc", "left_semi")
                         .dropDuplicates(["doc"]), "candidates")
     hubs = buckets.groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("top"))
     met = buckets.join(hubs.select("key", (-F.col("top.minus")).alias("hub")), "key").where("doc <> hub")
@@ -236,7 +236,7 @@ def _rest(spark, rest: DataFrame, texts: DataFrame) -> DataFrame:
     n - o + 1 of each, where o = s / (1 + s) * (n1 + n2) is the overlap that s takes. Rarity is
     counted in a fixed number of cells; the order only has to be the same everywhere. Per shingle,
     only documents outside the component that is most frequent there look for partners."""
-    cells = rest.select("z").mapInArrow(_frequencies, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = rest.select("z").mapInArrow(tidied(_frequencies), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     counts = np.zeros(CELLS, np.int64)
     got = cells.toArrow()                   # CELLS rows at most
     counts[np.asarray(got["cell"])] = np.asarray(got["n"])
@@ -258,7 +258,7 @@ def _rest(spark, rest: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in parts],
                                                  ["shingle", "doc", "comp", "pos", "n"])
 
-    rows = materialize(spark, rest.mapInArrow(prefixes, "shingle bigint, doc bigint, comp bigint, pos bigint, n bigint"), "prefixes")
+    rows = materialize(spark, rest.mapInArrow(tidied(prefixes), "shingle bigint, doc bigint, comp bigint, pos bigint, n bigint"), "prefixes")
     by_comp = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("m"))
     main = (by_comp.groupBy("shingle").agg(F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
             .where("comps > 1").select("shingle", F.col("top.comp").alias("main")))
@@ -277,7 +277,7 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), "text")
-    seen = materialize(spark, named.mapInArrow(_scan, "doc bigint, digest binary, keys binary, short boolean"), "omh")
+    seen = materialize(spark, named.mapInArrow(tidied(_scan), "doc bigint, digest binary, keys binary, short boolean"), "omh")
     firsts = seen.groupBy("digest").agg(F.min("doc").alias("rep"))
     # a document whose text was seen before stands behind that text's first document
     member = materialize(spark, seen.join(firsts, "digest").groupBy("doc").agg(F.min("rep").alias("rep")), "members")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import gather, gram_hashes, merge_spans, scan, window_hashes
-from .common import byte_sizes, fresh, materialize, parallel, ship, sub_batches
+from .common import byte_sizes, fresh, materialize, parallel, ship, sub_batches, tidied
 
 HOT_CONTENTS = 64
 TASK_BYTES = 16 << 20       # text that a task handles at once (packed text: a quarter of it)
@@ -297,7 +297,7 @@ def with_identity(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed(b.column(2))], ["doc", "th", "packed"])
 
-    return identity(docs).mapInArrow(run, "doc bigint, th int, packed binary")
+    return identity(docs).mapInArrow(tidied(run), "doc bigint, th int, packed binary")
 
 
 def identity(docs: DataFrame) -> DataFrame:
@@ -311,14 +311,14 @@ def find(docs: DataFrame, search: Search) -> DataFrame:
     ship(spark)
     n = parallel(spark)
     segments = 4 * n
-    entries = identity(docs).mapInArrow(_scan_task(search, segments), _packed_schema(ENTRY))
+    entries = identity(docs).mapInArrow(tidied(_scan_task(search, segments)), _packed_schema(ENTRY))
     found = materialize(spark, entries.repartition(n, "seg").sortWithinPartitions("seg")
-                        .mapInArrow(_segment_task(search), SPANS), "runs")
+                        .mapInArrow(tidied(_segment_task(search)), SPANS), "runs")
     asks = (found.where(F.col("kind") > SPAN).groupBy("doc", "th")
             .agg(F.collect_list(F.struct("kind", "key", "start", "count")).alias("asks")))   # at most the document's runs
     contexts = (with_identity(docs).join(asks, ["doc", "th"])
-                .mapInArrow(_context_task(search, segments), _packed_schema(CONTEXT)))
-    more = (contexts.repartition(n, "seg").sortWithinPartitions("seg").mapInArrow(_settle_task(search), SPANS))
+                .mapInArrow(tidied(_context_task(search, segments)), _packed_schema(CONTEXT)))
+    more = (contexts.repartition(n, "seg").sortWithinPartitions("seg").mapInArrow(tidied(_settle_task(search)), SPANS))
     return (found.where(F.col("kind") == SPAN).select("doc", "th", "start", "count")
             .unionByName(more.select("doc", "th", "start", "count")).groupBy("doc", "th")
             .agg(F.collect_list(F.struct("start", "count")).alias("spans")))
@@ -350,7 +350,7 @@ def apply(docs: DataFrame, spans: DataFrame, cut: Callable, schema: str) -> Data
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], packed(b.columns[-1])], small.names)
 
     sides = spans.select(F.col("doc").alias(d), F.col("th").alias(t), F.col("spans").alias(sp))
-    joined = kept.mapInArrow(shrink, small).join(sides, [d, t], "left").select(*[F.col(f"`{c}`") for c in names], z, sp)
+    joined = kept.mapInArrow(tidied(shrink), small).join(sides, [d, t], "left").select(*[F.col(f"`{c}`") for c in names], z, sp)
     out = _parse_datatype_string(schema)
     arrow = pa.schema([(f.name, {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}[f.dataType.simpleString()])
                        for f in out])
@@ -363,4 +363,4 @@ def apply(docs: DataFrame, spans: DataFrame, cut: Callable, schema: str) -> Data
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(v, f.type) for v, f in zip(cols, arrow, strict=True))],
                                              [*names, *arrow.names])
 
-    return joined.mapInArrow(run, StructType([*docs.select(*[F.col(f"`{c}`") for c in names]).schema.fields, *out.fields]))
+    return joined.mapInArrow(tidied(run), StructType([*docs.select(*[F.col(f"`{c}`") for c in names]).schema.fields, *out.fields]))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .bpe import _gather
-from .common import byte_sizes, ship, sub_batches, table
+from .common import byte_sizes, ship, sub_batches, table, tidied
 
 BATCH_BYTES = 2_000_000
 CACHE_CHARS = 12_000_000        # of the units a task remembers
@@ -301,7 +301,7 @@ def _added(rows: DataFrame, field: StructField, weigh, most: int, make) -> DataF
             for part in sub_batches(batch, weigh(batch), most):
                 yield pa.RecordBatch.from_arrays([*part.columns, column(part)], [*part.schema.names, field.name])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, field]))
+    return rows.mapInArrow(tidied(run), StructType([*rows.schema.fields, field]))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
