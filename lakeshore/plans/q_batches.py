@@ -306,6 +306,22 @@ FROM events e LEFT JOIN history h
  AND e.ts < coalesce(h.valid_to, TIMESTAMP '9999-12-31 23:59:59')""")
 
 
+@query("scd2_asof_sorted")
+def q_scd2_asof_sorted(spark: SparkSession, root: str) -> DataFrame:
+    """The same by sorting: versions and events in one run per key, the last version carried forward."""
+    from lakeshore.operators.asof import as_of_sorted
+
+    ev = table(spark, root, "events").select("event_id", "user_id", "ts")
+    return as_of_sorted(ev, "ts", history_after_runs(spark, root), {"user_id": "c_custkey"}, ["c_name", "c_mktsegment"])
+
+
+register("scd2_asof_sorted", f"""WITH {HISTORY_SQL}
+SELECT e.event_id, e.user_id, e.ts, h.c_name, h.c_mktsegment
+FROM events e LEFT JOIN history h
+  ON h.c_custkey = e.user_id AND h.valid_from <= e.ts
+ AND e.ts < coalesce(h.valid_to, TIMESTAMP '9999-12-31 23:59:59')""")
+
+
 # ---------------------------------------------------------------- streaming landing
 
 @query("landing_stream")
@@ -351,6 +367,36 @@ FROM clean GROUP BY year, month"""))
 # ---------------------------------------------------------------- second runs
 
 CORRECTED = (1997, 3)
+RECALLED = (1998, 5)
+
+
+@query("landing_republished")
+def q_landing_republished(spark: SparkSession, root: str) -> DataFrame:
+    """All bronze batches landed, then one published again without the rows of odd vendors and one taken back: a second run
+    cleans the changed batch alone, and empties the other. Rows per layer as they lie on disk."""
+    from lakeshore.plans.landed import land_changed
+    from lakeshore.plans.pipelines import LAYER_COL, read_clean
+
+    lake, p = bronze_lake(spark, root), standins.STANDIN_TRIPS
+    target, ledger = scratch_path(spark, "landed-trips"), scratch_path(spark, "landed-ledger")
+    land_changed(spark, lake, target, ledger, p)
+    of = lambda month: (F.col("year") == month[0]) & (F.col("month") == month[1])
+    corrected = standins.raw_trips(spark, root).where(of(CORRECTED) & (F.col("VendorID") % 2 == 0))
+    batches.write_batches(corrected, lake, ["year", "month"])
+    batches.purge_partitions(spark, lake, [dict(zip(("year", "month"), RECALLED, strict=True))])
+    land_changed(spark, lake, target, ledger, p)
+    return read_clean(spark, target, p).groupBy("year", "month").agg(
+        F.count_if(F.col(LAYER_COL) == "accepted").alias("accepted_rows"),
+        F.count_if(F.col(LAYER_COL) == "quarantined").alias("quarantined_rows"))
+
+
+register("landing_republished", with_trips(f"""
+SELECT year, month, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted_rows,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL) AS quarantined_rows
+FROM clean
+WHERE NOT (year = {RECALLED[0]} AND month = {RECALLED[1]})
+  AND (year <> {CORRECTED[0]} OR month <> {CORRECTED[1]} OR vendor_id % 2 = 0)
+GROUP BY year, month"""))
 
 
 @query("republish_clean")

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.functions import elapsed, round_half_up
-from lakeshore.operators import expect, profile
+from lakeshore.operators import expect, profile, stored_profile
 from lakeshore.operators.contract import conform
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
@@ -15,7 +15,7 @@ from lakeshore.plans.q_clean import silver, staged
 from lakeshore.plans.q_marts import enriched
 from lakeshore.plans.q_series import silver_weather
 from lakeshore.plans.trips import row_checks
-from lakeshore.session import materialize
+from lakeshore.session import materialize, scratch_path
 from lakeshore.sources.lookups import RATE_CODES
 from lakeshore.sources.tables import table
 
@@ -350,3 +350,34 @@ def q_distinct_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 register("distinct_events", "SELECT count(DISTINCT ts) AS distinct_ts FROM events")
+
+
+# ---------------------------------------------------------------- profiles stored per batch
+
+@query("distinct_by_bitmap")
+def q_distinct_by_bitmap(spark: SparkSession, root: str) -> DataFrame:
+    """Exact distinct pickups of every year, from bitmaps stored per month and merged: no row is read again."""
+    store = scratch_path(spark, "pickup-bitmaps")
+    stored = stored_profile.refresh(spark, silver(spark, root), store, ["year", "month"],
+                                    lambda rows: stored_profile.bitmap_batches(rows, ["year", "month"], "pickup_datetime"))
+    return stored_profile.distinct_from_bitmaps(stored, ["year"], "distinct_pickups")
+
+
+register("distinct_by_bitmap", with_trips("SELECT year, count(DISTINCT pickup_datetime) AS distinct_pickups FROM silver GROUP BY year"))
+
+
+@query("profile_stored")
+def q_profile_stored(spark: SparkSession, root: str) -> DataFrame:
+    """Quantiles of every year from sketches stored per month and merged. Sketches are drawn at random, so each estimate is
+    reported by whether its true rank, counted over all rows, is within the promised error of what was asked for."""
+    rows = materialize(spark, silver(spark, root).select("year", "month", *SUMMARY_COLUMNS), "profiled-trips")
+    stored = stored_profile.refresh(spark, rows, scratch_path(spark, "trip-sketches"), ["year", "month"],
+                                    lambda r: stored_profile.sketch_batches(r, ["year", "month"], SUMMARY_COLUMNS))
+    merged = stored_profile.merged_quantiles(stored, SUMMARY_PROBS, ["year"])
+    return stored_profile.rank_report(rows, merged, SUMMARY_COLUMNS, SUMMARY_PROBS, ["year"])
+
+
+register("profile_stored", with_trips("\nUNION ALL\n".join(f"""
+SELECT year, '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_values, min(CAST({c} AS DOUBLE)) AS least,
+       max(CAST({c} AS DOUBLE)) AS greatest, CASE WHEN count({c}) > 0 THEN true END AS within_promise
+FROM silver GROUP BY year""" for c in SUMMARY_COLUMNS)))
