@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshore.sources import fields
 from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread, stored_extremes
 
 EPOCH_MARK = "1900-01-01 00:00:00"
@@ -51,15 +52,17 @@ def build_incremental(spark: SparkSession, source: DataFrame, target_path: str,
     Replacing is per batch present in the new rows (delete + insert); a named batch with no
     new rows keeps its old rows unless ``purge_empty`` (then it is emptied). The batch list is
     a handful of keys and is collected, so the source filter becomes a literal IN list the
-    scan can prune with."""
+    scan can prune with. Columns are registered beside the table (:mod:`lakeshore.sources.fields`); one that
+    changes its type raises."""
     if full_refresh or not exists(spark, target_path):
         (spread(source, [key], files_per_batch).write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy(key).parquet(target_path))
+        fields.record(spark, target_path, source.schema, replace=True)
         return {}
     if months is not None:
         wanted = [months] if isinstance(months, str) else list(months)
     else:
-        target = spark.read.option("mergeSchema", True).parquet(target_path)
+        target = fields.read(spark, target_path)
         hwm = stored_high_water_mark(spark, target_path, target.schema, mark)
         wanted = [r[0] for r in changed_batches(source, target, key, mark, extra_sources, hwm).collect()]
     if not wanted:
@@ -68,4 +71,5 @@ def build_incremental(spark: SparkSession, source: DataFrame, target_path: str,
     expected = batch_counts(rows, [key])
     if months is None or purge_empty:
         expected = {(w,): 0 for w in wanted} | expected      # a batch that lost all its rows is emptied
+    fields.record(spark, target_path, source.schema, since=str(min(map(str, wanted))))
     return replace_batches(spark, rows, target_path, [key], files_per_batch, expected=expected)

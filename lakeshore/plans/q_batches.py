@@ -141,6 +141,29 @@ SELECT source_month, count(*) AS n_rows,
 FROM fct GROUP BY source_month""", ENRICHED_CTE, FCT_CTE))
 
 
+@query("schema_registered")
+def q_schema_registered(spark: SparkSession, root: str) -> DataFrame:
+    """The same, read by the columns registered beside the table: no footer is merged."""
+    from lakeshore.sources import fields
+
+    path = scratch_path(spark, "fct-registered")
+    f = fact(spark, root)
+    incremental.build_incremental(spark, f.drop("weather_category"), path, full_refresh=True)
+    incremental.build_incremental(spark, f, path, months=APPEND_MONTHS)
+    got = fields.read(spark, path)
+    since = F.broadcast(fields.registered(spark, path).where("name = 'weather_category'").agg(F.min("since").alias("category_since")))
+    return got.groupBy("source_month").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.count("weather_category").alias("n_with_category")).crossJoin(since)
+
+
+register("schema_registered", with_all(f"""
+SELECT source_month, count(*) AS n_rows,
+       count(*) FILTER (WHERE source_month IN ({", ".join(f"'{m}'" for m in APPEND_MONTHS)})
+                        AND weather_category IS NOT NULL) AS n_with_category,
+       '{min(APPEND_MONTHS)}' AS category_since
+FROM fct GROUP BY source_month""", ENRICHED_CTE, FCT_CTE))
+
+
 # ---------------------------------------------------------------- drifting batch files
 
 DRIFT_RENAMED, DRIFT_RETYPED, DRIFT_MISSING = "1996-01", "1997-01", "1998-01"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeshore.functions import elapsed, round_half_up
 from lakeshore.operators import expect, profile, stored_profile
 from lakeshore.operators.contract import conform
+from lakeshore.operators.unique import repeated_keys
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import ENRICHED_CTE, WEATHER_CTES, register, rhu, with_all, with_trips
@@ -63,6 +64,18 @@ WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 
 
+@query("expect_unique_hashed")
+def q_expect_unique_hashed(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of equal part, quantity and discount (some per cent of them), found by counting hashes first."""
+    return repeated_keys(table(spark, root, "lineitem"), ["l_partkey", "l_quantity", "l_discount"])
+
+
+register("expect_unique_hashed", """
+SELECT l_partkey, l_quantity, l_discount, count(*) AS n_rows FROM lineitem
+WHERE l_partkey IS NOT NULL AND l_quantity IS NOT NULL AND l_discount IS NOT NULL
+GROUP BY ALL HAVING count(*) > 1""")
+
+
 @query("expect_relationships")
 def q_expect_relationships(spark: SparkSession, root: str) -> DataFrame:
     orphans = expect.relationships(staged(spark, root), "pickup_hour", silver_weather(spark, root), "weather_hour")
