@@ -6,9 +6,10 @@ it has fewer. Each document's window hashes are computed as arrays by doubling (
 and tested against the set of benchmark window hashes; the few positions that match are verified
 by comparing the words themselves, and only those leave the row. Nothing of a text is shuffled.
 
-The set travels with the tasks, so its size is counted first. A benchmark of more than ``MAX_SET`` windows is
-not sent: places of documents meet its windows in a shuffled join on two independent 64-bit hashes of
-their words, and rows get their hits back by doc_id and text hash.
+The set travels with the tasks, so its size is counted first: up to ``MAX_SET`` windows as a hash set in the
+expression. A larger benchmark is dealt by hash into slices of ``SLICE_BYTES`` (measured), each broadcast as the hash table of a
+join that runs where the documents are read, one slice after another. Either way only places that match leave a
+task, and a hit stands only if the document's words are the window's.
 
 Nulls: null text has no words, neither in documents nor in items. Repeated rows get equal
 results. Empty tables: no items means no hits; no documents means no rows.
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from .common import fresh, materialize, once, table
 
 N = 10                      # words of a window
-MAX_SET = 50_000            # windows that the tasks may carry in their hash set
+MAX_SET = 50_000            # windows that the tasks may carry in the expression itself
+SLICE_BYTES = 64 << 20      # windows of one broadcast slice: their words and ENTRY_BYTES each
+ENTRY_BYTES = 64
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,17 +61,15 @@ def _hashes(hashes: Column, size: Column, length: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, length, h, h2, win): every window of every item with its two hashes; ``win`` is its
-    words, blank-joined."""
+    """(item_id, length, h, win): every window of every item with its hash; ``win`` is its words, blank-joined."""
     w = items.select(F.col("item_id").cast("string").alias("item_id"), item_words(F.col("text")).alias("w"))
     w = (w.withColumn("n", F.size("w")).where("n > 0")
          .withColumn("hw", F.transform("w", lambda x: F.xxhash64(x)))
-         .withColumn("other", F.transform("w", lambda x: F.xxhash64(F.lit("other"), x)))
          .withColumn("length", F.least(F.col("n"), F.lit(N))))
-    by_length = lambda c: reduce(lambda a, k: a.when(F.col("length") == k, _hashes(F.col(c), F.col("n"), k)),
-                                 range(2, N + 1), F.when(F.col("length") == 1, F.col(c)))
-    return (w.select("item_id", "length", "w", F.posexplode(F.arrays_zip(by_length("hw").alias("h"), by_length("other").alias("h2"))).alias("p", "z"))
-            .select("item_id", "length", "z.h", "z.h2", F.array_join(F.expr("slice(w, p + 1, length)"), " ").alias("win"))
+    hashes = reduce(lambda a, k: a.when(F.col("length") == k, _hashes(F.col("hw"), F.col("n"), k)),
+                    range(2, N + 1), F.when(F.col("length") == 1, F.col("hw")))
+    return (w.select("item_id", "length", "w", F.posexplode(hashes).alias("p", "h"))
+            .select("item_id", "length", "h", F.array_join(F.expr("slice(w, p + 1, length)"), " ").alias("win"))
             .distinct())
 
 
@@ -101,15 +102,8 @@ def find(docs: DataFrame, windows: DataFrame, out: str, keep: list[Column]) -> D
             .withColumn(hw, F.transform(w, lambda x: F.xxhash64(x))))
     sent = _set_of(windows)
     if sent is None:
-        return _find_by_join(base, windows, out, keep, (w, hw, n))
-    columns = {k: fresh(docs, f"__h{k}") for k in sorted(sent)}
-    # one projection per doubling: nested in one expression, each half would be computed anew
-    powers = {1: hw}
-    for p in (2, 4, 8):
-        if p <= max(sent, default=1):
-            powers[p] = fresh(docs, f"__p{p}")
-            base = base.withColumn(powers[p], _joined(F.col(powers[p // 2]), F.col(powers[p // 2]), p // 2, F.col(n)))
-    base = base.withColumns({c: _window_of(powers, F.col(n), k) for k, c in columns.items()})
+        return _find_in_slices(base, windows, out, keep, (w, hw, n))
+    base, columns = _with_hashes(base, hw, n, sorted(sent))
     arrays = [F.expr(f"cast(array() as {HITS})")]
     for k, (hashes, wins) in sorted(sent.items()):
         arrays.append(F.expr(f"""filter(
@@ -120,26 +114,47 @@ def find(docs: DataFrame, windows: DataFrame, out: str, keep: list[Column]) -> D
                                        F.monotonically_increasing_id().alias("row")).alias(out))
 
 
-def _find_by_join(base: DataFrame, windows: DataFrame, out: str, keep: list[Column], names: tuple[str, str, str]) -> DataFrame:
+def _with_hashes(base: DataFrame, hw: str, n: str, lengths: list[int]) -> tuple[DataFrame, dict[int, str]]:
+    """``base`` with the window hashes of each of the ``lengths``, and their columns."""
+    columns = {k: fresh(base, f"__h{k}") for k in lengths}
+    # one projection per doubling: nested in one expression, each half would be computed anew
+    powers = {1: hw}
+    for p in (2, 4, 8):
+        if p <= max(lengths, default=1):
+            powers[p] = fresh(base, f"__p{p}")
+            base = base.withColumn(powers[p], _joined(F.col(powers[p // 2]), F.col(powers[p // 2]), p // 2, F.col(n)))
+    return base.withColumns({c: _window_of(powers, F.col(n), k) for k, c in columns.items()}), columns
+
+
+def slices(windows: DataFrame) -> tuple[DataFrame, int]:
+    """Distinct (length, h, win) with their ``slice``, and the number of slices that keeps each at some ``SLICE_BYTES``."""
+    unique = windows.select("length", "h", "win").distinct()
+    size = unique.agg(F.sum(F.octet_length("win").cast("long") + ENTRY_BYTES)).first()[0] or 0
+    parts = max(1, -(-size // SLICE_BYTES))
+    return materialize(windows.sparkSession, unique.withColumn("slice", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")), "slices"), parts
+
+
+def _find_in_slices(base: DataFrame, windows: DataFrame, out: str, keep: list[Column], names: tuple[str, str, str]) -> DataFrame:
     w, hw, n = names
     lengths = sorted(r.length for r in windows.select("length").distinct().collect())        # N at most
-    other = fresh(base, "__other")
-    rows = base.withColumn(other, F.transform(w, lambda x: F.xxhash64(F.lit("other"), x)))
-
-    def hashes(col: str, k: int) -> Column:
-        return _hashes(F.col(col), F.col(n), k) if k > 1 else F.col(col)
+    rows, columns = _with_hashes(base, hw, n, lengths)
 
     def places(k: int) -> Column:
-        both = F.arrays_zip(hashes(hw, k).alias("a"), hashes(other, k).alias("b"))
-        return F.transform(both, lambda z, i: F.struct(
-            i.alias("pos"), F.lit(k).alias("length"), z["a"].alias("h"), z["b"].alias("h2")))
-
-    ids = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th")]
-    hits = (rows.select(*ids, F.inline(F.concat(*map(places, lengths)))).join(windows.select("length", "h", "h2", "win").distinct(), ["length", "h", "h2"])
-            .groupBy("__id", "__th").agg(F.collect_set(F.struct("pos", "length", "win")).alias("__hits")))     # places of one text
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
+        return F.transform(columns[k], lambda h, i: F.struct(i.alias("pos"), F.lit(k).alias("length"), h.alias("h")))
+
+    key, th, hit = (fresh(base, f"__{c}") for c in ("id", "th", "hits"))
+    placed = rows.select(F.col("doc_id").alias(key), F.xxhash64("text").alias(th), F.inline(F.concat(*map(places, lengths))))
+    dealt, parts = slices(windows)
+    found = None
+    for i in range(parts):          # one after another, so that the tasks hold one slice at a time
+        part = F.broadcast(dealt.where(F.col("slice") == i).drop("slice"))
+        met = materialize(base.sparkSession, placed.join(part, ["length", "h"]).select(key, th, "pos", "length", "win"), "met")
+        found = met if found is None else found.unionByName(met)
+    hits = found.groupBy(key, th).agg(F.collect_set(F.struct("pos", "length", "win")).alias(hit))   # places of one text
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(th))
+    true = F.expr(f"filter({hit}, c -> array_join(slice({w}, c.pos + 1, c.length), ' ') = c.win)")
     return base.join(hits, same, "left").select(*keep, F.struct(
-        F.col(n).cast("long").alias("n_words"), F.coalesce("__hits", F.expr(f"cast(array() as {HITS})")).alias("hits"),
+        F.col(n).cast("long").alias("n_words"), F.coalesce(true, F.expr(f"cast(array() as {HITS})")).alias("hits"),
         F.monotonically_increasing_id().alias("row")).alias(out))
 
 

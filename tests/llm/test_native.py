@@ -105,7 +105,8 @@ TEXTS = [(1, "so alpha beta gamma delta epsilon zeta eta theta iota kappa lambda
 
 @pytest.mark.parametrize("most", [1, 50_000])
 def test_hits(spark, monkeypatch, most):
-    """``most=1`` is too few for the windows: they are joined instead of sent."""
+    """``most=1`` is too few for the windows: they are broadcast in slices (several, as these are small)."""
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 200)
     monkeypatch.setattr(decontaminate, "MAX_SET", most)
     docs = spark.createDataFrame(TEXTS, "doc_id bigint, text string")
     items = spark.createDataFrame(ITEMS, "item_id string, text string")
@@ -130,6 +131,30 @@ def test_removal(spark, monkeypatch, most):
         decontaminate.remove(docs, items, "rows")
 
 
+@pytest.mark.parametrize("n", [1, 60_000])
+def test_large_benchmarks(spark, n):
+    """As many windows as need several slices, some of them very frequent; nothing of a text is shuffled by word."""
+    def text(i, size=10):
+        return " ".join(f"w{(i * 7919 + j * j) % 99_991}" for j in range(size))
+
+    items = [(f"q{i}", text(i)) for i in range(n)] + [("stop", "the of and")]
+    docs = [(i, f"{text(i, 40)} the of and {text(i + n, 9)} " * 3) for i in range(0, 2 * n, max(1, n // 20))]
+    docs += [(-1, "the of and " * 5000), (-2, None), (-3, text(5, 9)), (docs[0][0], docs[0][1])]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id string, text string")
+    windows = decontaminate.benchmark_windows(b)
+    if n > decontaminate.MAX_SET:
+        before, decontaminate.SLICE_BYTES = decontaminate.SLICE_BYTES, 4 << 20
+        try:
+            assert decontaminate.slices(windows)[1] > 1
+            got = decontaminate.contamination(d, b).collect()
+        finally:
+            decontaminate.SLICE_BYTES = before
+    else:
+        got = decontaminate.contamination(d, b).collect()
+    assert sorted((r.doc_id, r.n_words, list(r.positions)) for r in got) == sorted(brute_hits(docs, items))
+
+
 def found(spark, text):
     return list(licenses.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["licence"]["licenses"])
 
