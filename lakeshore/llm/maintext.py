@@ -4,8 +4,10 @@ A page becomes a sequence of pieces: words score positive, tags negative. The we
 labelled pages, those whose markup names one article: for each (element, surrounding section) the share of
 words and tags that lie inside. A word scores that share, a tag costs ``TAG_COST`` plus ``OUTSIDE_COST`` times
 the share outside. One linear scan finds the contiguous region of the largest score; its blocks are
-returned without those inside sections that are never article text (menus, forms, comments, ...). A form, or an element of
-which only a part of a name says so, is no such section if it holds ``WRAPS`` of the words outside the others.
+returned without those inside sections that are never article text (menus, forms, comments, ...). Elements of HTML that
+say so (``NEVER``) always are; names only where they do not wrap the page: a form, or an element of which a part of a name says so, is
+no such section if it holds ``WRAPS`` of the words outside the others; one of which a whole name says so (or a part of it, comments), if
+it holds the main element, or ``WRAPS`` of all words with no article beside it and at most ``BEFORE`` of them ahead of it.
 
 ``fit`` reads at most ``SAMPLE`` labelled pages (those with the smallest hash of their page_id); everything else is one scan without
 a shuffle. Every page is read whole.
@@ -31,6 +33,7 @@ LEAST_SEEN = 20          # words or tags behind a weight of its own
 TAG_COST, OUTSIDE_COST = 0.2, 3.0
 NOISE_COST = 0.05        # a tag inside a section that is never article text
 WRAPS = 0.7              # share of the words that tells a wrapper from a section
+BEFORE = 0.05            # share of the words that may stand, outside noise, ahead of a wrapper whose whole name is one of noise
 RAW = "script|style|textarea|title|noscript|iframe"          # text up to the end tag, or to the end of the page
 EMBEDDED = "template|svg|select|object|canvas|math|audio|video"     # left out from start tag to end tag, if it has one
 TOKEN = re.compile(
@@ -54,25 +57,25 @@ NOISE = re.compile(r"^(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|menu|na
 REPLIES = re.compile(r"^(comments?|reply|replies|respond|disqus|discussion)$", re.I)
 LAYOUT = re.compile(r"^(has|have|with|no|without|layout)$", re.I)       # "has-sidebar" is no sidebar
 MAIN = re.compile(r"^(article\w*|post|entry|story|main|content)$", re.I)
+BY_NAME = ("named", "weak")
+NOISY = ("noise", *BY_NAME)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 def section(tag: str, attributes: str, inside_main: bool) -> str | None:
-    """'noise', 'weak' (noise unless it wraps the page), 'main' or None: what the element says about the text in it."""
+    """'noise'; 'named' or 'weak' (noise by a whole name or by a part of one, unless it wraps the page); 'main' or None:
+    what the element says about the text in it."""
     if tag in NEVER or tag == "header" and not inside_main:
         return "noise"
     names = [n for m in ATTRIBUTE.finditer(attributes) for n in re.split(r"[\s]+", next(x for x in m.groups()[1:] if x is not None))]
-    main, weak = any(MAIN.match(n) for n in names), tag in FORMS
+    main, weak, named = any(MAIN.match(n) for n in names), tag in FORMS, False
     if tag not in ("html", "body") and not main:
         for n in names:
             parts = re.split(r"[-_]+", n)
-            if NOISE.match(n):
-                return "noise"
-            if any(map(NOISE.match, parts)) and not any(map(LAYOUT.match, parts)):
-                if any(map(REPLIES.match, parts)):
-                    return "noise"
+            if NOISE.match(n) or any(map(NOISE.match, parts)) and not any(map(LAYOUT.match, parts)):
                 weak = True
-    return "weak" if weak else "main" if main or tag in ("article", "main") else None
+                named = named or any(map(REPLIES.match, parts)) or NOISE.match(n) is not None
+    return "named" if named else "weak" if weak else "main" if main or tag in ("article", "main") else None
 
 
 def embedded(page: str) -> dict[int, int]:
@@ -93,9 +96,13 @@ def embedded(page: str) -> dict[int, int]:
 
 def pieces(page: str) -> list[tuple]:
     """(kind, key, value, noise, main) in page order: kind 't' a tag, 'w' text, 'b' a block boundary
-    before the piece; key is 'element|section'; noise tells text that is never main text (1: by weak marks only)."""
+    before the piece; key is 'element|section'; noise tells text that is never main text (3: by its HTML element, 2: by
+    a whole name, 1: by weak marks only)."""
     items, marked, loose = _walk(page, frozenset(), frozenset())
-    spared = _wrappers(items, marked)
+    spared = _named_wrappers(items, marked) - loose
+    if spared:
+        items, marked, _ = _walk(page, spared, loose)
+    spared |= _wrappers(items, marked)
     return _walk(page, spared, loose)[0] if spared or loose else items
 
 
@@ -113,22 +120,41 @@ def _tokens(page: str, ends: dict[int, int]):
 
 def _wrappers(items: list[tuple], marked: dict[int, list]) -> frozenset[int]:
     """The weakly marked elements that hold most of the words, or the page's article or main element."""
-    if not marked:
+    weak = {at: m[:3] for at, m in marked.items() if m[3] == "weak"}
+    if not weak:
         return frozenset()
+    sums = _sums(items, 2)
+    return frozenset(at for at, (low, high, holds) in weak.items() if holds or sums[high] - sums[low] > WRAPS * sums[-1])
+
+
+def _named_wrappers(items: list[tuple], marked: dict[int, list]) -> frozenset[int]:
+    """The elements with a whole name of noise that hold the page's main element, or, where no article stands outside such
+    elements, most of all words."""
+    named = {at: m[:3] for at, m in marked.items() if m[3] == "named"}
+    if not named:
+        return frozenset()
+    if any(main and noise < 2 and kind == "w" and WORDS.search(value) for kind, _, value, noise, main in items):
+        return frozenset(at for at, (_, _, holds) in named.items() if holds)
+    sums, plain = _sums(items, 3), _sums(items, 2)
+    return frozenset(at for at, (low, high, holds) in named.items()
+                     if holds or sums[high] - sums[low] > WRAPS * sums[-1] and plain[low] <= BEFORE * sums[-1])
+
+
+def _sums(items: list[tuple], least: int) -> list[int]:
+    """Words ahead of each piece, and of the page, without those that are noise of degree ``least``."""
     sums = [0]
     for kind, _, value, noise, _ in items:
-        sums.append(sums[-1] + (len(WORDS.findall(value)) if kind == "w" and noise < 2 else 0))
-    return frozenset(at for at, (low, high, holds) in marked.items()
-                     if holds or sums[len(items) if high is None else high] - sums[low] > WRAPS * sums[-1])
+        sums.append(sums[-1] + (len(WORDS.findall(value)) if kind == "w" and noise < least else 0))
+    return sums
 
 
 def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[list[tuple], dict[int, list], frozenset[int]]:
-    """The pieces; the weakly marked elements by position (first and last piece, whether an article or main element
-    is known to be theirs); and the unclosed noise elements that an article or main element was opened in. ``spared``
+    """The pieces; the elements marked by names by position (first and last piece, whether an article or main element
+    is known to be theirs, mark); and the unclosed noise elements that an article or main element was opened in. ``spared``
     elements are not marked, ``loose`` ones end where an article or main element opens."""
     items: list[tuple] = []
     stack: list[tuple[str, str | None, int]] = []
-    marks = {"noise": 0, "weak": 0, "main": 0}
+    marks = {"noise": 0, "named": 0, "weak": 0, "main": 0}
     weak: dict[int, list] = {}
     holding: dict[int, tuple[int, ...]] = {}    # noise elements an article opened in: elements of their name around them
     closed: set[int] = set()
@@ -139,15 +165,19 @@ def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[lis
             _, mark, at = stack.pop()
             if mark:
                 marks[mark] -= 1
-            if mark == "weak":
+            if mark in BY_NAME:
                 weak[at][1] = len(items)
 
     def key() -> str:
-        where = next((("noise" if m == "weak" else m) or t for t, m, _ in reversed(stack) if m or t in ("section", "div", "td", "li")), "")
+        where = next((("noise" if m in BY_NAME else m) or t for t, m, _ in reversed(stack) if m or t in ("section", "div", "td", "li")), "")
         return f"{stack[-1][0] if stack else ''}|{where}"
 
     def add(kind: str, name: str, value) -> None:
-        items.append((kind, name, value, 2 if marks["noise"] else int(marks["weak"] > 0), marks["main"] > 0))
+        noise = 3 if marks["noise"] else 2 if marks["named"] else int(marks["weak"] > 0)
+        items.append((kind, name, value, noise, marks["main"] > 0))
+
+    def noisy_marks() -> bool:
+        return any(marks[m] for m in NOISY)
 
     ends = embedded(page)
     for m in _tokens(page, ends) if ends else TOKEN.finditer(page):
@@ -163,12 +193,12 @@ def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[lis
                         pop(i)
                         break
                 continue
-            if marks["noise"] or marks["weak"]:
+            if noisy_marks():
                 if tag == "body":                       # an unclosed head, menu or the like ends here
-                    while marks["noise"] or marks["weak"]:
+                    while noisy_marks():
                         pop(len(stack) - 1)
                 elif tag in ("article", "main"):
-                    noisy = [i for i, (_, mark, _) in enumerate(stack) if mark in ("noise", "weak")]
+                    noisy = [i for i, (_, mark, _) in enumerate(stack) if mark in NOISY]
                     kept = max((i for i in noisy if stack[i][2] not in loose), default=-1)
                     ended = [i for i in noisy if i > kept]
                     if ended:
@@ -177,7 +207,7 @@ def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[lis
                         if i < len(stack):
                             name, mark, at = stack[i]
                             holding[at] = tuple(other for t, _, other in stack[:i] if t == name)
-                            if mark == "weak" and (tag == "main" or name in FORMS):
+                            if mark in BY_NAME and (tag == "main" or name in FORMS):
                                 weak[at][2] = True
             if tag in CLOSES_P:
                 for i in range(len(stack) - 1, -1, -1):
@@ -188,11 +218,11 @@ def _walk(page: str, spared: frozenset[int], loose: frozenset[int]) -> tuple[lis
                         break
             if tag not in VOID and not m[4].endswith("/"):
                 mark = section(tag, m[4], marks["main"] > 0)
-                if mark == "weak":
+                if mark in BY_NAME:
                     if m.start() in spared:
                         mark = None
                     else:
-                        weak[m.start()] = [len(items), None, False]
+                        weak[m.start()] = [len(items), -1, False, mark]     # unclosed, it reaches the last piece
                 stack.append((tag, mark, m.start()))
                 if mark:
                     marks[mark] += 1

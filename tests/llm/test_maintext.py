@@ -1,6 +1,7 @@
 """Main-text extraction: hand-made pages, edge rows, and the tables' articles."""
 import html as entities
 import re
+from collections import Counter
 
 from lakeshore.llm import maintext
 from lakeshore.llm.common import table
@@ -78,6 +79,46 @@ def test_wrappers_and_comment_articles():
     assert maintext.extract(f"<body><form><article>{body}</article></form><div>{'other words ' * 9}</div></body>", {}, {}).startswith(want)
 
 
+NAMES = ("search", "legal", "social", "tags", "toc", "banner", "reply", "login", "notices", "comments", "sidebar", "menu", "share",
+         "widget", "promo", "overlay", "copyright", "related", "discussion", "pagination")
+
+
+def test_names_round_the_article():
+    """A whole name of noise round the page's text does not empty it; beside the text it is noise as before."""
+    head = "A heading of seven words or so"
+    body, want = f"<h2>{head}</h2><p>{P}</p><p>{P}</p>", f"{head}\n{P}\n{P}"
+    top, foot = "<nav><a>Home</a> <a>News</a></nav>", "<div class='footer'>Somebody wrote this</div><aside>More</aside>"
+    for name in NAMES:
+        for open_, close in ((f"<div class='{name}'>", "</div>"), (f"<section id={name}>", "</section>"),
+                             (f"<div class='page {name}'><div>", "</div></div>"), (f"<div class={name}><main>", "</main></div>")):
+            assert maintext.extract(f"<body>{top}{open_}{body}{close}{foot}</body>", {}, {}) == want, open_
+            inner = f"{open_}{body}{close}".replace("<main>", "").replace("</main>", "")
+            assert maintext.extract(f"<body>{top}<main>{inner}</main>{foot}</body>", {}, {}) == want, ("main", open_)
+        noise = f"<div class='{name}'><p>Words that are no article, {P}</p></div>"
+        for article in (f"<div>{body}</div>", f"<article>{body}</article>", f"<main>{body}</main>", f"<div class=post>{body}</div>"):
+            assert maintext.extract(f"<body>{top}{article}{noise}{foot}</body>", {}, {}) == want, (name, article)
+            assert maintext.extract(f"<body>{top}{article}{noise * 12}{foot}</body>", {}, {}) == want, (name, article, "many")
+            assert maintext.extract(f"<body>{top}{article.replace('</p><p>', '</p>' + noise + '<p>')}{foot}</body>", {}, {}) == want, (name, article)
+    # a long thread of comments below a short text is not the page's text
+    thread = f"<div class=comments>{f'<div class=reply><p>{P} {P}</p></div>' * 30}</div>"
+    assert maintext.extract(f"<body>{top}<article>{body}</article>{thread}</body>", {}, {}) == want
+
+
+def test_articles_without_the_element(spark):
+    """Recall on the tables' pages with their article element taken away (and put under a name of noise)."""
+    rows = table(spark, SF, "pages").select("page_id", "html").collect()
+    learned = maintext.fit(table(spark, SF, "pages"))
+    for tag in ("<div>", "<div class='social'>"):
+        found = words = extra = 0
+        for r in rows:
+            page = r.html or ""
+            truth = Counter(maintext.extract(page, learned, {}).split())
+            got = Counter(maintext.extract(page.replace("<article>", tag).replace("</article>", "</div>"), learned, {}).split())
+            words, found, extra = words + truth.total(), found + (truth & got).total(), extra + (got - truth).total()
+        print(tag, len(rows), found / words, extra / words)
+        assert found >= 0.9 * words and extra <= 0.1 * words, tag
+
+
 def test_embedded_elements():
     """Icons and media before the article take nothing of it, closed or not; what is closed is left out."""
     want = f"{P}\n{P}"
