@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.sources import fields
-from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread, stored_extremes
+from lakeshore.sources.batches import batch_counts, exists, replace_batches, spread, stored_extremes, unsorted_writes
 
 EPOCH_MARK = "1900-01-01 00:00:00"
 
@@ -55,8 +55,9 @@ def build_incremental(spark: SparkSession, source: DataFrame, target_path: str,
     scan can prune with. Columns are registered beside the table (:mod:`lakeshore.sources.fields`); one that
     changes its type raises."""
     if full_refresh or not exists(spark, target_path):
-        (spread(source, [key], files_per_batch).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy(key).parquet(target_path))
+        with unsorted_writes(spark, files_per_batch):
+            (spread(source, [key], files_per_batch).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(key).parquet(target_path))
         fields.record(spark, target_path, source.schema, replace=True)
         return {}
     if months is not None:

@@ -15,7 +15,7 @@ from lakeshore.operators.contract import Field, schema_drift
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import ENRICHED_CTE, FCT_CTE, register, with_all, with_trips
-from lakeshore.plans.q_clean import silver, staged
+from lakeshore.plans.q_clean import silver, silver_lake, staged
 from lakeshore.plans.q_marts import fact
 from lakeshore.session import scratch_path
 from lakeshore.sources import batches
@@ -32,7 +32,7 @@ MANIFEST_SPLIT_YEAR = 2001
 def bronze_lake(spark: SparkSession, root: str) -> str:
     """Raw trips landed as batch folders year=/month= (the bronze layer)."""
     path = scratch_path(spark, "bronze-trips")
-    batches.write_batches(standins.raw_trips(spark, root), path, ["year", "month"])
+    batches.write_batches(standins.raw_trips(spark, root, by_batch=True), path, ["year", "month"], files_per_batch=0)
     return path
 
 
@@ -108,8 +108,8 @@ def q_fact_incremental(spark: SparkSession, root: str) -> DataFrame:
     """Full build of the fact, then a rebuild of named months from a reload whose rows carry
     a later ``loaded_at``: exactly those months are replaced (delete + insert)."""
     path = scratch_path(spark, "fct-trips")
-    f = fact(spark, root)
-    incremental.build_incremental(spark, f, path, full_refresh=True)
+    f = fact(spark, root, trips=silver_lake(spark, root))
+    incremental.build_incremental(spark, f, path, full_refresh=True, files_per_batch=0)
     reload = f.withColumn("loaded_at", F.timestamp_add("DAY", F.lit(RELOAD_SHIFT_DAYS), F.col("loaded_at")))
     incremental.build_incremental(spark, reload, path, months=REBUILD_MONTHS)
     return _read_fact(spark, path)

@@ -13,21 +13,31 @@ from lakeshore.plans.oracle import STG_SQL, register, with_trips
 from lakeshore.plans.pipelines import TRIP_KEY_COLUMNS, batch_loaded_at, publish_clean, stage_trips
 from lakeshore.plans.trips import clean_trips, derive_trip
 from lakeshore.session import require_utc, scratch_path
+from lakeshore.sources import batches
 
 P = standins.STANDIN_TRIPS
 
 
-def cleaned(spark: SparkSession, root: str) -> DataFrame:
+def cleaned(spark: SparkSession, root: str, by_batch: bool = False) -> DataFrame:
     require_utc(spark)
-    return clean_trips(standins.raw_trips(spark, root), P)
+    return clean_trips(standins.raw_trips(spark, root, by_batch), P)
 
 
 def silver(spark: SparkSession, root: str) -> DataFrame:
     return split(cleaned(spark, root))[0]
 
 
-def staged(spark: SparkSession, root: str) -> DataFrame:
-    return stage_trips(silver(spark, root), batch_loaded_at())
+def silver_lake(spark: SparkSession, root: str) -> DataFrame:
+    """Silver stored by batch and read back, for queries that build on it more than once: the trips are joined and
+    shuffled once, and whatever is computed row by row from a file lies in that file's batch."""
+    path = scratch_path(spark, "silver-lake")
+    rows = split(cleaned(spark, root, by_batch=True))[0]
+    batches.write_batches(rows, path, P.batch_cols, files_per_batch=0)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+def staged(spark: SparkSession, root: str, trips: DataFrame | None = None) -> DataFrame:
+    return stage_trips(silver(spark, root) if trips is None else trips, batch_loaded_at())
 
 
 @query("conform")

@@ -39,20 +39,20 @@ def dimension_tables(spark: SparkSession, root: str, checks=()) -> tuple[DataFra
 
 
 def enriched(spark: SparkSession, root: str, check_unique: bool = False, weather: DataFrame | None = None,
-             holidays: DataFrame | None = None) -> DataFrame:
+             holidays: DataFrame | None = None, trips: DataFrame | None = None) -> DataFrame:
     zones = standins.zones(spark, root)
     checks = [warehouse.zones_lookup_check(zones)]
     if weather is None or holidays is None:
         weather, holidays = dimension_tables(spark, root, checks)
     else:
         checks[0]()
-    return warehouse.enrich_trips(spark, staged(spark, root), weather, zones, holidays,
+    return warehouse.enrich_trips(spark, staged(spark, root, trips), weather, zones, holidays,
                                   check_unique, zones_verified=True)
 
 
 def fact(spark: SparkSession, root: str, weather: DataFrame | None = None,
-         holidays: DataFrame | None = None) -> DataFrame:
-    return warehouse.fact_trips(enriched(spark, root, weather=weather, holidays=holidays))
+         holidays: DataFrame | None = None, trips: DataFrame | None = None) -> DataFrame:
+    return warehouse.fact_trips(enriched(spark, root, weather=weather, holidays=holidays, trips=trips))
 
 
 @query("holiday_flatten")

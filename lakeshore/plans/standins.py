@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshore.plans.trips import TripParams
+from lakeshore.sources.batches import spread
 from lakeshore.sources.tables import table
 
 STANDIN_AIRPORT_ZONES = (1, 13, 24)
@@ -32,8 +33,9 @@ def _null_when(cond, value):
     return F.when(~cond, value)
 
 
-def raw_trips(spark: SparkSession, root: str) -> DataFrame:
-    """Bronze-shaped trips (raw column names, mixed raw types) with batch columns year, month."""
+def raw_trips(spark: SparkSession, root: str, by_batch: bool = False) -> DataFrame:
+    """Bronze-shaped trips (raw column names, mixed raw types) with batch columns year, month. ``by_batch`` arranges them
+    for a write by batch (``files_per_batch=0``) before their columns are computed, on rows of a third of the width."""
     li = table(spark, root, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
@@ -41,6 +43,8 @@ def raw_trips(spark: SparkSession, root: str) -> DataFrame:
     # orders grows with lineitem (a quarter of its rows): never a broadcast side at scale.
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     batch_day = F.date_sub(F.col("o_orderdate"), 1)
+    if by_batch:
+        j = spread(j.drop("o_orderkey").withColumn("__batch", F.trunc(batch_day, "MM")), ["__batch"])
     pickup = F.timestamp_add("MINUTE", F.col("l_linenumber") * 60 + F.col("l_partkey") % 60, F.col("o_orderdate"))
     seconds = (F.when(F.col("l_orderkey") % 43 == 0, F.lit(-300)).when(F.col("l_orderkey") % 47 == 0, F.lit(20))
                .when(F.col("l_orderkey") % 59 == 0, F.lit(43200))

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,25 @@ def spread(df: DataFrame, batch_cols: Sequence[str], files_per_batch: int | None
     return df.repartition(*batch_cols, salt)
 
 
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+MOST_OPEN = 64                  # a scan task packs at most 32 files; twice that for two layers
+
+
+@contextmanager
+def unsorted_writes(spark: SparkSession, files_per_batch: int | None) -> Iterator[None]:
+    """For rows written as they are (``files_per_batch`` 0): a task keeps a file open per batch instead of sorting its
+    rows by batch, which spills once a task's wide rows outgrow its memory. Beyond ``MOST_OPEN`` batches it sorts."""
+    if files_per_batch != 0:
+        yield
+        return
+    before = spark.conf.get(OPEN_WRITERS)
+    spark.conf.set(OPEN_WRITERS, str(MOST_OPEN))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_WRITERS, before)
+
+
 def write_batches(df: DataFrame, path: str, batch_cols: Sequence[str] = ("year", "month"),
                   files_per_batch: int | None = None, mode: str = "overwrite",
                   sort_by: Sequence[str] = ()) -> None:
@@ -49,8 +69,9 @@ def write_batches(df: DataFrame, path: str, batch_cols: Sequence[str] = ("year",
     out = spread(df, batch_cols, files_per_batch)
     if sort_by:
         out = out.sortWithinPartitions(*batch_cols, *sort_by)
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*batch_cols).parquet(path))
+    with unsorted_writes(df.sparkSession, None if sort_by else files_per_batch):
+        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*batch_cols).parquet(path))
 
 
 def batch_counts(df: DataFrame, batch_cols: Sequence[str]) -> dict[tuple, int]:

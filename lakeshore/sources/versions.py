@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeshore.operators.rules import ReconcileError
-from lakeshore.sources.batches import _differences, exists, file_rows, partition_folder, spread
+from lakeshore.sources.batches import _differences, exists, file_rows, partition_folder, spread, unsorted_writes
 
 VERSION_COL = "version"
 
@@ -35,8 +35,9 @@ def write_version(df: DataFrame, root: str, batch_cols: Sequence[str], layer: Se
     """Write the rows as a new version that no pointer names yet; its id."""
     version = uuid.uuid4().hex
     parts = [*batch_cols, *layer]
-    (spread(df, parts, files_per_batch).write.mode("error").option("partitionOverwriteMode", "static")
-     .partitionBy(*parts).parquet(f"{root.rstrip('/')}/data/{VERSION_COL}={version}"))
+    with unsorted_writes(df.sparkSession, files_per_batch):
+        (spread(df, parts, files_per_batch).write.mode("error").option("partitionOverwriteMode", "static")
+         .partitionBy(*parts).parquet(f"{root.rstrip('/')}/data/{VERSION_COL}={version}"))
     return version
 
 
