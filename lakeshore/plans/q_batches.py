@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 from lakeshore.functions import month_key
 from lakeshore.operators import history, incremental
 from lakeshore.operators.contract import Field, schema_drift
+from lakeshore.operators.rules import split
 from lakeshore.plans import standins
 from lakeshore.plans.catalog import query
 from lakeshore.plans.oracle import ENRICHED_CTE, FCT_CTE, register, with_all, with_trips
-from lakeshore.plans.q_clean import silver, silver_lake, staged
+from lakeshore.plans.q_clean import silver_lake, staged
 from lakeshore.plans.q_marts import fact
-from lakeshore.session import scratch_path
+from lakeshore.plans.trips import clean_trips
+from lakeshore.session import require_utc, scratch_path
 from lakeshore.sources import batches
 from lakeshore.sources.tables import table
 
@@ -36,6 +38,12 @@ def bronze_lake(spark: SparkSession, root: str) -> str:
     return path
 
 
+def accepted_trips(bronze: DataFrame) -> DataFrame:
+    """Silver of bronze batches."""
+    require_utc(bronze.sparkSession)
+    return split(clean_trips(bronze, standins.STANDIN_TRIPS))[0]
+
+
 @query("scan_month")
 def q_scan_month(spark: SparkSession, root: str) -> DataFrame:
     return batches.read_leaf(spark, bronze_lake(spark, root), year=SCAN_YEAR, month=f"{SCAN_MONTH}")
@@ -65,13 +73,12 @@ register("partition_pruned_count", with_trips(
 
 @query("replace_batch")
 def q_replace_batch(spark: SparkSession, root: str) -> DataFrame:
-    """Silver for all months, then month 1997-05 reloaded in corrected form (rows without a
-    passenger count dropped) through the staged, reconciled batch replace."""
-    target = scratch_path(spark, "silver-trips")
-    s = silver(spark, root)
-    batches.write_batches(s, target, ["year", "month"])
-    corrected = s.filter((F.col("year") == SCAN_YEAR) & (F.col("month") == SCAN_MONTH)
-                         & F.col("passenger_count").isNotNull())
+    """Silver for all months, from the bronze lake, then month 1997-05 reloaded from there in corrected form (rows
+    without a passenger count dropped) through the staged, reconciled batch replace."""
+    target, lake = scratch_path(spark, "silver-trips"), batches.read_root(spark, bronze_lake(spark, root))
+    batches.write_batches(accepted_trips(lake), target, ["year", "month"], files_per_batch=0)
+    month = lake.filter((F.col("year") == SCAN_YEAR) & (F.col("month") == SCAN_MONTH))
+    corrected = accepted_trips(month).filter(F.col("passenger_count").isNotNull())
     batches.replace_batches(spark, corrected, target, ["year", "month"])
     return batches.read_root(spark, target)
 
@@ -351,7 +358,6 @@ FROM events e LEFT JOIN history h
 def q_landing_stream(spark: SparkSession, root: str) -> DataFrame:
     """Bronze batch files landed, then cleaned by an available-now file stream (each file
     exactly once); the silver it publishes equals the batch split's accepted rows."""
-    from lakeshore.plans.trips import clean_trips
     from lakeshore.streaming.landing import EPOCH_COL, clean_landed_files, run_to_completion
 
     lake = bronze_lake(spark, root)
@@ -427,7 +433,6 @@ def q_republish_clean(spark: SparkSession, root: str) -> DataFrame:
     """All batches published, then one again after its faulty rows were taken out at the source: its
     quarantine is emptied, the other batches stay. Rows per layer as they lie on disk."""
     from lakeshore.plans.pipelines import LAYER_COL, publish_clean, read_clean
-    from lakeshore.plans.trips import clean_trips
 
     path, p = scratch_path(spark, "republished"), standins.STANDIN_TRIPS
     raw = standins.raw_trips(spark, root)

@@ -53,3 +53,11 @@ def test_fact_incremental_builds_on_stored_silver(spark, monkeypatch):
     frames = seen_by(monkeypatch, incremental, "build_incremental")
     q_batches.q_fact_incremental(spark, SF)
     assert len(frames) == 2 and not any(reads(f) for f in frames)
+
+
+def test_replace_batch_reloads_from_the_bronze_lake(spark, monkeypatch):
+    built, reloaded = seen_by(monkeypatch, batches, "write_batches", 0), seen_by(monkeypatch, batches, "replace_batches")
+    q_batches.q_replace_batch(spark, SF)
+    assert reads(built[0]) == {"lineitem.parquet", "orders.parquet"}              # the bronze lake, once
+    assert not any(reads(f) for f in [*built[1:], *reloaded])
+    assert all("/year=1997/month=5/" in f for f in reloaded[0].inputFiles())      # and of it the month alone
