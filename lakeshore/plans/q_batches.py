@@ -133,8 +133,8 @@ def q_schema_append(spark: SparkSession, root: str) -> DataFrame:
     """A fact first built without ``weather_category``; two later months arrive with it.
     Reading with schema merge appends the column: older rows read null."""
     path = scratch_path(spark, "fct-append")
-    f = fact(spark, root)
-    incremental.build_incremental(spark, f.drop("weather_category"), path, full_refresh=True)
+    f = fact(spark, root, trips=silver_lake(spark, root))
+    incremental.build_incremental(spark, f.drop("weather_category"), path, full_refresh=True, files_per_batch=0)
     incremental.build_incremental(spark, f, path, months=APPEND_MONTHS)
     got = _read_fact(spark, path)
     return got.groupBy("source_month").agg(F.count(F.lit(1)).alias("n_rows"),

@@ -61,3 +61,9 @@ def test_replace_batch_reloads_from_the_bronze_lake(spark, monkeypatch):
     assert reads(built[0]) == {"lineitem.parquet", "orders.parquet"}              # the bronze lake, once
     assert not any(reads(f) for f in [*built[1:], *reloaded])
     assert all("/year=1997/month=5/" in f for f in reloaded[0].inputFiles())      # and of it the month alone
+
+
+def test_schema_append_builds_on_stored_silver(spark, monkeypatch):
+    frames = seen_by(monkeypatch, incremental, "build_incremental")
+    q_batches.q_schema_append(spark, SF)
+    assert len(frames) == 2 and not any(reads(f) for f in frames)
