@@ -67,3 +67,9 @@ def test_schema_append_builds_on_stored_silver(spark, monkeypatch):
     frames = seen_by(monkeypatch, incremental, "build_incremental")
     q_batches.q_schema_append(spark, SF)
     assert len(frames) == 2 and not any(reads(f) for f in frames)
+
+
+def test_schema_registered_builds_on_stored_silver(spark, monkeypatch):
+    frames = seen_by(monkeypatch, incremental, "build_incremental")
+    q_batches.q_schema_registered(spark, SF)
+    assert len(frames) == 2 and not any(reads(f) for f in frames)
