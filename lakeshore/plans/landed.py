@@ -21,6 +21,9 @@ from lakeshore.sources.batches import folder_value
 
 STAMP_DDL = "path string, bytes bigint, modified timestamp"
 
+# Batches of few files, or of files of some size, are cleaned and written file by file; smaller ones are gathered first.
+FEW_FILES, SIZED_FILE = 8, 8 << 20
+
 
 def ledger_schema(p: TripParams = TAXI) -> StructType:
     """One row per landed file: its path and stamp, and its batch."""
@@ -49,6 +52,13 @@ def changed_batches(now: DataFrame, before: DataFrame, p: TripParams = TAXI) ->
             .filter("differing > 0").drop("differing"))
 
 
+def lies_by_batch(files: DataFrame, p: TripParams = TAXI) -> bool:
+    """Whether landed files (ledger rows) can be written as they are read, without a shuffle: a file has rows of one batch,
+    and writing makes no more files of a batch and layer than were read."""
+    n, size, of = files.agg(F.count(F.lit(1)), F.sum("bytes"), F.count_distinct(F.struct(*p.batch_cols))).first()
+    return n <= FEW_FILES * of or size >= SIZED_FILE * n
+
+
 def land_changed(spark: SparkSession, bronze: str, target: str, ledger: str, p: TripParams = TAXI) -> DataFrame:
     """One landing run: the reconciliation of every batch that was published (or emptied: no rows) in it. Read the layers
     with :func:`lakeshore.plans.pipelines.read_clean`. Files of batches that did not change are listed, not read."""
@@ -66,7 +76,8 @@ def land_changed(spark: SparkSession, bronze: str, target: str, ledger: str, p:
         rows = batches.read_batches(spark, folders, p.contract, base_path=bronze, keep=cols).drop("period")
         at = [folder_value(F.col("file"), c).cast("int").alias(c) for c in cols]
         landed = batches.file_rows(spark, *folders.values()).groupBy(*at).agg(F.sum("row_count")).collect()
-        report = report.unionByName(publish_clean(spark, rows, target, p, conformed=True, expected={tuple(r[:-1]): r[-1] for r in landed}))
+        report = report.unionByName(publish_clean(spark, rows, target, p, conformed=True, expected={tuple(r[:-1]): r[-1] for r in landed},
+                                                  files_per_batch=0 if lies_by_batch(stale, p) else None))
     for b in gone:
         versions.swap(spark, target, dict(zip(cols, b, strict=True)), None, 0)
     if folders:

@@ -66,7 +66,7 @@ def read_clean(spark, root: str, p: TripParams = TAXI, layer: str | None = None)
 
 
 def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, conformed: bool = False,
-                  expected: dict[tuple, int] | None = None) -> DataFrame:
+                  expected: dict[tuple, int] | None = None, files_per_batch: int | None = None) -> DataFrame:
     """Clean many raw batches and publish accepted and quarantined rows, replacing both layers of exactly the batches
     present, at one commit point per batch (:mod:`lakeshore.sources.versions`; read with :func:`read_clean`).
 
@@ -76,7 +76,7 @@ def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, confor
     executor are observed twice, so a difference that could come from that is settled by counting the input anew.
     Nothing of a publication that does not reconcile is seen. Returns the reconciliation per batch: input rows,
     and the layers as the files on disk hold them. ``conformed=True`` takes rows already conformed to the contract
-    (``read_batches``)."""
+    (``read_batches``); ``files_per_batch`` is :func:`lakeshore.sources.batches.spread`'s (0 for input that lies by batch)."""
     from pyspark.sql import Observation
 
     from lakeshore.operators.rules import ReconcileError
@@ -103,7 +103,7 @@ def publish_clean(spark, raw: DataFrame, root: str, p: TripParams = TAXI, confor
             raise ReconcileError(f"{root}: not published; {sum(counted.values())} rows read, {total} written")
         return counted
 
-    found = versions.publish(spark, layered, root, batch, wanted, [LAYER_COL])
+    found = versions.publish(spark, layered, root, batch, wanted, [LAYER_COL], files_per_batch)
     held: dict[tuple, dict[str, int]] = {k: {} for k in (expected or {})}
     for key, n in found.items():
         held.setdefault(key[:-1], {})[key[-1]] = n

@@ -19,7 +19,7 @@ from lakeshore.plans.oracle import ENRICHED_CTE, FCT_CTE, register, with_all, wi
 from lakeshore.plans.q_clean import silver_lake, staged
 from lakeshore.plans.q_marts import fact
 from lakeshore.plans.trips import clean_trips
-from lakeshore.session import require_utc, scratch_path
+from lakeshore.session import materialize, require_utc, scratch_path
 from lakeshore.sources import batches
 from lakeshore.sources.tables import table
 
@@ -410,8 +410,8 @@ def q_landing_republished(spark: SparkSession, root: str) -> DataFrame:
     target, ledger = scratch_path(spark, "landed-trips"), scratch_path(spark, "landed-ledger")
     land_changed(spark, lake, target, ledger, p)
     of = lambda month: (F.col("year") == month[0]) & (F.col("month") == month[1])
-    corrected = standins.raw_trips(spark, root).where(of(CORRECTED) & (F.col("VendorID") % 2 == 0))
-    batches.write_batches(corrected, lake, ["year", "month"])
+    corrected = batches.read_root(spark, lake).where(of(CORRECTED) & (F.col("VendorID") % 2 == 0))
+    batches.write_batches(materialize(spark, corrected, "corrected"), lake, ["year", "month"])     # stored: it replaces what it reads
     batches.purge_partitions(spark, lake, [dict(zip(("year", "month"), RECALLED, strict=True))])
     land_changed(spark, lake, target, ledger, p)
     return read_clean(spark, target, p).groupBy("year", "month").agg(
