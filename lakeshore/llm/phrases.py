@@ -29,6 +29,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -74,11 +75,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+def word_hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """Hashes of a binary array's values, cut from its bytes: an object of Arrow's for each costs several times the hash."""
     from xxhash import xxh3_64_intdigest
 
     seed = xxh3_64_intdigest(lang.encode())
-    return np.array([xxh3_64_intdigest(w, seed) for w in words], np.uint64)
+    _, edges, raw = words.buffers()
+    raw = b"" if raw is None else raw.to_pybytes()
+    edges = np.frombuffer(edges, np.int32, len(words) + 1, words.offset * 4).tolist() if len(words) else [0]
+    return np.array([xxh3_64_intdigest(raw[a:b], seed) for a, b in pairwise(edges)], np.uint64)
 
 
 def seen(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -108,8 +113,8 @@ class Shard:
         ends = inside.copy()
         ends[:-1] &= ~inside[1:] | opens[1:-1]
         begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        cuts = np.union1d(np.flatnonzero(kind == 2), edges)
-        piece = np.searchsorted(cuts, begins, "right")      # equal numbers: no cut between
+        opens[:-1] |= kind == 2
+        piece = np.searchsorted(np.flatnonzero(opens), begins, "right")     # equal numbers: no cut between
         sizes = np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int32)
         kept = _LOWER[raw[inside]]
         coded = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(sizes), pa.py_buffer(kept)]).dictionary_encode()
@@ -117,7 +122,7 @@ class Shard:
         self.names = coded.dictionary
         self.next = np.zeros(len(self.word), bool)          # the next word follows in the same piece
         self.next[:-1] = piece[1:] == piece[:-1]
-        self.of_word = word_hashes(self.names.to_pylist(), lang)
+        self.of_word = word_hashes(self.names, lang)
         self.hash = [self.of_word[self.word]] if len(self.word) else [np.zeros(0, np.uint64)]
 
     def hashes(self, k: int) -> np.ndarray:

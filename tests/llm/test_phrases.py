@@ -97,3 +97,15 @@ def test_huge_counts_stay_exact(spark):
 
 def test_no_rows(spark):
     assert mined(no_docs(spark)) == []
+
+
+def test_words_are_hashed_from_an_arrow_array(spark):
+    import pyarrow as pa
+    from xxhash import xxh3_64_intdigest
+
+    words = [b"", b"the", "dé".encode(), b"the end", b"a\x00"]
+    seed = xxh3_64_intdigest(b"en")
+    want = [xxh3_64_intdigest(w, seed) for w in words]
+    assert phrases.word_hashes(pa.array(words, pa.binary()), "en").tolist() == want
+    assert phrases.word_hashes(pa.array(words, pa.binary())[2:], "en").tolist() == want[2:]
+    assert phrases.word_hashes(pa.array([], pa.binary()), "en").tolist() == []
