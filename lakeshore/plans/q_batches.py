@@ -247,12 +247,12 @@ def q_file_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Manifest of the bronze lake after a second landing: files of the first landing are
     'skipped' (same path and size), new ones 'downloaded'. Per batch: rows and status."""
     path = scratch_path(spark, "bronze-landing")
-    raw = standins.raw_trips(spark, root)
-    batches.write_batches(raw.filter(F.col("year") < MANIFEST_SPLIT_YEAR), path, ["year", "month"])
+    raw = standins.raw_trips(spark, root, by_batch=True)
+    batches.write_batches(raw.filter(F.col("year") < MANIFEST_SPLIT_YEAR), path, ["year", "month"], files_per_batch=0)
     first = batches.file_manifest(spark, path)
     first_path = scratch_path(spark, "manifest")
     first.write.mode("overwrite").parquet(first_path)           # the manifest of record
-    batches.write_batches(raw.filter(F.col("year") >= MANIFEST_SPLIT_YEAR), path, ["year", "month"])
+    batches.write_batches(raw.filter(F.col("year") >= MANIFEST_SPLIT_YEAR), path, ["year", "month"], files_per_batch=0)
     second = batches.file_manifest(spark, path, spark.read.parquet(first_path))
     folder = lambda c: batches.folder_value(F.col("file_path"), c).cast("int")
     period = F.format_string("%04d-%02d", folder("year"), folder("month"))
@@ -382,7 +382,7 @@ def q_clean_publish(spark: SparkSession, root: str) -> DataFrame:
     folder = lambda c: batches.folder_value(F.col("file"), c).cast("int").alias(c)
     landed = batches.file_rows(spark, path).groupBy(folder("year"), folder("month")).agg(F.sum("row_count"))
     return publish_clean(spark, batches.read_root(spark, path), scratch_path(spark, "trips-published"), standins.STANDIN_TRIPS,
-                         expected={tuple(r[:-1]): r[-1] for r in landed.collect()})
+                         expected={tuple(r[:-1]): r[-1] for r in landed.collect()}, files_per_batch=0)
 
 
 register("clean_publish", with_trips("""
@@ -435,8 +435,8 @@ def q_republish_clean(spark: SparkSession, root: str) -> DataFrame:
     from lakeshore.plans.pipelines import LAYER_COL, publish_clean, read_clean
 
     path, p = scratch_path(spark, "republished"), standins.STANDIN_TRIPS
-    raw = standins.raw_trips(spark, root)
-    publish_clean(spark, raw, path, p)
+    raw = standins.raw_trips(spark, root, by_batch=True)
+    publish_clean(spark, raw, path, p, files_per_batch=0)
     month = raw.where((F.col("year") == CORRECTED[0]) & (F.col("month") == CORRECTED[1]))
     good = clean_trips(month, p).where("reject_reason IS NULL").select(*[f.target for f in p.contract], *p.batch_cols)
     publish_clean(spark, good, path, p, conformed=True)

@@ -105,7 +105,8 @@ WHERE reject_reason IS NOT NULL GROUP BY reject_reason ORDER BY n_rows DESC, rej
 def q_reconcile_split(spark: SparkSession, root: str) -> DataFrame:
     """Landed rows per batch against the two layers as they lie on disk."""
     require_utc(spark)
-    return publish_clean(spark, standins.raw_trips(spark, root), scratch_path(spark, "reconcile"), P)
+    raw = standins.raw_trips(spark, root, by_batch=True)
+    return publish_clean(spark, raw, scratch_path(spark, "reconcile"), P, files_per_batch=0)
 
 
 register("reconcile_split", with_trips("""
